@@ -1,0 +1,26 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions at or under this many rows are broadcast; anything larger is
+# joined by shuffle (sort-merge, or broadcast later if AQE finds it small).
+DIM_BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose row count is checked first.
+
+    The count is a cheap job on a dimension; the result is remembered on the
+    DataFrame object so one plan build counts each dimension once.
+    """
+    n = getattr(df, "_tw_rows", None)
+    if n is None:
+        n = df.count()
+        try:
+            df._tw_rows = n
+        except AttributeError:
+            pass
+    return F.broadcast(df) if n <= max_rows else df
