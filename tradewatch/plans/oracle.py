@@ -17,7 +17,9 @@ from collections.abc import Iterable
 from tradewatch.params import (
     BUY_CODE,
     EXCLUDED_COMMENT_CODES,
+    NET_SIDE,
     SELL_CODE,
+    SIDES,
     RuleSet,
     Scope,
     testdata_rules,
@@ -256,6 +258,96 @@ def sql_tenor_breaks(r: RuleSet) -> str:
     return _with(base_positions(r), tenor_rows(r), tenor_feed(r)) + "SELECT * FROM tenor_feed"
 
 
+def high_net(r: RuleSet) -> str:
+    avgs = " + ".join(f"coalesce(avg(abs_st) FILTER (WHERE pors = {_q(sd)}), 0)"
+                      for sd in SIDES)
+    return f"""
+high_side AS (
+  SELECT scope, loaddate, commodity AS poscommodity, desk AS trader, side AS pors, subdivision,
+         sum(CASE WHEN {_n('side')} = {_k(NET_SIDE)} THEN delta ELSE abs(delta) END) AS abs_st
+  FROM high_rows GROUP BY ALL
+),
+high_net AS (
+  SELECT loaddate, poscommodity, trader, subdivision, pns,
+         round_even(pns * CAST(100000 AS DOUBLE), 0) / CAST(100000 AS DOUBLE) AS dailyValue
+  FROM (
+    SELECT loaddate, poscommodity, trader, subdivision, CAST({avgs} AS DOUBLE) AS pns
+    FROM high_side
+    WHERE loaddate IS NOT NULL AND poscommodity IS NOT NULL AND trader IS NOT NULL
+      AND subdivision IS NOT NULL
+    GROUP BY loaddate, poscommodity, trader, subdivision
+    HAVING count(abs_st) FILTER (WHERE pors IS NOT NULL) > 0
+  )
+)"""
+
+
+def high_flags(n: int) -> str:
+    return f"""
+high_flags AS (
+  SELECT *, CASE WHEN maxValue = prevDailyVal THEN 0 WHEN maxValue = 0 THEN 0
+                 WHEN dailyValue >= maxValue THEN 1 ELSE 0 END AS breaks
+  FROM (
+    SELECT *, CASE WHEN count(dailyValue) OVER wn = {n} THEN max(dailyValue) OVER wn END AS maxValue,
+              lag(dailyValue) OVER w AS prevDailyVal
+    FROM high_net
+    WINDOW w AS (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision),
+           wn AS (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision
+                  ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)
+  )
+)"""
+
+
+def _high_base(r: RuleSet) -> tuple[str, ...]:
+    return (base_positions(r), high_rows(r), high_net(r))
+
+
+def sql_side_volume(r: RuleSet) -> str:
+    return (_with(base_positions(r), high_rows(r), high_net(r))
+            + "SELECT * FROM high_side")
+
+
+def sql_net_side_volume(r: RuleSet) -> str:
+    return _with(*_high_base(r)) + "SELECT * FROM high_net"
+
+
+def sql_new_high_breaks(r: RuleSet, n: int | None = None) -> str:
+    n = n or r.new_high_window
+    return (_with(*_high_base(r), high_flags(n))
+            + "SELECT loaddate, subdivision, trader, poscommodity, dailyValue, breaks, "
+              "'PnS breaks' AS test FROM high_flags")
+
+
+def sql_break_running_count(r: RuleSet) -> str:
+    return (_with(*_high_base(r), high_flags(r.new_high_window))
+            + """SELECT loaddate, subdivision, trader, poscommodity, dailyValue, maxValue,
+       prevDailyVal, breaks,
+       sum(breaks) OVER (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS count_breaks
+FROM high_flags""")
+
+
+def _r5(x: str) -> str:
+    return f"round_even(({x}) * CAST(100000 AS DOUBLE), 0) / CAST(100000 AS DOUBLE)"
+
+
+def sql_band_breaks(r: RuleSet) -> str:
+    n, k = r.band_window, r.band_k
+    return (_with(*_high_base(r)) + f"""SELECT loaddate, subdivision, trader, poscommodity, dailyValue, moving_avg,
+       moving_std, upper_bound,
+       CASE WHEN dailyValue > upper_bound THEN 1 ELSE 0 END AS breaks, 'PnS breaks' AS test
+FROM (
+  SELECT *, {_r5(f"moving_avg + moving_std * {k}")} AS upper_bound
+  FROM (
+    SELECT *, {_r5(f"CASE WHEN count(dailyValue) OVER wn = {n} THEN avg(dailyValue) OVER wn END")} AS moving_avg,
+              {_r5(f"CASE WHEN count(dailyValue) OVER wn = {n} THEN stddev_samp(dailyValue) OVER wn END")} AS moving_std
+    FROM high_net
+    WINDOW wn AS (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision
+                  ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)
+  )
+  WHERE moving_avg IS NOT NULL
+)""")
+
+
 def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     r = rules or testdata_rules()
     return {
@@ -265,6 +357,12 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "tenor_flag": sql_tenor_flag(r),
         "tenor_exposure": sql_tenor_exposure(r),
         "tenor_breaks": sql_tenor_breaks(r),
+        "side_volume": sql_side_volume(r),
+        "net_side_volume": sql_net_side_volume(r),
+        "new_high_breaks": sql_new_high_breaks(r),
+        "new_high_breaks_20": sql_new_high_breaks(r, 20),
+        "break_running_count": sql_break_running_count(r),
+        "band_breaks": sql_band_breaks(r),
     }
 
 

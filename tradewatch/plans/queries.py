@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.functions import beyond_horizon, month_start
+from tradewatch.operators import highs as H
 from tradewatch.operators import positions as P
 from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.plans.inputs import Inputs, load_inputs
@@ -84,6 +85,43 @@ def q_tenor_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tenor_breaks(_tenor_rows(i), i.rules.tenor_share_limit)
 
 
+def _net(i: Inputs) -> DataFrame:
+    return H.net_side_volume(P.side_volume(_high_rows(i)))
+
+
+def q_side_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.side_volume(_high_rows(load_inputs(spark, sf_dir)))
+
+
+def q_net_side_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _net(load_inputs(spark, sf_dir))
+
+
+def q_new_high_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    return H.new_high_breaks(_net(i), i.rules.new_high_window)
+
+
+def q_new_high_breaks_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same test with a 20-row window: fills at every scale, hits plateaus."""
+    return H.new_high_breaks(_net(load_inputs(spark, sf_dir)), 20)
+
+
+def q_break_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    flags = H.new_high_flags(_net(i), i.rules.new_high_window)
+    return H.break_running_count(flags).select(
+        "loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue",
+        "prevDailyVal", "breaks", "count_breaks")
+
+
+def q_band_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    return H.band_breaks(_net(i), i.rules.band_window, i.rules.band_k).select(
+        "loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "moving_avg",
+        "moving_std", "upper_bound", "breaks", "test")
+
+
 def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
@@ -92,4 +130,10 @@ def registry() -> dict[str, Query]:
         "tenor_flag": q_tenor_flag,
         "tenor_exposure": q_tenor_exposure,
         "tenor_breaks": q_tenor_breaks,
+        "side_volume": q_side_volume,
+        "net_side_volume": q_net_side_volume,
+        "new_high_breaks": q_new_high_breaks,
+        "new_high_breaks_20": q_new_high_breaks_20,
+        "break_running_count": q_break_running_count,
+        "band_breaks": q_band_breaks,
     }
