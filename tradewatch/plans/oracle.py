@@ -348,6 +348,238 @@ FROM (
 )""")
 
 
+# ---------------------------------------------------------------- day trades
+
+def base_fills(r: RuleSet) -> str:
+    return """
+fills AS (
+  SELECT CAST(e.ts AS DATE) AS trade_date,
+         CAST(e.ts + INTERVAL 2 HOUR AS DATE) AS load_date,
+         'AC' || lpad(CAST(e.user_id % 40 AS VARCHAR), 2, '0') AS account,
+         'HOLDER ' || CAST(e.user_id % 40 % 9 AS VARCHAR) AS account_name,
+         'SUB_' || CAST(e.user_id % 5 AS VARCHAR) AS subdivision,
+         'LOC_' || CAST(e.event_id % 3 AS VARCHAR) AS location,
+         p.p_type AS commodity,
+         CASE WHEN e.event_id % 6 < 2 THEN 'FMT' WHEN e.event_id % 6 < 4 THEN 'WFC'
+              WHEN e.event_id % 6 = 4 THEN 'STX' ELSE 'ICE' END AS source,
+         CAST(date_trunc('month', CAST(e.ts AS DATE)) + to_months(e.k % 3) AS DATE)
+           AS position_month,
+         CASE WHEN e.k % 2 = 0 THEN 'F' ELSE 'O' END AS fin_type,
+         CASE WHEN e.k % 10 = 9 THEN NULL ELSE CAST(e.k % 2 AS DOUBLE) * 5.0 END AS strike_price,
+         CASE WHEN e.event_type IN ('purchase', 'click') THEN 'B'
+              WHEN e.event_type IN ('view', 'signup') THEN 'S' END AS side,
+         CAST(e.value AS DECIMAL(12, 2)) AS gross_qty,
+         CAST(CASE WHEN e.k % 2 = 0 THEN e.value ELSE -e.value END AS DECIMAL(12, 2)) AS mtm,
+         CASE WHEN e.k % 17 = 0 THEN 'EFP' ELSE 'BRK' END AS broker_num,
+         CASE WHEN e.k % 19 = 0 THEN 'CHD' ELSE 'CRD' END AS card_number,
+         CASE WHEN e.k % 11 = 0 THEN 'K' WHEN e.k % 11 = 1 THEN ' I' ELSE 'N' END AS comment_code
+  FROM (SELECT *, TRY_CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS INTEGER) AS k
+        FROM events WHERE event_type <> 'error') e
+  LEFT JOIN part p ON p.p_partkey = e.k
+)"""
+
+
+def _fill_where(r: RuleSet, comment: bool, names: bool) -> str:
+    f = r.fills
+    since = r.since.isoformat()
+    w = [_not_in("account", f.excluded_accounts)]
+    w += [f"lower(account) NOT LIKE {_q(p.lower())}" for p in f.excluded_account_like]
+    w += [f"lower(subdivision) NOT LIKE {_q(p.lower())}" for p in f.excluded_subdivision_like]
+    w += [f"{_n('broker_num')} <> {_k(f.excluded_broker)}",
+          f"{_n('card_number')} <> {_k(f.excluded_card)}",
+          f"load_date > DATE '{since}'",
+          "load_date = trade_date",
+          f"{_n('source')} <> {_k(f.excluded_source)}",
+          "gross_qty <> 0"]
+    if comment:
+        w.append(_not_in("comment_code", EXCLUDED_COMMENT_CODES))
+    if names:
+        w.append(_not_in("account_name", f.excluded_account_names))
+    return "\n    AND ".join(w)
+
+
+_GROUP = ("trade_date, account, subdivision, location, commodity, source, position_month, "
+          "fin_type, side, account_name, strike_price")
+_MATCH_ON = " AND ".join(f"b.{k} = s.{k}" for k in
+                         ("trade_date", "commodity", "account", "position_month", "fin_type",
+                          "strike_price"))
+
+
+def fill_ctes(r: RuleSet) -> str:
+    w = _fill_where(r, comment=True, names=False)
+    ws = _fill_where(r, comment=False, names=True)
+    since = r.since.isoformat()
+    return f"""
+buys AS (
+  SELECT {_GROUP.replace('side', 'side AS pors')},
+         CAST(sum(gross_qty) AS DOUBLE) AS purchase_qty, CAST(sum(mtm) AS DOUBLE) AS purchase_pnl
+  FROM fills WHERE {_n('side')} = {_k(BUY_CODE)}
+    AND {w}
+  GROUP BY {_GROUP}
+),
+sells AS (
+  SELECT {_GROUP.replace('side', 'side AS pors')},
+         CAST(sum(gross_qty) AS DOUBLE) AS sale_qty, CAST(sum(mtm) AS DOUBLE) AS sale_pnl
+  FROM fills WHERE {_n('side')} = {_k(SELL_CODE)}
+    AND {w}
+  GROUP BY {_GROUP}
+),
+matched AS (
+  SELECT b.*, s.sale_qty, s.sale_pnl,
+         CASE WHEN b.purchase_qty < s.sale_qty THEN b.purchase_qty ELSE s.sale_qty END
+           AS day_trade_qty
+  FROM buys b LEFT JOIN sells s ON {_MATCH_ON}
+),
+matched_pnl AS (
+  SELECT *, CASE WHEN purchase_qty > day_trade_qty
+                 THEN (CASE WHEN purchase_qty = 0 THEN NULL ELSE day_trade_qty / purchase_qty END)
+                      * purchase_pnl + sale_pnl
+                 ELSE (CASE WHEN sale_qty = 0 THEN NULL ELSE day_trade_qty / sale_qty END)
+                      * sale_pnl + purchase_pnl END AS day_trade_pnl
+  FROM matched
+),
+skeleton AS (
+  SELECT dt.trade_date, acct.account, CAST(NULL AS VARCHAR) AS subdivision,
+         CAST(NULL AS VARCHAR) AS location, acct.commodity, acct.source,
+         CAST(NULL AS DATE) AS position_month, CAST(NULL AS VARCHAR) AS fin_type,
+         CAST(NULL AS VARCHAR) AS pors, acct.account_name, CAST(NULL AS DOUBLE) AS strike_price,
+         CAST(0 AS DOUBLE) AS purchase_qty, CAST(0 AS DOUBLE) AS purchase_pnl,
+         CAST(0 AS DOUBLE) AS sale_qty, CAST(0 AS DOUBLE) AS sale_pnl,
+         CAST(0 AS DOUBLE) AS day_trade_qty, CAST(0 AS DOUBLE) AS day_trade_pnl
+  FROM (SELECT DISTINCT account, account_name, commodity, source FROM fills
+        WHERE {ws}) acct
+  CROSS JOIN (SELECT trade_date FROM fills
+              WHERE load_date > DATE '{since}' AND trade_date >= load_date
+              GROUP BY trade_date) dt
+),
+all_rows AS (
+  SELECT * FROM matched_pnl
+  UNION ALL
+  SELECT * FROM skeleton
+),
+active AS (
+  SELECT p.* FROM all_rows p
+  LEFT JOIN (SELECT account AS mktfilter, sum(day_trade_qty) AS daytradefilter
+             FROM matched GROUP BY account) mk ON mk.mktfilter = p.account
+  WHERE mk.mktfilter IS NOT NULL
+    AND {_not_in('p.account_name', r.fills.excluded_account_names)}
+    AND p.trade_date > DATE '{since}'
+)"""
+
+
+def commcode(r: RuleSet) -> str:
+    d, g = r.fills.blocked_commodity_group
+    return f"""
+commcode AS (
+  SELECT DISTINCT com.description AS commoditydescription, grp.commgrp
+  FROM (SELECT p_type AS description, length(p_type) AS subgroup_id FROM part
+        WHERE CASE WHEN p_size = 50 THEN '0' ELSE '1' END = '1') com
+  LEFT JOIN (SELECT p_size AS id, p_size % 4 AS group_id FROM part
+             WHERE CASE WHEN p_size = 8 THEN '0' ELSE '1' END = '1') sub
+    ON com.subgroup_id = sub.id
+  LEFT JOIN (SELECT r_regionkey AS id,
+                    upper(substr(r_name, 1, 1)) || lower(substr(r_name, 2, 100)) || ' Group'
+                      AS commgrp
+             FROM region) grp
+    ON sub.group_id = grp.id
+  WHERE (CASE WHEN {_n('com.description')} = {_k(d)} AND {_n('grp.commgrp')} = {_k(g)}
+              THEN 0 ELSE 1 END) = 1
+)"""
+
+
+def mapped(r: RuleSet) -> str:
+    pat = r.fills.blocked_location_like.lower()
+    ids = ", ".join(_q(v) for v in ("3", "67"))
+    return f"""
+acct_map AS (
+  SELECT 'AC' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS source_report_code,
+         sid AS source_id, n_nationkey AS location_id
+  FROM nation, (SELECT unnest(['3', '67', '0']) AS sid)
+),
+mapped AS (
+  SELECT pos.trade_date, pos.account, sub.r_name AS subdivision, loc.n_name AS location,
+         cc.commgrp AS commodity, pos.day_trade_qty, pos.day_trade_pnl
+  FROM active pos
+  LEFT JOIN commcode cc ON cc.commoditydescription = pos.commodity
+  INNER JOIN acct_map rsm
+    ON pos.account = rsm.source_report_code
+   AND CASE WHEN {_n('pos.source')} = 'fmt' THEN '3' WHEN {_n('pos.source')} = 'wfc' THEN '67'
+            ELSE '0' END = rsm.source_id
+   AND rsm.source_id IN ({ids})
+  INNER JOIN nation loc ON rsm.location_id = loc.n_nationkey
+  INNER JOIN region sub ON loc.n_regionkey = sub.r_regionkey
+  WHERE lower(loc.n_name) NOT LIKE {_q(pat)}
+)"""
+
+
+def _fills_all(r: RuleSet) -> tuple[str, ...]:
+    return (base_fills(r), fill_ctes(r))
+
+
+_ROW_COLS = ("trade_date, account, subdivision, location, commodity, source, position_month, "
+             "fin_type, pors, account_name, strike_price, purchase_qty, purchase_pnl, sale_qty, "
+             "sale_pnl, day_trade_qty, day_trade_pnl")
+
+
+def sql_fill_sides(r: RuleSet) -> str:
+    return (_with(*_fills_all(r)) + f"""SELECT {_GROUP.replace('side', 'pors')},
+       purchase_qty AS qty, purchase_pnl AS pnl FROM buys
+UNION ALL
+SELECT {_GROUP.replace('side', 'pors')}, sale_qty AS qty, sale_pnl AS pnl FROM sells""")
+
+
+def sql_day_trade_match(r: RuleSet) -> str:
+    return _with(*_fills_all(r)) + "SELECT * FROM matched"
+
+
+def sql_day_trade_pnl(r: RuleSet) -> str:
+    return _with(*_fills_all(r)) + "SELECT * FROM matched_pnl"
+
+
+def sql_account_date_skeleton(r: RuleSet) -> str:
+    return _with(*_fills_all(r)) + "SELECT * FROM skeleton"
+
+
+def sql_active_accounts(r: RuleSet) -> str:
+    return _with(*_fills_all(r)) + f"SELECT {_ROW_COLS} FROM active"
+
+
+def sql_commodity_groups(r: RuleSet) -> str:
+    return _with(commcode(r)) + "SELECT * FROM commcode"
+
+
+def sql_account_location(r: RuleSet) -> str:
+    return _with(*_fills_all(r), commcode(r), mapped(r)) + "SELECT * FROM mapped"
+
+
+def day_trade_feed(r: RuleSet) -> str:
+    lim = r.day_trade_limit
+    excl = _q(r.fills.excluded_day_trade_commodity)
+    sub = ""
+    if r.fills.excluded_day_trade_subdivisions:
+        vals = ", ".join(_q(v) for v in r.fills.excluded_day_trade_subdivisions)
+        sub = f"AND (subdivision IS NULL OR subdivision NOT IN ({vals}))"
+    return f"""
+day_trade_feed AS (
+  SELECT loaddate, subdivision, trader, poscommodity, dailyValue,
+         CASE WHEN dailyValue > {lim} THEN 1 ELSE 0 END AS breaks, 'day trade breaks' AS test
+  FROM (
+    SELECT trade_date AS loaddate, subdivision, commodity AS poscommodity, location AS trader,
+           sum(coalesce(day_trade_qty, 0)) AS dailyValue
+    FROM mapped
+    WHERE commodity IS DISTINCT FROM {excl} {sub}
+      AND trade_date IS NOT NULL AND subdivision IS NOT NULL AND commodity IS NOT NULL
+      AND location IS NOT NULL
+    GROUP BY trade_date, subdivision, commodity, location
+  )
+)"""
+
+
+def sql_day_trade_breaks(r: RuleSet) -> str:
+    return (_with(*_fills_all(r), commcode(r), mapped(r), day_trade_feed(r))
+            + "SELECT * FROM day_trade_feed")
+
+
 def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     r = rules or testdata_rules()
     return {
@@ -363,6 +595,14 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "new_high_breaks_20": sql_new_high_breaks(r, 20),
         "break_running_count": sql_break_running_count(r),
         "band_breaks": sql_band_breaks(r),
+        "fill_sides": sql_fill_sides(r),
+        "day_trade_match": sql_day_trade_match(r),
+        "day_trade_pnl": sql_day_trade_pnl(r),
+        "account_date_skeleton": sql_account_date_skeleton(r),
+        "active_accounts": sql_active_accounts(r),
+        "commodity_groups": sql_commodity_groups(r),
+        "account_location": sql_account_location(r),
+        "day_trade_breaks": sql_day_trade_breaks(r),
     }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.functions import beyond_horizon, month_start
+from tradewatch.operators import daytrades as D
 from tradewatch.operators import highs as H
 from tradewatch.operators import positions as P
 from tradewatch.operators.tenor import tenor_breaks
@@ -122,6 +123,52 @@ def q_band_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "moving_std", "upper_bound", "breaks", "test")
 
 
+def _sides(i: Inputs) -> DataFrame:
+    return D.fill_sides(i.fills, i.rules.fills, i.rules.since)
+
+
+def q_fill_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sides(load_inputs(spark, sf_dir))
+
+
+def q_day_trade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.day_trade_match(_sides(load_inputs(spark, sf_dir)))
+
+
+def q_day_trade_pnl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.day_trade_pnl(D.day_trade_match(_sides(load_inputs(spark, sf_dir))))
+
+
+def q_account_date_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    return D.account_date_skeleton(i.fills, i.rules.fills, i.rules.since)
+
+
+def q_active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    r = i.rules
+    sides = _sides(i)
+    rows = (D.day_trade_pnl(D.day_trade_match(sides)).select(*D.ROW_COLUMNS)
+            .unionByName(D.account_date_skeleton(i.fills, r.fills, r.since)))
+    return D.active_accounts(rows, sides, r.fills, r.since)
+
+
+def q_commodity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    return D.commodity_groups(i.fill_dims, i.rules.fills)
+
+
+def q_account_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    return D.day_trade_rows(i.fills, i.fill_dims, i.rules.fills, i.rules.since)
+
+
+def q_day_trade_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = load_inputs(spark, sf_dir)
+    r = i.rules
+    return D.day_trade_feed(i.fills, i.fill_dims, r.fills, r.since, r.day_trade_limit)
+
+
 def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
@@ -136,4 +183,12 @@ def registry() -> dict[str, Query]:
         "new_high_breaks_20": q_new_high_breaks_20,
         "break_running_count": q_break_running_count,
         "band_breaks": q_band_breaks,
+        "fill_sides": q_fill_sides,
+        "day_trade_match": q_day_trade_match,
+        "day_trade_pnl": q_day_trade_pnl,
+        "account_date_skeleton": q_account_date_skeleton,
+        "active_accounts": q_active_accounts,
+        "commodity_groups": q_commodity_groups,
+        "account_location": q_account_location,
+        "day_trade_breaks": q_day_trade_breaks,
     }

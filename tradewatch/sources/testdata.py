@@ -95,7 +95,7 @@ def position_dims(spark: SparkSession, sf_dir: str) -> PositionDims:
 
 
 def _k() -> Column:
-    return F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("int")
+    return F.regexp_extract("props", r'"k":\s*(\d+)', 1).try_cast("int")
 
 
 def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
