@@ -580,6 +580,35 @@ def sql_day_trade_breaks(r: RuleSet) -> str:
             + "SELECT * FROM day_trade_feed")
 
 
+def _feed_all(r: RuleSet) -> str:
+    return _with(base_positions(r), tenor_rows(r), tenor_feed(r), high_rows(r), high_net(r),
+                 high_flags(r.new_high_window), base_fills(r), fill_ctes(r), commcode(r),
+                 mapped(r), day_trade_feed(r)) + f"""
+, combined AS (
+  SELECT * FROM (
+    SELECT loaddate, subdivision, trader, poscommodity, dailyValue, breaks, test FROM tenor_feed
+    UNION ALL
+    SELECT loaddate, subdivision, trader, poscommodity, dailyValue, breaks, test
+    FROM day_trade_feed
+    UNION ALL
+    SELECT loaddate, subdivision, trader, poscommodity, dailyValue, breaks, 'PnS breaks'
+    FROM high_flags)
+  WHERE loaddate > DATE '{r.since.isoformat()}'
+)
+"""
+
+
+def sql_combined_breaks(r: RuleSet) -> str:
+    return _feed_all(r) + "SELECT * FROM combined"
+
+
+def sql_run_audit(r: RuleSet) -> str:
+    return _feed_all(r) + """SELECT 'trade surveillance' AS process, 'Job Complete' AS step, test,
+       count(*) AS rows, CAST(sum(breaks) AS BIGINT) AS breaks, min(loaddate) AS min_date,
+       max(loaddate) AS max_date, 1 AS success, '' AS message
+FROM combined GROUP BY test"""
+
+
 def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     r = rules or testdata_rules()
     return {
@@ -603,6 +632,10 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "commodity_groups": sql_commodity_groups(r),
         "account_location": sql_account_location(r),
         "day_trade_breaks": sql_day_trade_breaks(r),
+        "combined_breaks": sql_combined_breaks(r),
+        "feed_append": sql_combined_breaks(r),
+        "delimited_stage": sql_combined_breaks(r),
+        "run_audit": sql_run_audit(r),
     }
 
 

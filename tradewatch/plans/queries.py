@@ -16,7 +16,11 @@ from tradewatch.operators import daytrades as D
 from tradewatch.operators import highs as H
 from tradewatch.operators import positions as P
 from tradewatch.operators.tenor import tenor_breaks
+from tradewatch.operators import feed as FD
+from tradewatch.plans import surveillance as S
 from tradewatch.plans.inputs import Inputs, load_inputs
+from tradewatch.schemas import FEED_SCHEMA
+from tradewatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +173,34 @@ def q_day_trade_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.day_trade_feed(i.fills, i.fill_dims, r.fills, r.since, r.day_trade_limit)
 
 
+def q_combined_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.daily_feed(load_inputs(spark, sf_dir))
+
+
+def q_feed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the feed to a fresh table under the shared folder (created from
+    the feed's types because it is absent) and read the table back."""
+    feed = S.daily_feed(load_inputs(spark, sf_dir))
+    path = scratch_path(spark, "feed")
+    table = "tw_feed_" + path.rsplit("-", 1)[-1]
+    FD.append_feed(spark, feed, table, convert=True, path=path)
+    return spark.table(table)
+
+
+def q_delimited_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage the feed as '~'-separated files and read it back typed."""
+    feed = S.daily_feed(load_inputs(spark, sf_dir))
+    path = scratch_path(spark, "stage")
+    FD.stage_delimited(feed, path)
+    return FD.read_delimited(spark, path, FEED_SCHEMA)
+
+
+def q_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of a run (user and time columns left out: they vary)."""
+    audit = FD.run_audit(S.daily_feed(load_inputs(spark, sf_dir)))
+    return audit.drop("run_user", "run_ts")
+
+
 def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
@@ -191,4 +223,8 @@ def registry() -> dict[str, Query]:
         "commodity_groups": q_commodity_groups,
         "account_location": q_account_location,
         "day_trade_breaks": q_day_trade_breaks,
+        "combined_breaks": q_combined_breaks,
+        "feed_append": q_feed_append,
+        "delimited_stage": q_delimited_stage,
+        "run_audit": q_run_audit,
     }
