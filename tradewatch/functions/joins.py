@@ -9,18 +9,31 @@ from pyspark.sql import functions as F
 # joined by shuffle (sort-merge, or broadcast later if AQE finds it small).
 DIM_BROADCAST_MAX_ROWS = 200_000
 
+# Checked row counts, keyed by (logical plan, input files): a dimension is
+# counted once per session, and counted again when its files change.
+_ROWS: dict[tuple, int] = {}
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count is checked first.
 
-    The count is a cheap job on a dimension; the result is remembered on the
-    DataFrame object so one plan build counts each dimension once.
-    """
-    n = getattr(df, "_tw_rows", None)
+def _size_key(df: DataFrame) -> tuple:
+    return (df.semanticHash(), tuple(sorted(df.inputFiles())))
+
+
+def checked_rows(df: DataFrame) -> int:
+    key = _size_key(df)
+    n = _ROWS.get(key)
     if n is None:
-        n = df.count()
-        try:
-            df._tw_rows = n
-        except AttributeError:
-            pass
-    return F.broadcast(df) if n <= max_rows else df
+        n = _ROWS[key] = df.count()
+    return n
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose row count is checked first; a side
+    over the bound is returned unhinted, so the planner shuffles it."""
+    return F.broadcast(df) if checked_rows(df) <= max_rows else df
+
+
+def calendar_broadcast(days: DataFrame) -> DataFrame:
+    """Broadcast a set of distinct dates without a count: one row per
+    calendar day, so its size is bounded by the span of dates (a few
+    thousand rows for decades), not by the data volume."""
+    return F.broadcast(days)

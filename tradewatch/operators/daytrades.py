@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.functions import bounded_broadcast, ilike_any, in_text, not_in_text, same_text
+from tradewatch.functions import bounded_broadcast, calendar_broadcast, ilike_any, in_text, not_in_text, same_text
 from tradewatch.params import (
     BUY_CODE,
     DAY_TRADE_QTY_LIMIT,
@@ -115,11 +115,10 @@ def date_spine(keys: DataFrame, days: DataFrame) -> DataFrame:
     """Every key on every day of `days`, without a cross join: each key row
     expands over ``sequence(first day, last day)`` (scalar sub-queries) and
     is then semi-joined to the days that actually occur."""
-    span = days.select(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
-    lo = span.select("lo").scalar()
-    hi = span.select("hi").scalar()
-    spread = keys.withColumn("trade_date", F.explode(F.sequence(lo, hi)))
-    return spread.join(bounded_broadcast(days), "trade_date", "left_semi")
+    span = days.select(F.struct(F.min("trade_date").alias("lo"),
+                                F.max("trade_date").alias("hi"))).scalar()
+    spread = keys.withColumn("trade_date", F.explode(F.sequence(span["lo"], span["hi"])))
+    return spread.join(calendar_broadcast(days), "trade_date", "left_semi")
 
 
 def account_date_skeleton(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:

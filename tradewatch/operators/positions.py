@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tradewatch.functions import (
     beyond_horizon,
     bounded_broadcast,
+    calendar_broadcast,
     ilike_any,
     in_text,
     is_weekday,
@@ -54,7 +55,7 @@ def attach_dims(positions: DataFrame, dims: PositionDims) -> DataFrame:
 def on_workdays(df: DataFrame, workdays: DataFrame) -> DataFrame:
     """Keep rows whose load date is a workday (semi join on distinct days, so
     a repeated calendar day cannot duplicate rows)."""
-    days = bounded_broadcast(workdays.select(F.col("workday").alias("loaddate")).distinct())
+    days = calendar_broadcast(workdays.select(F.col("workday").alias("loaddate")).distinct())
     return df.join(days, "loaddate", "left_semi")
 
 
@@ -73,9 +74,12 @@ def scoped_positions(positions: DataFrame, dims: PositionDims, scopes: Sequence[
     matching scope (column ``scope``), desk resolved (column ``desk``)."""
     rows = positions.where(F.col("loaddate") > F.lit(since))
     rows = on_workdays(attach_dims(rows, dims), dims.workdays)
+    # One slot per scope, null when the row is not a member; explode + IS NOT
+    # NULL stays inside whole-stage codegen (a lambda filter would not).
     names = F.array(*[F.when(scope_member(s), F.lit(s.name)) for s in scopes])
     return (rows
-            .withColumn("scope", F.explode(F.filter(names, lambda x: x.isNotNull())))
+            .withColumn("scope", F.explode(names))
+            .where(F.col("scope").isNotNull())
             .withColumn("desk", resolve_desk("source", "trader_raw", "location", book_sources)))
 
 

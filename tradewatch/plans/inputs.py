@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.params import RuleSet, testdata_rules
-from tradewatch.schemas import FillDims, PositionDims
+from tradewatch.schemas import FILLS_SCHEMA, POSITIONS_SCHEMA, FillDims, PositionDims
 from tradewatch.sources import testdata
+from tradewatch.sources.store import written_table
 
 
 @dataclass
@@ -20,13 +21,30 @@ class Inputs:
     rules: RuleSet
 
 
-def load_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None) -> Inputs:
-    """Lazy views only: nothing is read until an action runs."""
+def _src(sf_dir: str, *names: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
+
+
+def load_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None,
+                write_facts: bool = True) -> Inputs:
+    """The run's inputs. With `write_facts` the two derived fact tables are
+    written once to the shared folder and read from there; otherwise they
+    stay lazy views over the driver tables. Dimensions are always views."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if write_facts:
+        positions = written_table(
+            spark, "positions", lambda: testdata.positions(spark, sf_dir),
+            _src(sf_dir, "lineitem", "orders", "part"), "loaddate", POSITIONS_SCHEMA)
+        fills = written_table(
+            spark, "fills", lambda: testdata.fills(spark, sf_dir),
+            _src(sf_dir, "events", "part"), "load_date", FILLS_SCHEMA)
+    else:
+        positions = testdata.positions(spark, sf_dir)
+        fills = testdata.fills(spark, sf_dir)
     return Inputs(
-        positions=testdata.positions(spark, sf_dir),
+        positions=positions,
         position_dims=testdata.position_dims(spark, sf_dir),
-        fills=testdata.fills(spark, sf_dir),
+        fills=fills,
         fill_dims=testdata.fill_dims(spark, sf_dir),
         rules=rules or testdata_rules(),
     )

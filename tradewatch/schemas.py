@@ -26,6 +26,28 @@ class FillDims:
     subdivisions: DataFrame        # subdivision_id, subdivision
 
 
+def _struct(cols: str) -> T.StructType:
+    types = {"date": T.DateType(), "string": T.StringType(), "double": T.DoubleType(),
+             "bigint": T.LongType(), "decimal": T.DecimalType(12, 2)}
+    return T.StructType([T.StructField(n, types[t]) for n, t in
+                         (c.split() for c in cols.split(","))])
+
+
+# Position fact: one row per position line and load day.
+POSITIONS_SCHEMA = _struct(
+    "loaddate date, commodity string, delta double, source string, location_code bigint, "
+    "sub_location string, side string, trader_raw string, contract_month date, "
+    "contract_number string, position_type string")
+
+# Futures fills: one row per fill (quantities as decimal(12,2): exact sums).
+FILLS_SCHEMA = _struct(
+    "trade_date date, load_date date, account string, account_name string, "
+    "subdivision string, location string, commodity string, source string, "
+    "position_month date, fin_type string, strike_price double, side string, "
+    "gross_qty decimal, mtm decimal, broker_num string, card_number string, "
+    "comment_code string")
+
+
 # The break feed: one row per (test, date, subdivision, desk, commodity).
 FEED_SCHEMA = T.StructType([
     T.StructField("loaddate", T.DateType()),
