@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tradewatch.schemas import FEED_COLUMNS, FEED_SCHEMA
 
 STAGE_SEP = "~"
+STAGE_NULL = "\\N"   # null marker, so a null and an empty string stay distinct
 PROCESS = "trade surveillance"
 STEP_DONE = "Job Complete"
 
@@ -62,7 +63,8 @@ def append_feed(spark: SparkSession, df: DataFrame, table: str, convert: bool =
 def stage_delimited(df: DataFrame, path: str, sep: str = STAGE_SEP,
                     encoding: str | None = None) -> None:
     """Headerless, index-free delimited files (the bulk-load staging format)."""
-    w = df.write.mode("error").option("sep", sep).option("header", "false")
+    w = (df.write.mode("error").option("sep", sep).option("header", "false")
+         .option("nullValue", STAGE_NULL))
     if encoding:
         w = w.option("encoding", encoding)
     w.csv(path)
@@ -72,7 +74,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType = FEED_S
                    sep: str = STAGE_SEP) -> DataFrame:
     """Read staged files back with an explicit schema (no inference)."""
     return (spark.read.schema(schema).option("sep", sep).option("header", "false")
-            .option("mode", "FAILFAST").csv(path))
+            .option("nullValue", STAGE_NULL).option("mode", "FAILFAST").csv(path))
 
 
 def clean_message(c: Column | str) -> Column:
