@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.session import shared_dir
@@ -64,7 +65,12 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     else:
         n = max(1, -(-size // BYTES_PER_FILE))
-    (build().select(*schema.fieldNames())
-     .repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+    # Range on (date, row hash): files cover date ranges (min/max skipping),
+    # and a date holding a large share of the rows is split across files.
+    cols = schema.fieldNames()
+    spread = F.xxhash64(*cols).alias("_spread")
+    (build().select(*cols, spread)
+     .repartitionByRange(n, order_by, "_spread").sortWithinPartitions(order_by)
+     .drop("_spread")
      .write.mode("overwrite").parquet(path))
     return reader.parquet(path)
