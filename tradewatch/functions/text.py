@@ -7,6 +7,10 @@ are applied here; the pandas-era steps that compared exactly use plain
 
 Null handling is SQL's: a comparison with null is null, so a filter drops
 the row -- ``NOT IN`` included.
+
+A predicate on a named column is built as one SQL expression (one call into
+the JVM instead of one per function), which keeps plan construction cheap
+when rule tables hold many values.
 """
 
 from __future__ import annotations
@@ -21,36 +25,65 @@ def _key(v: str) -> str:
     return v.rstrip(" ").lower()
 
 
+def sql_str(v: str) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _norm_sql(name: str) -> str:
+    return f"lower(rtrim({_ident(name)}))"
+
+
 def norm(c: Column | str) -> Column:
     """Comparison key: lower case, trailing blanks removed."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.expr(_norm_sql(c))
     return F.lower(F.rtrim(c))
 
 
 def same_text(c: Column | str, value: str) -> Column:
+    if isinstance(c, str):
+        return F.expr(f"{_norm_sql(c)} = {sql_str(_key(value))}")
     return norm(c) == F.lit(_key(value))
 
 
+def _vals(values: Iterable[str]) -> list[str]:
+    return sorted({_key(v) for v in values})
+
+
 def in_text(c: Column | str, values: Iterable[str]) -> Column:
-    vals = sorted({_key(v) for v in values})
+    vals = _vals(values)
     if not vals:
         return F.lit(False)
+    if isinstance(c, str):
+        return F.expr(f"{_norm_sql(c)} IN ({', '.join(map(sql_str, vals))})")
     return norm(c).isin(vals)
 
 
 def not_in_text(c: Column | str, values: Iterable[str]) -> Column:
     """SQL ``NOT IN``: null input gives null (row dropped by a filter)."""
-    vals = sorted({_key(v) for v in values})
+    vals = _vals(values)
     if not vals:
         return F.lit(True)
+    if isinstance(c, str):
+        return F.expr(f"{_norm_sql(c)} NOT IN ({', '.join(map(sql_str, vals))})")
     return ~norm(c).isin(vals)
 
 
 def ilike_any(c: Column | str, patterns: Iterable[str]) -> Column:
     """Case-insensitive SQL LIKE against any of the patterns."""
-    c = F.col(c) if isinstance(c, str) else c
+    pats = [p.lower() for p in patterns]
+    if not pats:
+        return F.lit(False)
+    if isinstance(c, str):
+        col = f"lower({_ident(c)})"
+        return F.expr("(" + " OR ".join(f"{col} LIKE {sql_str(p)}" for p in pats) + ")")
     out = None
-    for p in patterns:
-        t = F.lower(c).like(p.lower())
+    for p in pats:
+        t = F.lower(c).like(p)
         out = t if out is None else (out | t)
-    return out if out is not None else F.lit(False)
+    return out

@@ -472,9 +472,9 @@ def commcode(r: RuleSet) -> str:
     return f"""
 commcode AS (
   SELECT DISTINCT com.description AS commoditydescription, grp.commgrp
-  FROM (SELECT p_type AS description, length(p_type) AS subgroup_id FROM part
+  FROM (SELECT DISTINCT p_type AS description, length(p_type) AS subgroup_id FROM part
         WHERE CASE WHEN p_size = 50 THEN '0' ELSE '1' END = '1') com
-  LEFT JOIN (SELECT p_size AS id, p_size % 4 AS group_id FROM part
+  LEFT JOIN (SELECT DISTINCT p_size AS id, p_size % 4 AS group_id FROM part
              WHERE CASE WHEN p_size = 8 THEN '0' ELSE '1' END = '1') sub
     ON com.subgroup_id = sub.id
   LEFT JOIN (SELECT r_regionkey AS id,

@@ -44,7 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
     temporary folder is created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if d:
+        return d
+    d = sc.getCheckpointDir()     # set on the context by a caller
     if not d:
         d = tempfile.mkdtemp(prefix="tradewatch-ckpt-")
         sc.setCheckpointDir(d)

@@ -27,8 +27,8 @@ fills = events without 'error' rows, k = props.k
     broker_num / card_number / comment_code flagged by k % 17 / k % 19 / k % 11
 account_map   = nation x source ids {3, 67, 0}; account 'AC' || n_nationkey
 locations by id = nation (subdivision id = region), subdivisions by id = region
-commodity     = part: (p_type, subgroup length(p_type)), inactive when p_size = 50
-commodity_subgroup = part: (p_size, group p_size % 4), inactive when p_size = 8
+commodity     = distinct part (p_type, subgroup length(p_type)), inactive when p_size = 50
+commodity_subgroup = distinct part (p_size, group p_size % 4), inactive when p_size = 8
 commodity_group    = region: (r_regionkey, capitalised r_name || ' Group')
 """
 
@@ -173,11 +173,11 @@ def fill_dims(spark: SparkSession, sf_dir: str) -> FillDims:
         commodity=p.select(
             F.col("p_type").alias("description"),
             F.length("p_type").alias("subgroup_id"),
-            F.when(F.col("p_size") == 50, "0").otherwise("1").alias("status_id")),
+            F.when(F.col("p_size") == 50, "0").otherwise("1").alias("status_id")).distinct(),
         commodity_subgroup=p.select(
             F.col("p_size").alias("id"),
             (F.col("p_size") % 4).alias("group_id"),
-            F.when(F.col("p_size") == 8, "0").otherwise("1").alias("status_id")),
+            F.when(F.col("p_size") == 8, "0").otherwise("1").alias("status_id")).distinct(),
         commodity_group=r.select(
             F.col("r_regionkey").alias("id"),
             F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.substring("r_name", 2, 100)),
