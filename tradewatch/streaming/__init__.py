@@ -1,0 +1,5 @@
+"""Structured Streaming form of the daily run (see ``daily``)."""
+
+from tradewatch.streaming.daily import batch_handler, replace_days, rerun_from, start
+
+__all__ = ["batch_handler", "replace_days", "rerun_from", "start"]
