@@ -42,8 +42,13 @@ def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | N
             w = w.option("path", path)
         w.saveAsTable(table)
         return
-    (ordered.write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")        # replace only the days written
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def rerun_from(inputs: Inputs, since: dt.date) -> DataFrame:
