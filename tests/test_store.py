@@ -29,3 +29,17 @@ def test_written_once_and_reused(spark):
     assert a.count() == b.count() == 5000
     assert a.schema == SCHEMA
     assert a.agg(F.sum("v")).first()[0] == sum(range(5000))
+
+
+def test_read_input_table_and_path(spark):
+    from tradewatch.schemas import FEED_SCHEMA
+    from tradewatch.session import scratch_path
+    from tradewatch.sources.tables import read_input
+
+    path = scratch_path(spark, "readinput")
+    df = spark.createDataFrame([], FEED_SCHEMA)
+    df.write.parquet(path)
+    assert read_input(spark, path, FEED_SCHEMA).schema == FEED_SCHEMA
+    name = "ri_" + path.rsplit("-", 1)[-1]
+    spark.catalog.createTable(name, source="parquet", path=path, schema=FEED_SCHEMA)
+    assert read_input(spark, name).columns == FEED_SCHEMA.fieldNames()

@@ -28,6 +28,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Small inputs: let a few-MB table split across all cores. Large
+        # inputs are split at spark.sql.files.maxPartitionBytes regardless.
+        "spark.sql.files.openCostInBytes": str(1 << 20),
     }
     conf.update(extra or {})
     for k, v in conf.items():

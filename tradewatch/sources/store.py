@@ -61,10 +61,10 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
         return reader.parquet(path)
     except AnalysisException:
         pass
-    if size is None:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    else:
-        n = max(1, -(-size // BYTES_PER_FILE))
+    # At least one file per core so small tables still scan in parallel.
+    n = spark.sparkContext.defaultParallelism
+    if size is not None:
+        n = max(n, -(-size // BYTES_PER_FILE))
     # Range on (date, row hash): files cover date ranges (min/max skipping),
     # and a date holding a large share of the rows is split across files.
     cols = schema.fieldNames()
