@@ -1,7 +1,6 @@
 """Incremental runs: each micro-batch replaces the feed days it touches."""
 
 import datetime as dt
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -26,7 +25,7 @@ def test_stream_matches_batch_rerun(spark):
 
     def inputs():
         landed = spark.read.schema(POSITIONS_SCHEMA).parquet(landing)
-        return replace(base, positions=landed)
+        return base.with_positions(landed)
 
     q = start(spark, landing, inputs, table, ckpt, path=table_path, available_now=True)
     q.awaitTermination()
@@ -43,7 +42,7 @@ def test_stream_matches_batch_rerun(spark):
     # days after the second batch's first day were recomputed with that
     # since-date, earlier days are untouched from the first run
     got = spark.table(table)
-    expect_new = daily_feed(replace(base, rules=base.rules.with_(since=since2)))
+    expect_new = daily_feed(base.with_rules(base.rules.with_(since=since2)))
     cols = ["loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "breaks", "test"]
     new_part = got.where(F.col("loaddate") > F.lit(since2)).select(*cols)
     assert sorted(map(tuple, new_part.collect()), key=str) == \

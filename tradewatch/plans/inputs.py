@@ -1,8 +1,9 @@
-"""Load every input of one run from a directory of driver tables."""
+"""Load the inputs of one run from a directory of driver tables."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,39 +13,67 @@ from tradewatch.sources import testdata
 from tradewatch.sources.store import written_table
 
 
+def _src(sf_dir: str, *names: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
+
+
 @dataclass
 class Inputs:
-    positions: DataFrame
-    position_dims: PositionDims
-    fills: DataFrame
-    fill_dims: FillDims
-    rules: RuleSet
+    """The run's inputs, each built on first use (a query that reads only
+    positions never plans the fill side). Fields given explicitly win."""
 
+    spark: SparkSession
+    sf_dir: str
+    rules: RuleSet = field(default_factory=testdata_rules)
+    write_facts: bool = True
+    given: dict = field(default_factory=dict)
 
-def _src(sf_dir: str, *names: str) -> list[str]:
-    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
+    @cached_property
+    def positions(self) -> DataFrame:
+        if "positions" in self.given:
+            return self.given["positions"]
+        if not self.write_facts:
+            return testdata.positions(self.spark, self.sf_dir)
+        return written_table(
+            self.spark, "positions", lambda: testdata.positions(self.spark, self.sf_dir),
+            _src(self.sf_dir, "lineitem", "orders", "part"), "loaddate", POSITIONS_SCHEMA)
+
+    @cached_property
+    def fills(self) -> DataFrame:
+        if "fills" in self.given:
+            return self.given["fills"]
+        if not self.write_facts:
+            return testdata.fills(self.spark, self.sf_dir)
+        return written_table(
+            self.spark, "fills", lambda: testdata.fills(self.spark, self.sf_dir),
+            _src(self.sf_dir, "events", "part"), "load_date", FILLS_SCHEMA)
+
+    @cached_property
+    def position_dims(self) -> PositionDims:
+        return self.given.get("position_dims") or testdata.position_dims(self.spark, self.sf_dir)
+
+    @cached_property
+    def fill_dims(self) -> FillDims:
+        return self.given.get("fill_dims") or testdata.fill_dims(self.spark, self.sf_dir)
+
+    def with_rules(self, rules: RuleSet) -> Inputs:
+        """Same inputs (already built members reused), other rules."""
+        out = replace(self, rules=rules)
+        for k in ("positions", "fills", "position_dims", "fill_dims"):
+            if k in self.__dict__:
+                out.__dict__[k] = self.__dict__[k]
+        return out
+
+    def with_positions(self, positions: DataFrame) -> Inputs:
+        out = self.with_rules(self.rules)
+        out.__dict__["positions"] = positions
+        return out
 
 
 def load_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None,
                 write_facts: bool = True) -> Inputs:
-    """The run's inputs. With `write_facts` the two derived fact tables are
-    written once to the shared folder and read from there; otherwise they
-    stay lazy views over the driver tables. Dimensions are always views."""
+    """Inputs over the driver tables in `sf_dir`. With `write_facts` the two
+    derived fact tables are written once to the shared folder and read from
+    there; otherwise they stay lazy views. Dimensions are always views."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if write_facts:
-        positions = written_table(
-            spark, "positions", lambda: testdata.positions(spark, sf_dir),
-            _src(sf_dir, "lineitem", "orders", "part"), "loaddate", POSITIONS_SCHEMA)
-        fills = written_table(
-            spark, "fills", lambda: testdata.fills(spark, sf_dir),
-            _src(sf_dir, "events", "part"), "load_date", FILLS_SCHEMA)
-    else:
-        positions = testdata.positions(spark, sf_dir)
-        fills = testdata.fills(spark, sf_dir)
-    return Inputs(
-        positions=positions,
-        position_dims=testdata.position_dims(spark, sf_dir),
-        fills=fills,
-        fill_dims=testdata.fill_dims(spark, sf_dir),
-        rules=rules or testdata_rules(),
-    )
+    return Inputs(spark, sf_dir, rules or testdata_rules(), write_facts)

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +51,7 @@ def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | N
 
 
 def rerun_from(inputs: Inputs, since: dt.date) -> DataFrame:
-    return daily_feed(replace(inputs, rules=inputs.rules.with_(since=since)))
+    return daily_feed(inputs.with_rules(inputs.rules.with_(since=since)))
 
 
 def batch_handler(spark: SparkSession, inputs: Callable[[], Inputs], table: str,
