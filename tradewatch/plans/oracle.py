@@ -321,8 +321,9 @@ def sql_break_running_count(r: RuleSet) -> str:
     return (_with(*_high_base(r), high_flags(r.new_high_window))
             + """SELECT loaddate, subdivision, trader, poscommodity, dailyValue, maxValue,
        prevDailyVal, breaks,
-       sum(breaks) OVER (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS count_breaks
+       CAST(sum(breaks) OVER (PARTITION BY poscommodity, trader ORDER BY loaddate, subdivision
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS count_breaks
 FROM high_flags""")
 
 
