@@ -313,6 +313,14 @@ def test_combined_since_g36(spark):
                                (d("2024-01-02"), "s", "t", "c", 1.0, 0, "x")], FEED)
     out = FD.combined_breaks([a], d("2024-01-01"))
     assert rows(out, "loaddate") == [(d("2024-01-02"),)]
+    assert FD.combined_breaks([a], d("2023-12-31"), until=d("2024-01-01")).count() == 1
+
+
+def test_cluster_conf():
+    from tradewatch.session import cluster_conf
+    c = cluster_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(cluster_conf(10**9, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
 def test_weekday(spark):

@@ -17,12 +17,16 @@ PROCESS = "trade surveillance"
 STEP_DONE = "Job Complete"
 
 
-def combined_breaks(tests: list[DataFrame], since: dt.date) -> DataFrame:
+def combined_breaks(tests: list[DataFrame], since: dt.date,
+                    until: dt.date | None = None) -> DataFrame:
     """Union of the tests' feeds by name; load date as a date; only days after
-    `since` (drops the look-back rows the new-high windows needed)."""
+    `since` (drops the look-back rows the new-high windows needed) and, when
+    given, up to `until` inclusive."""
     feed = reduce(lambda a, b: a.unionByName(b), [t.select(*FEED_COLUMNS) for t in tests])
-    return (feed.withColumn("loaddate", F.to_date("loaddate"))
-            .where(F.col("loaddate") > F.lit(since)))
+    cond = F.col("loaddate") > F.lit(since)
+    if until is not None:
+        cond = cond & (F.col("loaddate") <= F.lit(until))
+    return feed.withColumn("loaddate", F.to_date("loaddate")).where(cond)
 
 
 def _fit(c: Column, target: T.DataType) -> Column:

@@ -40,6 +40,27 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(fact_bytes: int, cores: int) -> dict[str, str]:
+    """Starting settings for a cluster run over `fact_bytes` of position and
+    fill data on `cores` executor cores.
+
+    Shuffle partitions are sized for the largest exchange (partial
+    aggregates of the facts, at most the fact size) at ~512 MB each before
+    AQE coalesces them towards 256 MB; scans split at 256 MB.
+    """
+    mb = 1 << 20
+    shuffle = min(max(2 * cores, fact_bytes // (512 * mb)), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -68,4 +89,4 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "shared_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path"]
