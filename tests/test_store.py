@@ -43,3 +43,20 @@ def test_read_input_table_and_path(spark):
     name = "ri_" + path.rsplit("-", 1)[-1]
     spark.catalog.createTable(name, source="parquet", path=path, schema=FEED_SCHEMA)
     assert read_input(spark, name).columns == FEED_SCHEMA.fieldNames()
+
+
+def test_partial_write_is_rewritten(spark):
+    import os
+
+    from tradewatch.session import local_path, shared_dir
+
+    name = "p" + uuid.uuid4().hex[:8]
+    src = [f"/nonexistent/{uuid.uuid4().hex}.parquet"]
+    build = lambda: spark.range(10).select(F.current_date().alias("loaddate"), F.col("id").alias("v"))
+    a = written_table(spark, name, build, src, "loaddate", SCHEMA)
+    assert a.count() == 10
+    folder = local_path(a.inputFiles()[0]).rsplit("/", 1)[0]
+    os.remove(os.path.join(folder, "_SUCCESS"))          # as if the commit never finished
+    b = written_table(spark, name, build, src, "loaddate", SCHEMA)
+    assert b.count() == 10 and os.path.exists(os.path.join(folder, "_SUCCESS"))
+    assert shared_dir(spark)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,9 @@ from tradewatch.session import shared_dir
 # to keep footers and listing cheap.
 BYTES_PER_FILE = 256 << 20
 
+# One writer per table name within a process (queries may run in threads).
+_LOCK = threading.Lock()
+
 
 def _local(p: str) -> str | None:
     p = p[5:] if p.startswith("file:") else p
@@ -56,11 +60,27 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
     and read back with its declared `schema`."""
     key, size = _fingerprint(sources)
     path = f"{shared_dir(spark).rstrip('/')}/tradewatch/tables/{name}-{key}"
-    reader = spark.read.schema(schema)
+    if _complete(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    with _LOCK:
+        if _complete(spark, path):
+            return spark.read.schema(schema).parquet(path)
+        return _write(spark, build, path, size, order_by, schema)
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """True when a committed write left its ``_SUCCESS`` marker (a write cut
+    short by a failure is rewritten, not read)."""
     try:
-        return reader.parquet(path)
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
     except AnalysisException:
-        pass
+        return False
+
+
+def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size: int | None,
+           order_by: str, schema: T.StructType) -> DataFrame:
+    reader = spark.read.schema(schema)
     # At least one file per core so small tables still scan in parallel.
     n = spark.sparkContext.defaultParallelism
     if size is not None:
