@@ -71,8 +71,11 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
 def _complete(spark: SparkSession, path: str) -> bool:
     """True when a committed write left its ``_SUCCESS`` marker (a write cut
     short by a failure is rewritten, not read)."""
+    marker = f"{path}/_SUCCESS"
+    if path.startswith("file:") or "://" not in path:     # local folder: ask the OS
+        return os.path.exists(marker[5:] if marker.startswith("file:") else marker)
     try:
-        spark.read.text(f"{path}/_SUCCESS")
+        spark.read.text(marker)
         return True
     except AnalysisException:
         return False
