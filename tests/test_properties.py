@@ -160,3 +160,53 @@ def test_net_side_volume_matches_pivot_mean(spark, cells):
     want = {r.trader: float(np.round(r.Purchase + r.Sale + r.NA, 5)) for r in pv.itertuples()}
     got = {r.trader: r.dailyValue for r in H.net_side_volume(df).collect()}
     assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("window,chunk", [(252, 300), (20, 25), (20, 19), (3, 2)])
+def test_chunked_window_equals_plain(spark, window, chunk):
+    net = H.net_side_volume(queries()["side_volume"](spark, SF_ORACLE))
+    cols = ["loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue",
+            "prevDailyVal", "breaks"]
+    plain = H.new_high_flags(net, window).select(cols)
+    chunked = H.new_high_flags(net, window, chunk_rows=chunk).select(cols)
+    key = lambda r: tuple(str(x) for x in r)
+    a = sorted(map(tuple, plain.collect()), key=key)
+    b = sorted(map(tuple, chunked.collect()), key=key)
+    assert len(a) == len(b) and a == b
+
+
+def test_chunked_band_and_running_count_equal_plain(spark):
+    net = H.net_side_volume(queries()["side_volume"](spark, SF_ORACLE))
+    key = lambda r: tuple(str(x) for x in r)
+    cols = ["loaddate", "subdivision", "trader", "poscommodity", "moving_avg", "moving_std",
+            "upper_bound", "breaks"]
+    a = sorted(map(tuple, H.band_breaks(net, 75, 2.0).select(cols).collect()), key=key)
+    b = sorted(map(tuple, H.band_breaks(net, 75, 2.0, chunk_rows=80).select(cols).collect()), key=key)
+    assert a == b and len(a) > 0
+    flags = H.new_high_flags(net, 20)
+    cols = ["loaddate", "subdivision", "trader", "poscommodity", "count_breaks"]
+    a = sorted(map(tuple, H.break_running_count(flags).select(cols).collect()), key=key)
+    b = sorted(map(tuple, H.break_running_count(flags, by_month=True).select(cols).collect()), key=key)
+    assert a == b
+
+
+def test_chunked_queries_match_oracle(spark):
+    from oracle_harness import compare, duck
+    from tradewatch import params
+    from tradewatch.plans import queries as Q
+    from __spark_entry__ import oracle_sql
+
+    rules = params.testdata_rules().with_(series_chunk_rows=100)
+    orig = Q.load_inputs
+
+    def chunked(spark, sf_dir, rules_=None, write_facts=True):
+        return orig(spark, sf_dir, rules, write_facts)
+
+    Q.load_inputs = chunked
+    try:
+        con = duck(SF_ORACLE)
+        for k in ("new_high_breaks", "break_running_count", "band_breaks"):
+            r = compare(spark, SF_ORACLE, k, Q.registry()[k], oracle_sql()[k], con)
+            assert r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
+    finally:
+        Q.load_inputs = orig

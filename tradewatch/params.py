@@ -116,6 +116,9 @@ class RuleSet:
     band_window: int = BAND_WINDOW
     band_k: float = BAND_K
     lookback_days: int = LOOKBACK_DAYS
+    # Split each new-high series into row chunks of this size (with a halo)
+    # instead of one window partition per series; None = one per series.
+    series_chunk_rows: int | None = None
     extra: dict = field(default_factory=dict, compare=False)
 
     @property

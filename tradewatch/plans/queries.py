@@ -104,25 +104,28 @@ def q_net_side_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_new_high_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return H.new_high_breaks(_net(i), i.rules.new_high_window)
+    return H.new_high_breaks(_net(i), i.rules.new_high_window, i.rules.series_chunk_rows)
 
 
 def q_new_high_breaks_20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same test with a 20-row window: fills at every scale, hits plateaus."""
-    return H.new_high_breaks(_net(load_inputs(spark, sf_dir)), 20)
+    i = load_inputs(spark, sf_dir)
+    return H.new_high_breaks(_net(i), 20, i.rules.series_chunk_rows)
 
 
 def q_break_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    flags = H.new_high_flags(_net(i), i.rules.new_high_window)
-    return H.break_running_count(flags).select(
+    r = i.rules
+    flags = H.new_high_flags(_net(i), r.new_high_window, r.series_chunk_rows)
+    return H.break_running_count(flags, by_month=r.series_chunk_rows is not None).select(
         "loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue",
         "prevDailyVal", "breaks", "count_breaks")
 
 
 def q_band_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return H.band_breaks(_net(i), i.rules.band_window, i.rules.band_k).select(
+    r = i.rules
+    return H.band_breaks(_net(i), r.band_window, r.band_k, chunk_rows=r.series_chunk_rows).select(
         "loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "moving_avg",
         "moving_std", "upper_bound", "breaks", "test")
 

@@ -37,7 +37,7 @@ def net_volume(i: Inputs) -> DataFrame:
 
 
 def new_high_test(i: Inputs) -> DataFrame:
-    return H.new_high_breaks(net_volume(i), i.rules.new_high_window)
+    return H.new_high_breaks(net_volume(i), i.rules.new_high_window, i.rules.series_chunk_rows)
 
 
 def daily_feed(i: Inputs) -> DataFrame:
