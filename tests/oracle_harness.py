@@ -36,12 +36,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v):
     if v is None:
         return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return float(f"{v:.10g}")
+    if isinstance(v, float):          # exact: the engines must agree to the bit
+        return None if math.isnan(v) else v
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.10g}")
+        return float(v)
     if isinstance(v, pd.Timestamp):
         v = v.to_pydatetime()
     if isinstance(v, dt.datetime) and v.time() == dt.time(0):
