@@ -15,3 +15,16 @@ def round_half_even(c: Column | str, digits: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
     return F.rint(c * F.lit(scale)) / F.lit(scale)
+
+
+# Measures are accumulated as fixed-point decimals: floating-point addition
+# depends on the order rows reach the aggregate (partitioning, retries), so a
+# double sum can differ in its last bits from run to run and flip a break at a
+# threshold. Nine decimals hold quantities and money exactly.
+SUM_SCALE = 9
+
+
+def exact_sum(c: Column | str, scale: int = SUM_SCALE) -> Column:
+    """Σ of a numeric column, exact and order-independent, as a double."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")

@@ -22,7 +22,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.functions import bounded_broadcast, calendar_broadcast, ilike_any, in_text, not_in_text, same_text
+from tradewatch.functions import (
+    bounded_broadcast,
+    calendar_broadcast,
+    exact_sum,
+    ilike_any,
+    in_text,
+    not_in_text,
+    same_text,
+)
 from tradewatch.params import (
     BUY_CODE,
     DAY_TRADE_QTY_LIMIT,
@@ -68,8 +76,7 @@ def fill_sides(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
     return (fills.where(cond)
             .withColumnRenamed("side", "pors")
             .groupBy(*GROUP_KEYS)
-            .agg(F.sum("gross_qty").cast("double").alias("qty"),
-                 F.sum("mtm").cast("double").alias("pnl")))
+            .agg(exact_sum("gross_qty").alias("qty"), exact_sum("mtm").alias("pnl")))
 
 
 def day_trade_match(sides: DataFrame) -> DataFrame:
@@ -233,7 +240,7 @@ def day_trade_breaks(rows: DataFrame, rules: FillRules,
     agg = r.groupBy(F.col("trade_date").alias("loaddate"), "subdivision",
                     F.col("commodity").alias("poscommodity"),
                     F.col("location").alias("trader")).agg(
-        F.sum("day_trade_qty").alias("dailyValue"))
+        exact_sum("day_trade_qty").alias("dailyValue"))
     return (agg.withColumn("breaks", F.when(F.col("dailyValue") > limit, 1).otherwise(0).cast("int"))
             .withColumn("test", F.lit(TEST_DAY_TRADE))
             .select(*FEED_COLUMNS))

@@ -18,6 +18,7 @@ from tradewatch.functions import (
     beyond_horizon,
     bounded_broadcast,
     calendar_broadcast,
+    exact_sum,
     ilike_any,
     in_text,
     is_weekday,
@@ -173,7 +174,7 @@ def tenor_exposure(rows: DataFrame) -> DataFrame:
     return (rows.groupBy(
                 "loaddate", F.col("commodity").alias("poscommodity"),
                 F.col("desk").alias("trader"), "subdivision", "beyond_twelve_months")
-            .agg(F.sum(F.abs("delta")).alias("abs_st")))
+            .agg(exact_sum(F.abs("delta")).alias("abs_st")))
 
 
 def side_volume(rows: DataFrame) -> DataFrame:
@@ -183,4 +184,4 @@ def side_volume(rows: DataFrame) -> DataFrame:
     return (rows.groupBy(
                 "scope", "loaddate", F.col("commodity").alias("poscommodity"),
                 F.col("desk").alias("trader"), F.col("side").alias("pors"), "subdivision")
-            .agg(F.sum(v).alias("abs_st")))
+            .agg(exact_sum(v).alias("abs_st")))

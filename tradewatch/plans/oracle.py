@@ -52,6 +52,16 @@ def _not_in(col: str, vals: Iterable[str]) -> str:
     return f"{_n(col)} NOT IN ({', '.join(_q(v) for v in vals)})"
 
 
+def _xsum(expr: str) -> str:
+    """Exact, order-independent sum as a double (fixed-point accumulation)."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38, 9))) AS DOUBLE)"
+
+
+def _dsum(expr: str) -> str:
+    """Exact sum kept as a decimal for a second level of summing."""
+    return f"sum(CAST({expr} AS DECIMAL(38, 9)))"
+
+
 def _dates(vals: Iterable[str]) -> str:
     return ", ".join(f"DATE {_q(v)}" for v in vals)
 
@@ -217,8 +227,8 @@ GROUP BY load_month, contract_month, beyond_twelve_months""")
 
 def sql_tenor_exposure(r: RuleSet) -> str:
     return (_with(base_positions(r), tenor_rows(r))
-            + """SELECT loaddate, commodity AS poscommodity, desk AS trader, subdivision,
-       beyond_twelve_months, sum(abs(delta)) AS abs_st
+            + f"""SELECT loaddate, commodity AS poscommodity, desk AS trader, subdivision,
+       beyond_twelve_months, {_xsum('abs(delta)')} AS abs_st
 FROM tenor_rows GROUP BY loaddate, commodity, desk, subdivision, beyond_twelve_months""")
 
 
@@ -227,18 +237,18 @@ def tenor_feed(r: RuleSet) -> str:
     return f"""
 tenor_exp AS (
   SELECT loaddate, commodity AS poscommodity, desk AS trader, subdivision,
-         beyond_twelve_months, sum(abs(delta)) AS abs_st
+         beyond_twelve_months, {_dsum('abs(delta)')} AS abs_st
   FROM tenor_rows GROUP BY ALL
 ),
 tenor_tot AS (
-  SELECT loaddate, poscommodity, trader, subdivision, sum(abs_st) AS total
+  SELECT loaddate, poscommodity, trader, subdivision, CAST(sum(abs_st) AS DOUBLE) AS total
   FROM tenor_exp
   WHERE loaddate IS NOT NULL AND poscommodity IS NOT NULL AND trader IS NOT NULL
     AND subdivision IS NOT NULL
   GROUP BY ALL
 ),
 tenor_out AS (
-  SELECT loaddate, poscommodity, trader, subdivision, sum(abs_st) AS outside
+  SELECT loaddate, poscommodity, trader, subdivision, CAST(sum(abs_st) AS DOUBLE) AS outside
   FROM tenor_exp WHERE beyond_twelve_months = 1 GROUP BY ALL
 ),
 tenor_feed AS (
@@ -264,7 +274,7 @@ def high_net(r: RuleSet) -> str:
     return f"""
 high_side AS (
   SELECT scope, loaddate, commodity AS poscommodity, desk AS trader, side AS pors, subdivision,
-         sum(CASE WHEN {_n('side')} = {_k(NET_SIDE)} THEN delta ELSE abs(delta) END) AS abs_st
+         {_xsum(f"CASE WHEN {_n('side')} = {_k(NET_SIDE)} THEN delta ELSE abs(delta) END")} AS abs_st
   FROM high_rows GROUP BY ALL
 ),
 high_net AS (
@@ -566,7 +576,7 @@ day_trade_feed AS (
          CASE WHEN dailyValue > {lim} THEN 1 ELSE 0 END AS breaks, 'day trade breaks' AS test
   FROM (
     SELECT trade_date AS loaddate, subdivision, commodity AS poscommodity, location AS trader,
-           sum(coalesce(day_trade_qty, 0)) AS dailyValue
+           {_xsum('coalesce(day_trade_qty, 0)')} AS dailyValue
     FROM mapped
     WHERE commodity IS DISTINCT FROM {excl} {sub}
       AND trade_date IS NOT NULL AND subdivision IS NOT NULL AND commodity IS NOT NULL
