@@ -52,14 +52,21 @@ def _not_in(col: str, vals: Iterable[str]) -> str:
     return f"{_n(col)} NOT IN ({', '.join(_q(v) for v in vals)})"
 
 
-def _xsum(expr: str) -> str:
-    """Exact, order-independent sum as a double (fixed-point accumulation)."""
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38, 9))) AS DOUBLE)"
+_UNITS = "CAST(1000000 AS DOUBLE)"
 
 
 def _dsum(expr: str) -> str:
-    """Exact sum kept as a decimal for a second level of summing."""
-    return f"sum(CAST({expr} AS DECIMAL(38, 9)))"
+    """Exact sum in integer micro-units (round half even), for further sums."""
+    return f"sum(CAST(round_even(({expr}) * {_UNITS}, 0) AS BIGINT))"
+
+
+def _units(total: str) -> str:
+    return f"CAST({total} AS DOUBLE) / {_UNITS}"
+
+
+def _xsum(expr: str) -> str:
+    """Exact, order-independent sum as a double."""
+    return _units(_dsum(expr))
 
 
 def _dates(vals: Iterable[str]) -> str:
@@ -241,14 +248,14 @@ tenor_exp AS (
   FROM tenor_rows GROUP BY ALL
 ),
 tenor_tot AS (
-  SELECT loaddate, poscommodity, trader, subdivision, CAST(sum(abs_st) AS DOUBLE) AS total
+  SELECT loaddate, poscommodity, trader, subdivision, {_units('sum(abs_st)')} AS total
   FROM tenor_exp
   WHERE loaddate IS NOT NULL AND poscommodity IS NOT NULL AND trader IS NOT NULL
     AND subdivision IS NOT NULL
   GROUP BY ALL
 ),
 tenor_out AS (
-  SELECT loaddate, poscommodity, trader, subdivision, CAST(sum(abs_st) AS DOUBLE) AS outside
+  SELECT loaddate, poscommodity, trader, subdivision, {_units('sum(abs_st)')} AS outside
   FROM tenor_exp WHERE beyond_twelve_months = 1 GROUP BY ALL
 ),
 tenor_feed AS (
