@@ -8,10 +8,6 @@ from __spark_entry__ import queries
 from conftest import SF_SMALL
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def formatted(df, mode: str = "simple") -> str:
     import contextlib
     import io

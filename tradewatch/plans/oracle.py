@@ -657,4 +657,4 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     }
 
 
-__all__ = ["oracle_sql", "BUY_CODE", "SELL_CODE", "EXCLUDED_COMMENT_CODES"]
+__all__ = ["oracle_sql"]
