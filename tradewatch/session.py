@@ -72,9 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = sc.getCheckpointDir()     # set on the context by a caller
-    if not d:
-        d = tempfile.mkdtemp(prefix="tradewatch-ckpt-")
-        sc.setCheckpointDir(d)
+    if d:
+        return d
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    d = tempfile.mkdtemp(prefix="tradewatch-ckpt-")   # local mode only (tests)
+    sc.setCheckpointDir(d)
     return d
 
 
