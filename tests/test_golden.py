@@ -90,6 +90,8 @@ def test_overlapping_scopes_g9(spark):
     assert rows(P.tenor_exposure(flagged), "abs_st") == [(10.0,)]        # doubled
     net = H.net_side_volume(P.side_volume(tagged))
     assert rows(net, "dailyValue") == [(5.0,)]                          # mean: unchanged
+    fused = H.net_volume(tagged, [s.name for s in scopes])
+    assert rows(fused, "dailyValue") == [(5.0,)]
 
 
 def _rules(**kw):

@@ -38,6 +38,9 @@ def test_new_high_window_one_sort_per_spec(spark):
     text = formatted(queries()["new_high_breaks"](spark, SF_SMALL))
     # max, count and lag share one window spec: one Exchange and one Sort
     assert text.count("Exchange hashpartitioning(poscommodity") == 1
+    # side sums and the mean pivot in one aggregation: one Exchange on the 4 keys
+    assert len(re.findall(r"Exchange hashpartitioning\(loaddate#\d+, poscommodity", text)) == 1
+    assert "Exchange hashpartitioning(scope" not in text
     assert len(re.findall(r"\bSort \[poscommodity", text)) == 1
 
 

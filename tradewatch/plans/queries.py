@@ -91,7 +91,7 @@ def q_tenor_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _net(i: Inputs) -> DataFrame:
-    return H.net_side_volume(P.side_volume(_high_rows(i)))
+    return H.net_volume(_high_rows(i), [s.name for s in i.rules.positions.high_scopes])
 
 
 def q_side_volume(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def day_trade_test(i: Inputs) -> DataFrame:
 def net_volume(i: Inputs) -> DataFrame:
     r = i.rules
     rows = P.high_rows(i.positions, i.position_dims, r.positions, r.high_since)
-    return H.net_side_volume(P.side_volume(rows))
+    return H.net_volume(rows, [s.name for s in r.positions.high_scopes])
 
 
 def new_high_test(i: Inputs) -> DataFrame:
