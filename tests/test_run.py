@@ -39,3 +39,12 @@ def test_run_failure_is_audited(spark):
         run(spark, i, feed_t, audit_t, audit_path=audit_p)
     (row,) = spark.table(audit_t).collect()
     assert row.success == 0 and row.step == "Writing feed" and "," not in row.message
+
+
+def test_run_replace_twice_keeps_one_copy(spark):
+    i = load_inputs(spark, SF_SMALL)
+    feed_t, feed_p = _names(spark, "replfeed")
+    run(spark, i, feed_t, feed_path=feed_p, replace=True)
+    n = spark.table(feed_t).count()
+    run(spark, i, feed_t, feed_path=feed_p, replace=True)
+    assert spark.table(feed_t).count() == n == daily_feed(i).count()

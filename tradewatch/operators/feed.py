@@ -64,6 +64,32 @@ def append_feed(spark: SparkSession, df: DataFrame, table: str, convert: bool =
         df.write.mode("append").saveAsTable(table)
 
 
+PARTITION = "loaddate"
+
+
+def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | None = None) -> None:
+    """Write `feed` into `table` (partitioned by load date), replacing only
+    the load days present in `feed`; the table is created when absent.
+
+    A rerun of a day replaces all of that day's rows, so the table never
+    holds a day twice (the alternative to appending)."""
+    cols = [c for c in FEED_COLUMNS if c != PARTITION] + [PARTITION]
+    ordered = feed.select(*cols)
+    if not spark.catalog.tableExists(table):
+        w = ordered.write.format("parquet").partitionBy(PARTITION)
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(table)
+        return
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")        # replace only the days written
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage_delimited(df: DataFrame, path: str, sep: str = STAGE_SEP,
                     encoding: str | None = None) -> None:
     """Headerless, index-free delimited files (the bulk-load staging format)."""

@@ -45,20 +45,28 @@ def daily_feed(i: Inputs) -> DataFrame:
 
 
 def run(spark: SparkSession, i: Inputs, feed_table: str, audit_table: str | None = None,
-        feed_path: str | None = None, audit_path: str | None = None) -> DataFrame:
+        feed_path: str | None = None, audit_path: str | None = None,
+        replace: bool = False) -> DataFrame:
     """Write the day's feed and its audit rows; on failure write one failed
     audit row and re-raise. Returns the audit rows.
 
     The feed is checkpointed once (to the shared checkpoint folder) so the
     append and the audit read the same rows without recomputing the three
     plans, and a lost executor after that point does not replay the scans.
+
+    replace=False appends (a rerun adds the days again, as the original job
+    did); replace=True writes a feed partitioned by load date and replaces
+    the days it recomputes.
     """
     shared_dir(spark)
     step = "Building feed"
     try:
         feed = daily_feed(i).checkpoint(eager=True)
         step = "Writing feed"
-        FD.append_feed(spark, feed, feed_table, convert=True, path=feed_path)
+        if replace:
+            FD.replace_days(spark, feed, feed_table, path=feed_path)
+        else:
+            FD.append_feed(spark, feed, feed_table, convert=True, path=feed_path)
         step = FD.STEP_DONE
         audit = FD.run_audit(feed)
         if audit_table:

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -83,7 +84,11 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size: int | None,
            order_by: str, schema: T.StructType) -> DataFrame:
+    """Write the table; on a local shared folder into a private folder first,
+    then renamed into place, so a concurrent process never sees half of it."""
     reader = spark.read.schema(schema)
+    local = path.startswith("file:") or "://" not in path
+    target = f"{path}.tmp-{uuid.uuid4().hex}" if local else path
     # At least one file per core so small tables still scan in parallel.
     n = spark.sparkContext.defaultParallelism
     if size is not None:
@@ -95,5 +100,14 @@ def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size:
     (build().select(*cols, spread)
      .repartitionByRange(n, order_by, "_spread").sortWithinPartitions(order_by)
      .drop("_spread")
-     .write.mode("overwrite").parquet(path))
+     .write.mode("overwrite").parquet(target))
+    if local:
+        src, dst = (p[5:] if p.startswith("file:") else p for p in (target, path))
+        if os.path.exists(dst) and not os.path.exists(dst + "/_SUCCESS"):
+            os.rename(dst, f"{dst}.incomplete-{uuid.uuid4().hex}")   # a cut-short write
+        try:
+            os.rename(src, dst)                    # atomic on one filesystem
+        except OSError:
+            if not os.path.exists(dst + "/_SUCCESS"):   # else another process won the race
+                raise
     return reader.parquet(path)

@@ -23,32 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tradewatch.operators.feed import replace_days
 from tradewatch.plans.inputs import Inputs
 from tradewatch.plans.surveillance import daily_feed
-from tradewatch.schemas import FEED_COLUMNS, POSITIONS_SCHEMA
-
-PARTITION = "loaddate"
-
-
-def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | None = None) -> None:
-    """Write `feed` into `table` (partitioned by load date), replacing only
-    the load days present in `feed`; the table is created when absent."""
-    cols = [c for c in FEED_COLUMNS if c != PARTITION] + [PARTITION]
-    ordered = feed.select(*cols)
-    if not spark.catalog.tableExists(table):
-        w = ordered.write.format("parquet").partitionBy(PARTITION)
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-        return
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")        # replace only the days written
-    try:
-        ordered.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-
+from tradewatch.schemas import POSITIONS_SCHEMA
 
 def rerun_from(inputs: Inputs, since: dt.date) -> DataFrame:
     return daily_feed(inputs.with_rules(inputs.rules.with_(since=since)))
