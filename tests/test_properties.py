@@ -210,3 +210,17 @@ def test_chunked_queries_match_oracle(spark):
             assert r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
     finally:
         Q.load_inputs = orig
+
+
+def test_desk_level_zero_rows_equal_account_level(spark):
+    from tradewatch.operators import daytrades as D
+    from tradewatch.plans.inputs import load_inputs
+
+    i = load_inputs(spark, SF_ORACLE)
+    r = i.rules
+    faithful = D.day_trade_breaks(D.day_trade_rows(i.fills, i.fill_dims, r.fills, r.since), r.fills)
+    fast = D.day_trade_feed(i.fills, i.fill_dims, r.fills, r.since)
+    key = lambda t: tuple(str(x) for x in t)
+    a = sorted(map(tuple, faithful.collect()), key=key)
+    b = sorted(map(tuple, fast.collect()), key=key)
+    assert a == b and len(a) > 0
