@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -49,3 +51,42 @@ def test_stream_matches_batch_rerun(spark):
         sorted(map(tuple, expect_new.select(*cols).collect()), key=str)
     old_part = sorted(map(tuple, got.where(F.col("loaddate") <= F.lit(since2)).collect()), key=str)
     assert old_part == old_rows and len(old_rows) > 0
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark):
+    from pyspark.errors import StreamingQueryException
+
+    from tradewatch.streaming import daily
+
+    base = load_inputs(spark, SF_SMALL)
+    landing = scratch_path(spark, "landing-retry")
+    base.positions.write.parquet(landing + "/part=1")
+    table_path = scratch_path(spark, "feed-retry")
+    table = "tw_retry_" + table_path.rsplit("-", 1)[-1]
+    ckpt = scratch_path(spark, "ckpt-retry")
+
+    def inputs():
+        return base.with_positions(spark.read.schema(POSITIONS_SCHEMA).parquet(landing))
+
+    real = daily.replace_days
+    calls = []
+
+    def flaky(spark_, feed, table_, path=None):
+        real(spark_, feed, table_, path)          # the write lands ...
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("executor lost")   # ... but the batch is not committed
+
+    daily.replace_days = flaky
+    try:
+        q = start(spark, landing, inputs, table, ckpt, path=table_path, available_now=True)
+        with pytest.raises(StreamingQueryException):
+            q.awaitTermination()
+        q = start(spark, landing, inputs, table, ckpt, path=table_path, available_now=True)
+        q.awaitTermination()
+    finally:
+        daily.replace_days = real
+    assert len(calls) == 2                        # the batch ran again from the checkpoint
+    first = base.positions.agg(F.min("loaddate")).first()[0]
+    expect = daily_feed(base.with_rules(base.rules.with_(since=first - dt.timedelta(days=1))))
+    assert spark.table(table).count() == expect.count()
