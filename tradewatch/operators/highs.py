@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewatch.functions import exact_sum, round_half_even, same_text
+from tradewatch.functions import exact_sum_sql, round_half_even, same_text
+from tradewatch.functions.text import sql_str
 from tradewatch.operators.positions import SERIES_KEYS
 from tradewatch.params import (
     BAND_K,
@@ -71,21 +72,20 @@ def net_volume(rows: DataFrame, scopes: list[str], digits: int = ROUND_DIGITS) -
     v = F.when(same_text("side", NET_SIDE), F.col("delta")).otherwise(F.abs("delta"))
     keyed = rows.select("scope", "loaddate", F.col("commodity").alias("poscommodity"),
                         F.col("desk").alias("trader"), "subdivision", "side", v.alias("v"))
-    cells = {(i, j): exact_sum(F.when((F.col("scope") == sc) & (F.col("side") == sd), F.col("v")))
-             for i, sc in enumerate(scopes) for j, sd in enumerate(SIDES)}
-    present = F.count(F.when(F.col("side").isNotNull(), F.col("v")))
+    # Many similar expressions: written as SQL text, one JVM call each.
+    cells = [F.expr(exact_sum_sql(f"CASE WHEN scope = {sql_str(sc)} AND side = {sql_str(sd)} "
+                                  "THEN v END")).alias(f"c_{i}_{j}")
+             for i, sc in enumerate(scopes) for j, sd in enumerate(SIDES)]
+    present = F.expr("count(CASE WHEN side IS NOT NULL THEN v END)").alias("n_values")
     agg = (keyed.dropna(subset=SERIES_KEYS).groupBy(*SERIES_KEYS)
-           .agg(*[c.alias(f"c_{i}_{j}") for (i, j), c in cells.items()], present.alias("n_values"))
-           .where(F.col("n_values") > 0))
-    pns = None
+           .agg(*cells, present).where(F.col("n_values") > 0))
+    means = []
     for j in range(len(SIDES)):
-        total, n = None, None
-        for i in range(len(scopes)):
-            c = F.col(f"c_{i}_{j}")
-            t, k = F.coalesce(c, F.lit(0.0)), F.when(c.isNotNull(), 1).otherwise(0)
-            total, n = (t, k) if total is None else (total + t, n + k)
-        mean = F.coalesce(F.try_divide(total, n.cast("double")), F.lit(0.0))
-        pns = mean if pns is None else pns + mean
+        cs = [f"c_{i}_{j}" for i in range(len(scopes))]
+        total = " + ".join(f"coalesce({c}, 0.0D)" for c in cs)
+        n = " + ".join(f"CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END" for c in cs)
+        means.append(f"coalesce(try_divide({total}, CAST({n} AS DOUBLE)), 0.0D)")
+    pns = F.expr(" + ".join(f"({m})" for m in means))
     return agg.select(*SERIES_KEYS, pns.alias("pns"), round_half_even(pns, digits).alias("dailyValue"))
 
 
