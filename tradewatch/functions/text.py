@@ -45,45 +45,65 @@ def norm(c: Column | str) -> Column:
     return F.lower(F.rtrim(c))
 
 
+def _vals(values: Iterable[str]) -> list[str]:
+    return sorted({_key(v) for v in values})
+
+
+# SQL-text forms, for composing many rules into one expression.
+
+def same_text_sql(name: str, value: str) -> str:
+    return f"{_norm_sql(name)} = {sql_str(_key(value))}"
+
+
+def in_text_sql(name: str, values: Iterable[str]) -> str:
+    vals = _vals(values)
+    return f"{_norm_sql(name)} IN ({', '.join(map(sql_str, vals))})" if vals else "FALSE"
+
+
+def not_in_text_sql(name: str, values: Iterable[str]) -> str:
+    """SQL ``NOT IN``: null input gives null (row dropped by a filter)."""
+    vals = _vals(values)
+    return f"{_norm_sql(name)} NOT IN ({', '.join(map(sql_str, vals))})" if vals else "TRUE"
+
+
+def ilike_any_sql(name: str, patterns: Iterable[str]) -> str:
+    """Case-insensitive SQL LIKE against any of the patterns."""
+    pats = [p.lower() for p in patterns]
+    if not pats:
+        return "FALSE"
+    col = f"lower({_ident(name)})"
+    return "(" + " OR ".join(f"{col} LIKE {sql_str(p)}" for p in pats) + ")"
+
+
+# Column forms.
+
 def same_text(c: Column | str, value: str) -> Column:
     if isinstance(c, str):
-        return F.expr(f"{_norm_sql(c)} = {sql_str(_key(value))}")
+        return F.expr(same_text_sql(c, value))
     return norm(c) == F.lit(_key(value))
 
 
-def _vals(values: Iterable[str]) -> list[str]:
-    return sorted({_key(v) for v in values})
-
-
 def in_text(c: Column | str, values: Iterable[str]) -> Column:
-    vals = _vals(values)
-    if not vals:
-        return F.lit(False)
     if isinstance(c, str):
-        return F.expr(f"{_norm_sql(c)} IN ({', '.join(map(sql_str, vals))})")
-    return norm(c).isin(vals)
+        return F.expr(in_text_sql(c, values))
+    vals = _vals(values)
+    return norm(c).isin(vals) if vals else F.lit(False)
 
 
 def not_in_text(c: Column | str, values: Iterable[str]) -> Column:
     """SQL ``NOT IN``: null input gives null (row dropped by a filter)."""
-    vals = _vals(values)
-    if not vals:
-        return F.lit(True)
     if isinstance(c, str):
-        return F.expr(f"{_norm_sql(c)} NOT IN ({', '.join(map(sql_str, vals))})")
-    return ~norm(c).isin(vals)
+        return F.expr(not_in_text_sql(c, values))
+    vals = _vals(values)
+    return ~norm(c).isin(vals) if vals else F.lit(True)
 
 
 def ilike_any(c: Column | str, patterns: Iterable[str]) -> Column:
     """Case-insensitive SQL LIKE against any of the patterns."""
-    pats = [p.lower() for p in patterns]
-    if not pats:
-        return F.lit(False)
     if isinstance(c, str):
-        col = f"lower({_ident(c)})"
-        return F.expr("(" + " OR ".join(f"{col} LIKE {sql_str(p)}" for p in pats) + ")")
+        return F.expr(ilike_any_sql(c, patterns))
     out = None
-    for p in pats:
-        t = F.lower(c).like(p)
+    for p in patterns:
+        t = F.lower(c).like(p.lower())
         out = t if out is None else (out | t)
-    return out
+    return out if out is not None else F.lit(False)

@@ -19,12 +19,18 @@ from tradewatch.functions import (
     bounded_broadcast,
     calendar_broadcast,
     exact_sum,
-    ilike_any,
     in_text,
-    is_weekday,
     not_in_text,
     same_text,
 )
+from tradewatch.functions.text import (
+    ilike_any_sql,
+    in_text_sql,
+    not_in_text_sql,
+    same_text_sql,
+    sql_str,
+)
+from tradewatch.params import WEEKEND_DAYS
 from tradewatch.params import NET_SIDE, OneOffRule, PositionRules, Scope
 from tradewatch.schemas import PositionDims
 
@@ -60,12 +66,13 @@ def on_workdays(df: DataFrame, workdays: DataFrame) -> DataFrame:
     return df.join(days, "loaddate", "left_semi")
 
 
-def scope_member(scope: Scope) -> Column:
+def scope_member(scope: Scope) -> str:
+    """Membership of `scope` as a SQL predicate."""
     if scope.include_subdivisions is not None:
-        return in_text("subdivision", scope.include_subdivisions)
-    cond = same_text("division", scope.division)
+        return in_text_sql("subdivision", scope.include_subdivisions)
+    cond = same_text_sql("division", scope.division)
     if scope.exclude_subdivisions:
-        cond = cond & not_in_text("subdivision", scope.exclude_subdivisions)
+        cond += " AND " + not_in_text_sql("subdivision", scope.exclude_subdivisions)
     return cond
 
 
@@ -77,80 +84,68 @@ def scoped_positions(positions: DataFrame, dims: PositionDims, scopes: Sequence[
     rows = on_workdays(attach_dims(rows, dims), dims.workdays)
     # One slot per scope, null when the row is not a member; explode + IS NOT
     # NULL stays inside whole-stage codegen (a lambda filter would not).
-    names = F.array(*[F.when(scope_member(s), F.lit(s.name)) for s in scopes])
+    names = F.expr("array(" + ", ".join(
+        f"CASE WHEN {scope_member(s)} THEN {sql_str(s.name)} END" for s in scopes) + ")")
     return (rows
             .withColumn("scope", F.explode(names))
             .where(F.col("scope").isNotNull())
             .withColumn("desk", resolve_desk("source", "trader_raw", "location", book_sources)))
 
 
-def _per_scope(scopes: Sequence[Scope], rule) -> Column:
-    """CASE scope WHEN s THEN rule(s) ... END (null rule -> row dropped)."""
-    out = None
-    for s in scopes:
-        c = rule(s)
-        out = (F.when(F.col("scope") == s.name, c) if out is None
-               else out.when(F.col("scope") == s.name, c))
-    return out.otherwise(F.lit(False))
+def _dates_sql(days: Sequence[str]) -> str:
+    return ", ".join(f"DATE {sql_str(dt.date.fromisoformat(d).isoformat())}" for d in days)
 
 
-def one_off_keep(rule: OneOffRule) -> Column:
-    """``NOT (a AND b AND ...)`` over the parts the rule sets."""
+def one_off_keep(rule: OneOffRule) -> str:
+    """``NOT (a AND b AND ...)`` over the parts the rule sets, as SQL."""
     parts = []
     if rule.contract_number is not None:
-        parts.append(same_text("contract_number", rule.contract_number))
+        parts.append(same_text_sql("contract_number", rule.contract_number))
     if rule.loaddate is not None:
-        parts.append(F.col("loaddate") == F.lit(dt.date.fromisoformat(rule.loaddate)))
+        parts.append(f"loaddate = {_dates_sql([rule.loaddate])}")
     if rule.side is not None:
-        parts.append(same_text("side", rule.side))
+        parts.append(same_text_sql("side", rule.side))
     if rule.commodity is not None:
-        parts.append(same_text("commodity", rule.commodity))
+        parts.append(same_text_sql("commodity", rule.commodity))
     if rule.location is not None:
-        parts.append(same_text("location", rule.location))
+        parts.append(same_text_sql("location", rule.location))
     if rule.desk is not None:
-        parts.append(same_text("desk", rule.desk))
+        parts.append(same_text_sql("desk", rule.desk))
     if rule.desk_like is not None:
-        parts.append(ilike_any("desk", [rule.desk_like]))
-    if not parts:
-        return F.lit(True)
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp & p
-    return ~allp
-
-
-def _holidays(rules: PositionRules) -> list[dt.date]:
-    return [dt.date.fromisoformat(d) for d in rules.holidays]
+        parts.append(ilike_any_sql("desk", [rule.desk_like]))
+    return "NOT (" + " AND ".join(parts) + ")" if parts else "TRUE"
 
 
 def exclude(df: DataFrame, rules: PositionRules, test: str) -> DataFrame:
     """Weekend, holiday, commodity, sub-location, contract, desk and one-off
-    exclusions of `test` ('tenor' or 'high') on scope-tagged rows."""
-    holidays = _holidays(rules)
-    common = (is_weekday("loaddate")
-              & not_in_text("commodity", rules.excluded_commodities))
+    exclusions of `test` ('tenor' or 'high') on scope-tagged rows.
+
+    The rules become two SQL predicates (common ones, then a CASE on the
+    scope), with SQL's null logic: a comparison with null drops the row."""
+    weekend = ", ".join(str(d) for d in WEEKEND_DAYS)
+    common = [f"NOT dayofweek(loaddate) IN ({weekend})",
+              not_in_text_sql("commodity", rules.excluded_commodities)]
     if test == "tenor":
         scopes = rules.tenor_scopes
-        common = (common
-                  & not_in_text("sub_location", rules.tenor_sub_locations)
-                  & ~ilike_any("sub_location", rules.tenor_sub_location_like))
+        common += [not_in_text_sql("sub_location", rules.tenor_sub_locations),
+                   f"NOT {ilike_any_sql('sub_location', rules.tenor_sub_location_like)}"]
     else:
         scopes = rules.high_scopes
-        common = (common
-                  & not_in_text("contract_number", rules.high_contracts)
-                  & not_in_text("sub_location", rules.high_sub_locations))
-        for r in rules.one_offs:
-            common = common & one_off_keep(r)
-
-    def scope_rule(s: Scope) -> Column:
-        c = not_in_text(s.desk_column, rules.excluded_desks)
-        if s.exclude_position_type:
-            c = c & ~same_text("position_type", rules.excluded_position_type)
-        if s.exclude_holidays and holidays:
-            c = c & ~F.col("loaddate").isin(holidays)
-        return c
+        common += [not_in_text_sql("contract_number", rules.high_contracts),
+                   not_in_text_sql("sub_location", rules.high_sub_locations)]
+        common += [one_off_keep(r) for r in rules.one_offs]
 
-    return df.where(common).where(_per_scope(scopes, scope_rule))
+    def scope_rule(s: Scope) -> str:
+        c = [not_in_text_sql(s.desk_column, rules.excluded_desks)]
+        if s.exclude_position_type:
+            c.append(f"NOT {same_text_sql('position_type', rules.excluded_position_type)}")
+        if s.exclude_holidays and rules.holidays:
+            c.append(f"NOT loaddate IN ({_dates_sql(rules.holidays)})")
+        return " AND ".join(f"({x})" for x in c)
+
+    per_scope = ("CASE " + " ".join(f"WHEN scope = {sql_str(s.name)} THEN {scope_rule(s)}"
+                                    for s in scopes) + " ELSE FALSE END")
+    return df.where(" AND ".join(f"({x})" for x in common)).where(per_scope)
 
 
 def tenor_rows(positions: DataFrame, dims: PositionDims, rules: PositionRules,
