@@ -31,3 +31,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["loaddate", "subdivision", "trader", "poscommodity", "dailyValue",
                           "breaks", "test"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["tenor_breaks", "day_trade_breaks", "account_date_skeleton"])
+def test_session_time_zone_does_not_matter(spark, con, key):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        r = compare(spark, SF_ORACLE, key, queries()[key], oracle_sql()[key], con)
+        assert r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -74,6 +74,8 @@ def load_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None,
                 write_facts: bool = True) -> Inputs:
     """Inputs over the driver tables in `sf_dir`. With `write_facts` the two
     derived fact tables are written once to the shared folder and read from
-    there; otherwise they stay lazy views. Dimensions are always views."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    there; otherwise they stay lazy views. Dimensions are always views.
+
+    Timestamps are read as timestamp_ntz, so no result depends on the
+    session time zone (the caller's session is left as it is)."""
     return Inputs(spark, sf_dir, rules or testdata_rules(), write_facts)
