@@ -8,7 +8,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.params import RuleSet, testdata_rules
-from tradewatch.schemas import FILLS_SCHEMA, POSITIONS_SCHEMA, FillDims, PositionDims
+from tradewatch.schemas import (
+    FILLS_SCHEMA,
+    POSITIONS_SCHEMA,
+    WORKDAYS_SCHEMA,
+    FillDims,
+    PositionDims,
+)
 from tradewatch.sources import testdata
 from tradewatch.sources.store import written_table
 
@@ -50,7 +56,17 @@ class Inputs:
 
     @cached_property
     def position_dims(self) -> PositionDims:
-        return self.given.get("position_dims") or testdata.position_dims(self.spark, self.sf_dir)
+        if "position_dims" in self.given:
+            return self.given["position_dims"]
+        dims = testdata.position_dims(self.spark, self.sf_dir)
+        if not self.write_facts:
+            return dims
+        # The calendar is derived from the order table: write it once (one
+        # small file) instead of scanning all orders in every query.
+        days = written_table(
+            self.spark, "workdays", lambda: dims.workdays, _src(self.sf_dir, "orders"),
+            "workday", WORKDAYS_SCHEMA, files=1)
+        return replace(dims, workdays=days)
 
     @cached_property
     def fill_dims(self) -> FillDims:

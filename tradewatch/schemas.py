@@ -39,6 +39,9 @@ POSITIONS_SCHEMA = _struct(
     "sub_location string, side string, trader_raw string, contract_month date, "
     "contract_number string, position_type string")
 
+# Workday calendar: one row per working day.
+WORKDAYS_SCHEMA = _struct("workday date")
+
 # Futures fills: one row per fill (quantities as decimal(12,2): exact sums).
 FILLS_SCHEMA = _struct(
     "trade_date date, load_date date, account string, account_name string, "

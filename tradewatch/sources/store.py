@@ -56,9 +56,11 @@ def _fingerprint(sources: list[str]) -> tuple[str, int | None]:
 
 
 def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame],
-                  sources: list[str], order_by: str, schema: T.StructType) -> DataFrame:
+                  sources: list[str], order_by: str, schema: T.StructType,
+                  files: int | None = None) -> DataFrame:
     """The table `name` derived from `sources`, written once per fingerprint
-    and read back with its declared `schema`."""
+    and read back with its declared `schema` (`files` fixes the file count,
+    e.g. 1 for a small dimension)."""
     key, size = _fingerprint(sources)
     path = f"{shared_dir(spark).rstrip('/')}/tradewatch/tables/{name}-{key}"
     if _complete(spark, path):
@@ -66,7 +68,7 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
     with _LOCK:
         if _complete(spark, path):
             return spark.read.schema(schema).parquet(path)
-        return _write(spark, build, path, size, order_by, schema)
+        return _write(spark, build, path, size, order_by, schema, files)
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -83,7 +85,7 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 
 def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size: int | None,
-           order_by: str, schema: T.StructType) -> DataFrame:
+           order_by: str, schema: T.StructType, files: int | None = None) -> DataFrame:
     """Write the table; on a local shared folder into a private folder first,
     then renamed into place, so a concurrent process never sees half of it."""
     reader = spark.read.schema(schema)
@@ -93,6 +95,8 @@ def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size:
     n = spark.sparkContext.defaultParallelism
     if size is not None:
         n = max(n, -(-size // BYTES_PER_FILE))
+    if files:
+        n = files
     # Range on (date, row hash): files cover date ranges (min/max skipping),
     # and a date holding a large share of the rows is split across files.
     cols = schema.fieldNames()
