@@ -56,3 +56,12 @@ def test_no_cross_join(spark):
     for key in ("account_date_skeleton", "day_trade_breaks", "account_location"):
         text = formatted(queries()[key](spark, SF_SMALL))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_fill_filters_reach_scan(spark):
+    text = formatted(queries()["fill_sides"](spark, SF_SMALL), "formatted")
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
+    # the since-date, and the same bound inferred for trade_date from
+    # load_date = trade_date, reach the parquet reader with the non-zero test
+    assert "GreaterThan(load_date" in pushed and "GreaterThan(trade_date" in pushed
+    assert "Not(EqualTo(gross_qty" in pushed

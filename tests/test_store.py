@@ -60,3 +60,24 @@ def test_partial_write_is_rewritten(spark):
     b = written_table(spark, name, build, src, "loaddate", SCHEMA)
     assert b.count() == 10 and os.path.exists(os.path.join(folder, "_SUCCESS"))
     assert shared_dir(spark)
+
+
+def test_concurrent_first_use_writes_once(spark):
+    import threading
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(100).select(F.current_date().alias("loaddate"), F.col("id").alias("v"))
+
+    name = "c" + uuid.uuid4().hex[:8]
+    src = [f"/nonexistent/{uuid.uuid4().hex}.parquet"]
+    out = []
+    threads = [threading.Thread(target=lambda: out.append(
+        written_table(spark, name, build, src, "loaddate", SCHEMA).count())) for _ in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert out == [100, 100, 100] and len(calls) == 1
