@@ -5,18 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tradewatch.llm import packing
 from tradewatch.llm.common import ship, table
+from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
 from tradewatch.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from token files with Elias-Fano boundaries."""
+    folder = token_folder(spark)
+    write_tokens(table(spark, sf_dir, "documents"), folder)
+    return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in 3 bits or fewer."""
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed in order into sequences of at most 2048 ids."""
+    return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -25,7 +40,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op7_simhash,)}
+    return {q.__name__: _shipped(q) for q in (op6_elias_fano, op7_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
