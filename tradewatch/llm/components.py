@@ -15,8 +15,9 @@ from tradewatch.llm.common import written
 
 
 def _minima(links: DataFrame) -> DataFrame:
-    """(u, m): the least of u and its neighbours."""
-    return links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """(u, m): the least of u and its neighbours. Written, so that the join with it shuffles the links
+    on their own and Spark can split the partition of a centre."""
+    return written(links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
 
 
 def _both(links: DataFrame) -> DataFrame:
