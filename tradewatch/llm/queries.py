@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import packing, secret_scan
+from tradewatch.llm import langid, packing, secret_scan
 from tradewatch.llm.common import ship, table
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
 from tradewatch.llm.simhash import simhash_components
@@ -20,6 +20,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from token files with Elias-Fano boundaries."""
     folder = token_folder(spark)
@@ -45,7 +50,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op2_secrets, op6_elias_fano, op7_simhash, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op2_secrets, op3_langid, op6_elias_fano, op7_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
