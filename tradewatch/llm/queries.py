@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from tradewatch.llm import langid, packing, secret_scan
 from tradewatch.llm.common import ship, table
+from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
 from tradewatch.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold copies, edited ones too, of benchmark items."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "share", "start", "end")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, with linked multipart credentials."""
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
@@ -50,7 +57,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op2_secrets, op3_langid, op6_elias_fano, op7_simhash, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op6_elias_fano, op7_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
