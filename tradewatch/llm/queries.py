@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import langid, packing, secret_scan
+from tradewatch.llm import langid, maxent, packing, secret_scan
 from tradewatch.llm.common import ship, table
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
@@ -32,6 +32,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under a unigram and the maximum-entropy model."""
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op6_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from token files with Elias-Fano boundaries."""
     folder = token_folder(spark)
@@ -57,7 +62,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op6_elias_fano, op7_simhash, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op6_elias_fano, op7_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
