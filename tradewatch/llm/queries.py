@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import langid, maxent, packing, secret_scan
+from tradewatch.llm import html_extract, langid, maxent, packing, secret_scan
 from tradewatch.llm.common import ship, table
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
@@ -37,6 +37,11 @@ def op4_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from token files with Elias-Fano boundaries."""
     folder = token_folder(spark)
@@ -62,7 +67,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op6_elias_fano, op7_simhash, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
