@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import html_extract, langid, maxent, packing, secret_scan
+from tradewatch.llm import html_extract, langid, maxent, mih, packing, secret_scan
 from tradewatch.llm.common import ship, table
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
@@ -54,6 +54,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op9_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return mih.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed in order into sequences of at most 2048 ids."""
     return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents")))
@@ -67,7 +72,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash, op9_mih, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
