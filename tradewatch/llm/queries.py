@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import html_extract, langid, maxent, mih, packing, secret_scan
-from tradewatch.llm.common import ship, table
+from tradewatch.llm import html_extract, langid, maxent, mih, packing, secret_scan, warc
+from tradewatch.llm.common import ship, table, written
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
 from tradewatch.llm.simhash import simhash_components
@@ -54,6 +54,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages' responses, written as WARC members and read back."""
+    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    back = warc.read_members(written(warc.members(made), "warc"))
+    return back.select(
+        "page_id", warc.header("WARC-Type").alias("warc_type"), "record_id",
+        warc.header("WARC-Refers-To").alias("refers_to"), warc.header("WARC-Concurrent-To").alias("concurrent_to"),
+        warc.header("WARC-Target-URI").alias("target_uri"), warc.header("WARC-Block-Digest").alias("block_digest"),
+        warc.header("WARC-Source-Payload-Digest").alias("source_payload_digest"),
+        warc.header("Content-Type").alias("content_type"), F.octet_length("block").cast("long").alias("n_bytes"),
+        F.crc32("block").alias("block_crc32"))
+
+
 def op9_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return mih.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -72,7 +85,7 @@ def _shipped(query: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash, op9_mih, op10_packing)}
+    return {q.__name__: _shipped(q) for q in (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash, op8_warc, op9_mih, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
