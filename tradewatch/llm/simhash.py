@@ -71,14 +71,16 @@ def fingerprint(text: bytes, n: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp long) of every document, whole text, null text as empty."""
+    """(doc_id, text_hash, fp long) of every document, whole text, null text as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             fps = [fingerprint(t, shingle) for t in binary_list(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fps, pa.int64())],
+                                             ["doc_id", "text_hash", "fp"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return (doc_texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 @lru_cache(maxsize=1)
@@ -169,6 +171,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return near.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
+def _components(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fingerprints, root of each fingerprint, first row of each root): `first` is the least
+    (doc_id, text_hash), null doc_ids last."""
+    prints = written(fingerprints(docs, shingle), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = written(prints.groupBy("fp").agg(F.min(row).alias("first")), "nodes")
+    roots = connected_components(links(nodes, max_bits))
+    known = (nodes.join(roots, nodes.fp == roots.node, "left")
+             .select("fp", "first", F.coalesce("component", "fp").alias("root")))
+    return prints, known, known.groupBy("root").agg(F.min("first").alias("first"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint hex, component_id) of every document row.
 
@@ -179,23 +193,23 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BI
     (null if it holds no doc_id). Repeated rows stay. An empty table gives an
     empty result; other columns are ignored.
     """
-    prints = written(fingerprints(docs, shingle), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = connected_components(links(nodes, max_bits))
-    known = (nodes.join(roots, nodes.fp == roots.node, "left")
-             .select("fp", "first", F.coalesce("component", "fp").alias("root")))
-    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = known.join(least, "root").select("fp", "component_id")
+    prints, known, least = _components(docs, shingle, max_bits)
+    named = known.select("fp", "root").join(least, "root").select("fp", F.col("first.doc_id").alias("component_id"))
     return (prints.join(named, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without near copies: of each component the row of its least doc_id.
+    """The documents without near copies: of each component the row with the least doc_id.
 
-    Columns stay as they are. Rows that repeat the least doc_id collapse to
-    one. Rows with a null doc_id go: they can't be told apart.
+    Columns stay as they are. Of rows that share that doc_id the one with the
+    least hash of its text stays, and rows that repeat both collapse to one. A
+    component without any doc_id keeps the row with the least hash.
     """
-    found = simhash_components(docs, shingle, max_bits)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    _, _, least = _components(docs, shingle, max_bits)
+    keep = written(least.select(F.col("first.doc_id").alias("_d"), F.col("first.text_hash").alias("_h")), "keep")
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = docs.withColumn("_dedup_hash", own).alias("a").join(
+        keep.alias("b"), F.col("a.doc_id").cast("long").eqNullSafe(F.col("b._d")) & (F.col("a._dedup_hash") == F.col("b._h")),
+        "left_semi")
+    return kept.dropDuplicates(["doc_id", "_dedup_hash"]).select(*docs.columns)
