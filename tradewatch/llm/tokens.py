@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +27,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Id appended to every document.
 END_ID = 1
 #: Bounds of a worker's word table: entries, and length of a word worth keeping.
-MAX_WORDS, MAX_WORD_BYTES = 700_000, 64
+MAX_WORDS, MAX_WORD_BYTES = 1_000_000, 64
+
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -35,6 +39,29 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class _Words(dict):
+    """Ids of words met so far; an unknown one goes through the tokenizer when it is looked up.
+
+    The tokenizer lowers letters and cuts between letters and a full stop or
+    comma after them, so "Word." has the ids of "word" and of "." (a text that
+    could hold a special token is left as it is).
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        plain = word if b"<|" in word else word.lower()
+        if plain[-1:] in (b".", b",") and plain[-2:-1].isalnum() and plain[-2] < 128 and b"<|" not in plain:
+            ids = self[plain[:-1]] + self[plain[-1:]]
+        else:
+            ids = self[plain] if plain != word else self.encode(word)
+        if len(word) <= MAX_WORD_BYTES:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Texts (UTF-8) to little-endian unsigned 32-bit ids."""
 
@@ -49,30 +76,21 @@ class Encoder:
         self.word_wise = bool((spec.get("model") or {}).get("end_of_word_suffix")
                               and pre[0].get("type") == "Split" and pre[0].get("invert")
                               and pre[0].get("behavior") == "Removed")
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Words(self._encode)
 
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in out]
+    def _encode(self, text: bytes) -> bytes:
+        ids = self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
+        return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as bytes."""
         if not self.word_wise:
-            return self._encode(texts)
+            return [self._encode(t) for t in texts]
+        if len(self.words) > MAX_WORDS:
+            self.words.clear()
         # bytes.split() cuts at the six ASCII blanks, all of them white space to the tokenizer.
-        split = [t.split() for t in texts]
-        known = self.words
-        if len(known) > MAX_WORDS:
-            known.clear()
-        new = list({w for ws in split for w in ws if w not in known})
-        long = {}
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            for w, ids in zip(part, self._encode(part)):
-                (known if len(w) <= MAX_WORD_BYTES else long)[w] = ids
-        if not long:
-            return [b"".join(map(known.__getitem__, ws)) for ws in split]
-        return [b"".join([known[w] if w in known else long[w] for w in ws]) for ws in split]
+        known = self.words.__getitem__
+        return [b"".join(map(known, t.split())) for t in texts]
 
     @lru_cache(maxsize=4)
     def sentence_enders(self, marks: str = ".!?…。！？") -> np.ndarray:
