@@ -1,0 +1,80 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+
+from tradewatch.llm import secret_scan as s
+
+ASSIGN = re.compile(
+    r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain_base(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(s.KINDS[k], a, b) for a, k, b in sorted(found)]
+
+
+def test_base_spans_match_the_plain_patterns(spark):
+    random.seed(4)
+    bits = ["password=", "PassWd : '", "token", "api_key\":\"", "secret==", "AKIA", "ABCDEF0123456789", "deadbeef", "0123456789abcdef",
+            " ", "\n", "é", "=", ":", "user=", "x.y:80", "ſecret=abcdefgh", "toKen=abcdefgh"]
+    texts = ["".join(random.choice(bits) for _ in range(random.randint(0, 25))) for _ in range(400)]
+    for t in texts:
+        assert [x for x in s.scan(t) if x[0] in s.KINDS[:3]] == plain_base(t), repr(t)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in s.digest(s.find_secrets(docs)).collect():
+        base = plain_base(texts[r.doc_id])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[0] == k for x in base) for k in s.KINDS[:3])
+        assert not joined or set(joined.split(",")) <= set(r.spans.split(","))
+
+
+def kinds(text):
+    return [text[a:b] + "|" + k for k, a, b in s.scan(text)]
+
+
+def test_weak_parts_need_each_other():
+    assert kinds("user=bob went to db.example.com:5432") == []
+    assert kinds("pwd=hunter2 alone") == []
+    assert kinds("user=bob pwd=hunter2") == ["user=bob|identifier", "pwd=hunter2|weak_secret"]
+    assert kinds("pwd=hunter2 at db.example.com:5432") == ["pwd=hunter2|weak_secret", "db.example.com:5432|endpoint"]
+    far = "user=bob " + "word " * 60 + "pwd=hunter2"
+    assert kinds(far) == []
+    assert kinds("user=bob\n\npwd=hunter2") == []                 # another paragraph, another scope
+    key = "AKIA" + "ABCDEFGHIJKLMNOP"
+    value = "wJalrXUtnFEMI0K7MDENGbPxRfiCYEXAMPLEKEY"
+    assert kinds(value) == [] and kinds(f"{key} {value}") == [f"{key}|access", f"{value}|weak_secret"]
+
+
+def test_interval_join_matches_all_pairs():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        def spans(n):
+            a = rng.integers(0, 400, n)
+            return [(int(x), int(x + w)) for x, w in zip(a, rng.integers(1, 40, n))]
+        p, o, breaks = spans(rng.integers(0, 8)), spans(rng.integers(0, 8)), np.unique(rng.integers(1, 400, 3))
+        reach = int(rng.integers(1, 80))
+        scope = lambda x: int((breaks <= x).sum())
+        want = []
+        for a, b in p:
+            edge = [0, *breaks.tolist(), 10**9]
+            low, high = edge[scope(a)], edge[scope(a) + 1]
+            want.append(any(x < min(b + reach, high) and y > max(a - reach, low) for x, y in o))
+        assert s.linked(p, o, breaks, reach).tolist() == want
+
+
+def test_redaction_and_edge_cases(spark, odd_docs, no_docs):
+    assert s.redact_text("a password=abcdef123 b user=x") == "a [SECRET] b user=x" or "[SECRET] b" in s.redact_text("a password=abcdef123 b")
+    docs = spark.createDataFrame([(1, "k token = \"0123456789abcdef0123456789abcdef01234567\" z", 3), (2, None, 9), (3, "clean", 5)],
+                                 "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in s.redact(docs).collect()}
+    assert got[1].text == 'k [SECRET]" z' and got[1].n_chars == len(got[1].text)
+    assert got[2].text is None and got[2].n_chars == 9 and got[3].text == "clean"
+    assert s.redact(odd_docs).schema == odd_docs.schema and s.redact(odd_docs).count() == odd_docs.count()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert {r.base_sha256 for r in s.digest(s.find_secrets(odd_docs)).collect()} == {empty}
+    assert s.find_secrets(no_docs).count() == 0 and s.redact(no_docs).count() == 0
