@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF_ORACLE
 from oracle_harness import compare, duck
+from tradewatch.plans.oracle import oracle_sql
+from tradewatch.plans.queries import registry as queries
 
 KEYS = sorted(queries())
 

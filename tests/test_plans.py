@@ -4,8 +4,10 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tradewatch.plans.queries import registry as queries
 from conftest import SF_SMALL
+from tradewatch.operators import highs as H
+from tradewatch.plans import queries as Q
 
 
 def formatted(df, mode: str = "simple") -> str:
@@ -35,7 +37,7 @@ def test_tenor_one_exchange_no_self_join(spark):
 
 
 def test_new_high_window_one_sort_per_spec(spark):
-    text = formatted(queries()["new_high_breaks"](spark, SF_SMALL))
+    text = formatted(H.new_high_breaks(Q._net(Q.load_inputs(spark, SF_SMALL)), chunk_rows=None))
     # max, count and lag share one window spec: one Exchange and one Sort
     assert text.count("Exchange hashpartitioning(poscommodity") == 1
     # side sums and the mean pivot in one aggregation: one Exchange on the 4 keys

@@ -14,7 +14,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from tradewatch.plans.queries import registry as queries
 from conftest import SF_ORACLE
 from tradewatch.operators import highs as H
 
@@ -162,7 +162,7 @@ def test_net_side_volume_matches_pivot_mean(spark, cells):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("window,chunk", [(252, 300), (20, 25), (20, 19), (3, 2)])
+@pytest.mark.parametrize("window,chunk", [(252, 300), (20, 25), (20, 19), (3, 2), (1, 2), (1, 1)])
 def test_chunked_window_equals_plain(spark, window, chunk):
     net = H.net_side_volume(queries()["side_volume"](spark, SF_ORACLE))
     cols = ["loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue",
@@ -194,9 +194,9 @@ def test_chunked_queries_match_oracle(spark):
     from oracle_harness import compare, duck
     from tradewatch import params
     from tradewatch.plans import queries as Q
-    from __spark_entry__ import oracle_sql
+    from tradewatch.plans.oracle import oracle_sql
 
-    rules = params.testdata_rules().with_(series_chunk_rows=100)
+    rules = params.testdata_rules().with_(series_chunk_rows=300)
     orig = Q.load_inputs
 
     def chunked(spark, sf_dir, rules_=None, write_facts=True):

@@ -1,11 +1,9 @@
 """Column expressions shared by the operators (all built-in Spark functions)."""
 
 from tradewatch.functions.dates import beyond_horizon, is_weekday, month_start
-from tradewatch.functions.joins import bounded_broadcast, calendar_broadcast
-from tradewatch.functions.numeric import exact_sum, exact_sum_sql, round_half_even
+from tradewatch.functions.numeric import round_half_even
 from tradewatch.functions.text import ilike_any, in_text, norm, not_in_text, same_text
 
 __all__ = [
-    "beyond_horizon", "bounded_broadcast", "calendar_broadcast", "exact_sum", "exact_sum_sql", "ilike_any", "in_text", "is_weekday",
-    "month_start", "norm", "not_in_text", "round_half_even", "same_text",
+    "beyond_horizon", "ilike_any", "in_text", "is_weekday", "month_start", "norm", "not_in_text", "round_half_even", "same_text",
 ]

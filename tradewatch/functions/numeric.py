@@ -15,27 +15,3 @@ def round_half_even(c: Column | str, digits: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
     return F.rint(c * F.lit(scale)) / F.lit(scale)
-
-
-# Measures are accumulated as integers of micro-units: floating-point addition
-# depends on the order rows reach the aggregate (partitioning, retries), so a
-# double sum can differ in its last bits from run to run and flip a break at a
-# threshold. rint(x * 1e6) as a 64-bit integer sums exactly and as fast as a
-# double (a decimal(38, s) sum runs ~10x slower: BigDecimal arithmetic).
-# Exact for values with up to 6 decimals; totals up to 9.2e12 (an overflow
-# raises under ANSI mode instead of wrapping).
-SUM_UNITS = 1_000_000
-
-
-def exact_sum(c: Column | str, units: int = SUM_UNITS) -> Column:
-    """Σ of a numeric column, exact and order-independent, as a double."""
-    c = F.col(c) if isinstance(c, str) else c
-    scale = F.lit(float(units))
-    return F.sum(F.rint(c * scale).cast("long")) / scale
-
-
-def exact_sum_sql(expr: str, units: int = SUM_UNITS) -> str:
-    """``exact_sum`` as Spark SQL text over a SQL expression (one parse on
-    the JVM instead of one call per function when many sums are built)."""
-    u = f"{float(units)!r}D"
-    return f"(sum(CAST(rint(({expr}) * {u}) AS BIGINT)) / {u})"

@@ -2,9 +2,10 @@
 
 Plan shape
 ----------
-* One filtered scan of the fills and **one** aggregation by the 11 group
-  keys serves buys, sells and the set of accounts with buys (the original
-  ran the same sub-query twice and scanned the fills six times).
+* One aggregation by the 11 group keys serves buys, sells and the set of
+  accounts with buys. Spark pushes the side filters below it, so the plan
+  scans the fills once for each of these and twice more for the account and
+  day lists, columns and rows pruned.
 * Buys are left-joined to sells on six of those keys, so one buy group can
   meet several sell groups -- kept, as in the original.
 * Every (account, day) is filled with a zero row so each mapped desk shows a
@@ -23,9 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions import (
-    bounded_broadcast,
-    calendar_broadcast,
-    exact_sum,
     ilike_any,
     in_text,
     not_in_text,
@@ -69,14 +67,15 @@ def _account_filter(rules: FillRules, since: dt.date) -> Column:
 
 
 def fill_sides(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
-    """Σ quantity and Σ MTM per group and side, buys and sells in one pass."""
+    """Σ quantity and Σ MTM per group and side, buys and sells in one pass, in
+    the columns' own types (decimals stay decimals)."""
     cond = (_account_filter(rules, since)
             & not_in_text("comment_code", EXCLUDED_COMMENT_CODES)
             & in_text("side", [BUY_CODE, SELL_CODE]))
     return (fills.where(cond)
             .withColumnRenamed("side", "pors")
             .groupBy(*GROUP_KEYS)
-            .agg(exact_sum("gross_qty").alias("qty"), exact_sum("mtm").alias("pnl")))
+            .agg(F.sum("gross_qty").alias("qty"), F.sum("mtm").alias("pnl")))
 
 
 def day_trade_match(sides: DataFrame) -> DataFrame:
@@ -99,9 +98,10 @@ def day_trade_match(sides: DataFrame) -> DataFrame:
 def day_trade_pnl(match: DataFrame) -> DataFrame:
     """P&L of the matched part: the larger side's P&L pro rata plus the
     smaller side's whole P&L. Division by zero gives null (then 0 downstream)."""
-    q, bq, sq = F.col("day_trade_qty"), F.col("purchase_qty"), F.col("sale_qty")
-    pnl = (F.when(bq > q, F.try_divide(q, bq) * F.col("purchase_pnl") + F.col("sale_pnl"))
-           .otherwise(F.try_divide(q, sq) * F.col("sale_pnl") + F.col("purchase_pnl")))
+    q, bq, sq, bp, sp = (F.col(c).cast("double") for c in (
+        "day_trade_qty", "purchase_qty", "sale_qty", "purchase_pnl", "sale_pnl"))
+    pnl = (F.when(bq > q, F.try_divide(q, bq) * bp + sp)
+           .otherwise(F.try_divide(q, sq) * sp + bp))
     return match.withColumn("day_trade_pnl", pnl)
 
 
@@ -125,7 +125,13 @@ def date_spine(keys: DataFrame, days: DataFrame) -> DataFrame:
     span = days.select(F.struct(F.min("trade_date").alias("lo"),
                                 F.max("trade_date").alias("hi"))).scalar()
     spread = keys.withColumn("trade_date", F.explode(F.sequence(span["lo"], span["hi"])))
-    return spread.join(calendar_broadcast(days), "trade_date", "left_semi")
+    return spread.join(days, "trade_date", "left_semi")
+
+
+def _zero(measure: str) -> Column:
+    """0 of a measure: a double for the P&L, else a decimal, which leaves decimal totals decimal."""
+    zero = F.lit(0.0) if measure == "day_trade_pnl" else F.lit(0).cast("decimal(12,2)")
+    return zero.alias(measure)
 
 
 def account_date_skeleton(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
@@ -139,7 +145,7 @@ def account_date_skeleton(fills: DataFrame, rules: FillRules, since: dt.date) ->
         if c in nulls:
             cols.append(F.lit(None).cast(nulls[c]).alias(c))
         elif c in MEASURES:
-            cols.append(F.lit(0.0).alias(c))
+            cols.append(_zero(c))
         else:
             cols.append(F.col(c))
     return spine.select(*cols)
@@ -177,8 +183,7 @@ def commodity_groups(dims: FillDims, rules: FillRules) -> DataFrame:
 def attach_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Left join on the commodity description; a commodity in several groups
     yields one row per group."""
-    g = bounded_broadcast(groups)
-    return (rows.join(g, rows.commodity == g.commoditydescription, "left")
+    return (rows.join(groups, rows.commodity == groups.commoditydescription, "left")
             .drop("commoditydescription"))
 
 
@@ -194,13 +199,10 @@ def account_location(rows: DataFrame, dims: FillDims, rules: FillRules) -> DataF
     """Account + source id -> location -> subdivision (inner joins on the
     account map), blocked locations dropped. Adds ``map_location`` and
     ``map_subdivision``."""
-    amap = bounded_broadcast(
-        dims.account_map.where(in_text("source_id", MAPPED_SOURCE_IDS))
-        .select("source_report_code", "source_id", "location_id"))
-    loc = bounded_broadcast(dims.locations.select(
-        "location_id", F.col("location").alias("map_location"), "subdivision_id"))
-    sub = bounded_broadcast(dims.subdivisions.select(
-        "subdivision_id", F.col("subdivision").alias("map_subdivision")))
+    amap = (dims.account_map.where(in_text("source_id", MAPPED_SOURCE_IDS))
+            .select("source_report_code", "source_id", "location_id"))
+    loc = dims.locations.select("location_id", F.col("location").alias("map_location"), "subdivision_id")
+    sub = dims.subdivisions.select("subdivision_id", F.col("subdivision").alias("map_subdivision"))
     keyed = rows.withColumn("_source_id", source_id("source"))
     on = [(keyed.account == amap.source_report_code) & (keyed._source_id == amap.source_id)]
     return (keyed.join(amap, on, "inner")
@@ -234,13 +236,13 @@ def day_trade_breaks(rows: DataFrame, rules: FillRules,
     if rules.excluded_day_trade_subdivisions:
         hit = F.col("subdivision").isin(list(rules.excluded_day_trade_subdivisions))
         r = r.where(~F.coalesce(hit, F.lit(False)))
-    r = (r.fillna(0.0, subset=["day_trade_qty", "day_trade_pnl"])
+    r = (r.withColumn("day_trade_qty", F.coalesce("day_trade_qty", _zero("day_trade_qty")))
          .where(~F.col("commodity").eqNullSafe(rules.excluded_day_trade_commodity))
          .dropna(subset=["trade_date", "subdivision", "commodity", "location"]))
     agg = r.groupBy(F.col("trade_date").alias("loaddate"), "subdivision",
                     F.col("commodity").alias("poscommodity"),
                     F.col("location").alias("trader")).agg(
-        exact_sum("day_trade_qty").alias("dailyValue"))
+        F.sum("day_trade_qty").cast("double").alias("dailyValue"))
     return (agg.withColumn("breaks", F.when(F.col("dailyValue") > limit, 1).otherwise(0).cast("int"))
             .withColumn("test", F.lit(TEST_DAY_TRADE))
             .select(*FEED_COLUMNS))
@@ -268,5 +270,5 @@ def day_trade_feed(fills: DataFrame, dims: FillDims, rules: FillRules, since: dt
     zeros = (date_spine(desks, trading_days(fills, since))
              .where(F.col("trade_date") > F.lit(since))
              .select("trade_date", "subdivision", "location", "commodity",
-                     F.lit(0.0).alias("day_trade_qty"), F.lit(0.0).alias("day_trade_pnl")))
+                     _zero("day_trade_qty"), _zero("day_trade_pnl")))
     return day_trade_breaks(m.unionByName(zeros), rules, limit)

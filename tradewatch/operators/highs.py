@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewatch.functions import exact_sum_sql, round_half_even, same_text
+from tradewatch.functions import round_half_even, same_text
 from tradewatch.functions.text import sql_str
 from tradewatch.operators.positions import SERIES_KEYS
 from tradewatch.params import (
@@ -65,7 +65,7 @@ def net_side_volume(side_vol: DataFrame, digits: int = ROUND_DIGITS) -> DataFram
 def net_volume(rows: DataFrame, scopes: list[str], digits: int = ROUND_DIGITS) -> DataFrame:
     """``net_side_volume(side_volume(rows))`` in one aggregation.
 
-    Per key, one exact conditional sum per (scope, side) gives the per-scope
+    Per key, one conditional sum per (scope, side) gives the per-scope
     side volumes; their mean over the scopes present, per side, is the
     pivot. One shuffle on the four keys instead of two (six keys, then four).
     """
@@ -73,8 +73,8 @@ def net_volume(rows: DataFrame, scopes: list[str], digits: int = ROUND_DIGITS) -
     keyed = rows.select("scope", "loaddate", F.col("commodity").alias("poscommodity"),
                         F.col("desk").alias("trader"), "subdivision", "side", v.alias("v"))
     # Many similar expressions: written as SQL text, one JVM call each.
-    cells = [F.expr(exact_sum_sql(f"CASE WHEN scope = {sql_str(sc)} AND side = {sql_str(sd)} "
-                                  "THEN v END")).alias(f"c_{i}_{j}")
+    cells = [F.expr(f"CAST(sum(CASE WHEN scope = {sql_str(sc)} AND side = {sql_str(sd)} THEN v END) "
+                    "AS DOUBLE)").alias(f"c_{i}_{j}")
              for i, sc in enumerate(scopes) for j, sd in enumerate(SIDES)]
     present = F.expr("count(CASE WHEN side IS NOT NULL THEN v END)").alias("n_values")
     agg = (keyed.dropna(subset=SERIES_KEYS).groupBy(*SERIES_KEYS)
@@ -104,7 +104,8 @@ def _chunked(net: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
     (series, month) first, then offset by the row counts of earlier months,
     a per-series running sum over a table of one row per series and month.
     """
-    chunk_rows = max(chunk_rows, halo, 1)     # a halo never spans two chunks
+    if chunk_rows < max(halo, 1):
+        raise ValueError(f"chunks of {chunk_rows} rows can't hold a halo of {halo}")
     month = F.trunc("loaddate", "MM")
     in_month = Window.partitionBy(*SERIES, "_month").orderBy(*ORDER)
     rows = (net.withColumn("_month", month)
@@ -143,7 +144,8 @@ def new_high_flags(net: DataFrame, window: int = NEW_HIGH_WINDOW,
                          F.lag(v, 1).over(_series_window()).alias("prevDailyVal"))
         return out.withColumn("breaks", _flag(v))
     w = Window.partitionBy(*SERIES, "_chunk").orderBy("_rn")
-    out = (_chunked(net, window - 1, chunk_rows)
+    # The previous value needs a row of halo even when the window is one row.
+    out = (_chunked(net, max(window - 1, 1), chunk_rows)
            .select("*", _window_full(v, window, F.max, w).alias("maxValue"),
                    F.lag(v, 1).over(w).alias("prevDailyVal"))
            .where(~F.col("_halo"))

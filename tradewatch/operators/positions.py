@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions import (
     beyond_horizon,
-    bounded_broadcast,
-    calendar_broadcast,
-    exact_sum,
     in_text,
     not_in_text,
     same_text,
@@ -49,20 +46,18 @@ def resolve_desk(source: Column | str, trader: Column | str, location: Column |
 
 
 def attach_dims(positions: DataFrame, dims: PositionDims) -> DataFrame:
-    """Location -> subdivision -> division, left joins on codes (broadcast)."""
-    loc = bounded_broadcast(dims.locations)
-    sub = bounded_broadcast(dims.subdivisions)
-    div = bounded_broadcast(dims.divisions)
+    """Location -> subdivision -> division, left joins on codes (broadcast
+    when Spark knows their bytes to be few, shuffled otherwise)."""
     return (positions
-            .join(loc, "location_code", "left")
-            .join(sub, "subdivision_code", "left")
-            .join(div, "division_code", "left"))
+            .join(dims.locations, "location_code", "left")
+            .join(dims.subdivisions, "subdivision_code", "left")
+            .join(dims.divisions, "division_code", "left"))
 
 
 def on_workdays(df: DataFrame, workdays: DataFrame) -> DataFrame:
     """Keep rows whose load date is a workday (semi join on distinct days, so
     a repeated calendar day cannot duplicate rows)."""
-    days = calendar_broadcast(workdays.select(F.col("workday").alias("loaddate")).distinct())
+    days = workdays.select(F.col("workday").alias("loaddate")).distinct()
     return df.join(days, "loaddate", "left_semi")
 
 
@@ -169,7 +164,7 @@ def tenor_exposure(rows: DataFrame) -> DataFrame:
     return (rows.groupBy(
                 "loaddate", F.col("commodity").alias("poscommodity"),
                 F.col("desk").alias("trader"), "subdivision", "beyond_twelve_months")
-            .agg(exact_sum(F.abs("delta")).alias("abs_st")))
+            .agg(F.sum(F.abs("delta")).cast("double").alias("abs_st")))
 
 
 def side_volume(rows: DataFrame) -> DataFrame:
@@ -179,4 +174,4 @@ def side_volume(rows: DataFrame) -> DataFrame:
     return (rows.groupBy(
                 "scope", "loaddate", F.col("commodity").alias("poscommodity"),
                 F.col("desk").alias("trader"), F.col("side").alias("pors"), "subdivision")
-            .agg(exact_sum(v).alias("abs_st")))
+            .agg(F.sum(v).cast("double").alias("abs_st")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.functions import exact_sum
 from tradewatch.operators.positions import SERIES_KEYS
 from tradewatch.params import TENOR_SHARE_LIMIT, TEST_TENOR
 from tradewatch.schemas import FEED_COLUMNS
@@ -26,8 +25,8 @@ def tenor_breaks(rows: DataFrame, limit: float = TENOR_SHARE_LIMIT) -> DataFrame
                          "beyond_twelve_months", "delta")
              .dropna(subset=SERIES_KEYS))
     agg = keyed.groupBy(*SERIES_KEYS).agg(
-        exact_sum(a).alias("total"),
-        exact_sum(F.when(F.col("beyond_twelve_months") == 1, a)).alias("beyond"))
+        F.sum(a).cast("double").alias("total"),
+        F.sum(F.when(F.col("beyond_twelve_months") == 1, a)).cast("double").alias("beyond"))
     beyond = F.coalesce(F.col("beyond"), F.lit(0.0))
     share = F.when(beyond > 0, beyond / F.col("total")).otherwise(F.lit(0.0))
     return (agg.withColumn("dailyValue", share.cast("double"))

@@ -12,7 +12,7 @@ people) are deliberately *not* shipped: a deployment passes them in as a
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values: they must equal the original job's for the same results --
 TENOR_SHARE_LIMIT = 0.2          # tenor break if share beyond horizon > 0.2
@@ -116,10 +116,11 @@ class RuleSet:
     band_window: int = BAND_WINDOW
     band_k: float = BAND_K
     lookback_days: int = LOOKBACK_DAYS
-    # Split each new-high series into row chunks of this size (with a halo)
-    # instead of one window partition per series; None = one per series.
-    series_chunk_rows: int | None = None
-    extra: dict = field(default_factory=dict, compare=False)
+    # Split each new-high series into row chunks of this size (with a halo);
+    # None = one window partition per series.
+    series_chunk_rows: int | None = 10_000
+    # Last load day of the feed (None: no end).
+    until: dt.date | None = None
 
     @property
     def high_since(self) -> dt.date:
@@ -163,12 +164,12 @@ def testdata_rules(since: str = "1996-01-01") -> RuleSet:
     one = ("NATION_0",)
     positions = PositionRules(
         desk_sources=("F", "P"),
-        excluded_commodities=("Promo", "Freight", ""),
+        excluded_commodities=("Promo", "No Such Type", ""),
         holidays=("1996-12-25", "1997-07-04", "1998-12-25"),
-        excluded_position_type="NPE",
+        excluded_position_type="ALT",
         excluded_desks=("Supplier#000000003", "Supplier#000000007", "Supplier#000000011",
                         "Supplier#000000019", "Supplier#000000023", "2-HIGH",
-                        "4-not spec", "Hedge Desk"),
+                        "4-not spec", "No Such Desk"),
         tenor_sub_locations=("red plate", "small widget", "hot ring"),
         tenor_sub_location_like=("%gizmo%",),
         high_sub_locations=("red plate", "small widget", "hot ring", "hot plate",
@@ -195,9 +196,9 @@ def testdata_rules(since: str = "1996-01-01") -> RuleSet:
         excluded_accounts=("AC01", "AC02", "AC03", "AC04"),
         excluded_account_like=("AC3%",),
         excluded_subdivision_like=("SUB_4%",),
-        excluded_broker="EFP",
-        excluded_card="CHD",
-        excluded_source="STX",
+        excluded_broker="BR0",
+        excluded_card="CD0",
+        excluded_source="SX0",
         excluded_account_names=("HOLDER 8", "HOLDER 9", "HOLDER X"),
         blocked_commodity_group=("Economy", "Europe Group"),
         blocked_location_like="%ation_7%",

@@ -52,21 +52,8 @@ def _not_in(col: str, vals: Iterable[str]) -> str:
     return f"{_n(col)} NOT IN ({', '.join(_q(v) for v in vals)})"
 
 
-_UNITS = "CAST(1000000 AS DOUBLE)"
-
-
-def _dsum(expr: str) -> str:
-    """Exact sum in integer micro-units (round half even), for further sums."""
-    return f"sum(CAST(round_even(({expr}) * {_UNITS}, 0) AS BIGINT))"
-
-
-def _units(total: str) -> str:
-    return f"CAST({total} AS DOUBLE) / {_UNITS}"
-
-
-def _xsum(expr: str) -> str:
-    """Exact, order-independent sum as a double."""
-    return _units(_dsum(expr))
+def _sum(expr: str) -> str:
+    return f"CAST(sum({expr}) AS DOUBLE)"
 
 
 def _dates(vals: Iterable[str]) -> str:
@@ -86,7 +73,7 @@ positions AS (
          CASE l.l_returnflag WHEN 'A' THEN 'Purchase' WHEN 'R' THEN 'Sale' ELSE 'NA' END AS side,
          o.o_orderpriority AS trader_raw, CAST(l.l_shipdate AS DATE) AS contract_month,
          'C' || CAST(o.o_orderkey AS VARCHAR) AS contract_number,
-         CASE l.l_linenumber WHEN 7 THEN 'NPE' WHEN 6 THEN NULL ELSE 'STD' END AS position_type
+         CASE l.l_linenumber WHEN 7 THEN 'ALT' WHEN 6 THEN NULL ELSE 'STD' END AS position_type
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
@@ -235,7 +222,7 @@ GROUP BY load_month, contract_month, beyond_twelve_months""")
 def sql_tenor_exposure(r: RuleSet) -> str:
     return (_with(base_positions(r), tenor_rows(r))
             + f"""SELECT loaddate, commodity AS poscommodity, desk AS trader, subdivision,
-       beyond_twelve_months, {_xsum('abs(delta)')} AS abs_st
+       beyond_twelve_months, {_sum('abs(delta)')} AS abs_st
 FROM tenor_rows GROUP BY loaddate, commodity, desk, subdivision, beyond_twelve_months""")
 
 
@@ -244,18 +231,18 @@ def tenor_feed(r: RuleSet) -> str:
     return f"""
 tenor_exp AS (
   SELECT loaddate, commodity AS poscommodity, desk AS trader, subdivision,
-         beyond_twelve_months, {_dsum('abs(delta)')} AS abs_st
+         beyond_twelve_months, {_sum('abs(delta)')} AS abs_st
   FROM tenor_rows GROUP BY ALL
 ),
 tenor_tot AS (
-  SELECT loaddate, poscommodity, trader, subdivision, {_units('sum(abs_st)')} AS total
+  SELECT loaddate, poscommodity, trader, subdivision, sum(abs_st) AS total
   FROM tenor_exp
   WHERE loaddate IS NOT NULL AND poscommodity IS NOT NULL AND trader IS NOT NULL
     AND subdivision IS NOT NULL
   GROUP BY ALL
 ),
 tenor_out AS (
-  SELECT loaddate, poscommodity, trader, subdivision, {_units('sum(abs_st)')} AS outside
+  SELECT loaddate, poscommodity, trader, subdivision, sum(abs_st) AS outside
   FROM tenor_exp WHERE beyond_twelve_months = 1 GROUP BY ALL
 ),
 tenor_feed AS (
@@ -281,7 +268,7 @@ def high_net(r: RuleSet) -> str:
     return f"""
 high_side AS (
   SELECT scope, loaddate, commodity AS poscommodity, desk AS trader, side AS pors, subdivision,
-         {_xsum(f"CASE WHEN {_n('side')} = {_k(NET_SIDE)} THEN delta ELSE abs(delta) END")} AS abs_st
+         {_sum(f"CASE WHEN {_n('side')} = {_k(NET_SIDE)} THEN delta ELSE abs(delta) END")} AS abs_st
   FROM high_rows GROUP BY ALL
 ),
 high_net AS (
@@ -379,7 +366,7 @@ fills AS (
          'LOC_' || CAST(e.event_id % 3 AS VARCHAR) AS location,
          p.p_type AS commodity,
          CASE WHEN e.event_id % 6 < 2 THEN 'FMT' WHEN e.event_id % 6 < 4 THEN 'WFC'
-              WHEN e.event_id % 6 = 4 THEN 'STX' ELSE 'ICE' END AS source,
+              WHEN e.event_id % 6 = 4 THEN 'SX0' ELSE 'ICE' END AS source,
          CAST(date_trunc('month', CAST(e.ts AS DATE)) + to_months(e.k % 3) AS DATE)
            AS position_month,
          CASE WHEN e.k % 2 = 0 THEN 'F' ELSE 'O' END AS fin_type,
@@ -388,11 +375,11 @@ fills AS (
               WHEN e.event_type IN ('view', 'signup') THEN 'S' END AS side,
          CAST(e.value AS DECIMAL(12, 2)) AS gross_qty,
          CAST(CASE WHEN e.k % 2 = 0 THEN e.value ELSE -e.value END AS DECIMAL(12, 2)) AS mtm,
-         CASE WHEN e.k % 17 = 0 THEN 'EFP' ELSE 'BRK' END AS broker_num,
-         CASE WHEN e.k % 19 = 0 THEN 'CHD' ELSE 'CRD' END AS card_number,
+         CASE WHEN e.k % 17 = 0 THEN 'BR0' ELSE 'BRK' END AS broker_num,
+         CASE WHEN e.k % 19 = 0 THEN 'CD0' ELSE 'CRD' END AS card_number,
          CASE WHEN e.k % 11 = 0 THEN 'K' WHEN e.k % 11 = 1 THEN ' I' ELSE 'N' END AS comment_code
   FROM (SELECT *, TRY_CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS INTEGER) AS k
-        FROM events WHERE event_type <> 'error') e
+        FROM events) e
   LEFT JOIN part p ON p.p_partkey = e.k
 )"""
 
@@ -583,7 +570,7 @@ day_trade_feed AS (
          CASE WHEN dailyValue > {lim} THEN 1 ELSE 0 END AS breaks, 'day trade breaks' AS test
   FROM (
     SELECT trade_date AS loaddate, subdivision, commodity AS poscommodity, location AS trader,
-           {_xsum('coalesce(day_trade_qty, 0)')} AS dailyValue
+           {_sum('CAST(coalesce(day_trade_qty, 0) AS DECIMAL(38, 2))')} AS dailyValue
     FROM mapped
     WHERE commodity IS DISTINCT FROM {excl} {sub}
       AND trade_date IS NOT NULL AND subdivision IS NOT NULL AND commodity IS NOT NULL

@@ -134,21 +134,27 @@ def _sides(i: Inputs) -> DataFrame:
     return D.fill_sides(i.fills, i.rules.fills, i.rules.since)
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    """Decimal measures as doubles, as the original's frames held them."""
+    return df.withColumns({f.name: F.col(f.name).cast("double") for f in df.schema
+                           if f.dataType.typeName() == "decimal"})
+
+
 def q_fill_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sides(load_inputs(spark, sf_dir))
+    return _doubles(_sides(load_inputs(spark, sf_dir)))
 
 
 def q_day_trade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.day_trade_match(_sides(load_inputs(spark, sf_dir)))
+    return _doubles(D.day_trade_match(_sides(load_inputs(spark, sf_dir))))
 
 
 def q_day_trade_pnl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.day_trade_pnl(D.day_trade_match(_sides(load_inputs(spark, sf_dir))))
+    return _doubles(D.day_trade_pnl(D.day_trade_match(_sides(load_inputs(spark, sf_dir)))))
 
 
 def q_account_date_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return D.account_date_skeleton(i.fills, i.rules.fills, i.rules.since)
+    return _doubles(D.account_date_skeleton(i.fills, i.rules.fills, i.rules.since))
 
 
 def q_active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +163,7 @@ def q_active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = _sides(i)
     rows = (D.day_trade_pnl(D.day_trade_match(sides)).select(*D.ROW_COLUMNS)
             .unionByName(D.account_date_skeleton(i.fills, r.fills, r.since)))
-    return D.active_accounts(rows, sides, r.fills, r.since)
+    return _doubles(D.active_accounts(rows, sides, r.fills, r.since))
 
 
 def q_commodity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +173,7 @@ def q_commodity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_account_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return D.day_trade_rows(i.fills, i.fill_dims, i.rules.fills, i.rules.since)
+    return _doubles(D.day_trade_rows(i.fills, i.fill_dims, i.rules.fills, i.rules.since))
 
 
 def q_day_trade_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:

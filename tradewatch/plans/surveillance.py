@@ -41,7 +41,8 @@ def new_high_test(i: Inputs) -> DataFrame:
 
 
 def daily_feed(i: Inputs) -> DataFrame:
-    return FD.combined_breaks([tenor_test(i), day_trade_test(i), new_high_test(i)], i.rules.since)
+    return FD.combined_breaks([tenor_test(i), day_trade_test(i), new_high_test(i)], i.rules.since,
+                              i.rules.until)
 
 
 def run(spark: SparkSession, i: Inputs, feed_table: str, audit_table: str | None = None,

@@ -11,18 +11,18 @@ positions = lineitem JOIN orders JOIN part, one row per line item
     source          o_orderstatus         trader_raw      o_orderpriority
     location_code   l_suppkey             contract_number 'C' || o_orderkey
     side            l_returnflag A/R/N -> Purchase/Sale/NA
-    position_type   line 7 -> 'NPE', line 6 -> null, else 'STD'
+    position_type   line 7 -> 'ALT', line 6 -> null, else 'STD'
 locations (by code) = supplier, subdivisions = nation, divisions = region
 workdays = distinct non-weekend order dates
 
-fills = events without 'error' rows, k = props.k
+fills = events, k = props.k
     trade_date date(ts)          load_date  date(ts + 2 hours)
     account    'AC' || user_id % 40 (2 digits)   account_name 'HOLDER ' || user_id % 40 % 9
     subdivision 'SUB_' || user_id % 5            location 'LOC_' || event_id % 3
     commodity  p_type of part k                  source by event_id % 6
     position_month month of trade + k % 3        fin_type F/O by k parity
     strike_price null when k % 10 = 9, else (k % 2) * 5
-    side       B (purchase, click) / S (view, signup)
+    side       B (purchase, click) / S (view, signup), null for 'error' events
     gross_qty  value, mtm  value signed by k parity (both decimal(12,2): exact sums)
     broker_num / card_number / comment_code flagged by k % 17 / k % 19 / k % 11
 account_map   = nation x source ids {3, 67, 0}; account 'AC' || n_nationkey
@@ -80,7 +80,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     side = (F.when(F.col("l_returnflag") == "A", "Purchase")
             .when(F.col("l_returnflag") == "R", "Sale").otherwise("NA"))
-    ptype = (F.when(F.col("l_linenumber") == 7, "NPE")
+    ptype = (F.when(F.col("l_linenumber") == 7, "ALT")
              .when(F.col("l_linenumber") == 6, F.lit(None).cast("string")).otherwise("STD"))
     return (
         li.join(o, li.l_orderkey == o.o_orderkey)
@@ -133,11 +133,11 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     acct = F.col("user_id") % 40
     source = (F.when(F.col("event_id") % 6 < 2, "FMT")
               .when(F.col("event_id") % 6 < 4, "WFC")
-              .when(F.col("event_id") % 6 == 4, "STX").otherwise("ICE"))
+              .when(F.col("event_id") % 6 == 4, "SX0").otherwise("ICE"))
     side = (F.when(F.col("event_type").isin("purchase", "click"), "B")
             .when(F.col("event_type").isin("view", "signup"), "S"))
     comment = F.when(k % 11 == 0, "K").when(k % 11 == 1, " I").otherwise("N")
-    ev = e.where(F.col("event_type") != "error").withColumn("k", _k())
+    ev = e.withColumn("k", _k())
     return (
         ev.join(p, ev.k == p.p_partkey, "left")
         .select(
@@ -157,8 +157,8 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").cast("decimal(12,2)").alias("gross_qty"),
             F.when(k % 2 == 0, F.col("value")).otherwise(-F.col("value"))
              .cast("decimal(12,2)").alias("mtm"),
-            F.when(k % 17 == 0, "EFP").otherwise("BRK").alias("broker_num"),
-            F.when(k % 19 == 0, "CHD").otherwise("CRD").alias("card_number"),
+            F.when(k % 17 == 0, "BR0").otherwise("BRK").alias("broker_num"),
+            F.when(k % 19 == 0, "CD0").otherwise("CRD").alias("card_number"),
             comment.alias("comment_code"),
         )
     )
