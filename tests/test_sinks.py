@@ -41,8 +41,10 @@ def test_cast_by_position_g37(spark):
         T.StructField("g_test", T.StringType())])
     spark.catalog.createTable(name, source="parquet", schema=target, path=path)
     FD.append_feed(spark, feed(spark), name, convert=True)
+    long = spark.createDataFrame([(d("2024-01-04"), "abcdef", "t", "c", 0.0, 1, "x")], FEED_SCHEMA)
+    FD.append_feed(spark, long, name, convert=True)
     got = spark.table(name).orderBy("a_date").collect()
-    assert [r.b_sub for r in got] == ["s,1", None]
+    assert [r.b_sub for r in got] == ["s,1", None, "abc"]
     assert spark.table(name).schema["f_breaks"].dataType == T.LongType()
 
 
@@ -74,3 +76,26 @@ def test_run_audit(spark):
         ("PnS breaks", 1, 0, 1, ""), ("tenor breaks", 1, 1, 1, "")]
     fail = FD.audit_failure(spark, ValueError("it's \"bad\", x")).collect()[0]
     assert (fail.success, fail.message) == (0, "its bad x")
+
+
+def test_strict_append_is_by_position(spark):
+    name, path = _table(spark, "position")
+    spark.catalog.createTable(name, source="parquet", path=path, schema=T.StructType(
+        [T.StructField("a", T.StringType()), T.StructField("b", T.StringType())]))
+    FD.append_feed(spark, spark.createDataFrame([("B", "A")], "b string, a string"), name, convert=False)
+    assert tuple(spark.table(name).first()) == ("B", "A")
+
+
+def test_replace_keeps_other_tests_and_drops_lost_days(spark):
+    name, path = _table(spark, "replace")
+    FD.replace_days(spark, feed(spark), name, path)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    new = spark.createDataFrame([(d("2024-01-04"), "s", "t", "c", 1.0, 1, "tenor breaks")], FEED_SCHEMA)
+    FD.replace_days(spark, new, name)
+    assert spark.table(name).count() == 3 and spark.conf.get(key) == before
+    FD.replace_days(spark, new, name)
+    assert spark.table(name).count() == 3
+    FD.replace_days(spark, new, name, since=d("2024-01-02"))
+    got = sorted((str(r.loaddate), r.test) for r in spark.table(name).collect())
+    assert got == [("2024-01-02", "tenor breaks"), ("2024-01-04", "tenor breaks")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +46,24 @@ def cast_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
                        for c, f in zip(df.columns, target.fields)])
 
 
+def target_schema(spark: SparkSession, table: str) -> T.StructType:
+    """The table's schema with bounded strings as such: Spark reads them back
+    as plain strings and keeps the bound in the catalog."""
+    fields, plain = [], spark.table(table).schema.fields
+    for c, f in zip(spark.sql(f"DESCRIBE TABLE {table}").take(len(plain)), plain):
+        m = re.fullmatch(r"(var)?char\((\d+)\)", c["data_type"])
+        kind = (T.VarcharType if m[1] else T.CharType)(int(m[2])) if m else f.dataType
+        fields.append(T.StructField(f.name, kind, f.nullable))
+    return T.StructType(fields)
+
+
 def append_feed(spark: SparkSession, df: DataFrame, table: str, convert: bool = True,
                 path: str | None = None) -> None:
     """Append `df` to `table`, creating it (from `df`'s types) when absent.
 
     convert=True: cast by position to the existing table's types, then insert
-    by position. convert=False: insert as is, so mismatched types fail under
-    the ANSI store-assignment policy instead of being coerced.
+    by position. convert=False: insert as is, by position too, so mismatched
+    types fail under the ANSI store-assignment policy instead of being coerced.
     """
     if not spark.catalog.tableExists(table):
         kw = {"path": path} if path else {}
@@ -59,35 +71,47 @@ def append_feed(spark: SparkSession, df: DataFrame, table: str, convert: bool =
         df.write.insertInto(table)
         return
     if convert:
-        cast_to_target(df, spark.table(table).schema).write.insertInto(table)
+        cast_to_target(df, target_schema(spark, table)).write.insertInto(table)
     else:
-        df.write.mode("append").saveAsTable(table)
+        df.write.insertInto(table)
 
 
-PARTITION = "loaddate"
+PARTITIONS = ["test", "loaddate"]
 
 
-def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | None = None) -> None:
-    """Write `feed` into `table` (partitioned by load date), replacing only
-    the load days present in `feed`; the table is created when absent.
+def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | None = None,
+                 since: dt.date | None = None, partitions: list[str] = PARTITIONS) -> None:
+    """Write `feed` into `table` (partitioned by test and load date), replacing
+    only the tests and days present in `feed`; the table is created when absent.
 
-    A rerun of a day replaces all of that day's rows, so the table never
-    holds a day twice (the alternative to appending)."""
-    cols = [c for c in FEED_COLUMNS if c != PARTITION] + [PARTITION]
-    ordered = feed.select(*cols)
+    A rerun of a test's day replaces all of its rows, so the table never
+    holds it twice (the alternative to appending); other tests' rows stay. With
+    `since`, the feed is everything after that day: days that have lost all
+    their rows go. Rows are dealt by partition first, so that a day is about
+    one file and not one of every task."""
+    cols = [c for c in feed.columns if c not in partitions] + partitions
+    ordered = feed.select(*cols).repartition(*partitions)
     if not spark.catalog.tableExists(table):
-        w = ordered.write.format("parquet").partitionBy(PARTITION)
+        w = ordered.write.format("parquet").partitionBy(*partitions)
         if path:
             w = w.option("path", path)
         w.saveAsTable(table)
         return
+    # insertInto takes the mode from the session only, so it is set for the write.
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")        # replace only the days written
+    spark.conf.set(key, "dynamic")
     try:
         ordered.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(key, before)
+    if since is not None:
+        # Partition values only: bounded by the calendar.
+        there = spark.table(table).where(F.col("loaddate") > F.lit(since)).select(*partitions).distinct()
+        gone = there.join(feed.select(*partitions).distinct(), partitions, "left_anti").collect()
+        for r in gone:
+            spec = ", ".join(f"{c} = '{r[c]}'" for c in partitions)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
 def stage_delimited(df: DataFrame, path: str, sep: str = STAGE_SEP,

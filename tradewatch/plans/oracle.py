@@ -607,6 +607,20 @@ def sql_combined_breaks(r: RuleSet) -> str:
     return _feed_all(r) + "SELECT * FROM combined"
 
 
+def sql_feed_append_cast(r: RuleSet) -> str:
+    return _feed_all(r) + """SELECT loaddate AS day, substr(subdivision, 1, 6) AS area, trader AS desk,
+       poscommodity AS commodity, dailyValue AS value, CAST(breaks AS BIGINT) AS broken, substr(test, 1, 5) AS kind
+FROM combined"""
+
+
+def sql_feed_append_strict(r: RuleSet) -> str:
+    return _feed_all(r) + "SELECT * FROM combined UNION ALL SELECT * FROM combined"
+
+
+def sql_feed_rerun(r: RuleSet) -> str:
+    return _feed_all(r) + "SELECT * FROM combined WHERE loaddate > DATE '1997-06-01'"
+
+
 def sql_run_audit(r: RuleSet) -> str:
     return _feed_all(r) + """SELECT 'trade surveillance' AS process, 'Job Complete' AS step, test,
        count(*) AS rows, CAST(sum(breaks) AS BIGINT) AS breaks, min(loaddate) AS min_date,
@@ -639,6 +653,10 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "day_trade_breaks": sql_day_trade_breaks(r),
         "combined_breaks": sql_combined_breaks(r),
         "feed_append": sql_combined_breaks(r),
+        "feed_append_cast": sql_feed_append_cast(r),
+        "feed_append_strict": sql_feed_append_strict(r),
+        "feed_replace": sql_combined_breaks(r),
+        "feed_rerun": sql_feed_rerun(r),
         "delimited_stage": sql_combined_breaks(r),
         "run_audit": sql_run_audit(r),
     }

@@ -6,10 +6,12 @@ Every query reads the whole driver tables of `sf_dir` through
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewatch.functions import beyond_horizon, month_start
 from tradewatch.operators import daytrades as D
@@ -186,6 +188,18 @@ def q_combined_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.daily_feed(load_inputs(spark, sf_dir))
 
 
+#: The rerun query rebuilds the feed from this day on.
+RERUN_SINCE = dt.date(1997, 6, 1)
+
+
+def q_feed_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed after a later day, rebuilt from the written net volume of the full run."""
+    i = load_inputs(spark, sf_dir)
+    path = scratch_path(spark, "net")
+    S.net_volume(i).write.parquet(path)
+    return S.rerun_feed(i, RERUN_SINCE, spark.read.parquet(path))
+
+
 def q_feed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append the feed to a fresh table under the shared folder (created from
     the feed's types because it is absent) and read the table back."""
@@ -196,6 +210,46 @@ def q_feed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def _existing(spark: SparkSession, name: str, schema: T.StructType) -> str:
+    path = scratch_path(spark, name)
+    table = f"tw_{name}_" + path.rsplit("-", 1)[-1]
+    spark.catalog.createTable(table, source="parquet", schema=schema, path=path)
+    return table
+
+
+#: A target table of other names, a bounded string and a wider integer.
+CAST_TARGET = T.StructType([
+    T.StructField("day", T.DateType()), T.StructField("area", T.VarcharType(6)), T.StructField("desk", T.StringType()),
+    T.StructField("commodity", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("broken", T.LongType()), T.StructField("kind", T.VarcharType(5))])
+
+
+def q_feed_append_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the feed to an existing table, cast by position to its types."""
+    table = _existing(spark, "feed_cast", CAST_TARGET)
+    FD.append_feed(spark, S.daily_feed(load_inputs(spark, sf_dir)), table, convert=True)
+    return spark.table(table)
+
+
+def q_feed_append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the feed twice to an existing table as it is: two runs add the days twice."""
+    feed = S.daily_feed(load_inputs(spark, sf_dir))
+    table = _existing(spark, "feed_strict", feed.schema)
+    FD.append_feed(spark, feed, table, convert=False)
+    FD.append_feed(spark, feed, table, convert=False)
+    return spark.table(table)
+
+
+def q_feed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed replaced by a rerun over the same days: every test and day is there once."""
+    feed = S.daily_feed(load_inputs(spark, sf_dir))
+    path = scratch_path(spark, "replace")
+    table = "tw_replace_" + path.rsplit("-", 1)[-1]
+    FD.replace_days(spark, feed, table, path)
+    FD.replace_days(spark, feed, table)
+    return spark.table(table).select(*FEED_SCHEMA.fieldNames())
+
+
 def q_delimited_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage the feed as '~'-separated files and read it back typed."""
     feed = S.daily_feed(load_inputs(spark, sf_dir))
@@ -234,6 +288,10 @@ def registry() -> dict[str, Query]:
         "day_trade_breaks": q_day_trade_breaks,
         "combined_breaks": q_combined_breaks,
         "feed_append": q_feed_append,
+        "feed_append_cast": q_feed_append_cast,
+        "feed_append_strict": q_feed_append_strict,
+        "feed_replace": q_feed_replace,
+        "feed_rerun": q_feed_rerun,
         "delimited_stage": q_delimited_stage,
         "run_audit": q_run_audit,
     }

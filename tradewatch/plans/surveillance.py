@@ -7,7 +7,10 @@ error in one test no longer hides the others' plans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tradewatch.operators import daytrades as D
 from tradewatch.operators import feed as FD
@@ -40,6 +43,31 @@ def new_high_test(i: Inputs) -> DataFrame:
     return H.new_high_breaks(net_volume(i), i.rules.new_high_window, i.rules.series_chunk_rows)
 
 
+def rerun_net_volume(i: Inputs, since: dt.date, history: DataFrame) -> DataFrame:
+    """Net volume after `since` from the positions, before it each series' last
+    ``window - 1`` rows of `history` (net volume written by an earlier run).
+
+    By rows, not days: a window of 252 rows may reach back years."""
+    r = i.rules
+    fresh = net_volume(i.with_rules(r.with_(since=since, lookback_days=0)))
+    back = F.row_number().over(Window.partitionBy(*H.SERIES).orderBy(*[F.desc(c) for c in H.ORDER]))
+    last = (history.where(F.col("loaddate") <= F.lit(since)).select(*fresh.columns)
+            .withColumn("_back", back).where(F.col("_back") < max(r.new_high_window, 2)).drop("_back"))
+    return last.unionByName(fresh)
+
+
+def rerun_feed(i: Inputs, since: dt.date, history: DataFrame) -> DataFrame:
+    """The feed's rows after `since`, equal to the full run's.
+
+    Exposure after `since` needs no earlier day. New highs take their look-back
+    from `history`. The day-trade test is computed over the full run's days and
+    cut, because which accounts are active depends on all of them."""
+    later = i.with_rules(i.rules.with_(since=since))
+    highs = H.new_high_breaks(rerun_net_volume(i, since, history), i.rules.new_high_window,
+                              i.rules.series_chunk_rows)
+    return FD.combined_breaks([tenor_test(later), day_trade_test(i), highs], since, i.rules.until)
+
+
 def daily_feed(i: Inputs) -> DataFrame:
     return FD.combined_breaks([tenor_test(i), day_trade_test(i), new_high_test(i)], i.rules.since,
                               i.rules.until)

@@ -5,13 +5,15 @@ result. Run continuously, the same job becomes: watch the folder where the
 position fact lands (file source, new files only), and for each micro-batch
 
 1. take the earliest load date among the newly landed rows (one scalar),
-2. rerun the three tests with ``since`` = the day before it -- the new-high
-   test reads its usual look-back before that date,
-3. replace the feed's partitions for every load day after ``since``
-   (dynamic partition overwrite of a feed table partitioned by load date).
+2. rerun the three tests for the days from it on; the new-high test takes the
+   rows before it from a table of daily net volume that the job keeps, by row
+   count, so the result equals a full run's,
+3. replace the feed's and the net volume's partitions of these days (dynamic
+   partition overwrite).
 
 Step 3 makes a retried micro-batch harmless: it rewrites the same days with
-the same rows, so the feed holds each day once (no duplicate appends).
+the same rows, so the feed holds each day once (no duplicate appends). The
+feed is written before the net volume: a retry reads what the first try read.
 """
 
 from __future__ import annotations
@@ -25,22 +27,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewatch.operators.feed import replace_days
 from tradewatch.plans.inputs import Inputs
-from tradewatch.plans.surveillance import daily_feed
+from tradewatch.plans.surveillance import daily_feed, net_volume, rerun_feed
 from tradewatch.schemas import POSITIONS_SCHEMA
-
-def rerun_from(inputs: Inputs, since: dt.date) -> DataFrame:
-    return daily_feed(inputs.with_rules(inputs.rules.with_(since=since)))
-
+from tradewatch.session import shared_dir
 
 def batch_handler(spark: SparkSession, inputs: Callable[[], Inputs], table: str,
                   path: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: rerun the tests from the batch's first day."""
+    """foreachBatch function: rerun the tests from the batch's first day; the
+    net volume is kept in `table` + "_net" (below `path` + "_net")."""
+    net_table, net_path = f"{table}_net", f"{path}_net" if path else None
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         first = batch.agg(F.min("loaddate")).first()[0]
         if first is None:
             return
-        replace_days(spark, rerun_from(inputs(), first - dt.timedelta(days=1)), table, path)
+        i = inputs()
+        r, back = i.rules, first - dt.timedelta(days=1)
+        if back < r.high_since or not spark.catalog.tableExists(net_table):
+            back = r.high_since                     # all days that any test reads
+        fresh = net_volume(i.with_rules(r.with_(since=back, lookback_days=0))).checkpoint(eager=True)
+        if back < r.since:
+            since, feed = r.since, daily_feed(i)
+        else:
+            since, feed = back, rerun_feed(i, back, spark.table(net_table))
+        replace_days(spark, feed, table, path, since)
+        replace_days(spark, fresh, net_table, net_path, back, ["loaddate"])
 
     return handle
 
@@ -51,6 +62,7 @@ def start(spark: SparkSession, landing: str, inputs: Callable[[], Inputs], table
     """Watch `landing` (parquet files of the position fact) and keep `table`
     current. `inputs()` must read the position fact from `landing` as a
     table (all days), plus the other inputs."""
+    shared_dir(spark)
     reader = spark.readStream.schema(POSITIONS_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
