@@ -81,3 +81,25 @@ def test_concurrent_first_use_writes_once(spark):
     for t in threads:
         t.join()
     assert out == [100, 100, 100] and len(calls) == 1
+
+
+def test_replaced_input_is_read_again(spark):
+    from tradewatch.session import scratch_path
+
+    source = scratch_path(spark, "source")
+    name = "r" + uuid.uuid4().hex[:8]
+
+    def table(n):
+        spark.range(n).write.mode("overwrite").parquet(source)
+        build = lambda: spark.read.parquet(source).select(F.current_date().alias("loaddate"), F.col("id").alias("v"))
+        return written_table(spark, name, build, [source], "loaddate", SCHEMA).count()
+
+    assert [table(10), table(500)] == [10, 500]
+
+
+def test_schema_is_part_of_the_key(spark):
+    name, src = "s" + uuid.uuid4().hex[:8], [f"/nonexistent/{uuid.uuid4().hex}.parquet"]
+    build = lambda: spark.range(3).select(F.current_date().alias("loaddate"), F.col("id").alias("v"), F.col("id").alias("w"))
+    assert written_table(spark, name, build, src, "loaddate", SCHEMA).columns == ["loaddate", "v"]
+    wide = T.StructType([*SCHEMA.fields, T.StructField("w", T.LongType())])
+    assert written_table(spark, name, build, src, "loaddate", wide).columns == ["loaddate", "v", "w"]

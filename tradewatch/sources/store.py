@@ -12,12 +12,10 @@ files instead of replaying the source joins.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,30 +26,33 @@ from tradewatch.session import shared_dir
 # to keep footers and listing cheap.
 BYTES_PER_FILE = 256 << 20
 
+#: Part of every table's key: raise it when what the adapters derive changes.
+VERSION = 2
+
 # One writer per table name within a process (queries may run in threads).
 _LOCK = threading.Lock()
 
 
-def _local(p: str) -> str | None:
-    p = p[5:] if p.startswith("file:") else p
-    return p if "://" not in p and os.path.exists(p) else None
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of a path, by the session's Hadoop settings: a path
+    without a scheme is on the cluster's default file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _fingerprint(sources: list[str]) -> tuple[str, int | None]:
-    """Hash of names plus size and mtime of local sources; their total size
-    (None when a source is remote and its size unknown here)."""
-    h = hashlib.sha1()
-    total: int | None = 0
-    for p in sorted(sources):
-        h.update(p.encode())
-        lp = _local(p)
-        if lp is None:
-            total = None
+def _fingerprint(spark: SparkSession, sources: list[str], schema: T.StructType) -> tuple[str, int]:
+    """Hash of version, schema, and the sources' names, lengths, file counts and
+    times; their total length."""
+    h = hashlib.sha1(f"{VERSION}:{schema.json()}".encode())
+    total = 0
+    for s in sorted(sources):
+        h.update(s.encode())
+        fs, p = _at(spark, s)
+        if not fs.exists(p):
             continue
-        st = os.stat(lp)
-        h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
-        if total is not None:
-            total += st.st_size
+        c = fs.getContentSummary(p)
+        total += c.getLength()
+        h.update(f"{c.getLength()}:{c.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}".encode())
     return h.hexdigest()[:16], total
 
 
@@ -61,7 +62,7 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
     """The table `name` derived from `sources`, written once per fingerprint
     and read back with its declared `schema` (`files` fixes the file count,
     e.g. 1 for a small dimension)."""
-    key, size = _fingerprint(sources)
+    key, size = _fingerprint(spark, sources, schema)
     path = f"{shared_dir(spark).rstrip('/')}/tradewatch/tables/{name}-{key}"
     if _complete(spark, path):
         return spark.read.schema(schema).parquet(path)
@@ -74,29 +75,17 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
 def _complete(spark: SparkSession, path: str) -> bool:
     """True when a committed write left its ``_SUCCESS`` marker (a write cut
     short by a failure is rewritten, not read)."""
-    marker = f"{path}/_SUCCESS"
-    if path.startswith("file:") or "://" not in path:     # local folder: ask the OS
-        return os.path.exists(marker[5:] if marker.startswith("file:") else marker)
-    try:
-        spark.read.text(marker)
-        return True
-    except AnalysisException:
-        return False
+    fs, marker = _at(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
 
 
-def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size: int | None,
+def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size: int,
            order_by: str, schema: T.StructType, files: int | None = None) -> DataFrame:
-    """Write the table; on a local shared folder into a private folder first,
-    then renamed into place, so a concurrent process never sees half of it."""
-    reader = spark.read.schema(schema)
-    local = path.startswith("file:") or "://" not in path
-    target = f"{path}.tmp-{uuid.uuid4().hex}" if local else path
+    """Write the table into a private folder first, then rename it into place,
+    so a concurrent process never sees half of it."""
+    target = f"{path}.tmp-{uuid.uuid4().hex}"
     # At least one file per core so small tables still scan in parallel.
-    n = spark.sparkContext.defaultParallelism
-    if size is not None:
-        n = max(n, -(-size // BYTES_PER_FILE))
-    if files:
-        n = files
+    n = files or max(spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_FILE))
     # Range on (date, row hash): files cover date ranges (min/max skipping),
     # and a date holding a large share of the rows is split across files.
     cols = schema.fieldNames()
@@ -105,13 +94,11 @@ def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size:
      .repartitionByRange(n, order_by, "_spread").sortWithinPartitions(order_by)
      .drop("_spread")
      .write.mode("overwrite").parquet(target))
-    if local:
-        src, dst = (p[5:] if p.startswith("file:") else p for p in (target, path))
-        if os.path.exists(dst) and not os.path.exists(dst + "/_SUCCESS"):
-            os.rename(dst, f"{dst}.incomplete-{uuid.uuid4().hex}")   # a cut-short write
-        try:
-            os.rename(src, dst)                    # atomic on one filesystem
-        except OSError:
-            if not os.path.exists(dst + "/_SUCCESS"):   # else another process won the race
-                raise
-    return reader.parquet(path)
+    fs, src = _at(spark, target)
+    _, dst = _at(spark, path)
+    if fs.exists(dst) and not _complete(spark, path):            # a cut-short write
+        fs.rename(dst, _at(spark, f"{path}.incomplete-{uuid.uuid4().hex}")[1])
+    # Another process may have won the race: then its table is read.
+    if not fs.exists(dst) and not fs.rename(src, dst) and not _complete(spark, path):
+        raise OSError(f"{target} can't be renamed to {path}")
+    return spark.read.schema(schema).parquet(path)
