@@ -333,3 +333,53 @@ def test_weekday(spark):
 def test_clean_message_g41(spark):
     df = spark.createDataFrame([("it's \"bad\", x",)], "m string")
     assert rows(df.select(FD.clean_message("m")), "*") == [("its bad x",)]
+
+
+# ---------------------------------------------------------------- collation, own-type sums, windows
+
+def test_text_keys_ignore_case_and_trailing_blanks(spark):
+    f = spark.createDataFrame([
+        fill("B", 5.0, account="AC10", commodity="Corn"), fill("b ", 2.0, account="ac10 ", commodity="CORN"),
+        fill("S", 4.0, account="Ac10", commodity="corn ")], FILL_COLS)
+    sides = D.fill_sides(f, FILLS, SINCE)
+    assert sorted(rows(sides, "account", "commodity", "qty")) == [("AC10", "CORN", 7.0), ("Ac10", "corn ", 4.0)]
+    assert rows(D.day_trade_match(sides), "day_trade_qty") == [(4.0,)]
+    out = D.day_trade_rows(f, _fill_dims(spark), FILLS, SINCE)
+    matched = out.where("day_trade_qty > 0")
+    assert rows(matched, "subdivision", "location", "commodity", "day_trade_qty") == [
+        ("East", "Plant", "Corn Products", 4.0)]
+    assert {r.account for r in D.skeleton_accounts(f, FILLS, SINCE).collect()} == {"AC10"}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_keep_small_and_large_values(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        day = d("2024-03-04")
+        data = [(day, "c", "small", "s", 1, 4e-7)] * 10 + [(day, "c", "large", "s", 0, 5e12)] * 2 + \
+            [(day, "c", "large", "s", 1, 5e12)] * 2
+        df = spark.createDataFrame(data, TENOR_COLS)
+        got = {(r.trader, r.beyond_twelve_months): r.abs_st for r in P.tenor_exposure(df).collect()}
+        assert got[("small", 1)] == pytest.approx(4e-6) and got[("large", 0)] == got[("large", 1)] == 1e13
+        assert {r.trader: r.dailyValue for r in tenor_breaks(df).collect()} == {"small": 1.0, "large": 0.5}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_decimal_quantities_add_up_exactly(spark):
+    f = (spark.createDataFrame([fill("B", 0.1)] * 10 + [fill("S", 0.7)] * 3, FILL_COLS)
+         .withColumn("gross_qty", F.col("gross_qty").cast("decimal(12,2)")))
+    m = D.day_trade_match(D.fill_sides(f, FILLS, SINCE)).collect()
+    assert [str(r.day_trade_qty) for r in m] == ["1.00"]
+
+
+def test_window_of_one_row_and_short_chunks(spark):
+    net = spark.createDataFrame([(d(f"2024-03-0{i}"), "c", "t", "s", 5.0, 5.0) for i in range(1, 5)],
+                                "loaddate date, poscommodity string, trader string, subdivision string, "
+                                "pns double, dailyValue double")
+    want = [r.breaks for r in H.new_high_flags(net, 1).orderBy("loaddate").collect()]
+    got = [r.breaks for r in H.new_high_flags(net, 1, chunk_rows=2).orderBy("loaddate").collect()]
+    assert got == want == [1, 0, 0, 0]
+    with pytest.raises(ValueError):
+        H.new_high_flags(net, 3, chunk_rows=1)

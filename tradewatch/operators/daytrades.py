@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tradewatch.functions import (
     ilike_any,
     in_text,
+    norm,
     not_in_text,
     same_text,
 )
@@ -45,6 +46,9 @@ from tradewatch.schemas import FEED_COLUMNS, FillDims
 GROUP_KEYS = ["trade_date", "account", "subdivision", "location", "commodity", "source",
               "position_month", "fin_type", "pors", "account_name", "strike_price"]
 MATCH_KEYS = ["trade_date", "commodity", "account", "position_month", "fin_type", "strike_price"]
+# Text keys are equal when they differ in case or trailing blanks only, as in the
+# SQL layer; the least spelling of a group stands for it.
+TEXT_KEYS = {"account", "subdivision", "location", "commodity", "source", "fin_type", "pors", "account_name"}
 MEASURES = ["purchase_qty", "purchase_pnl", "sale_qty", "sale_pnl", "day_trade_qty",
             "day_trade_pnl"]
 ROW_COLUMNS = GROUP_KEYS + MEASURES
@@ -66,16 +70,22 @@ def _account_filter(rules: FillRules, since: dt.date) -> Column:
             & (F.col("gross_qty") != 0))
 
 
+def _grouped(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """Group by keys, text keys by their normal form; the result has the least spelling of each."""
+    by = [norm(k).alias(f"_{k}") if k in TEXT_KEYS else F.col(k) for k in keys]
+    text = [F.min(k).alias(k) for k in keys if k in TEXT_KEYS]
+    out = df.groupBy(*by).agg(*text, *aggs) if text or aggs else df.select(*by).distinct()
+    return out.select(*keys, *[c for c in out.columns if c not in keys and not c.startswith("_")])
+
+
 def fill_sides(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
     """Σ quantity and Σ MTM per group and side, buys and sells in one pass, in
     the columns' own types (decimals stay decimals)."""
     cond = (_account_filter(rules, since)
             & not_in_text("comment_code", EXCLUDED_COMMENT_CODES)
             & in_text("side", [BUY_CODE, SELL_CODE]))
-    return (fills.where(cond)
-            .withColumnRenamed("side", "pors")
-            .groupBy(*GROUP_KEYS)
-            .agg(F.sum("gross_qty").alias("qty"), F.sum("mtm").alias("pnl")))
+    return _grouped(fills.where(cond).withColumnRenamed("side", "pors"), GROUP_KEYS,
+                    F.sum("gross_qty").alias("qty"), F.sum("mtm").alias("pnl"))
 
 
 def day_trade_match(sides: DataFrame) -> DataFrame:
@@ -87,7 +97,8 @@ def day_trade_match(sides: DataFrame) -> DataFrame:
     sells = sides.where(same_text("pors", SELL_CODE)).select(
         *[F.col(k).alias(f"s_{k}") for k in MATCH_KEYS],
         F.col("qty").alias("sale_qty"), F.col("pnl").alias("sale_pnl"))
-    on = [buys[k] == sells[f"s_{k}"] for k in MATCH_KEYS]
+    on = [norm(buys[k]) == norm(sells[f"s_{k}"]) if k in TEXT_KEYS else buys[k] == sells[f"s_{k}"]
+          for k in MATCH_KEYS]
     m = buys.join(sells, on, "left")
     dtq = (F.when(F.col("purchase_qty") < F.col("sale_qty"), F.col("purchase_qty"))
            .otherwise(F.col("sale_qty")))
@@ -107,7 +118,7 @@ def day_trade_pnl(match: DataFrame) -> DataFrame:
 
 def skeleton_accounts(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
     cond = _account_filter(rules, since) & not_in_text("account_name", rules.excluded_account_names)
-    return fills.where(cond).select("account", "account_name", "commodity", "source").distinct()
+    return _grouped(fills.where(cond), ["account", "account_name", "commodity", "source"])
 
 
 def trading_days(fills: DataFrame, since: dt.date) -> DataFrame:
@@ -152,14 +163,14 @@ def account_date_skeleton(fills: DataFrame, rules: FillRules, since: dt.date) ->
 
 
 def buying_accounts(sides: DataFrame) -> DataFrame:
-    return sides.where(same_text("pors", BUY_CODE)).select("account").distinct()
+    return sides.where(same_text("pors", BUY_CODE)).select(norm("account").alias("_buyer")).distinct()
 
 
 def active_accounts(rows: DataFrame, sides: DataFrame, rules: FillRules,
                     since: dt.date) -> DataFrame:
     """Rows of accounts with at least one buy group (semi join), minus the
     excluded account names, traded after `since`."""
-    return (rows.join(buying_accounts(sides), "account", "left_semi")
+    return (rows.join(buying_accounts(sides), norm("account") == F.col("_buyer"), "left_semi")
             .where(not_in_text("account_name", rules.excluded_account_names)
                    & (F.col("trade_date") > F.lit(since))))
 
@@ -183,7 +194,7 @@ def commodity_groups(dims: FillDims, rules: FillRules) -> DataFrame:
 def attach_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Left join on the commodity description; a commodity in several groups
     yields one row per group."""
-    return (rows.join(groups, rows.commodity == groups.commoditydescription, "left")
+    return (rows.join(groups, norm(rows.commodity) == norm(groups.commoditydescription), "left")
             .drop("commoditydescription"))
 
 
@@ -204,7 +215,7 @@ def account_location(rows: DataFrame, dims: FillDims, rules: FillRules) -> DataF
     loc = dims.locations.select("location_id", F.col("location").alias("map_location"), "subdivision_id")
     sub = dims.subdivisions.select("subdivision_id", F.col("subdivision").alias("map_subdivision"))
     keyed = rows.withColumn("_source_id", source_id("source"))
-    on = [(keyed.account == amap.source_report_code) & (keyed._source_id == amap.source_id)]
+    on = [(norm(keyed.account) == norm(amap.source_report_code)) & (keyed._source_id == amap.source_id)]
     return (keyed.join(amap, on, "inner")
             .join(loc, "location_id", "inner")
             .join(sub, "subdivision_id", "inner")
@@ -261,7 +272,7 @@ def day_trade_feed(fills: DataFrame, dims: FillDims, rules: FillRules, since: dt
         F.col("map_location").alias("location"), F.col("commgrp").alias("commodity"),
         "day_trade_qty", "day_trade_pnl")
     keys = (skeleton_accounts(fills, rules, since)
-            .join(buying_accounts(sides), "account", "left_semi"))
+            .join(buying_accounts(sides), norm("account") == F.col("_buyer"), "left_semi"))
     desks = (account_location(attach_group(keys, groups), dims, rules)
              .select(F.col("map_subdivision").alias("subdivision"),
                      F.col("map_location").alias("location"),
