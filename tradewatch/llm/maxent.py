@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from tradewatch.llm.common import binary_list, doc_texts, slices, split_train, written
 
 HELD_OUT, MODULUS = 2, 7
-MODEL_WORDS, LEAST_COUNT = 1 << 16, 3
+MODEL_WORDS, LEAST_COUNT = 1 << 15, 3
 CLASSES = 32                 # the last is `rare`
-BUCKETS = 1 << 16
+BUCKETS = 1 << 15
 #: Most frequent words that a word's neighbourhood is described by, and its reach.
-CONTEXT, REACH = 64, 3
+CONTEXT, REACH = 32, 3
 ROUNDS, BATCH, RATE = 2, 8192, 0.5
 #: Tables added up in one group.
 FAN = 16
