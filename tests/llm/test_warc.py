@@ -59,3 +59,9 @@ def test_query_rows_and_edge_cases(spark):
         want += [(i, *r) for r in warc.derive(*warc.response(i, u, h))]
     assert sorted((str(r.page_id), r.record_id, bytes(r.block)) for r in back) == sorted((str(w[0]), w[1], w[3]) for w in want)
     assert warc.read_members(warc.members(warc.derivatives(warc.responses(df.limit(0))))).count() == 0
+
+
+def test_links_resolve_as_urljoin_does():
+    for target in ("http://a.b/c/d?e#f", "https://x:8/", "http://a", "ftp://a/b", "", None, "http://u:p@a/b"):
+        for link in ("/x", "/x/y.z/", "/", "/é", "/a/../b", "/./a", "//c/d", "q", "?x", "#y", "", "/a?b", "/a#", "/a;b", "http://z/", "/a//b", "/.a"):
+            assert warc.absolute(target, link) == urljoin(target or "", link), (target, link)

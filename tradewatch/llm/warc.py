@@ -46,6 +46,8 @@ RECORD = "record_id string, headers array<struct<name:string,value:string>>, blo
 
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LINK = re.compile(r"""<a\s(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_ORIGIN = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?=[/?#]|$)")
+_ROOTED = re.compile(r"/(?:[\w,~-][\w.,~-]*/)*(?:[\w,~-][\w.,~-]*)?")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
 
@@ -62,7 +64,9 @@ def identifier(*parts: bytes) -> str:
 
 def line(value: str) -> str:
     """A header value without line ends."""
-    return re.sub(r"[\r\n]+", " ", value).strip()
+    if "\r" in value or "\n" in value:
+        value = re.sub(r"[\r\n]+", " ", value)
+    return value.strip()
 
 
 def first(headers: Headers, name: str) -> str | None:
@@ -87,6 +91,17 @@ def decoded(body: bytes, content_type: str | None) -> str:
         return body.decode("utf-8", "replace")
 
 
+def absolute(target: str | None, link: str) -> str:
+    """The link as an absolute URL; as it is when it can't be one."""
+    m = _ORIGIN.match(target or "")
+    if m and _ROOTED.fullmatch(link):
+        return m[0] + link                       # what urljoin gives, without taking the URL apart
+    try:
+        return urljoin(target or "", link)
+    except ValueError:
+        return link
+
+
 def plain_text(page: str) -> str:
     """The text of all blocks of a page, a line each."""
     return "\n".join(t for _, t in blocks(page))
@@ -124,11 +139,7 @@ def derive(key: str, headers: Headers, block: bytes) -> list[tuple[str, Headers,
     if title:
         fields.append(("title", " ".join(t for _, t in blocks(f"<p>{title[1]}"))))
     for m in _LINK.finditer(page):
-        link = m[1] or m[2] or m[3] or ""
-        try:
-            fields.append(("outlink", urljoin(target or "", link)))
-        except ValueError:
-            fields.append(("outlink", link))
+        fields.append(("outlink", absolute(target, m[1] or m[2] or m[3] or "")))
     about = "".join(f"{n}: {line(v)}\r\n" for n, v in fields).encode("utf-8", "replace")
     text = plain_text(page).encode("utf-8", "replace")
 
@@ -145,7 +156,7 @@ def derive(key: str, headers: Headers, block: bytes) -> list[tuple[str, Headers,
 def to_bytes(headers: Headers, block: bytes) -> bytes:
     """A record as a gzip member (without a time, so equal records give equal bytes)."""
     head = b"".join([VERSION, b"\r\n", *(f"{n}: {line(v)}\r\n".encode("utf-8", "replace") for n, v in headers), b"\r\n"])
-    return gzip.compress(head + block + b"\r\n\r\n", mtime=0)
+    return gzip.compress(head + block + b"\r\n\r\n", compresslevel=6, mtime=0)
 
 
 def from_bytes(data: bytes) -> Iterator[tuple[Headers, bytes]]:
