@@ -27,7 +27,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Id appended to every document.
 END_ID = 1
 #: Bounds of a worker's word table: entries, and length of a word worth keeping.
-MAX_WORDS, MAX_WORD_BYTES = 1_000_000, 64
+MAX_WORDS, MAX_WORD_BYTES = 500_000, 64
 
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
