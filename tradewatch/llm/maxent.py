@@ -25,7 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -82,7 +82,7 @@ def indexed(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
             ids, rare, n = [], [], []
             for t in binary_list(b.column("text")):
                 ws = tokens(t)
-                at = np.fromiter((rank.get(w, other) for w in ws), np.int32, len(ws))
+                at = np.fromiter(map(rank.get, ws, repeat(other)), np.int32, len(ws))
                 ids.append(at.tobytes())
                 rare.append([ws[i] for i in np.flatnonzero(at == other)])
                 n.append(len(ws))
@@ -243,7 +243,7 @@ def train_task(lists: Iterator[list[np.ndarray]], words: Words, weights: np.ndar
             f, y = features[a:a + BATCH], target[a:a + BATCH]
             wrong = np.exp(class_log_probs(weights, bias, f))
             wrong[np.arange(len(y)), y] -= 1
-            flat = f.ravel()
+            flat = f.ravel().astype(np.uint16)          # BUCKETS fit; 16-bit keys sort by radix
             order = np.argsort(flat, kind="stable")
             rows, first = np.unique(flat[order], return_index=True)
             slope = np.add.reduceat(wrong[order // f.shape[1]], first, axis=0)
