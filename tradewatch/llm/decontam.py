@@ -83,6 +83,12 @@ def _bitmap_at(grams: np.ndarray) -> np.ndarray:
     return (grams.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
+def in_table(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set: always for hashes the table was made of, by chance for others."""
+    at = _bitmap_at(grams)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def items_of(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, n_words, words, stems, grams) of each test item with LEAST_WORDS words or more.
 
@@ -137,8 +143,7 @@ def neighbourhoods(docs: DataFrame, table, reach: int) -> DataFrame:
                 ws = words(t)
                 h = word_hashes(ws)
                 grams = gram_hashes(h)
-                where = _bitmap_at(grams)
-                hits = np.flatnonzero(bits[where >> 3] >> (where & 7).astype(np.uint8) & 1)
+                hits = np.flatnonzero(in_table(bits, grams))
                 if not len(hits):
                     continue
                 for group in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * reach) + 1):
