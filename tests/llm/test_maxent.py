@@ -82,3 +82,35 @@ def test_edge_cases(spark, odd_docs, no_docs):
     only = spark.createDataFrame([(i, "a b") for i in range(30) if held(i)], "doc_id long, text string")
     for r in m.score(only).collect():
         assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and math.isfinite(r.score)
+
+
+def test_words_and_weights_grow_with_the_vocabulary(spark):
+    words = [f"w{i}" for i in range(66_000)]
+    texts = [" ".join(words[a:a + 1000]) for a in range(0, len(words), 1000) for _ in range(m.LEAST_COUNT)]
+    ids = [i for i in range(1000) if not held(i)]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    docs = docs.withColumn("held_out", m.split_train(m.HELD_OUT, m.MODULUS))
+    model, _ = m.learn(docs)
+    assert len(model.vocabulary) == model.distinct == 66_001 and model.rare_mass == 1
+    assert len(model.weights) >= 66_000 and model.in_class.shape == (66_001, m.CLASSES + 1)
+    edges = np.cumsum(model.words.sizes)[:-1]
+    for part in np.split(10.0 ** model.in_class.astype(float), edges):
+        assert not len(part) or part.sum(axis=0) == pytest.approx(np.ones(m.CLASSES + 1), abs=1e-3)
+
+
+def test_neighbourhoods_match_plain_counting(spark, monkeypatch):
+    monkeypatch.setattr(m, "HEAD", 0)
+    rng = np.random.default_rng(3)
+    lists = [rng.integers(0, 9001, 200).astype(np.int32) % rng.integers(1, 9001) for _ in range(40)]
+    docs = spark.createDataFrame([(bytearray(x.tobytes()),) for x in lists], "ids binary").repartition(5)
+    plain = np.zeros((3 * m.ROWS, 2 * m.CONTEXT))
+    for ids in lists:
+        for i, w in enumerate(ids):
+            for d in range(1, m.REACH + 1):
+                if w < 9000 and i >= d and ids[i - d] < m.CONTEXT:
+                    plain[w, ids[i - d]] += 1
+                if w < 9000 and i + d < len(ids) and ids[i + d] < m.CONTEXT:
+                    plain[w, m.CONTEXT + ids[i + d]] += 1
+    got = {r.block: np.frombuffer(r.data) for r in m.neighbours(docs, 9000).collect()}
+    for k in range(3):
+        assert (got.get(k, np.zeros(1)) == plain[k * m.ROWS:(k + 1) * m.ROWS].ravel()).all()

@@ -4,9 +4,9 @@
 
 * Class stage: log-linear over CLASSES classes. Features of the history are
   the previous word, the previous two words, and the skip words two and three
-  back, each hashed to one of BUCKETS rows of weights.
-* Word stage: log-linear within a class over the MODEL_WORDS most frequent
-  words (of those seen LEAST_COUNT times), with a weight for each word and each (word, class of the previous word).
+  back, each hashed to a row of weights (BUCKETS rows at least, and as many as model words).
+* Word stage: log-linear within a class over the words seen LEAST_COUNT times,
+  with a weight for each word and each (word, class of the previous word).
 * All other words form the class `rare`, where a word counts c + 1 (c: its
   training count) and an unknown word 1. So the probabilities of the V known
   words and the unknown one sum to 1 for every history.
@@ -14,9 +14,11 @@
 Training: every task runs minibatch gradient steps over its documents from
 the common weights; the changes are averaged, weighted by tokens, in rounds.
 Sums of tasks' tables are made in levels of at most FAN tables a group. The
-word stage is fitted class by class, a class a group. What reaches the driver
-has a fixed size (MODEL_WORDS words, the tables); counts of all words stay in
-a written table and are joined to the documents' rare words.
+word stage is fitted class by class, a class a group. Neighbourhoods, pair
+counts and gradient sums stay in Spark as blocks; the driver gathers the model
+words and the finished weights (float32), which grow with the vocabulary.
+Counts of all words stay in a written table and are joined to the documents'
+rare words.
 """
 
 from __future__ import annotations
@@ -37,11 +39,16 @@ from pyspark.sql import functions as F
 from tradewatch.llm.common import binary_list, doc_texts, slices, split_train, written
 
 HELD_OUT, MODULUS = 2, 7
-MODEL_WORDS, LEAST_COUNT = 1 << 15, 3
+#: Model words: all that were seen so often.
+LEAST_COUNT = 3
 CLASSES = 32                 # the last is `rare`
-BUCKETS = 1 << 15
+#: Least rows of weights; more where there are more model words.
+BUCKETS = 1 << 16
 #: Most frequent words that a word's neighbourhood is described by, and its reach.
-CONTEXT, REACH = 32, 3
+CONTEXT, REACH = 64, 3
+#: Words of a block of neighbourhoods; blocks of frequent words that a task counts before it reports
+#: them, and from which the first centres are picked.
+ROWS, HEAD = 4096, 4
 ROUNDS, BATCH, RATE = 2, 8192, 0.5
 #: Tables added up in one group.
 FAN = 16
@@ -111,53 +118,95 @@ def summed(rows: DataFrame, tasks: int) -> DataFrame:
             return rows.select("block", "data")
 
 
-def over_tasks(docs: DataFrame, work: Callable[[Iterator[list[np.ndarray]]], list[np.ndarray]]) -> DataFrame:
-    """Tables that `work` makes of each task's documents (lists of id arrays), added up: (block, data)."""
+_SPARSE = pa.schema([("task", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("n", pa.binary())])
+_SPARSE_DDL = "task long, block int, data binary, n binary"
+
+
+def _sparse(task: int, keys: np.ndarray, n: np.ndarray, edges: np.ndarray, first: int = 0) -> pa.RecordBatch:
+    """Counts at ascending places of a table that is cut at `edges`: a row a block, places from its start."""
+    cut = np.searchsorted(keys, edges)
+    found = np.flatnonzero(np.diff(cut))
+    return pa.RecordBatch.from_pylist(
+        [{"task": task, "block": first + int(k), "data": (keys[cut[k]:cut[k + 1]] - edges[k]).astype(np.int32).tobytes(),
+          "n": n[cut[k]:cut[k + 1]].astype(np.float32).tobytes()} for k in found], _SPARSE)
+
+
+def sparse_summed(rows: DataFrame, length: Callable[[int], int], tasks: int, width: int = 1) -> DataFrame:
+    """(block, data): sparse tables (task, block, data: places, n: `width` values a place) added up to
+    dense float64 blocks of `length` places."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf["block"].iloc[0])
+        total = np.zeros((length(k), width))
+        for at, n in zip(pdf["data"], pdf["n"]):
+            total[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.float32).reshape(-1, width)
+        return pd.DataFrame({"task": [pdf["task"].iloc[0] // FAN], "block": [k], "data": [total.tobytes()]})
+
+    dense = (rows.groupBy(F.expr(f"task div {FAN}").alias("g"), "block")
+             .applyInPandas(add, "task long, block int, data binary"))
+    tasks = -(-tasks // FAN)
+    return summed(dense, tasks) if tasks > 1 else dense.select("block", "data")
+
+
+def _id_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    return ([np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))] for b in slices(batches, "ids", 4 << 20))
+
+
+def neighbours(docs: DataFrame, words: int) -> DataFrame:
+    """(block, data): how often each word has each of the CONTEXT most frequent words within REACH
+    places, in written blocks of ROWS words x 2 CONTEXT."""
+    width = 2 * CONTEXT
+    edges = np.arange(-(-words // ROWS) + 1) * ROWS * width
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        lists = ([np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))]
-                 for b in slices(batches, "ids", 4 << 20))
-        for k, t in enumerate(work(lists)):
-            yield pa.RecordBatch.from_pylist([{"task": task, "block": k, "data": t.astype(np.float64).tobytes()}],
-                                             pa.schema([("task", pa.int64()), ("block", pa.int32()),
-                                                        ("data", pa.binary())]))
-
-    docs = docs.select("ids")
-    return summed(docs.mapInArrow(run, "task long, block int, data binary"), docs.rdd.getNumPartitions())
-
-
-def _blocks(table: np.ndarray, rows: int) -> list[np.ndarray]:
-    return [table[a:a + rows] for a in range(0, len(table), rows)]
-
-
-def _gathered(blocks: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
-    """The table of a fixed size on the driver; zeros without rows."""
-    found = sorted(blocks.collect(), key=lambda r: r["block"])
-    if not found:
-        return np.zeros(shape)
-    return np.concatenate([np.frombuffer(r["data"]) for r in found]).reshape(shape)
-
-
-def neighbours(lists: Iterator[list[np.ndarray]], words: int) -> np.ndarray:
-    """How often each word has each of the CONTEXT most frequent words within REACH places (words x 2 CONTEXT)."""
-    table = np.zeros((words + 1) * 2 * CONTEXT, np.float32)
-    for docs in lists:
-        found = []
-        for d in range(1, REACH + 1):
-            for ids in docs:
-                left, right = ids[:-d], ids[d:]
-                found.append((right * (2 * CONTEXT) + left)[left < CONTEXT])
-                found.append((left * (2 * CONTEXT) + CONTEXT + right)[right < CONTEXT])
-        at, n = np.unique(np.concatenate(found), return_counts=True)
-        table[at] += n
-    return table.reshape(words + 1, -1)[:words]
-
-
-def cluster(table: np.ndarray, k: int, steps: int = 12) -> np.ndarray:
-    """A class for each word (rows by falling frequency): spherical k-means of their neighbourhoods."""
-    share = table / np.maximum(table.sum(axis=0, keepdims=True), 1)
+        head = np.zeros(min(HEAD * ROWS, words) * width, np.float32)
+        for lists in _id_lists(batches):
+            found = [np.zeros(0, np.int64)]
+            for d in range(1, REACH + 1):
+                for ids in lists:
+                    left, right = ids[:-d].astype(np.int64), ids[d:].astype(np.int64)
+                    found.append((right * width + left)[(left < CONTEXT) & (right < words)])
+                    found.append((left * width + CONTEXT + right)[(right < CONTEXT) & (left < words)])
+            at, n = np.unique(np.concatenate(found), return_counts=True)
+            cut = np.searchsorted(at, len(head))
+            head[at[:cut]] += n[:cut]
+            yield _sparse(task, at[cut:], n[cut:], edges)
+        at = np.flatnonzero(head)
+        yield _sparse(task, at, head[at], edges)
+
+    found = docs.select("ids").mapInArrow(run, _SPARSE_DDL)
+    return written(sparse_summed(found, lambda k: ROWS * width, docs.rdd.getNumPartitions()), "neighbours")
+
+
+def _directions(data: bytes, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors of a block's neighbourhoods, weights); words without neighbours are 0."""
+    table = np.frombuffer(data).reshape(-1, 2 * CONTEXT)
+    share = table / np.maximum(columns, 1)
     x = np.sqrt(share / np.maximum(share.sum(axis=1, keepdims=True), 1e-300)).astype(np.float32)
-    weight = np.sqrt(table.sum(axis=1, keepdims=True)).astype(np.float32)
+    return x, np.sqrt(table.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def cluster(blocks: DataFrame, words: int, k: int, steps: int = 12) -> np.ndarray:
+    """A class for each word (blocks of rows by falling frequency): spherical k-means of their
+    neighbourhoods. A step adds up the centres block by block in Spark."""
+    spark = blocks.sparkSession
+
+    def over_blocks(work: Callable[[int, bytes], np.ndarray]) -> list[tuple[int, bytes]]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"block": b["block"],
+                                    "data": [work(k, d).tobytes() for k, d in zip(b["block"], b["data"])]})
+        return sorted((r["block"], bytes(r["data"])) for r in blocks.mapInPandas(run, "block int, data binary").collect())
+
+    def in_block(i: int) -> int:
+        return min(ROWS, words - i * ROWS)
+
+    columns = np.sum([np.frombuffer(d) for _, d in over_blocks(
+        lambda i, d: np.frombuffer(d).reshape(-1, 2 * CONTEXT).sum(axis=0))] or [np.zeros(2 * CONTEXT)], axis=0)
+    heads = {r["block"]: _directions(bytes(r["data"]), columns) for r in blocks.where(F.col("block") < HEAD).collect()}
+    blank = np.zeros((ROWS, 2 * CONTEXT), np.float32), np.zeros((ROWS, 1), np.float32)
+    parts = [tuple(v[:in_block(i)] for v in heads.get(i, blank)) for i in range(min(HEAD, -(-words // ROWS)))]
+    x, weight = (np.concatenate(v) for v in zip(*parts))
     k = min(k, len(x))
     centre = x[:1]
     near = x @ centre[0]
@@ -166,12 +215,32 @@ def cluster(table: np.ndarray, k: int, steps: int = 12) -> np.ndarray:
         centre = np.concatenate((centre, x[pick:pick + 1]))
         near = np.maximum(near, x @ x[pick])
     for _ in range(steps):
-        label = (x @ centre.T).argmax(axis=1)
-        total = np.zeros_like(centre)
-        np.add.at(total, label, x * weight)
+        shared = spark.sparkContext.broadcast((centre, columns))
+
+        def add(i: int, data: bytes, shared=shared) -> np.ndarray:
+            centre, columns = shared.value
+            x, weight = _directions(data, columns)
+            total = np.zeros(centre.shape)
+            np.add.at(total, (x @ centre.T).argmax(axis=1), x * weight)
+            return total
+
+        total = np.sum([np.frombuffer(d).reshape(centre.shape) for _, d in over_blocks(add)] or [0 * centre], axis=0)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
-        centre = np.where(norm > 0, total / np.maximum(norm, 1e-30), centre)
-    return (x @ centre.T).argmax(axis=1)
+        centre = np.where(norm > 0, total / np.maximum(norm, 1e-30), centre).astype(np.float32)
+    shared = spark.sparkContext.broadcast((centre, columns))
+    label = np.zeros(words, np.int64)
+    for i, d in over_blocks(lambda i, d: (_directions(d, shared.value[1])[0] @ shared.value[0].T).argmax(axis=1)
+                            .astype(np.uint8)):
+        label[i * ROWS:i * ROWS + in_block(i)] = np.frombuffer(d, np.uint8)[:in_block(i)]
+    return label
+
+
+def _gathered(found: DataFrame, blocks: int, shape: tuple[int, int]) -> np.ndarray:
+    """The table (`blocks` float32 blocks of equal size) on the driver; zeros where there are no rows."""
+    out = np.zeros(shape, np.float32)
+    for r in found.collect():
+        out.reshape(blocks, -1)[r["block"]] = np.frombuffer(r["data"], np.float32)
+    return out
 
 
 @dataclass
@@ -182,16 +251,17 @@ class Words:
     classes: np.ndarray      # id -> class; the place before the text has a class of its own
     sizes: np.ndarray        # words of each class but `rare`
     counts: np.ndarray       # id -> training count
+    buckets: int             # rows of weights
 
     @classmethod
-    def of(cls, label: np.ndarray, counts: np.ndarray) -> Words:
+    def of(cls, label: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> Words:
         n = len(label)
         by_class = np.argsort(label, kind="stable")
         order = np.empty(n + 1, np.int32)
         order[by_class] = np.arange(n)
         order[n] = n
         return cls(order, np.concatenate((label[by_class], [CLASSES - 1, CLASSES])).astype(np.int32),
-                   np.bincount(label, minlength=CLASSES - 1), counts[by_class])
+                   np.bincount(label, minlength=CLASSES - 1), counts[by_class], buckets)
 
     @property
     def n(self) -> int:
@@ -208,7 +278,7 @@ class Words:
         keys = np.stack((one, one * np.uint64(0x1000003) + two, two, three), axis=1)
         h = keys * _SALTS + np.arange(4, dtype=np.uint64)
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        features = ((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32)
+        features = ((h >> np.uint64(40)) % np.uint64(self.buckets)).astype(np.int32)
         return every[at], features, self.classes[every[at - 1]]
 
 
@@ -223,35 +293,41 @@ def class_log_probs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray)
     return z
 
 
-def train_task(lists: Iterator[list[np.ndarray]], words: Words, weights: np.ndarray, bias: np.ndarray,
-               blocks: int) -> list[np.ndarray]:
-    """A task's gradient steps: its weights' change times its tokens, in blocks of rows (a column more
-    holds the tokens), then for each class the counts of (word, class of the previous word)."""
+def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, weights: np.ndarray, bias: np.ndarray,
+               blocks: int) -> Iterator[pa.RecordBatch]:
+    """A task's gradient steps: for each class (block `blocks` on) the counts of (word, class of the previous
+    word), slice by slice, then the change of the weights that it touched times its tokens, in blocks of rows."""
     start, weights = weights, weights.copy()
     scale = np.full(len(weights), 1.0, np.float32)
-    pairs = np.zeros((words.n + 1) * (CLASSES + 1))
+    edges = np.concatenate(([0], np.cumsum(words.sizes))) * (CLASSES + 1)
     n = 0
     for ranks in lists:
         if not ranks:
             continue
         ids, features, before = words.history(ranks)
         at, k = np.unique(ids.astype(np.int64) * (CLASSES + 1) + before, return_counts=True)
-        pairs[at] += k
+        yield _sparse(task, at, k, edges, blocks)
         target = words.classes[ids]
         n += len(ids)
         for a in range(0, len(ids), BATCH):
             f, y = features[a:a + BATCH], target[a:a + BATCH]
             wrong = np.exp(class_log_probs(weights, bias, f))
             wrong[np.arange(len(y)), y] -= 1
-            flat = f.ravel().astype(np.uint16)          # BUCKETS fit; 16-bit keys sort by radix
-            order = np.argsort(flat, kind="stable")
+            flat = f.ravel()
+            order = np.argsort(flat.astype(np.uint16), kind="stable")      # 16-bit keys sort by radix
+            if len(weights) > 1 << 16:
+                order = order[np.argsort((flat >> 16).astype(np.uint16)[order], kind="stable")]
             rows, first = np.unique(flat[order], return_index=True)
             slope = np.add.reduceat(wrong[order // f.shape[1]], first, axis=0)
             scale[rows] += (slope * slope).sum(axis=1)
             weights[rows] -= RATE * slope / np.sqrt(scale[rows])[:, None]
-    change = np.concatenate(((weights - start) * n, np.full((len(weights), 1), n)), axis=1)
-    by_class = np.split(pairs.reshape(-1, CLASSES + 1)[:words.n], np.cumsum(words.sizes)[:-1])
-    return [*_blocks(change, -(-len(weights) // blocks)), *by_class]
+    size = len(weights) // blocks
+    touched = np.flatnonzero(scale != 1)
+    for k, rows in enumerate(np.split(touched, np.searchsorted(touched, np.arange(1, blocks) * size))):
+        if len(rows):
+            yield pa.RecordBatch.from_pylist(
+                [{"task": task, "block": k, "data": (rows - k * size).astype(np.int32).tobytes(),
+                  "n": ((weights[rows] - start[rows]) * np.float32(n)).tobytes()}], _SPARSE)
 
 
 def fit_class(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -287,49 +363,72 @@ class Model:
     rare_mass: float             # of rare words, c + 1 each, and 1 for the unknown word
 
 
-def learn(docs: DataFrame, model_words: int = MODEL_WORDS) -> tuple[Model, DataFrame]:
-    """The model of the documents (doc_id, text, held_out) that are not held out, and all documents indexed."""
+def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataFrame]:
+    """The model of the documents (doc_id, text, held_out) that are not held out, and all documents indexed.
+
+    Model words are all words seen LEAST_COUNT times, or the `model_words` most frequent of them.
+    """
     spark = docs.sparkSession
     counts = written(word_counts(docs.where(~F.col("held_out"))), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= LEAST_COUNT)
-           .orderBy(F.desc("n"), "word").limit(model_words).collect()]
-    vocabulary, n = [w for w, _ in top], np.array([k for _, k in top], np.float64)
-    rare_mass = float(total - n.sum()) + (distinct - len(top)) + 1
+    frequent = counts.where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word")
+    top = (frequent if model_words is None else frequent.limit(model_words)).toArrow()
+    vocabulary, n = top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.float64)
+    del top
+    rare_mass = float(total - n.sum()) + (distinct - len(vocabulary)) + 1
     rows = indexed(docs, vocabulary)
     own = rows.where(~F.col("held_out"))
     size = len(vocabulary)
 
-    table = _gathered(over_tasks(own, lambda lists: _blocks(neighbours(lists, size), 4096)), (size, 2 * CONTEXT))
-    words = Words.of(cluster(table, CLASSES - 1) if size else np.zeros(0, int), n)
+    label = cluster(neighbours(own, size), size, CLASSES - 1) if size else np.zeros(0, int)
+    buckets = max(BUCKETS, 1 << max(size - 1, 0).bit_length())
+    words = Words.of(label, n, buckets)
     share = np.bincount(words.classes[:size], n, minlength=CLASSES)
     share[CLASSES - 1] += max(total - n.sum(), 0)
     bias = np.log((share + 1) / (share + 1).sum()).astype(np.float32)
-    weights = np.zeros((BUCKETS, CLASSES), np.float32)
-    blocks, pairs = 64, 0.0
+    weights = np.zeros((buckets, CLASSES), np.float32)
+    blocks, pairs = max(64, buckets // ROWS), None
+    tasks = own.rdd.getNumPartitions()
     for k in range(ROUNDS):
         start = spark.sparkContext.broadcast((words, weights, bias))
         part = own.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k)
-        # Written: the class blocks and the weight blocks are read apart.
-        sums = written(over_tasks(part, lambda lists, s=start: train_task(lists, *s.value, blocks)), "round")
-        change = _gathered(sums.where(F.col("block") < blocks), (BUCKETS, CLASSES + 1))
-        weights = weights + (change[:, :-1] / np.maximum(change[:, -1:], 1)).astype(np.float32)
-        pairs = sums.where(F.col("block") >= blocks) if k == 0 else pairs.union(sums.where(F.col("block") >= blocks))
 
-    by_class = spark.sparkContext.broadcast(np.split(words.counts, np.cumsum(words.sizes)[:-1]))
+        def train(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
+            yield from train_task(TaskContext.get().partitionId(), _id_lists(batches), *start.value, blocks)
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["block"].iloc[0])
-        own_counts = by_class.value[k - blocks]
-        found = np.sum([np.frombuffer(x) for x in pdf["data"]], axis=0).reshape(len(own_counts), CLASSES + 1)
-        out = fit_class(found, own_counts) if len(own_counts) else found
-        return pd.DataFrame({"block": [k], "data": [out.tobytes()]})
+        trained = max(part.agg(F.sum("n_tokens")).first()[0] or 0, 1)
 
-    in_class = _gathered(pairs.groupBy("block").applyInPandas(fit, "block int, data binary"), (size, CLASSES + 1))
-    return Model(counts, total, distinct, vocabulary, words, weights, bias, in_class.astype(np.float32), rare_mass), rows
+        def average(batches: Iterator[pd.DataFrame], trained=trained) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"block": b["block"], "data": [
+                    (np.frombuffer(x) / trained).astype(np.float32).tobytes() for x in b["data"]]})
 
-
-def score(docs: DataFrame, model_words: int = MODEL_WORDS) -> DataFrame:
+        # Written: the class blocks and the weight blocks are read apart.
+        made = written(part.select("ids").mapInArrow(train, _SPARSE_DDL), "round")
+        change = sparse_summed(made.where(F.col("block") < blocks), lambda k: buckets // blocks, tasks, CLASSES)
+        weights = weights + _gathered(change.mapInPandas(average, "block int, data binary"), blocks, (buckets, CLASSES))
+        found = made.where(F.col("block") >= blocks)
+        pairs = found if pairs is None else pairs.union(found)
+
+    sizes, by_class = words.sizes, spark.sparkContext.broadcast(np.split(words.counts, np.cumsum(words.sizes)[:-1]))
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [fit_class(np.frombuffer(d).reshape(-1, CLASSES + 1), by_class.value[k - blocks]).astype(np.float32)
+                   .tobytes() for k, d in zip(b["block"], b["data"])]
+            yield pd.DataFrame({"block": b["block"], "data": out})
+
+    # Every word was seen, so every class with words has pairs.
+    sums = sparse_summed(pairs, lambda k: int(sizes[k - blocks]) * (CLASSES + 1), tasks)
+    in_class = np.zeros((size, CLASSES + 1), np.float32)
+    ends = np.cumsum(sizes)
+    for r in sums.mapInPandas(fit, "block int, data binary").collect():
+        k = r["block"] - blocks
+        in_class[ends[k] - sizes[k]:ends[k]] = np.frombuffer(r["data"], np.float32).reshape(-1, CLASSES + 1)
+    return Model(counts, total, distinct, vocabulary, words, weights, bias, in_class, rare_mass), rows
+
+
+def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document row.
 
     base_score is the add-one unigram log10 probability, score the model's.
