@@ -78,3 +78,20 @@ def test_redaction_and_edge_cases(spark, odd_docs, no_docs):
     empty = hashlib.sha256(b"").hexdigest()
     assert {r.base_sha256 for r in s.digest(s.find_secrets(odd_docs)).collect()} == {empty}
     assert s.find_secrets(no_docs).count() == 0 and s.redact(no_docs).count() == 0
+
+
+def test_underscore_prefixes_long_tokens_and_long_configurations():
+    assert kinds("DB_USER=admin\nDB_PASS=hunter2x\nDB_HOST=db.internal") == [
+        "USER=admin|identifier", "PASS=hunter2x|weak_secret", "HOST=db.internal|endpoint"]
+    assert kinds("aws_access_key_id = bob1\naws_secret_access_key = abcdefgh1234") == [
+        "access_key_id = bob1|identifier", "secret_access_key = abcdefgh1234|weak_secret"]
+    assert kinds("superuser=bob bypass=hunter2x") == []
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefghABCDEFGH0123456789") for _ in range(700)) + "aA0"
+    assert kinds(f"user=bob session {long} end") == ["user=bob|identifier", f"{long}|weak_secret"]
+    lines = "\n".join(f"  option_{i}: value{i}\n  # about option {i}" for i in range(40))
+    assert kinds(f"app: {{\n  user: bob\n{lines}\n  pwd: hunter2\n}}") == ["user: bob|identifier", "pwd: hunter2|weak_secret"]
+    prose = "\n".join(["a line of plain words"] * 20)
+    assert kinds(f"user: bob\n{prose}\npwd: hunter2") == []
+    assert kinds(f"user: bob\n{lines}\n\npwd: hunter2") == []
+    assert s.redact_text("DB_USER=admin\nDB_PASS=hunter2x") == "DB_[SECRET]\nDB_[SECRET]"

@@ -6,8 +6,9 @@ endpoint, a short assigned value, a random-looking string) are common in
 clean text and are reported only when the parts of one credential come
 together: each part is an interval of the text, and an interval join pairs
 secrets with access identifiers and endpoints that lie in the same scope
-(a paragraph, or the whole text without blank lines) at most REACH
-characters apart. A weak secret needs an identifier or an endpoint, a weak
+(a paragraph, or the whole text without blank lines), at most REACH
+characters apart or at any distance within a run of configuration lines
+(assignments, comments, brackets). A weak secret needs an identifier or an endpoint, a weak
 identifier or an endpoint needs a secret.
 
 A scope never leaves its document, and a document's text is in one task as a
@@ -38,19 +39,22 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % LEAST_HEX)
 
 IDENTIFIER = re.compile(
-    r"""(?ai:\b(?:user(?:_?name)?|login|client_?id|account_?id|(?:access_?)?key_?id))["']?\x20*[:=]\x20*["']?"""
+    r"""(?ai:(?<![a-z0-9])(?:user(?:_?name)?|login|client_?id|account_?id|(?:access_?)?key_?id))["']?\x20*[:=]\x20*["']?"""
     r"""([A-Za-z0-9@+/_.-]{2,})""")
 ENDPOINT = re.compile(
-    r"""(?ai:\b[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{3,})|(?ai:\b(?:host(?:name)?|server|endpoint))["']?\x20*[:=]"""
-    r"""\x20*["']?[A-Za-z0-9._-]{4,}(?::[0-9]{2,5})?|\b(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z0-9-]{1,63}:[0-9]{2,5}\b""")
+    r"""(?ai:(?<![a-z0-9])[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{3,})|(?ai:(?<![a-z0-9])(?:host(?:name)?|server|endpoint))"""
+    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}(?::[0-9]{2,5})?|(?<![^\W_])(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z0-9-]{1,63}:[0-9]{2,5}\b""")
 WEAK_ASSIGN = re.compile(
-    r"""(?ai:\b(?:pwd|pass|passphrase|auth|credentials?|private_?key|(?:secret_?)?access_?key))["']?\x20*[:=]"""
+    r"""(?ai:(?<![a-z0-9])(?:pwd|pass|passphrase|auth|credentials?|private_?key|(?:secret_?)?access_?key))["']?\x20*[:=]"""
     r"""\x20*["']?([A-Za-z0-9+/_.=!@#$%^&*-]{4,})""")
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,128}(?![A-Za-z0-9+/_-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 _BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
+_LINE = (r"""[\x20\t]*(?:(?:-\x20+|export\x20+|set\x20+)?["']?[A-Za-z_][A-Za-z0-9_.\[\]-]*["']?\x20*[:=][^\n]*"""
+         r"""|(?:\#|;|//)[^\n]*|[{}()\[\],;]+[\x20\t\r]*)""")
+_CONFIG = re.compile(rf"^{_LINE}(?:\n{_LINE})+$", re.M)
 
 KINDS = ("assign", "access", "hex", "weak_secret", "identifier", "endpoint")
-#: Most characters between the parts of one credential.
+#: Most characters between the parts of one credential outside of configuration lines.
 REACH = 200
 #: Least bits a character of a random-looking string.
 LEAST_BITS = 3.5
@@ -109,15 +113,25 @@ def weak_spans(text: str, strong: dict[str, list[Span]]) -> dict[str, list[Span]
     if not partners:
         return {}
     breaks = np.array([m.end() for m in _BLANK_LINE.finditer(text)], np.int64)
+    # A run of configuration lines is a scope of its own, without a reach.
+    runs = np.array([m.span() for m in _CONFIG.finditer(text)], np.int64).reshape(-1, 2)
+
+    def joined(parts: list[Span], others: list[Span]) -> np.ndarray:
+        near = linked(parts, others, breaks)
+        if not len(runs) or near.all():
+            return near
+        inside = np.searchsorted(runs.ravel(), [a for a, _ in parts], "right") % 2 == 1
+        return near | inside & linked(parts, others, runs.ravel(), len(text))
+
     found = [m.span() for m in WEAK_ASSIGN.finditer(text)]
     found += _apart([m.span() for m in RANDOM.finditer(text) if _random_looking(m[0])], found)
     weak = sorted(_apart(found, taken + identifiers + endpoints))
-    weak = [s for s, ok in zip(weak, linked(weak, partners, breaks)) if ok]
+    weak = [s for s, ok in zip(weak, joined(weak, partners)) if ok]
     secrets = secrets + weak
     return {
         "weak_secret": weak,
-        "identifier": [s for s, ok in zip(identifiers, linked(identifiers, secrets, breaks)) if ok],
-        "endpoint": [s for s, ok in zip(endpoints, linked(endpoints, secrets, breaks)) if ok],
+        "identifier": [s for s, ok in zip(identifiers, joined(identifiers, secrets)) if ok],
+        "endpoint": [s for s, ok in zip(endpoints, joined(endpoints, secrets)) if ok],
     }
 
 
