@@ -62,3 +62,18 @@ def test_edge_cases(spark, odd_docs, no_docs):
     assert kept.schema == odd_docs.schema and kept.count() == odd_docs.count() - 4
     assert d.contamination(no_docs, bench).count() == 0
     assert d.contamination(odd_docs, bench.limit(0)).count() == 0
+
+
+def test_clean_documents_stay_beside_short_items(spark):
+    short = ["What is the boiling point of osmium", "Name the capital of Chad now",
+             "Which of the following is the best answer to it", "How many of the people in the room are left handed today"]
+    clean = ["I do not know what is the matter with a garden that is dry", "they name the capital of a company in the report",
+             "which of the following is true was asked of him", "how many of the people in the village saw it is unknown"]
+    copies = [f"question {t.upper()} and so on" for t in short]
+    bench = spark.createDataFrame(list(enumerate(short)), "item_id long, text string")
+    rows = list(enumerate(clean)) + [(100 + i, t) for i, t in enumerate(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contamination(docs, bench).collect()} == {(100 + i, i) for i in range(4)}
+    assert {r.doc_id for r in d.decontaminate(docs, bench).collect()} == set(range(4))
+    assert [round(d.least_score(n) / n, 6) for n in (5, 9, 15, 60)] == [0.9, 0.9, 0.4, 0.4]
+    assert all(d.least_score(n) > 6 for n in range(7, 15)) and d.least_score(100) == 25

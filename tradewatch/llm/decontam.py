@@ -15,7 +15,8 @@
    substitutions and gaps, so edited and paraphrased copies score too.
 
 A document is contaminated by an item when the best alignment reaches SHARE
-of the item's words, or LONG words of a long item.
+of the item's words, or LONG words of a long item. A few common words in a row
+reach SHARE of a short item, so nearly the whole of it is asked for (least_score).
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ N_GRAM = 3
 RARE, WINDOW = 0.01, 3
 #: Contaminated: alignment score by item words, or the score itself.
 SHARE, LONG = 0.4, 25.0
+#: Share of items of up to SHORT words; it falls to SHARE at FULL words.
+SHORT_SHARE, SHORT, FULL = 0.9, 9, 15
 #: Items of fewer words can't be told from chance and are never reported.
 LEAST_WORDS = 5
 MATCH, STEM, MISMATCH, GAP = 1.0, 0.5, -0.5, -0.5
@@ -193,6 +196,12 @@ def align(a: np.ndarray, a_stem: np.ndarray, b: np.ndarray, b_stem: np.ndarray)
     return best, *span
 
 
+def least_score(n: int, share: float = SHARE, long: float = LONG) -> float:
+    """The alignment score from which on an item of `n` words contaminates."""
+    part = min(max((n - SHORT) / (FULL - SHORT), 0.0), 1.0)
+    return min(max(share, SHORT_SHARE + (SHARE - SHORT_SHARE) * part) * n, long)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, long: float = LONG) -> DataFrame:
     """(doc_id, text_hash, item_id, score, share, start, end): the contaminated documents and by which item.
 
@@ -242,7 +251,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, l
                 text, stems = (np.frombuffer(r[c], np.uint32)[a:z] for c in ("words", "stems"))
                 item, item_stems = (np.frombuffer(r[c], np.uint32) for c in ("item_words", "item_stems"))
                 score, s, e = align(item, item_stems, text, stems)
-                if score >= share * n or score >= long:
+                if score >= least_score(n, share, long):
                     out.append({"doc_id": r["doc_id"], "text_hash": r["text_hash"], "item_id": r["item_id"],
                                 "item": r["item"], "score": score, "share": score / n,
                                 "start": r["start"] + a + s, "end": r["start"] + a + e})
