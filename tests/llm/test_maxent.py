@@ -101,7 +101,7 @@ def test_words_and_weights_grow_with_the_vocabulary(spark):
 def test_neighbourhoods_match_plain_counting(spark, monkeypatch):
     monkeypatch.setattr(m, "HEAD", 0)
     rng = np.random.default_rng(3)
-    lists = [rng.integers(0, 9001, 200).astype(np.int32) % rng.integers(1, 9001) for _ in range(40)]
+    lists = [(rng.integers(0, 9001, 200) % rng.integers(1, 9001)).astype(np.int32) for _ in range(40)]
     docs = spark.createDataFrame([(bytearray(x.tobytes()),) for x in lists], "ids binary").repartition(5)
     plain = np.zeros((3 * m.ROWS, 2 * m.CONTEXT))
     for ids in lists:
