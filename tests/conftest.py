@@ -5,11 +5,10 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-if str(ROOT) not in sys.path:
-    sys.path.insert(0, str(ROOT))
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+# This folder too: modules shared by the tests have names of their own, since tests/llm has a conftest as well.
+for folder in (ROOT / "tests", ROOT):
+    if str(folder) not in sys.path:
+        sys.path.insert(0, str(folder))
 
 
 @pytest.fixture(scope="session")

@@ -3,8 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry
-from conftest import SF_ORACLE
-from oracle_harness import compare, duck
+from oracle_harness import SF_ORACLE, compare, duck
 from tradewatch.plans.oracle import oracle_sql
 from tradewatch.plans.queries import registry as queries
 

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tradewatch.plans.queries import registry as queries
-from conftest import SF_SMALL
+from oracle_harness import SF_SMALL
 from tradewatch.operators import highs as H
 from tradewatch.plans import queries as Q
 

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tradewatch.plans.queries import registry as queries
-from conftest import SF_ORACLE
+from oracle_harness import SF_ORACLE
 from tradewatch.operators import highs as H
 
 SETTINGS = settings(max_examples=12, deadline=None,

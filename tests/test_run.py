@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from oracle_harness import SF_SMALL
 from tradewatch.plans.inputs import load_inputs
 from tradewatch.plans.surveillance import daily_feed, run
 from tradewatch.session import scratch_path

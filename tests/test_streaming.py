@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_harness import SF_SMALL
 from tradewatch.plans.inputs import load_inputs
 from tradewatch.plans.surveillance import daily_feed
 from tradewatch.schemas import POSITIONS_SCHEMA
