@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewatch.session import scratch_path
@@ -86,3 +86,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
 def split_train(remainder: int, modulus: int):
     """Column: crc32 of the doc_id as text leaves `remainder` (the held-out rows); null id: training."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written, with a column `row`: 0 to n - 1, each once, whatever keys the rows have.
+
+    A row's place within its partition is written with it; the partitions' starts are added from a
+    table of one row a partition.
+    """
+    flat = written(df.withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftrightunsigned("_at", 33)
+    counts = flat.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return (flat.withColumn("_part", part).join(starts, "_part")
+            .select(*df.columns, place.alias("row")))

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their DuckDB SQL."""
+"""The registered queries of the operators and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import html_extract, langid, maxent, mih, packing, secret_scan, warc
+from tradewatch.llm import html_extract, langid, maxent, mih, packing, secret_scan, warc, whitening
 from tradewatch.llm.common import ship, table, written
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
@@ -77,6 +77,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of all vectors."""
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -86,7 +91,7 @@ def _shipped(query: Query) -> Query:
 
 def registry() -> dict[str, Query]:
     found = (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash,
-             op8_warc, op9_mih, op10_packing)
+             op8_warc, op9_mih, op10_packing, op13_whitening)
     return {q.__name__: _shipped(q) for q in found}
 
 
