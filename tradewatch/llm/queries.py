@@ -103,13 +103,13 @@ def registry() -> dict[str, Query]:
 #: Every query beside every other row; list lengths keep vectors of another dimension apart.
 OP11_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, c -> CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, [CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+    AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum([p[1] * p[2] for p in list_zip(q.x, c.x)]) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
   WHERE q.vec_id % 100 = 0),
 ranked AS (
