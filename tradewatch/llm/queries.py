@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import ball_tree, html_extract, langid, maxent, mih, packing, secret_scan, warc, whitening
+from tradewatch.llm import ball_tree, html_extract, langid, maxent, mih, packing, secret_scan, spelling, warc, whitening
 from tradewatch.llm.common import ship, table, written
 from tradewatch.llm.decontam import contamination
 from tradewatch.llm.elias_fano import read_tokens, token_folder, write_tokens
@@ -82,6 +82,11 @@ def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 32 whitened components of all vectors."""
     return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
@@ -96,7 +101,8 @@ def _shipped(query: Query) -> Query:
 
 def registry() -> dict[str, Query]:
     found = (op1_decontamination, op2_secrets, op3_langid, op4_maxent, op5_html, op6_elias_fano, op7_simhash,
-             op8_warc, op9_mih, op10_packing, op11_ball_tree, op13_whitening)
+             op8_warc, op9_mih, op10_packing, op11_ball_tree, op12_spelling,
+             op13_whitening)
     return {q.__name__: _shipped(q) for q in found}
 
 
