@@ -36,14 +36,15 @@ def test_tenor_one_exchange_no_self_join(spark):
     assert "SortMergeJoin" not in text and "HashAggregate" in text
 
 
-def test_new_high_window_one_sort_per_spec(spark):
+def test_new_high_windows_share_one_exchange(spark):
     text = formatted(H.new_high_breaks(Q._net(Q.load_inputs(spark, SF_SMALL)), chunk_rows=None))
-    # max, count and lag share one window spec: one Exchange and one Sort
+    # numbering, blocks from both ends and look-back: one Exchange; one Sort each for the
+    # numbers, the blocks backwards, and the blocks forwards with the look-back
     assert text.count("Exchange hashpartitioning(poscommodity") == 1
     # side sums and the mean pivot in one aggregation: one Exchange on the 4 keys
     assert len(re.findall(r"Exchange hashpartitioning\(loaddate#\d+, poscommodity", text)) == 1
     assert "Exchange hashpartitioning(scope" not in text
-    assert len(re.findall(r"\bSort \[poscommodity", text)) == 1
+    assert len(re.findall(r"\bSort \[poscommodity", text)) == 3
 
 
 def test_filters_reach_scan(spark):

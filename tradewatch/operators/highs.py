@@ -1,25 +1,23 @@
 """New-high test: daily net volume at a rolling row-window high.
 
-Series = (commodity, desk), rows ordered by (load date, subdivision). All
-window columns share one window spec, so Spark plans a single Exchange and
-Sort for max, count, lag and the running count.
-
-Skew: the window input is the per-day pivot, not raw positions, so a series
-holds at most one row per (day, subdivision) -- its size is bounded by the
-calendar, whatever the volume of positions behind it. When even that is too
-much for one task, ``chunk_rows`` splits every series into row chunks with a
-halo of the previous ``window - 1`` rows (see ``_chunked``): same results,
-no task holds more than ``chunk_rows + window - 1`` rows of a series.
+Series = (commodity, desk), rows ordered by (load date, subdivision).
+
+Skew: the window input is the per-day pivot, not raw positions. With
+``chunk_rows`` the rows of all series, numbered in order, are cut into chunks of
+that many rows with a halo of the previous ``window - 1`` (``series.chunked``):
+same results, no task's group holds more than ``chunk_rows + window - 1`` rows,
+wherever the rows of a series lie in time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions import round_half_even, same_text
 from tradewatch.functions.text import sql_str
 from tradewatch.operators.positions import SERIES_KEYS
+from tradewatch.operators.series import ORDER, SERIES, Placed, placed, rolling_max, rolling_moments, running_sum
 from tradewatch.params import (
     BAND_K,
     BAND_WINDOW,
@@ -31,12 +29,8 @@ from tradewatch.params import (
 )
 from tradewatch.schemas import FEED_COLUMNS
 
-SERIES = ["poscommodity", "trader"]
-ORDER = ["loaddate", "subdivision"]
-
-
-def _series_window() -> Window:
-    return Window.partitionBy(*SERIES).orderBy(*ORDER)
+__all__ = ["ORDER", "SERIES", "band_breaks", "break_running_count", "net_side_volume", "net_volume", "new_high_breaks",
+           "new_high_flags", "new_high_running_count"]
 
 
 def net_side_volume(side_vol: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
@@ -89,41 +83,6 @@ def net_volume(rows: DataFrame, scopes: list[str], digits: int = ROUND_DIGITS) -
     return agg.select(*SERIES_KEYS, pns.alias("pns"), round_half_even(pns, digits).alias("dailyValue"))
 
 
-def _window_full(col: Column, n: int, agg, w: Window | None = None) -> Column:
-    """agg over the last `n` rows incl. the current one; null until n exist."""
-    w = (w or _series_window()).rowsBetween(-(n - 1), 0)
-    return F.when(F.count(col).over(w) == n, agg(col).over(w))
-
-
-def _chunked(net: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
-    """Rows of every series numbered 1.. in series order (``_rn``), cut into
-    chunks of `chunk_rows` (``_chunk``); the last `halo` rows of each chunk
-    are repeated at the head of the next chunk (``_halo`` = true there).
-
-    Row numbers are computed without a whole series in one task: per
-    (series, month) first, then offset by the row counts of earlier months,
-    a per-series running sum over a table of one row per series and month.
-    """
-    if chunk_rows < max(halo, 1):
-        raise ValueError(f"chunks of {chunk_rows} rows can't hold a halo of {halo}")
-    month = F.trunc("loaddate", "MM")
-    in_month = Window.partitionBy(*SERIES, "_month").orderBy(*ORDER)
-    rows = (net.withColumn("_month", month)
-            .withColumn("_rn_m", F.row_number().over(in_month)))
-    counts = rows.groupBy(*SERIES, "_month").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*SERIES).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    numbered = (rows.join(offsets.drop("_n"), [*SERIES, "_month"])
-                .withColumn("_rn", F.col("_offset") + F.col("_rn_m"))
-                .drop("_month", "_rn_m", "_offset"))
-    pos = F.col("_rn") - 1
-    chunk = F.floor(pos / chunk_rows).cast("long")
-    in_halo = (pos % chunk_rows) >= (chunk_rows - halo)
-    copies = F.when(in_halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    return (numbered.withColumn("_halo", F.explode(copies))
-            .withColumn("_chunk", chunk + F.col("_halo").cast("long")))
-
-
 def _flag(v: Column) -> Column:
     return (F.when(F.col("maxValue") == F.col("prevDailyVal"), 0)
             .when(F.col("maxValue") == 0, 0)
@@ -131,6 +90,13 @@ def _flag(v: Column) -> Column:
             .otherwise(0)).cast("int")
 
 
+def _flagged(net: DataFrame, window: int, chunk_rows: int | None) -> Placed:
+    # The previous value needs a row of halo even when the window is one row.
+    p = rolling_max(placed(net, max(window - 1, 1), chunk_rows), "dailyValue", window, "maxValue")
+    rows = p.rows.withColumn("prevDailyVal", F.lag("dailyValue", 1).over(p.along()))
+    return p.with_rows(rows.withColumn("breaks", _flag(F.col("dailyValue"))))
+
+
 def new_high_flags(net: DataFrame, window: int = NEW_HIGH_WINDOW,
                    chunk_rows: int | None = None) -> DataFrame:
     """maxValue, prevDailyVal and the new-high flag per row.
@@ -138,19 +104,7 @@ def new_high_flags(net: DataFrame, window: int = NEW_HIGH_WINDOW,
     flag = 1 when dailyValue >= max of the last `window` rows; then 0 when that
     max equals the previous row's value (plateau) or is 0.
     """
-    v = F.col("dailyValue")
-    if chunk_rows is None:
-        out = net.select("*", _window_full(v, window, F.max).alias("maxValue"),
-                         F.lag(v, 1).over(_series_window()).alias("prevDailyVal"))
-        return out.withColumn("breaks", _flag(v))
-    w = Window.partitionBy(*SERIES, "_chunk").orderBy("_rn")
-    # The previous value needs a row of halo even when the window is one row.
-    out = (_chunked(net, max(window - 1, 1), chunk_rows)
-           .select("*", _window_full(v, window, F.max, w).alias("maxValue"),
-                   F.lag(v, 1).over(w).alias("prevDailyVal"))
-           .where(~F.col("_halo"))
-           .drop("_halo", "_chunk", "_rn"))
-    return out.withColumn("breaks", _flag(v))
+    return _flagged(net, window, chunk_rows).own()
 
 
 def new_high_breaks(net: DataFrame, window: int = NEW_HIGH_WINDOW,
@@ -160,45 +114,26 @@ def new_high_breaks(net: DataFrame, window: int = NEW_HIGH_WINDOW,
             .select(*FEED_COLUMNS))
 
 
-def break_running_count(flags: DataFrame, by_month: bool = False) -> DataFrame:
-    """Running Σ of breaks per series, in series order.
-
-    by_month: the running sum within (series, month) plus the breaks of the
-    series' earlier months (a running sum over one row per series and month),
-    so no task sorts a whole series."""
-    if not by_month:
-        w = _series_window().rowsBetween(Window.unboundedPreceding, 0)
-        return flags.withColumn("count_breaks", F.sum("breaks").over(w).cast("long"))
-    rows = flags.withColumn("_month", F.trunc("loaddate", "MM"))
-    in_month = (Window.partitionBy(*SERIES, "_month").orderBy(*ORDER)
-                .rowsBetween(Window.unboundedPreceding, 0))
-    totals = rows.groupBy(*SERIES, "_month").agg(F.sum("breaks").alias("_t"))
-    before = Window.partitionBy(*SERIES).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*SERIES, "_month",
-                            F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_offset"))
-    return (rows.withColumn("_run", F.sum("breaks").over(in_month))
-            .join(offsets, [*SERIES, "_month"])
-            .withColumn("count_breaks", (F.col("_offset") + F.col("_run")).cast("long"))
-            .drop("_month", "_run", "_offset"))
+def break_running_count(flags: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Running Σ of breaks per series, in series order."""
+    return running_sum(placed(flags, 0, chunk_rows), "breaks", "count_breaks")
+
+
+def new_high_running_count(net: DataFrame, window: int = NEW_HIGH_WINDOW,
+                           chunk_rows: int | None = None) -> DataFrame:
+    """``break_running_count(new_high_flags(net))`` over one numbering of the rows."""
+    return running_sum(_flagged(net, window, chunk_rows), "breaks", "count_breaks")
 
 
 def band_breaks(net: DataFrame, window: int = BAND_WINDOW, k: float = BAND_K,
                 digits: int = ROUND_DIGITS, chunk_rows: int | None = None) -> DataFrame:
     """Retired band test: mean + k * sample std over `window` rows, each
     rounded; break when the value is above the bound; warm-up rows dropped."""
-    v = F.col("dailyValue")
-    if chunk_rows is None:
-        base, w, tail = net, None, []
-    else:
-        base, w = _chunked(net, window - 1, chunk_rows), Window.partitionBy(*SERIES, "_chunk").orderBy("_rn")
-        tail = ["_halo", "_chunk", "_rn"]
-    mean = round_half_even(_window_full(v, window, F.avg, w), digits)
-    std = round_half_even(_window_full(v, window, F.stddev_samp, w), digits)
-    out = base.select("*", mean.alias("moving_avg"), std.alias("moving_std"))
-    if tail:
-        out = out.where(~F.col("_halo")).drop(*tail)
-    out = (out.where(F.col("moving_avg").isNotNull())
+    p = rolling_moments(placed(net, window - 1, chunk_rows), "dailyValue", window, digits, "moving_avg", "moving_std")
+    out = (p.own().where(F.col("moving_avg").isNotNull())
+           .withColumn("moving_avg", round_half_even("moving_avg", digits))
+           .withColumn("moving_std", round_half_even("moving_std", digits))
            .withColumn("upper_bound",
                        round_half_even(F.col("moving_avg") + F.col("moving_std") * k, digits)))
-    return (out.withColumn("breaks", F.when(v > F.col("upper_bound"), 1).otherwise(0).cast("int"))
+    return (out.withColumn("breaks", F.when(F.col("dailyValue") > F.col("upper_bound"), 1).otherwise(0).cast("int"))
             .withColumn("test", F.lit(TEST_NEW_HIGH)))

@@ -321,6 +321,12 @@ def sql_new_high_breaks(r: RuleSet, n: int | None = None) -> str:
               "'PnS breaks' AS test FROM high_flags")
 
 
+def sql_series_order(r: RuleSet) -> str:
+    return (_with(*_high_base(r)) + """SELECT poscommodity, trader, loaddate, subdivision, dailyValue,
+       row_number() OVER (ORDER BY poscommodity, trader, loaddate, subdivision) - 1 AS place
+FROM high_net""")
+
+
 def sql_break_running_count(r: RuleSet) -> str:
     return (_with(*_high_base(r), high_flags(r.new_high_window))
             + """SELECT loaddate, subdivision, trader, poscommodity, dailyValue, maxValue,
@@ -641,6 +647,7 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "net_side_volume": sql_net_side_volume(r),
         "new_high_breaks": sql_new_high_breaks(r),
         "new_high_breaks_20": sql_new_high_breaks(r, 20),
+        "series_order": sql_series_order(r),
         "break_running_count": sql_break_running_count(r),
         "band_breaks": sql_band_breaks(r),
         "fill_sides": sql_fill_sides(r),

@@ -17,6 +17,7 @@ from tradewatch.functions import beyond_horizon, month_start
 from tradewatch.operators import daytrades as D
 from tradewatch.operators import highs as H
 from tradewatch.operators import positions as P
+from tradewatch.operators.series import in_order
 from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.operators import feed as FD
 from tradewatch.plans import surveillance as S
@@ -118,12 +119,17 @@ def q_new_high_breaks_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_break_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
     r = i.rules
-    flags = H.new_high_flags(_net(i), r.new_high_window, r.series_chunk_rows)
-    return H.break_running_count(flags, by_month=r.series_chunk_rows is not None).select(
+    return H.new_high_running_count(_net(i), r.new_high_window, r.series_chunk_rows).select(
         "loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue",
         "prevDailyVal", "breaks", "count_breaks")
 
 
+def q_series_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every net-volume row's place in the order of all series."""
+    return in_order(_net(load_inputs(spark, sf_dir))).select(
+        "poscommodity", "trader", "loaddate", "subdivision", "dailyValue", F.col("_g").alias("place"))
+
+
 def q_band_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
     r = i.rules
@@ -276,6 +282,7 @@ def registry() -> dict[str, Query]:
         "net_side_volume": q_net_side_volume,
         "new_high_breaks": q_new_high_breaks,
         "new_high_breaks_20": q_new_high_breaks_20,
+        "series_order": q_series_order,
         "break_running_count": q_break_running_count,
         "band_breaks": q_band_breaks,
         "fill_sides": q_fill_sides,
