@@ -1,0 +1,134 @@
+"""Versioned day tables: replacement, retries, crashes, writers side by side."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewatch.schemas import FEED_SCHEMA
+from tradewatch.session import scratch_path
+from tradewatch.sources import versioned as V
+
+DAY = dt.date(2024, 1, 1)
+
+
+def feed(spark, days, test="tenor breaks", value=1.0, desks=3):
+    rows = [(DAY + dt.timedelta(days=i), "s", f"t{k}", "c", value + k, k % 2, test) for i in days for k in range(desks)]
+    return spark.createDataFrame(rows, FEED_SCHEMA)
+
+
+@pytest.fixture
+def table(spark):
+    return V.DayTable(spark, scratch_path(spark, "versioned"), FEED_SCHEMA)
+
+
+def held(t, version=None):
+    return sorted((str(r.loaddate), r.test, r.trader, r.dailyValue) for r in t.read(version).collect())
+
+
+def want(*parts):
+    return sorted((str(DAY + dt.timedelta(days=i)), test, f"t{k}", v + k) for days, test, v in parts for i in days for k in range(3))
+
+
+def test_replace_copies_only_files_of_the_days(spark, table):
+    for i in range(5):
+        table.append(feed(spark, range(10 * i, 10 * i + 10)), f"load-{i}")
+    before = {f.path for f in table.commit().files}
+    done = table.replace(feed(spark, [12, 13], value=7.0), "again")
+    # Only the files of days 10 to 19 are written anew.
+    assert {f.path for f in done.files if f.path in before} == {f.path for f in table.commit(5).files if not f.meets("2024-01-13", "2024-01-14")}
+    assert held(table) == want((set(range(50)) - {12, 13}, "tenor breaks", 1.0), ([12, 13], "tenor breaks", 7.0))
+    assert held(table, 5) == want((range(50), "tenor breaks", 1.0))                # earlier versions stay readable
+    assert sum(f.rows for f in done.files) == table.read().count() == 150
+
+
+def test_other_tests_and_keys_without_a_day_stay(spark, table):
+    odd = spark.createDataFrame([(None, "s", "t", "c", 1.0, 0, "tenor breaks"), (DAY, "s", "t", "c", 2.0, 0, None)], FEED_SCHEMA)
+    table.append(feed(spark, range(4)).union(feed(spark, range(4), "PnS breaks")).union(odd), "a")
+    table.replace(feed(spark, [1], value=5.0), "b")
+    got = table.read()
+    assert got.count() == 26 and got.where("loaddate IS NULL").count() == 1 and got.where("test IS NULL").count() == 1
+    assert got.where("test = 'PnS breaks'").count() == 12
+    table.replace(odd, "c")                                                        # null keys are keys too
+    assert table.read().count() == 26
+
+
+def test_since_drops_days_without_rows(spark, table):
+    table.append(feed(spark, range(10)), "a")
+    table.replace(feed(spark, [5, 6], value=3.0), "b", since=DAY + dt.timedelta(days=4))
+    assert held(table) == want((range(5), "tenor breaks", 1.0), ([5, 6], "tenor breaks", 3.0))
+    table.replace(feed(spark, []), "c", since=DAY + dt.timedelta(days=2))
+    assert held(table) == want((range(3), "tenor breaks", 1.0))
+
+
+def test_a_repeated_run_is_a_no_op(spark, table):
+    table.append(feed(spark, range(3)), "monday")
+    first = table.commit()
+
+    def never(*_):
+        raise AssertionError("a committed run is computed again")
+    for again in (table.append, table.replace):
+        broken = feed(spark, range(3)).withColumn("breaks", F.raise_error(F.lit("computed")).cast("int"))
+        assert again(broken, "monday") == first
+    assert table.versions() == [1] and table.read().count() == 9
+
+
+def test_a_crash_before_the_commit_leaves_nothing(spark, table, monkeypatch):
+    table.append(feed(spark, range(3)), "a")
+
+    def lost(commit):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(table, "_publish", lost)
+    with pytest.raises(RuntimeError):
+        table.replace(feed(spark, [1], value=9.0), "b")
+    monkeypatch.undo()
+    assert held(table) == want((range(3), "tenor breaks", 1.0)) and table.versions() == [1]
+    table.replace(feed(spark, [1], value=9.0), "b")                                # the retry, from the start
+    assert held(table) == want(([0, 2], "tenor breaks", 1.0), ([1], "tenor breaks", 9.0))
+
+
+def test_a_writer_that_is_second_looks_again(spark, table, monkeypatch):
+    table.append(feed(spark, range(4)), "a")
+    other = V.DayTable(spark, table.path, FEED_SCHEMA)
+    real, tried = table._publish, []
+
+    def late(commit):
+        if not tried:
+            tried.append(commit.version)
+            other.replace(feed(spark, [1, 2], value=4.0), "other")                 # commits the version first
+        real(commit)
+    monkeypatch.setattr(table, "_publish", late)
+    done = table.replace(feed(spark, [2, 3], value=8.0), "mine")
+    assert tried == [2] and done.version == 3
+    assert held(table) == want(([0], "tenor breaks", 1.0), ([1], "tenor breaks", 4.0), ([2, 3], "tenor breaks", 8.0))
+
+
+def test_a_failed_write_is_not_read(spark, table):
+    table.append(feed(spark, range(2)), "a")
+    with pytest.raises(Exception, match="lost"):
+        table.append(feed(spark, [5]).withColumn("breaks", F.raise_error(F.lit("executor lost")).cast("int")), "b")
+    assert held(table) == want((range(2), "tenor breaks", 1.0))
+
+
+def test_files_follow_bytes_not_days(spark, table):
+    done = table.append(feed(spark, range(700)).union(feed(spark, range(700), "PnS breaks")), "a")
+    assert len(done.files) <= 8 and done.version == 1
+    for i in range(3):
+        done = table.replace(feed(spark, range(700), value=float(i)), f"r{i}")
+    assert len(done.files) <= 16 and table.read().count() == 4200
+
+
+def test_reading_days_skips_files(spark, table):
+    for i in range(4):
+        table.append(feed(spark, range(10 * i, 10 * i + 10)), f"load-{i}")
+    part = table.read(first=DAY + dt.timedelta(days=11), last=DAY + dt.timedelta(days=12))
+    assert len(part.inputFiles()) < len(table.read().inputFiles()) and part.count() == 6
+
+
+def test_expire_keeps_what_versions_name(spark, table):
+    for i in range(3):
+        table.replace(feed(spark, range(3), value=float(i)), f"r{i}")
+    assert table.expire(versions=1, hours=1.0) == 0                                # too young to drop
+    assert table.expire(versions=1, hours=0.0) >= 2 and table.versions() == [3]
+    assert held(table) == want((range(3), "tenor breaks", 2.0))
+    assert V.DayTable(spark, scratch_path(spark, "none"), FEED_SCHEMA).read().count() == 0

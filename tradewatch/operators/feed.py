@@ -6,16 +6,18 @@ import datetime as dt
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.schemas import FEED_COLUMNS, FEED_SCHEMA
+from tradewatch.params import TEST_DAY_TRADE, TEST_NEW_HIGH, TEST_TENOR
+from tradewatch.schemas import AUDIT_SCHEMA, FEED_COLUMNS, FEED_SCHEMA
 
 STAGE_SEP = "~"
 STAGE_NULL = "\\N"   # null marker, so a null and an empty string stay distinct
 PROCESS = "trade surveillance"
 STEP_DONE = "Job Complete"
+TESTS = (TEST_TENOR, TEST_DAY_TRADE, TEST_NEW_HIGH)
 
 
 def combined_breaks(tests: list[DataFrame], since: dt.date,
@@ -41,7 +43,8 @@ def _fit(c: Column, target: T.DataType) -> Column:
 def cast_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
     """Cast by ordinal position to the target's types and names."""
     if len(df.columns) != len(target.fields):
-        raise ValueError(f"{len(df.columns)} columns for a {len(target.fields)}-column target")
+        raise ValueError(f"{len(df.columns)} columns ({', '.join(df.columns)}) for a {len(target.fields)}-column target "
+                         f"({', '.join(target.fieldNames())})")
     return df.select(*[_fit(F.col(f"`{c}`"), f.dataType).alias(f.name)
                        for c, f in zip(df.columns, target.fields)])
 
@@ -58,29 +61,33 @@ def target_schema(spark: SparkSession, table: str) -> T.StructType:
 
 
 def append_feed(spark: SparkSession, df: DataFrame, table: str, convert: bool = True,
-                path: str | None = None) -> None:
-    """Append `df` to `table`, creating it (from `df`'s types) when absent.
+                path: str | None = None, audit: WriteAudit | None = None) -> None:
+    """Append `df` to `table`, creating it (from `df`'s types) when absent; `audit` watches the rows written.
 
     convert=True: cast by position to the existing table's types, then insert
     by position. convert=False: insert as is, by position too, so mismatched
     types fail under the ANSI store-assignment policy instead of being coerced.
     """
+    def watched(rows: DataFrame) -> DataFrame:
+        return audit.watch(rows) if audit else rows
+
     if not spark.catalog.tableExists(table):
         kw = {"path": path} if path else {}
         spark.catalog.createTable(table, source="parquet", schema=df.schema, **kw)
-        df.write.insertInto(table)
+        watched(df).write.insertInto(table)
         return
     if convert:
-        cast_to_target(df, target_schema(spark, table)).write.insertInto(table)
+        cast_to_target(watched(df), target_schema(spark, table)).write.insertInto(table)
     else:
-        df.write.insertInto(table)
+        watched(df).write.insertInto(table)
 
 
 PARTITIONS = ["test", "loaddate"]
 
 
 def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | None = None,
-                 since: dt.date | None = None, partitions: list[str] = PARTITIONS) -> None:
+                 since: dt.date | None = None, partitions: list[str] = PARTITIONS,
+                 audit: WriteAudit | None = None) -> None:
     """Write `feed` into `table` (partitioned by test and load date), replacing
     only the tests and days present in `feed`; the table is created when absent.
 
@@ -91,6 +98,8 @@ def replace_days(spark: SparkSession, feed: DataFrame, table: str, path: str | N
     one file and not one of every task."""
     cols = [c for c in feed.columns if c not in partitions] + partitions
     ordered = feed.select(*cols).repartition(*partitions)
+    if audit:
+        ordered = audit.watch(ordered)
     if not spark.catalog.tableExists(table):
         w = ordered.write.format("parquet").partitionBy(*partitions)
         if path:
@@ -151,6 +160,38 @@ def run_audit(feed: DataFrame, process: str = PROCESS, step: str = STEP_DONE) ->
                     F.current_timestamp().alias("run_ts")))
 
 
+class WriteAudit:
+    """Audit figures taken while a feed is written: no second job reads or recomputes it.
+
+    ``watch`` goes right before the write, after any exchange, so each row is counted once."""
+
+    def __init__(self, tests: tuple[str, ...] = TESTS):
+        self.tests, self.observation = tests, Observation()
+
+    def watch(self, feed: DataFrame) -> DataFrame:
+        figures = []
+        for i, test in enumerate(self.tests):
+            of = F.col("test") == test
+            figures += [F.count(F.when(of, 1)).alias(f"rows_{i}"),
+                        F.coalesce(F.sum(F.when(of, F.col("breaks"))).cast("long"), F.lit(0).cast("long")).alias(f"breaks_{i}"),
+                        F.min(F.when(of, F.col("loaddate"))).alias(f"min_{i}"), F.max(F.when(of, F.col("loaddate"))).alias(f"max_{i}")]
+        return feed.observe(self.observation, *figures)
+
+    def rows(self, spark: SparkSession, process: str = PROCESS, step: str = STEP_DONE) -> DataFrame:
+        """One row per test with rows, as ``run_audit`` gives; none where nothing was written (a run
+        that had been committed before)."""
+        got = self.observation.get if self.written else {}
+        found = [(process, step, test, got[f"rows_{i}"], got[f"breaks_{i}"], got[f"min_{i}"], got[f"max_{i}"], 1, "")
+                 for i, test in enumerate(self.tests) if got.get(f"rows_{i}")]
+        schema = T.StructType(AUDIT_SCHEMA.fields[:9])
+        return spark.createDataFrame(found, schema).select(
+            "*", F.current_user().alias("run_user"), F.current_timestamp().alias("run_ts"))
+
+    @property
+    def written(self) -> bool:
+        return getattr(self.observation, "_jo", None) is not None
+
+
 def audit_failure(spark: SparkSession, error: BaseException | str, process: str = PROCESS,
                   step: str = "Initializing") -> DataFrame:
     """The single audit row written when a run fails."""

@@ -634,6 +634,17 @@ def sql_run_audit(r: RuleSet) -> str:
 FROM combined GROUP BY test"""
 
 
+def sql_feed_rollback(r: RuleSet) -> str:
+    return _feed_all(r) + """SELECT *, 1 AS version FROM combined
+UNION ALL SELECT *, 2 AS version FROM combined WHERE loaddate <= DATE '1997-06-01'"""
+
+
+def sql_audit_log(r: RuleSet) -> str:
+    return sql_run_audit(r) + """
+UNION ALL SELECT 'trade surveillance', 'Writing feed', NULL, NULL, NULL, NULL, NULL, 0,
+       '7 columns (loaddate subdivision trader poscommodity dailyValue breaks test) for a 2-column target (its value)'"""
+
+
 def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     r = rules or testdata_rules()
     return {
@@ -663,9 +674,11 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "feed_append_cast": sql_feed_append_cast(r),
         "feed_append_strict": sql_feed_append_strict(r),
         "feed_replace": sql_combined_breaks(r),
+        "feed_rollback": sql_feed_rollback(r),
         "feed_rerun": sql_feed_rerun(r),
         "delimited_stage": sql_combined_breaks(r),
         "run_audit": sql_run_audit(r),
+        "audit_log": sql_audit_log(r),
     }
 
 

@@ -22,8 +22,9 @@ from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.operators import feed as FD
 from tradewatch.plans import surveillance as S
 from tradewatch.plans.inputs import Inputs, load_inputs
-from tradewatch.schemas import FEED_SCHEMA
-from tradewatch.session import scratch_path
+from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA
+from tradewatch.session import scratch_path, shared_dir
+from tradewatch.sources.versioned import DayTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,19 +242,31 @@ def q_feed_append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append the feed twice to an existing table as it is: two runs add the days twice."""
     feed = S.daily_feed(load_inputs(spark, sf_dir))
     table = _existing(spark, "feed_strict", feed.schema)
+    shared_dir(spark)
+    feed = feed.checkpoint(eager=True)          # computed once for both
     FD.append_feed(spark, feed, table, convert=False)
     FD.append_feed(spark, feed, table, convert=False)
     return spark.table(table)
 
 
 def q_feed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed replaced by a rerun over the same days: every test and day is there once."""
+    """The feed in a versioned table, replaced by a rerun over the same days, which is then retried: every test and
+    day is there once."""
     feed = S.daily_feed(load_inputs(spark, sf_dir))
-    path = scratch_path(spark, "replace")
-    table = "tw_replace_" + path.rsplit("-", 1)[-1]
-    FD.replace_days(spark, feed, table, path)
-    FD.replace_days(spark, feed, table)
-    return spark.table(table).select(*FEED_SCHEMA.fieldNames())
+    table = DayTable(spark, scratch_path(spark, "replace"), FEED_SCHEMA)
+    table.replace(feed, "first run")
+    table.replace(table.read(), "second run")
+    table.replace(feed, "second run")           # committed before: computes nothing
+    return table.read()
+
+
+def q_feed_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A versioned feed whose later days a run replaced by nothing: the version before still has all rows."""
+    table = DayTable(spark, scratch_path(spark, "rollback"), FEED_SCHEMA)
+    table.append(S.daily_feed(load_inputs(spark, sf_dir)), "first run")
+    table.replace(table.read().limit(0), "bad run", since=RERUN_SINCE)
+    return (table.read(1).select(*FEED_SCHEMA.fieldNames(), F.lit(1).alias("version"))
+            .union(table.read().select(*FEED_SCHEMA.fieldNames(), F.lit(2).alias("version"))))
 
 
 def q_delimited_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +283,22 @@ def q_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.drop("run_user", "run_ts")
 
 
+def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit table after a run that wrote its feed, the same run retried (nothing written), and a run whose
+    target doesn't fit (user and time columns left out: they vary)."""
+    i = load_inputs(spark, sf_dir)
+    audit = _existing(spark, "audit", AUDIT_SCHEMA)
+    feed = DayTable(spark, scratch_path(spark, "audited"), FEED_SCHEMA)
+    S.run(spark, i, feed, audit, run_id="monday")
+    S.run(spark, i, feed, audit, run_id="monday")
+    narrow = _existing(spark, "narrow", T.StructType([T.StructField("it's", T.DateType()), T.StructField("value", T.DoubleType())]))
+    try:
+        S.run(spark, i, narrow, audit)
+    except ValueError:
+        pass                                    # audited and raised again
+    return spark.table(audit).drop("run_user", "run_ts")
+
+
 def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
@@ -298,7 +327,9 @@ def registry() -> dict[str, Query]:
         "feed_append_cast": q_feed_append_cast,
         "feed_append_strict": q_feed_append_strict,
         "feed_replace": q_feed_replace,
+        "feed_rollback": q_feed_rollback,
         "feed_rerun": q_feed_rerun,
         "delimited_stage": q_delimited_stage,
         "run_audit": q_run_audit,
+        "audit_log": q_audit_log,
     }

@@ -8,6 +8,7 @@ error in one test no longer hides the others' plans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tradewatch.operators import positions as P
 from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.plans.inputs import Inputs
 from tradewatch.session import shared_dir
+from tradewatch.sources.versioned import DayTable
 
 
 def tenor_test(i: Inputs) -> DataFrame:
@@ -73,34 +75,41 @@ def daily_feed(i: Inputs) -> DataFrame:
                               i.rules.until)
 
 
-def run(spark: SparkSession, i: Inputs, feed_table: str, audit_table: str | None = None,
+def run(spark: SparkSession, i: Inputs, feed_table: str | DayTable, audit_table: str | None = None,
         feed_path: str | None = None, audit_path: str | None = None,
-        replace: bool = False) -> DataFrame:
+        replace: bool = False, run_id: str | None = None) -> DataFrame:
     """Write the day's feed and its audit rows; on failure write one failed
     audit row and re-raise. Returns the audit rows.
 
-    The feed is checkpointed once (to the shared checkpoint folder) so the
-    append and the audit read the same rows without recomputing the three
-    plans, and a lost executor after that point does not replay the scans.
+    The three plans are computed once, by the write; the audit's figures are
+    observed on the rows as they are written.
 
     replace=False appends (a rerun adds the days again, as the original job
-    did); replace=True writes a feed partitioned by load date and replaces
-    the days it recomputes.
+    did); replace=True replaces the days it recomputes. With a versioned table
+    (``DayTable``) all days after the rules' since-date are replaced in one commit, and a
+    `run_id` that has been committed writes nothing.
     """
     shared_dir(spark)
     step = "Building feed"
+    audit = FD.WriteAudit()
     try:
-        feed = daily_feed(i).checkpoint(eager=True)
+        feed = daily_feed(i)
         step = "Writing feed"
-        if replace:
-            FD.replace_days(spark, feed, feed_table, path=feed_path)
+        if isinstance(feed_table, DayTable):
+            name = run_id or uuid.uuid4().hex
+            if replace:
+                feed_table.replace(feed, name, since=i.rules.since, watch=audit.watch)
+            else:
+                feed_table.append(feed, name, watch=audit.watch)
+        elif replace:
+            FD.replace_days(spark, feed, feed_table, path=feed_path, audit=audit)
         else:
-            FD.append_feed(spark, feed, feed_table, convert=True, path=feed_path)
+            FD.append_feed(spark, feed, feed_table, convert=True, path=feed_path, audit=audit)
         step = FD.STEP_DONE
-        audit = FD.run_audit(feed)
+        rows = audit.rows(spark)
         if audit_table:
-            FD.append_feed(spark, audit, audit_table, path=audit_path)
-        return audit
+            FD.append_feed(spark, rows, audit_table, path=audit_path)
+        return rows
     except Exception as e:  # noqa: BLE001 - audited, then re-raised
         if audit_table:
             FD.append_feed(spark, FD.audit_failure(spark, e, step=step), audit_table,

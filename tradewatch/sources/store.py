@@ -33,7 +33,7 @@ VERSION = 2
 _LOCK = threading.Lock()
 
 
-def _at(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """(file system, path) of a path, by the session's Hadoop settings: a path
     without a scheme is on the cluster's default file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -47,7 +47,7 @@ def _fingerprint(spark: SparkSession, sources: list[str], schema: T.StructType)
     total = 0
     for s in sorted(sources):
         h.update(s.encode())
-        fs, p = _at(spark, s)
+        fs, p = file_system(spark, s)
         if not fs.exists(p):
             continue
         c = fs.getContentSummary(p)
@@ -75,7 +75,7 @@ def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame]
 def _complete(spark: SparkSession, path: str) -> bool:
     """True when a committed write left its ``_SUCCESS`` marker (a write cut
     short by a failure is rewritten, not read)."""
-    fs, marker = _at(spark, f"{path}/_SUCCESS")
+    fs, marker = file_system(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
 
 
@@ -94,10 +94,10 @@ def _write(spark: SparkSession, build: Callable[[], DataFrame], path: str, size:
      .repartitionByRange(n, order_by, "_spread").sortWithinPartitions(order_by)
      .drop("_spread")
      .write.mode("overwrite").parquet(target))
-    fs, src = _at(spark, target)
-    _, dst = _at(spark, path)
+    fs, src = file_system(spark, target)
+    _, dst = file_system(spark, path)
     if fs.exists(dst) and not _complete(spark, path):            # a cut-short write
-        fs.rename(dst, _at(spark, f"{path}.incomplete-{uuid.uuid4().hex}")[1])
+        fs.rename(dst, file_system(spark, f"{path}.incomplete-{uuid.uuid4().hex}")[1])
     # Another process may have won the race: then its table is read.
     if not fs.exists(dst) and not fs.rename(src, dst) and not _complete(spark, path):
         raise OSError(f"{target} can't be renamed to {path}")
