@@ -6,6 +6,7 @@ import pytest
 
 from tradewatch.plans.queries import registry as queries
 from oracle_harness import SF_SMALL
+from tradewatch.operators import daytrades as D
 from tradewatch.operators import highs as H
 from tradewatch.plans import queries as Q
 
@@ -62,9 +63,19 @@ def test_no_cross_join(spark):
 
 
 def test_fill_filters_reach_scan(spark):
+    # the since-date reaches the parquet reader: of the kept groups, and of the fills where these are read
     text = formatted(queries()["fill_sides"](spark, SF_SMALL), "formatted")
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
-    # the since-date, and the same bound inferred for trade_date from
-    # load_date = trade_date, reach the parquet reader with the non-zero test
-    assert "GreaterThan(load_date" in pushed and "GreaterThan(trade_date" in pushed
-    assert "Not(EqualTo(gross_qty" in pushed
+    assert "GreaterThan(load_date" in pushed and "EqualTo(counted,true)" in pushed
+    i = Q.load_inputs(spark, SF_SMALL)
+    text = formatted(D.fill_sides(i.fills, i.rules.fills, i.rules.since), "formatted")
+    assert "GreaterThan(load_date" in re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
+
+
+def test_fills_are_summed_by_hash_and_read_once(spark):
+    i = Q.load_inputs(spark, SF_SMALL)
+    text = formatted(D.fill_groups(i.fills, i.rules.fills))
+    assert "HashAggregate" in text and "SortAggregate" not in text and text.count("FileScan") == 1
+    # the break test reads the groups once, while it writes its summary; the plan left reads the summary alone
+    text = formatted(queries()["day_trade_breaks"](spark, SF_SMALL), "formatted")
+    assert "fill_summary" in text and "/views/" not in text and "/fills-" not in text

@@ -2,18 +2,18 @@
 
 Plan shape
 ----------
-* One aggregation by the 11 group keys serves buys, sells and the set of
-  accounts with buys. Spark pushes the side filters below it, so the plan
-  scans the fills once for each of these and twice more for the account and
-  day lists, columns and rows pruned.
+* ``fill_groups`` sums the fills by load date and the 11 group keys as they are spelled, in one hash
+  aggregate. Every later step reads these groups, not the fills: sides, accounts and trading days. A kept
+  table of them (``sources.fill_view``) is brought up to date by the days that arrive.
+* Spellings of a text key that differ in case or trailing blanks are one key. They are collapsed over the
+  groups, which are far fewer than the fills.
 * Buys are left-joined to sells on six of those keys, so one buy group can
   meet several sell groups -- kept, as in the original.
 * Every (account, day) is filled with a zero row so each mapped desk shows a
-  value on each trading day. The day list comes from a date spine
-  (``sequence`` over the span of trading days, semi-joined to the days that
-  occur) instead of a cross join; for the break feed the spine is applied
-  after accounts are mapped to desks, so it grows with desks x days rather
-  than accounts x days.
+  value on each trading day: each key expands over the array of trading days (one scalar, bounded by the
+  calendar) instead of a cross join, so exactly keys x days rows are made. For the break feed the
+  days are applied after accounts are mapped to desks, so the rows grow with desks x days
+  rather than accounts x days.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ from tradewatch.params import (
     FillRules,
 )
 from tradewatch.schemas import FEED_COLUMNS, FillDims
+from tradewatch.session import scratch_path
 
 GROUP_KEYS = ["trade_date", "account", "subdivision", "location", "commodity", "source",
               "position_month", "fin_type", "pors", "account_name", "strike_price"]
@@ -56,15 +57,17 @@ OUT_COLUMNS = ["trade_date", "account", "subdivision", "location", "commodity",
                "day_trade_qty", "day_trade_pnl"]
 
 
-def _account_filter(rules: FillRules, since: dt.date) -> Column:
+GROUP_SCHEMA_KEYS = ["load_date", *GROUP_KEYS, "kept", "counted"]
+
+
+def _account_filter(rules: FillRules) -> Column:
     """Filters every fill extract shares (account, desk, broker, card, dates,
-    source, non-zero quantity)."""
+    source, non-zero quantity), but the since-date."""
     return (not_in_text("account", rules.excluded_accounts)
             & ~ilike_any("account", rules.excluded_account_like)
             & ~ilike_any("subdivision", rules.excluded_subdivision_like)
             & ~same_text("broker_num", rules.excluded_broker)
             & ~same_text("card_number", rules.excluded_card)
-            & (F.col("load_date") > F.lit(since))
             & (F.col("load_date") == F.col("trade_date"))
             & ~same_text("source", rules.excluded_source)
             & (F.col("gross_qty") != 0))
@@ -78,14 +81,31 @@ def _grouped(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
     return out.select(*keys, *[c for c in out.columns if c not in keys and not c.startswith("_")])
 
 
+def fill_groups(fills: DataFrame, rules: FillRules) -> DataFrame:
+    """Σ quantity and Σ MTM by load date and group keys as spelled, in the columns' own types (decimals stay decimals).
+
+    ``kept``: the fills pass the account filters; ``counted``: they are bought or sold and enter the sums. Fills
+    that are not kept count only by their dates (a trading day is one for every account), so they lose their
+    other keys."""
+    kept = F.coalesce(_account_filter(rules), F.lit(False))
+    counted = kept & F.coalesce(not_in_text("comment_code", EXCLUDED_COMMENT_CODES)
+                                & in_text("side", [BUY_CODE, SELL_CODE]), F.lit(False))
+    marked = fills.select("*", kept.alias("kept"), counted.alias("counted")).withColumnRenamed("side", "pors")
+    keys = [c if c == "trade_date" else F.when(F.col("kept"), F.col(c)).alias(c) for c in GROUP_KEYS]
+    rows = marked.select("load_date", *keys, "kept", "counted", "gross_qty", "mtm")
+    return rows.groupBy(*GROUP_SCHEMA_KEYS).agg(
+        F.sum(F.when(F.col("counted"), F.col("gross_qty"))).alias("qty"),
+        F.sum(F.when(F.col("counted"), F.col("mtm"))).alias("pnl"))
+
+
+def group_sides(groups: DataFrame, since: dt.date) -> DataFrame:
+    """Σ quantity and Σ MTM per group and side, spellings collapsed."""
+    rows = groups.where(F.col("counted") & (F.col("load_date") > F.lit(since)))
+    return _grouped(rows, GROUP_KEYS, F.sum("qty").alias("qty"), F.sum("pnl").alias("pnl"))
+
+
 def fill_sides(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
-    """Σ quantity and Σ MTM per group and side, buys and sells in one pass, in
-    the columns' own types (decimals stay decimals)."""
-    cond = (_account_filter(rules, since)
-            & not_in_text("comment_code", EXCLUDED_COMMENT_CODES)
-            & in_text("side", [BUY_CODE, SELL_CODE]))
-    return _grouped(fills.where(cond).withColumnRenamed("side", "pors"), GROUP_KEYS,
-                    F.sum("gross_qty").alias("qty"), F.sum("mtm").alias("pnl"))
+    return group_sides(fill_groups(fills, rules), since)
 
 
 def day_trade_match(sides: DataFrame) -> DataFrame:
@@ -116,27 +136,32 @@ def day_trade_pnl(match: DataFrame) -> DataFrame:
     return match.withColumn("day_trade_pnl", pnl)
 
 
+def group_accounts(groups: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
+    """Distinct (account, name, commodity, source) of kept fills, spellings collapsed."""
+    cond = (F.col("kept") & (F.col("load_date") > F.lit(since))
+            & not_in_text("account_name", rules.excluded_account_names))
+    return _grouped(groups.where(cond), ["account", "account_name", "commodity", "source"])
+
+
 def skeleton_accounts(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
-    cond = _account_filter(rules, since) & not_in_text("account_name", rules.excluded_account_names)
-    return _grouped(fills.where(cond), ["account", "account_name", "commodity", "source"])
+    return group_accounts(fill_groups(fills, rules), rules, since)
 
 
-def trading_days(fills: DataFrame, since: dt.date) -> DataFrame:
+def trading_days(groups: DataFrame, since: dt.date) -> DataFrame:
     """Distinct trade dates loaded after `since` (at most one row per
-    calendar day, so the set is bounded by the calendar)."""
-    return (fills.where((F.col("load_date") > F.lit(since))
-                        & (F.col("trade_date") >= F.col("load_date")))
+    calendar day, so the set is bounded by the calendar). Fills or their groups."""
+    return (groups.where((F.col("load_date") > F.lit(since))
+                         & (F.col("trade_date") >= F.col("load_date")))
             .select("trade_date").distinct())
 
 
-def date_spine(keys: DataFrame, days: DataFrame) -> DataFrame:
-    """Every key on every day of `days`, without a cross join: each key row
-    expands over ``sequence(first day, last day)`` (scalar sub-queries) and
-    is then semi-joined to the days that actually occur."""
-    span = days.select(F.struct(F.min("trade_date").alias("lo"),
-                                F.max("trade_date").alias("hi"))).scalar()
-    spread = keys.withColumn("trade_date", F.explode(F.sequence(span["lo"], span["hi"])))
-    return spread.join(days, "trade_date", "left_semi")
+def date_spine(keys: DataFrame, days: DataFrame, after: dt.date | None = None) -> DataFrame:
+    """Every key on every day of `days` (after `after`), without a cross join: each key row
+    expands over the array of the days that occur (a scalar sub-query)."""
+    if after is not None:
+        days = days.where(F.col("trade_date") > F.lit(after))
+    every = days.select(F.array_sort(F.collect_set("trade_date"))).scalar()
+    return keys.withColumn("trade_date", F.explode(every))
 
 
 def _zero(measure: str) -> Column:
@@ -146,9 +171,13 @@ def _zero(measure: str) -> Column:
 
 
 def account_date_skeleton(fills: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
+    return group_skeleton(fill_groups(fills, rules), rules, since)
+
+
+def group_skeleton(groups: DataFrame, rules: FillRules, since: dt.date) -> DataFrame:
     """Zero rows for every (account, name, commodity, source) x trading day,
     shaped like the matched rows."""
-    spine = date_spine(skeleton_accounts(fills, rules, since), trading_days(fills, since))
+    spine = date_spine(group_accounts(groups, rules, since), trading_days(groups, since))
     nulls = {"subdivision": "string", "location": "string", "position_month": "date",
              "fin_type": "string", "pors": "string", "strike_price": "double"}
     cols = []
@@ -228,9 +257,13 @@ def day_trade_rows(fills: DataFrame, dims: FillDims, rules: FillRules,
                    since: dt.date) -> DataFrame:
     """The full extract: matched and zero rows of active accounts, grouped
     commodity, mapped desk (columns ``OUT_COLUMNS``)."""
-    sides = fill_sides(fills, rules, since)
+    return group_rows(fill_groups(fills, rules), dims, rules, since)
+
+
+def group_rows(groups: DataFrame, dims: FillDims, rules: FillRules, since: dt.date) -> DataFrame:
+    sides = group_sides(groups, since)
     matched = day_trade_pnl(day_trade_match(sides))
-    rows = matched.select(*ROW_COLUMNS).unionByName(account_date_skeleton(fills, rules, since))
+    rows = matched.select(*ROW_COLUMNS).unionByName(group_skeleton(groups, rules, since))
     rows = active_accounts(rows, sides, rules, since)
     mapped = account_location(attach_group(rows, commodity_groups(dims, rules)), dims, rules)
     return mapped.select("trade_date", "account", F.col("map_subdivision").alias("subdivision"),
@@ -259,27 +292,54 @@ def day_trade_breaks(rows: DataFrame, rules: FillRules,
             .select(*FEED_COLUMNS))
 
 
+SUMMARY_KINDS = ("side", "account", "day")
+
+
+def group_summary(groups: DataFrame, rules: FillRules, since: dt.date) -> dict[str, DataFrame]:
+    """Sides, accounts and trading days after `since` from one read and one aggregate of the groups.
+
+    A group counts once for each of the three that it enters, without the keys that one doesn't have; the collapsed
+    rows are written, and each part is a read of its own folder."""
+    keys = {"side": set(GROUP_KEYS), "account": {"account", "account_name", "commodity", "source"}, "day": {"trade_date"}}
+    enters = {"side": F.col("counted"),
+              "account": F.col("kept") & F.coalesce(not_in_text("account_name", rules.excluded_account_names), F.lit(False)),
+              "day": F.coalesce(F.col("trade_date") >= F.col("load_date"), F.lit(False))}
+    marks = F.array_compact(F.array(*[F.when(enters[k], F.lit(k)) for k in SUMMARY_KINDS]))
+    rows = (groups.where(F.col("load_date") > F.lit(since)).withColumn("kind", F.explode(marks)))
+    own = [F.when(F.col("kind").isin([k for k in SUMMARY_KINDS if c in keys[k]]), F.col(c)).alias(c) for c in GROUP_KEYS]
+    flat = rows.select("kind", *own, *[F.when(F.col("kind") == "side", F.col(c)).alias(c) for c in ("qty", "pnl")])
+    one = _grouped(flat, ["kind", *GROUP_KEYS], F.sum("qty").alias("qty"), F.sum("pnl").alias("pnl"))
+    spark = groups.sparkSession
+    path = scratch_path(spark, "fill_summary")
+    one.write.partitionBy("kind").parquet(path)
+    table = spark.read.schema(one.schema).parquet(path)
+    return {k: table.where(F.col("kind") == k).select(*[c for c in GROUP_KEYS if c in keys[k]],
+                                                      *(("qty", "pnl") if k == "side" else ())) for k in SUMMARY_KINDS}
+
+
 def day_trade_feed(fills: DataFrame, dims: FillDims, rules: FillRules, since: dt.date,
                    limit: float = DAY_TRADE_QTY_LIMIT) -> DataFrame:
+    return group_feed(fill_groups(fills, rules), dims, rules, since, limit)
+
+
+def group_feed(groups: DataFrame, dims: FillDims, rules: FillRules, since: dt.date,
+               limit: float = DAY_TRADE_QTY_LIMIT) -> DataFrame:
     """Same result as ``day_trade_breaks(day_trade_rows(...))`` with the zero
     rows made per mapped desk instead of per account: zero rows only add
     presence, and the account -> desk mapping does not depend on the day."""
-    sides = fill_sides(fills, rules, since)
-    groups = commodity_groups(dims, rules)
+    parts = group_summary(groups, rules, since)
+    sides, commodities = parts["side"], commodity_groups(dims, rules)
     matched = active_accounts(day_trade_pnl(day_trade_match(sides)), sides, rules, since)
-    m = account_location(attach_group(matched, groups), dims, rules).select(
+    m = account_location(attach_group(matched, commodities), dims, rules).select(
         "trade_date", F.col("map_subdivision").alias("subdivision"),
         F.col("map_location").alias("location"), F.col("commgrp").alias("commodity"),
         "day_trade_qty", "day_trade_pnl")
-    keys = (skeleton_accounts(fills, rules, since)
-            .join(buying_accounts(sides), norm("account") == F.col("_buyer"), "left_semi"))
-    desks = (account_location(attach_group(keys, groups), dims, rules)
+    keys = parts["account"].join(buying_accounts(sides), norm("account") == F.col("_buyer"), "left_semi")
+    desks = (account_location(attach_group(keys, commodities), dims, rules)
              .select(F.col("map_subdivision").alias("subdivision"),
                      F.col("map_location").alias("location"),
                      F.col("commgrp").alias("commodity"))
              .distinct())
-    zeros = (date_spine(desks, trading_days(fills, since))
-             .where(F.col("trade_date") > F.lit(since))
-             .select("trade_date", "subdivision", "location", "commodity",
-                     _zero("day_trade_qty"), _zero("day_trade_pnl")))
+    zeros = date_spine(desks, parts["day"], since).select(
+        "trade_date", "subdivision", "location", "commodity", _zero("day_trade_qty"), _zero("day_trade_pnl"))
     return day_trade_breaks(m.unionByName(zeros), rules, limit)

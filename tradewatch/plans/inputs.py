@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewatch.operators import daytrades
 from tradewatch.params import RuleSet, testdata_rules
 from tradewatch.schemas import (
     FILLS_SCHEMA,
@@ -15,8 +17,14 @@ from tradewatch.schemas import (
     FillDims,
     PositionDims,
 )
+from tradewatch.session import shared_dir
 from tradewatch.sources import testdata
-from tradewatch.sources.store import written_table
+from tradewatch.sources.fill_view import FillView
+from tradewatch.sources.store import table_key, written_table
+
+
+# One build of a view at a time within a process (queries may run in threads).
+_VIEW_LOCK = threading.Lock()
 
 
 def _src(sf_dir: str, *names: str) -> list[str]:
@@ -54,6 +62,19 @@ class Inputs:
             self.spark, "fills", lambda: testdata.fills(self.spark, self.sf_dir),
             _src(self.sf_dir, "events", "part"), "load_date", FILLS_SCHEMA)
 
+    @cached_property
+    def fill_groups(self) -> DataFrame:
+        """Sums of the fills after the rules' since-date: from the kept view, which is summed once and
+        brought up to date by day; lazily from the fills where these are given or not written."""
+        if "fills" in self.given or not self.write_facts:
+            return daytrades.fill_groups(self.fills, self.rules.fills)
+        key = table_key(self.spark, "fills", _src(self.sf_dir, "events", "part"), FILLS_SCHEMA)
+        view = FillView(self.spark, f"{shared_dir(self.spark).rstrip('/')}/tradewatch/views/{key}", self.rules.fills)
+        with _VIEW_LOCK:
+            if not view.table.versions():
+                view.build(self.fills, "build")
+        return view.groups(self.rules.since)
+
     @cached_property
     def position_dims(self) -> PositionDims:
         if "position_dims" in self.given:

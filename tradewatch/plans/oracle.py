@@ -669,6 +669,7 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "commodity_groups": sql_commodity_groups(r),
         "account_location": sql_account_location(r),
         "day_trade_breaks": sql_day_trade_breaks(r),
+        "fill_view_refresh": sql_day_trade_breaks(r),
         "combined_breaks": sql_combined_breaks(r),
         "feed_append": sql_combined_breaks(r),
         "feed_append_cast": sql_feed_append_cast(r),

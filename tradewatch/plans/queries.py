@@ -24,6 +24,7 @@ from tradewatch.plans import surveillance as S
 from tradewatch.plans.inputs import Inputs, load_inputs
 from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA
 from tradewatch.session import scratch_path, shared_dir
+from tradewatch.sources.fill_view import FillView
 from tradewatch.sources.versioned import DayTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,7 +141,7 @@ def q_band_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sides(i: Inputs) -> DataFrame:
-    return D.fill_sides(i.fills, i.rules.fills, i.rules.since)
+    return D.group_sides(i.fill_groups, i.rules.since)
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -163,7 +164,7 @@ def q_day_trade_pnl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_account_date_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return _doubles(D.account_date_skeleton(i.fills, i.rules.fills, i.rules.since))
+    return _doubles(D.group_skeleton(i.fill_groups, i.rules.fills, i.rules.since))
 
 
 def q_active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def q_active_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = i.rules
     sides = _sides(i)
     rows = (D.day_trade_pnl(D.day_trade_match(sides)).select(*D.ROW_COLUMNS)
-            .unionByName(D.account_date_skeleton(i.fills, r.fills, r.since)))
+            .unionByName(D.group_skeleton(i.fill_groups, r.fills, r.since)))
     return _doubles(D.active_accounts(rows, sides, r.fills, r.since))
 
 
@@ -182,13 +183,26 @@ def q_commodity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_account_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
-    return _doubles(D.day_trade_rows(i.fills, i.fill_dims, i.rules.fills, i.rules.since))
+    return _doubles(D.group_rows(i.fill_groups, i.fill_dims, i.rules.fills, i.rules.since))
 
 
 def q_day_trade_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = load_inputs(spark, sf_dir)
     r = i.rules
-    return D.day_trade_feed(i.fills, i.fill_dims, r.fills, r.since, r.day_trade_limit)
+    return D.group_feed(i.fill_groups, i.fill_dims, r.fills, r.since, r.day_trade_limit)
+
+
+def q_fill_view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day-trade test from a view that was built over the fills' first days and brought up to date by the rest,
+    with a day delivered twice."""
+    i = load_inputs(spark, sf_dir)
+    r = i.rules
+    view = FillView(spark, scratch_path(spark, "fill_view"), r.fills)
+    days = [d["load_date"] for d in i.fills.select("load_date").distinct().orderBy("load_date").collect()]
+    early, late = days[:len(days) * 3 // 4], days[len(days) * 3 // 4:]
+    view.build(i.fills.where(F.col("load_date").isin(early)), "history")
+    view.refresh(i.fills, late + early[-1:], "arrival")
+    return D.group_feed(view.groups(r.since), i.fill_dims, r.fills, r.since, r.day_trade_limit)
 
 
 def q_combined_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,6 +336,7 @@ def registry() -> dict[str, Query]:
         "commodity_groups": q_commodity_groups,
         "account_location": q_account_location,
         "day_trade_breaks": q_day_trade_breaks,
+        "fill_view_refresh": q_fill_view_refresh,
         "combined_breaks": q_combined_breaks,
         "feed_append": q_feed_append,
         "feed_append_cast": q_feed_append_cast,

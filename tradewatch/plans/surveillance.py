@@ -32,7 +32,7 @@ def tenor_test(i: Inputs) -> DataFrame:
 
 def day_trade_test(i: Inputs) -> DataFrame:
     r = i.rules
-    return D.day_trade_feed(i.fills, i.fill_dims, r.fills, r.since, r.day_trade_limit)
+    return D.group_feed(i.fill_groups, i.fill_dims, r.fills, r.since, r.day_trade_limit)
 
 
 def net_volume(i: Inputs) -> DataFrame:
@@ -92,6 +92,8 @@ def run(spark: SparkSession, i: Inputs, feed_table: str | DayTable, audit_table:
     shared_dir(spark)
     step = "Building feed"
     audit = FD.WriteAudit()
+    if isinstance(feed_table, DayTable) and run_id in feed_table.commit().runs:
+        return audit.rows(spark)
     try:
         feed = daily_feed(i)
         step = "Writing feed"

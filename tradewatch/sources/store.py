@@ -56,6 +56,11 @@ def _fingerprint(spark: SparkSession, sources: list[str], schema: T.StructType)
     return h.hexdigest()[:16], total
 
 
+def table_key(spark: SparkSession, name: str, sources: list[str], schema: T.StructType) -> str:
+    """Name of a table derived from `sources` as they are now."""
+    return f"{name}-{_fingerprint(spark, sources, schema)[0]}"
+
+
 def written_table(spark: SparkSession, name: str, build: Callable[[], DataFrame],
                   sources: list[str], order_by: str, schema: T.StructType,
                   files: int | None = None) -> DataFrame:
