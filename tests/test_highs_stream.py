@@ -1,0 +1,112 @@
+"""The stateful stream gives the batch test's rows; late rows, restarts and replays."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tradewatch.operators import highs as H
+from tradewatch.session import scratch_path
+from tradewatch.streaming import highs as S
+
+DAY = dt.date(2024, 1, 1)
+
+
+@pytest.fixture(autouse=True)
+def rocksdb(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, S.PROVIDER)
+    yield
+    spark.conf.set(key, before)
+
+
+def net(spark, seed=1, days=40, series=3):
+    rng = np.random.default_rng(seed)
+    rows = [(DAY + dt.timedelta(days=i), f"C{k % 2}", f"T{k}", s, float(rng.integers(-2, 5)))
+            for i in range(days) for k in range(series) for s in ("A", "B") if rng.random() < 0.8]
+    return spark.createDataFrame(rows, S.NET_SCHEMA)
+
+
+def land(df, path, first, last):
+    (df.where(F.col("loaddate").between(F.lit(DAY + dt.timedelta(days=first)), F.lit(DAY + dt.timedelta(days=last))))
+     .coalesce(1).write.mode("append").parquet(path))
+
+
+def run(spark, landing, table, ckpt, window, **kw):
+    S.start(spark, landing, table, ckpt, window, available_now=True, **kw).awaitTermination()
+
+
+def rows(df, cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda r: tuple(map(str, r)))
+
+
+COLS = ["loaddate", "subdivision", "trader", "poscommodity", "dailyValue", "maxValue", "prevDailyVal", "breaks"]
+
+
+@pytest.mark.parametrize("window", [1, 7])
+def test_batches_of_days_equal_the_batch_test(spark, window):
+    data = net(spark)
+    landing, ckpt = scratch_path(spark, "land"), scratch_path(spark, "ckpt")
+    table = S.flags_table(spark, scratch_path(spark, "flags"))
+    for first, last in ((0, 2), (3, 3), (4, 25), (26, 40)):
+        land(data, landing, first, last)
+        run(spark, landing, table, ckpt, window)                        # a new query each time: state comes from the checkpoint
+    got = table.read()
+    assert got.where("late").count() == 0
+    assert rows(got, COLS) == rows(H.new_high_flags(data, window), COLS)
+    assert rows(S.breaks(table), ["loaddate", "trader", "breaks", "test"]) == rows(
+        H.new_high_breaks(data, window), ["loaddate", "trader", "breaks", "test"])
+
+
+def test_late_rows_change_nothing(spark):
+    data = net(spark, seed=2, days=20)
+    late = data.where(F.col("loaddate") == F.lit(DAY + dt.timedelta(days=5)))
+    landing, ckpt = scratch_path(spark, "land"), scratch_path(spark, "ckpt")
+    table = S.flags_table(spark, scratch_path(spark, "flags"))
+    rest = data.where(F.col("loaddate") != F.lit(DAY + dt.timedelta(days=5)))
+    land(rest, landing, 0, 10)
+    run(spark, landing, table, ckpt, 4)
+    land(late, landing, 0, 20)                                          # before the newest row of every series
+    land(rest, landing, 10, 10)                                         # repeats a day that was flagged
+    run(spark, landing, table, ckpt, 4)
+    land(rest, landing, 11, 20)
+    run(spark, landing, table, ckpt, 4)
+    out = table.read().where("late")
+    tenth = rest.where(F.col("loaddate") == F.lit(DAY + dt.timedelta(days=10)))
+    assert rows(out, ["loaddate", "trader", "dailyValue"]) == rows(late.union(tenth), ["loaddate", "trader", "dailyValue"])
+    assert out.where("breaks IS NOT NULL OR maxValue IS NOT NULL").count() == 0
+    assert rows(table.read().where("NOT late"), COLS) == rows(H.new_high_flags(rest, 4), COLS)
+
+
+def test_a_replayed_batch_adds_nothing(spark):
+    data = net(spark, seed=3, days=12)
+    landing, ckpt = scratch_path(spark, "land"), scratch_path(spark, "ckpt")
+    table, calls = S.flags_table(spark, scratch_path(spark, "flags")), []
+
+    def lost(epoch):
+        calls.append(epoch)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost after the commit")
+    land(data, landing, 0, 5)
+    run(spark, landing, table, ckpt, 3, after=lost)
+    land(data, landing, 6, 12)
+    with pytest.raises(StreamingQueryException):
+        run(spark, landing, table, ckpt, 3, after=lost)
+    run(spark, landing, table, ckpt, 3, after=lost)
+    assert calls == [0, 1, 1] and table.versions() == [1, 2]
+    assert rows(table.read(), COLS) == rows(H.new_high_flags(data, 3), COLS)
+
+
+@pytest.mark.parametrize("n,window", [(1, 1), (5, 5), (6, 5), (10, 5), (23, 4), (4, 1)])
+def test_trailing_max(n, window):
+    v = np.random.default_rng(n).normal(size=n)
+    assert S.trailing_max(v, window).tolist() == [v[i:i + window].max() for i in range(n - window + 1)]
+
+
+def test_needs_its_state_store(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "other")
+    with pytest.raises(RuntimeError, match="providerClass"):
+        S.start(spark, "x", S.flags_table(spark, "y"), "z")

@@ -658,6 +658,7 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "net_side_volume": sql_net_side_volume(r),
         "new_high_breaks": sql_new_high_breaks(r),
         "new_high_breaks_20": sql_new_high_breaks(r, 20),
+        "new_high_stream": sql_new_high_breaks(r),
         "series_order": sql_series_order(r),
         "break_running_count": sql_break_running_count(r),
         "band_breaks": sql_band_breaks(r),

@@ -26,6 +26,7 @@ from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA
 from tradewatch.session import scratch_path, shared_dir
 from tradewatch.sources.fill_view import FillView
 from tradewatch.sources.versioned import DayTable
+from tradewatch.streaming import highs as highs_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,30 @@ def q_break_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prevDailyVal", "breaks", "count_breaks")
 
 
+#: Load days up to which the net volume lands before the rest, as two deliveries.
+STREAM_CUT = dt.date(1997, 1, 1)
+
+
+def q_new_high_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new-high test as a stateful stream over two deliveries of net volume, resumed from its checkpoint
+    between them."""
+    path = scratch_path(spark, "high_stream")
+    table = highs_stream.flags_table(spark, f"{path}/flags")
+    net = _net(load_inputs(spark, sf_dir)).select(*highs_stream.NET_SCHEMA.fieldNames())
+    net.write.parquet(f"{path}/net")
+    net = spark.read.schema(highs_stream.NET_SCHEMA).parquet(f"{path}/net")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, highs_stream.PROVIDER)
+    try:
+        for part in (F.col("loaddate") <= F.lit(STREAM_CUT), F.col("loaddate") > F.lit(STREAM_CUT)):
+            net.where(part).write.mode("append").parquet(f"{path}/landing")
+            highs_stream.start(spark, f"{path}/landing", table, f"{path}/checkpoint", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return highs_stream.breaks(table)
+
+
 def q_series_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every net-volume row's place in the order of all series."""
     return in_order(_net(load_inputs(spark, sf_dir))).select(
@@ -325,6 +350,7 @@ def registry() -> dict[str, Query]:
         "net_side_volume": q_net_side_volume,
         "new_high_breaks": q_new_high_breaks,
         "new_high_breaks_20": q_new_high_breaks_20,
+        "new_high_stream": q_new_high_stream,
         "series_order": q_series_order,
         "break_running_count": q_break_running_count,
         "band_breaks": q_band_breaks,
