@@ -205,3 +205,30 @@ def testdata_rules(since: str = "1996-01-01") -> RuleSet:
         excluded_day_trade_commodity="asia group",
     )
     return RuleSet(since=dt.date.fromisoformat(since), positions=positions, fills=fills)
+
+
+def overlapping_rules(since: str = "1996-01-01") -> RuleSet:
+    """The same rules with a division scope that keeps the subdivision which has a scope of its own, so that
+    rows belong to two scopes."""
+    r = testdata_rules(since)
+    p = r.positions
+
+    def whole(scopes: tuple[Scope, ...]) -> tuple[Scope, ...]:
+        return tuple(replace(s, exclude_subdivisions=()) for s in scopes)
+
+    return r.with_(positions=replace(p, tenor_scopes=whole(p.tenor_scopes), high_scopes=whole(p.high_scopes)))
+
+
+#: Dated rules over the driver's tables, as rows of ``operators.rules.RULE_SCHEMA``: (test, valid from, valid to, parts).
+#: The first six are one-offs that each drop rows; the others open, close and overlap in time.
+DATED_RULES = (
+    ("high", "1996-01-15", "1996-12-20", {"commodity": "Economy", "side": "purchase", "location": "Supplier#000000001"}),
+    ("high", "1996-03-01", "1998-01-31", {"commodity": "large", "side": "Sale ", "desk_like": "%urgent%"}),
+    ("high", None, "1997-06-30", {"commodity": "medium", "desk": "1-URGENT", "scope": "six"}),
+    ("high", "1997-01-02", None, {"commodity": "small", "side": "NA", "sub_location_like": "%ring%"}),
+    ("high", "1996-06-03", "1996-06-28", {"scope": "division"}),
+    ("high", "1997-09-01", "1997-10-15", {"position_type": "STD", "side": "Purchase"}),
+    ("high", "1997-10-01", "1997-12-31", {"position_type": "std", "side": "purchase", "scope": "three"}),
+    ("tenor", "1996-07-01", "1997-06-30", {"commodity": "Economy"}),
+    ("tenor", "1997-07-01", "1997-07-31", {"desk_like": "3-%"}),
+)

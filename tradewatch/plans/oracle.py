@@ -16,12 +16,14 @@ from collections.abc import Iterable
 
 from tradewatch.params import (
     BUY_CODE,
+    DATED_RULES,
     EXCLUDED_COMMENT_CODES,
     NET_SIDE,
     SELL_CODE,
     SIDES,
     RuleSet,
     Scope,
+    overlapping_rules,
     testdata_rules,
 )
 
@@ -71,7 +73,8 @@ positions AS (
          CASE WHEN l.l_linestatus = 'O' THEN -l.l_quantity ELSE l.l_quantity END AS delta,
          o.o_orderstatus AS source, l.l_suppkey AS location_code, p.p_name AS sub_location,
          CASE l.l_returnflag WHEN 'A' THEN 'Purchase' WHEN 'R' THEN 'Sale' ELSE 'NA' END AS side,
-         o.o_orderpriority AS trader_raw, CAST(l.l_shipdate AS DATE) AS contract_month,
+         CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 13 = 0 THEN '   '
+              ELSE o.o_orderpriority END AS trader_raw, CAST(l.l_shipdate AS DATE) AS contract_month,
          'C' || CAST(o.o_orderkey AS VARCHAR) AS contract_number,
          CASE l.l_linenumber WHEN 7 THEN 'ALT' WHEN 6 THEN NULL ELSE 'STD' END AS position_type
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -199,6 +202,32 @@ def sql_exclusion_rules(r: RuleSet) -> str:
             + f"UNION ALL SELECT 'high' AS test, {EXCLUDED_COLS} FROM high_rows")
 
 
+def _dated_rule(test: str, first: str | None, last: str | None, parts: dict) -> str:
+    """One dated rule as the condition that would have been written into the extract."""
+    c = [f"test = {_q(test)}"]
+    c += [f"loaddate >= DATE {_q(first)}"] if first else []
+    c += [f"loaddate <= DATE {_q(last)}"] if last else []
+    for k, v in parts.items():
+        if k == "scope":
+            c.append(f"scope = {_q(v)}")
+        elif k.endswith("_like"):
+            c.append(f"lower({k[:-5]}) LIKE {_q(v.lower())}")
+        else:
+            c.append(f"{_n(k)} = {_k(v)}")
+    return "NOT (" + " AND ".join(c) + ")"
+
+
+def sql_rule_table() -> str:
+    r = overlapping_rules()
+    rules = "\n  AND ".join(_dated_rule(*rule) for rule in DATED_RULES)
+    return (_with(base_positions(r), tenor_rows(r), high_rows(r))
+            + f"""SELECT test, {EXCLUDED_COLS} FROM (
+  SELECT 'tenor' AS test, * FROM (SELECT {EXCLUDED_COLS}, position_type, location FROM tenor_rows)
+  UNION ALL
+  SELECT 'high' AS test, * FROM (SELECT {EXCLUDED_COLS}, position_type, location FROM high_rows))
+WHERE {rules}""")
+
+
 def sql_desk_resolution(r: RuleSet) -> str:
     return (_with(base_positions(r))
             + "SELECT source, trader_raw, location, desk, count(*) AS n_rows\n"
@@ -650,6 +679,8 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     return {
         "scoped_positions": sql_scoped_positions(r),
         "exclusion_rules": sql_exclusion_rules(r),
+        "rule_table": sql_rule_table(),
+        "net_side_volume_overlap": sql_net_side_volume(overlapping_rules()),
         "desk_resolution": sql_desk_resolution(r),
         "tenor_flag": sql_tenor_flag(r),
         "tenor_exposure": sql_tenor_exposure(r),
@@ -672,6 +703,7 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "day_trade_breaks": sql_day_trade_breaks(r),
         "fill_view_refresh": sql_day_trade_breaks(r),
         "combined_breaks": sql_combined_breaks(r),
+        "combined_until": sql_combined_breaks(r) + " WHERE loaddate <= DATE '1997-12-31'",
         "feed_append": sql_combined_breaks(r),
         "feed_append_cast": sql_feed_append_cast(r),
         "feed_append_strict": sql_feed_append_strict(r),

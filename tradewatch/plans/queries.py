@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,11 @@ from tradewatch.functions import beyond_horizon, month_start
 from tradewatch.operators import daytrades as D
 from tradewatch.operators import highs as H
 from tradewatch.operators import positions as P
+from tradewatch.operators import rules as RU
 from tradewatch.operators.series import in_order
 from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.operators import feed as FD
+from tradewatch.params import DATED_RULES, overlapping_rules, testdata_rules
 from tradewatch.plans import surveillance as S
 from tradewatch.plans.inputs import Inputs, load_inputs
 from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA
@@ -68,6 +70,32 @@ def q_exclusion_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(_high_rows(i).select(F.lit("high").alias("test"), *EXCLUDED_COLUMNS)))
 
 
+def _dated(i: Inputs) -> DataFrame:
+    blank = dict.fromkeys(RU.RULE_SCHEMA.fieldNames())
+    rows = [Row(**{**blank, "test": test, "valid_from": a and dt.date.fromisoformat(a), "valid_to": b and dt.date.fromisoformat(b), **parts})
+            for test, a, b, parts in DATED_RULES]
+    return RU.rule_rows(i.spark, i.rules.positions).union(i.spark.createDataFrame(rows, RU.RULE_SCHEMA))
+
+
+def q_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of both tests, of overlapping scopes, left by the rules as a dated table with nine more rows."""
+    i = load_inputs(spark, sf_dir, overlapping_rules())
+    r, rules = i.rules, _dated(i)
+    days = i.position_dims.workdays
+
+    def left(test: str, scopes, since: dt.date) -> DataFrame:
+        rows = P.scoped_positions(i.positions, i.position_dims, scopes, since, r.positions.desk_sources)
+        return RU.exclude_by_rules(rows, rules, test, days).select(F.lit(test).alias("test"), *EXCLUDED_COLUMNS)
+
+    return (left("tenor", r.positions.tenor_scopes, r.since)
+            .unionByName(left("high", r.positions.high_scopes, r.high_since)))
+
+
+def q_net_side_volume_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net volume where rows belong to two scopes: the scopes' side volumes are averaged, not added."""
+    return _net(load_inputs(spark, sf_dir, overlapping_rules()))
+
+
 def q_desk_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Desk of every position row, counted per distinct input combination."""
     i = load_inputs(spark, sf_dir)
@@ -238,6 +266,15 @@ def q_combined_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 RERUN_SINCE = dt.date(1997, 6, 1)
 
 
+#: End of the feed that stops before the last day.
+UNTIL = dt.date(1997, 12, 31)
+
+
+def q_combined_until(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed up to an end date."""
+    return S.daily_feed(load_inputs(spark, sf_dir, testdata_rules().with_(until=UNTIL)))
+
+
 def q_feed_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed after a later day, rebuilt from the written net volume of the full run."""
     i = load_inputs(spark, sf_dir)
@@ -342,6 +379,8 @@ def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
         "exclusion_rules": q_exclusion_rules,
+        "rule_table": q_rule_table,
+        "net_side_volume_overlap": q_net_side_volume_overlap,
         "desk_resolution": q_desk_resolution,
         "tenor_flag": q_tenor_flag,
         "tenor_exposure": q_tenor_exposure,
@@ -364,6 +403,7 @@ def registry() -> dict[str, Query]:
         "day_trade_breaks": q_day_trade_breaks,
         "fill_view_refresh": q_fill_view_refresh,
         "combined_breaks": q_combined_breaks,
+        "combined_until": q_combined_until,
         "feed_append": q_feed_append,
         "feed_append_cast": q_feed_append_cast,
         "feed_append_strict": q_feed_append_strict,

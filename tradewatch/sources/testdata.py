@@ -8,7 +8,7 @@ positions = lineitem JOIN orders JOIN part, one row per line item
     loaddate        date(o_orderdate)     contract_month  date(l_shipdate)
     commodity       p_type                sub_location    p_name
     delta           l_quantity, negative when l_linestatus = 'O'
-    source          o_orderstatus         trader_raw      o_orderpriority
+    source          o_orderstatus         trader_raw      o_orderpriority, null or blank by o_orderkey % 11, % 13
     location_code   l_suppkey             contract_number 'C' || o_orderkey
     side            l_returnflag A/R/N -> Purchase/Sale/NA
     position_type   line 7 -> 'ALT', line 6 -> null, else 'STD'
@@ -82,6 +82,8 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("l_returnflag") == "R", "Sale").otherwise("NA"))
     ptype = (F.when(F.col("l_linenumber") == 7, "ALT")
              .when(F.col("l_linenumber") == 6, F.lit(None).cast("string")).otherwise("STD"))
+    trader = (F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("string"))
+              .when(F.col("o_orderkey") % 13 == 0, "   ").otherwise(F.col("o_orderpriority")))
     return (
         li.join(o, li.l_orderkey == o.o_orderkey)
         .join(p, li.l_partkey == p.p_partkey)
@@ -94,7 +96,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_suppkey").alias("location_code"),
             F.col("p_name").alias("sub_location"),
             side.alias("side"),
-            F.col("o_orderpriority").alias("trader_raw"),
+            trader.alias("trader_raw"),
             F.to_date("l_shipdate").alias("contract_month"),
             F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("contract_number"),
             ptype.alias("position_type"),
