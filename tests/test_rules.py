@@ -121,7 +121,7 @@ def test_tuple_rules_as_rows_give_the_same_positions(spark):
 def test_positions_are_read_once_and_not_shuffled(spark):
     i = load_inputs(spark, SF_SMALL)
     r = i.rules
-    rows = i.positions.withColumns({"scope": F.lit("six"), "location": F.lit("l"), "desk": F.lit("d")})
+    rows = i.positions.withColumns({"scope": F.col("source"), "location": F.col("sub_location"), "desk": F.col("trader_raw")})
     text = formatted(RU.exclude_by_rules(rows, RU.rule_rows(spark, r.positions), "high", i.position_dims.workdays))
     assert text.count("positions-") == 1
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "SortMergeJoin" not in text
