@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,7 @@ from tradewatch.session import shared_dir
 from tradewatch.sources import testdata
 from tradewatch.sources.fill_view import FillView
 from tradewatch.sources.store import table_key, written_table
+from tradewatch.sources.tables import read_input
 
 
 # One build of a view at a time within a process (queries may run in threads).
@@ -107,6 +108,25 @@ class Inputs:
         return out
 
 
+def source_inputs(spark: SparkSession, sources: dict[str, object], rules: RuleSet) -> Inputs:
+    """Inputs read from production sources (``tables.read_input``): ``positions`` and ``fills``, and the
+    dimensions by "group.member", such as ``position_dims.locations``. Sources planned by day are read from the
+    rules' look-back on."""
+    def read(name: str, schema=None, since=None) -> DataFrame:
+        return read_input(spark, sources[name], schema, since)
+
+    given: dict = {}
+    if "positions" in sources:
+        given["positions"] = read("positions", POSITIONS_SCHEMA, min(rules.high_since, rules.since))
+    if "fills" in sources:
+        given["fills"] = read("fills", FILLS_SCHEMA, rules.since)
+    for group, kind in (("position_dims", PositionDims), ("fill_dims", FillDims)):
+        names = [f.name for f in fields(kind)]
+        if all(f"{group}.{n}" in sources for n in names):
+            given[group] = kind(**{n: read(f"{group}.{n}") for n in names})
+    return Inputs(spark, "", rules, given=given)
+
+
 def load_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None,
                 write_facts: bool = True) -> Inputs:
     """Inputs over the driver tables in `sf_dir`. With `write_facts` the two

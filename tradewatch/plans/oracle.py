@@ -196,6 +196,11 @@ def sql_scoped_positions(r: RuleSet) -> str:
             + f"UNION ALL SELECT 'high' AS test, {SCOPED_COLS} FROM ({h})")
 
 
+def sql_scoped_positions_landed(r: RuleSet) -> str:
+    t = " UNION ALL ".join(_scoped_plain(r, s, "tenor") for s in r.positions.tenor_scopes)
+    return _with(base_positions(r)) + f"SELECT {SCOPED_COLS} FROM ({t})"
+
+
 def sql_exclusion_rules(r: RuleSet) -> str:
     return (_with(base_positions(r), tenor_rows(r), high_rows(r))
             + f"SELECT 'tenor' AS test, {EXCLUDED_COLS} FROM tenor_rows\n"
@@ -656,6 +661,13 @@ def sql_feed_rerun(r: RuleSet) -> str:
     return _feed_all(r) + "SELECT * FROM combined WHERE loaddate > DATE '1997-06-01'"
 
 
+def sql_delimited_rejects(r: RuleSet) -> str:
+    head, tail = "loaddate || '~' || subdivision || '~' || trader", "'~' || breaks || '~' || test"
+    return _feed_all(r) + f"""SELECT {head} AS line, 'fields' AS reason, NULL AS field FROM combined WHERE breaks = 1
+UNION ALL SELECT {head} || '~' || poscommodity || '~1.5' || {tail} || '~more', 'fields', NULL FROM combined WHERE breaks = 1
+UNION ALL SELECT {head} || '~' || poscommodity || '~much' || {tail}, 'type', 'dailyValue' FROM combined WHERE breaks = 1"""
+
+
 def sql_run_audit(r: RuleSet) -> str:
     return _feed_all(r) + """SELECT 'trade surveillance' AS process, 'Job Complete' AS step, test,
        count(*) AS rows, CAST(sum(breaks) AS BIGINT) AS breaks, min(loaddate) AS min_date,
@@ -678,6 +690,7 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
     r = rules or testdata_rules()
     return {
         "scoped_positions": sql_scoped_positions(r),
+        "scoped_positions_landed": sql_scoped_positions_landed(r),
         "exclusion_rules": sql_exclusion_rules(r),
         "rule_table": sql_rule_table(),
         "net_side_volume_overlap": sql_net_side_volume(overlapping_rules()),
@@ -711,6 +724,8 @@ def oracle_sql(rules: RuleSet | None = None) -> dict[str, str]:
         "feed_rollback": sql_feed_rollback(r),
         "feed_rerun": sql_feed_rerun(r),
         "delimited_stage": sql_combined_breaks(r),
+        "delimited_good": sql_combined_breaks(r),
+        "delimited_rejects": sql_delimited_rejects(r),
         "run_audit": sql_run_audit(r),
         "audit_log": sql_audit_log(r),
     }

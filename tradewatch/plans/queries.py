@@ -23,9 +23,10 @@ from tradewatch.operators.tenor import tenor_breaks
 from tradewatch.operators import feed as FD
 from tradewatch.params import DATED_RULES, overlapping_rules, testdata_rules
 from tradewatch.plans import surveillance as S
-from tradewatch.plans.inputs import Inputs, load_inputs
-from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA
+from tradewatch.plans.inputs import Inputs, load_inputs, source_inputs
+from tradewatch.schemas import AUDIT_SCHEMA, FEED_SCHEMA, POSITIONS_SCHEMA
 from tradewatch.session import scratch_path, shared_dir
+from tradewatch.sources.delimited import load_delimited
 from tradewatch.sources.fill_view import FillView
 from tradewatch.sources.versioned import DayTable
 from tradewatch.streaming import highs as highs_stream
@@ -60,6 +61,26 @@ def q_scoped_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(high.select(F.lit("high").alias("test"), *SCOPED_COLUMNS)))
 
 
+def q_scoped_positions_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoped positions of the tenor test, read from landed extracts (two deliveries, one of them corrected) as
+    production inputs; files before the since-date are not read."""
+    i = load_inputs(spark, sf_dir)
+    r = i.rules
+    path = scratch_path(spark, "landed")
+    landed = DayTable(spark, f"{path}/positions", POSITIONS_SCHEMA, keys=("loaddate",))
+    early = F.col("loaddate") <= F.lit(RERUN_SINCE)
+    landed.append(i.positions.where(early), "first")
+    landed.append(i.positions.where(~early).withColumn("delta", F.lit(0.0)), "second")
+    landed.replace(i.positions.where(~early), "second corrected")
+    dims = {}
+    for name, table in vars(i.position_dims).items():
+        table.write.parquet(f"{path}/{name}")
+        dims[f"position_dims.{name}"] = f"{path}/{name}"
+    s = source_inputs(spark, {"positions": landed, **dims}, r)
+    rows = P.scoped_positions(s.positions, s.position_dims, r.positions.tenor_scopes, r.since, r.positions.desk_sources)
+    return rows.select(*SCOPED_COLUMNS)
+
+
 EXCLUDED_COLUMNS = ["scope", "loaddate", "commodity", "desk", "subdivision", "side",
                     "delta", "sub_location", "contract_number"]
 
@@ -353,6 +374,28 @@ def q_delimited_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FD.read_delimited(spark, path, FEED_SCHEMA)
 
 
+def _damaged_stage(spark: SparkSession, sf_dir: str):
+    """The staged feed with a short, a long and a mistyped line beside each break, loaded back."""
+    path = scratch_path(spark, "damaged")
+    FD.stage_delimited(S.daily_feed(load_inputs(spark, sf_dir)), path)
+    broken = FD.read_delimited(spark, path).where("breaks = 1")
+    lines = F.array(F.concat_ws("~", "loaddate", "subdivision", "trader"),
+                    F.concat_ws("~", "loaddate", "subdivision", "trader", "poscommodity", F.lit("1.5"), "breaks", "test", F.lit("more")),
+                    F.concat_ws("~", "loaddate", "subdivision", "trader", "poscommodity", F.lit("much"), "breaks", "test"))
+    broken.select(F.explode(lines)).write.mode("append").text(path)
+    return load_delimited(spark, path, FEED_SCHEMA)
+
+
+def q_delimited_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a damaged staging folder that fit the feed."""
+    return _damaged_stage(spark, sf_dir).rows
+
+
+def q_delimited_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a damaged staging folder that don't, with the reason."""
+    return _damaged_stage(spark, sf_dir).rejects.drop("file")
+
+
 def q_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of a run (user and time columns left out: they vary)."""
     audit = FD.run_audit(S.daily_feed(load_inputs(spark, sf_dir)))
@@ -378,6 +421,7 @@ def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "scoped_positions": q_scoped_positions,
+        "scoped_positions_landed": q_scoped_positions_landed,
         "exclusion_rules": q_exclusion_rules,
         "rule_table": q_rule_table,
         "net_side_volume_overlap": q_net_side_volume_overlap,
@@ -411,6 +455,8 @@ def registry() -> dict[str, Query]:
         "feed_rollback": q_feed_rollback,
         "feed_rerun": q_feed_rerun,
         "delimited_stage": q_delimited_stage,
+        "delimited_good": q_delimited_good,
+        "delimited_rejects": q_delimited_rejects,
         "run_audit": q_run_audit,
         "audit_log": q_audit_log,
     }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -87,9 +89,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tradewatch/{name}-{uuid.uuid4().hex}"
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors (once a session), so that Python workers can import it
+    wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tradewatch_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tradewatch-"), "tradewatch_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(target)
+    sc._tradewatch_shipped = True
+
+
 def local_path(p: str) -> str:
     """Strip a ``file:`` scheme for code that needs a plain OS path."""
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path", "ship_code"]

@@ -1,4 +1,4 @@
-"""Readers for production inputs: catalog tables, parquet folders, JDBC.
+"""Readers for production inputs: catalog tables, parquet folders, landed extracts, database queries, JDBC.
 
 The original job pulled every input through database queries. Here an input
 is a catalog table, a parquet folder, or -- for a source that still lives in
@@ -15,6 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tradewatch.sources.database import Query, read_query
+from tradewatch.sources.versioned import DayTable
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -27,15 +30,25 @@ class JdbcSource:
     properties: tuple[tuple[str, str], ...] = ()
 
 
-def read_input(spark: SparkSession, source: str | JdbcSource,
-               schema: T.StructType | None = None) -> DataFrame:
-    """One input table.
+def read_input(spark: SparkSession, source: str | JdbcSource | Query | DayTable,
+               schema: T.StructType | None = None, since: dt.date | None = None) -> DataFrame:
+    """One input table; `since` leaves earlier days unread where the source is planned by day (it is no
+    filter: days up to it may be among the rows of the others).
 
+    * ``Query``: a database query through its Python driver, one task per date range.
+    * ``DayTable``: landed extracts, whose files before the date are not read.
     * ``JdbcSource``: parallel JDBC read, one query per date range.
     * a string with ``/`` or a scheme: a parquet folder (explicit schema if
       given, so no inference job runs over its files).
     * any other string: a catalog table.
     """
+    if isinstance(source, Query):
+        if schema is None:
+            raise ValueError("a query's columns are given by a schema")
+        return read_query(spark, source, schema, since)
+    if isinstance(source, DayTable):
+        df = source.read(first=since + dt.timedelta(days=1) if since else None)
+        return df.select(*schema.fieldNames()) if schema else df
     if isinstance(source, JdbcSource):
         r = spark.read.format("jdbc").option("url", source.url).option("dbtable", source.table)
         for k, v in source.properties:

@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from tradewatch.operators.series import ORDER, SERIES
 from tradewatch.params import NEW_HIGH_WINDOW, TEST_NEW_HIGH
 from tradewatch.schemas import FEED_COLUMNS
-from tradewatch.session import scratch_path
+from tradewatch.session import scratch_path, ship_code
 from tradewatch.sources.versioned import DayTable
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -115,6 +115,7 @@ def start(spark: SparkSession, landing: str, table: DayTable, checkpoint: str, w
     each micro-batch's number once it is committed to the table."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != PROVIDER:
         raise RuntimeError(f"set spark.sql.streaming.stateStore.providerClass to {PROVIDER}")
+    ship_code(spark)
     reader = spark.readStream.schema(NET_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
