@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     found = queries.registry()
-    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "decontamination", "secret_scan", "packing"]
 
 

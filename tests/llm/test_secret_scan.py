@@ -95,3 +95,20 @@ def test_underscore_prefixes_long_tokens_and_long_configurations():
     assert kinds(f"user: bob\n{prose}\npwd: hunter2") == []
     assert kinds(f"user: bob\n{lines}\n\npwd: hunter2") == []
     assert s.redact_text("DB_USER=admin\nDB_PASS=hunter2x") == "DB_[SECRET]\nDB_[SECRET]"
+
+
+def test_a_text_with_many_spans_takes_linear_time():
+    import time
+    random.seed(3)
+    spans = sorted((a, a + random.randint(1, 30)) for a in random.sample(range(5000), 300))
+    taken = [(a, a + random.randint(1, 60)) for a in random.sample(range(5000), 60)]
+    want = [x for x in spans if not any(a < x[1] and x[0] < b for a, b in taken)]
+    assert s._apart(spans, taken) == want and 0 < len(want) < 300
+    assert s._apart([], taken) == [] and s._apart(spans, []) == spans
+    group = "db_user=admin{i}\npassword = hunter2secret{i}\nhost=db{i}.internal\n\n"
+    start = time.perf_counter()
+    s.scan("".join(group.format(i=i) for i in range(1000)))
+    small = time.perf_counter() - start
+    start = time.perf_counter()
+    found = s.scan("".join(group.format(i=i) for i in range(20_000)))
+    assert time.perf_counter() - start < 80 * max(small, 0.01) and len(found) >= 20_000

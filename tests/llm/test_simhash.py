@@ -107,3 +107,12 @@ def test_edge_cases(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()).count((False, 1)) == 1
     assert simhash.simhash_components(no_docs).count() == 0 and simhash.near_dedup(no_docs).count() == 0
+
+
+def test_near_dedup_keeps_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "one text of some words", "a"), (1, "one text of some words", "b"), (2, "one text of some words", "c"), (3, "quite another", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text_hash string").withColumn("_Text_Hash_", F.lit("X")).withColumn("_dedup_hash", F.lit("Y"))
+    got = simhash.near_dedup(df).collect()
+    assert {r.doc_id for r in got} == {1, 3} and {r._dedup_hash for r in got} == {"Y"} and {r["_Text_Hash_"] for r in got} == {"X"}
+    assert {r._text_hash for r in got} <= {"a", "b", "d"} and len(got) == 2

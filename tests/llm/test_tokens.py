@@ -29,6 +29,25 @@ def test_word_wise_ids_are_the_tokenizers(tokenizer):
         assert np.frombuffer(e.encode([t.encode()])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_words_in_use_outlive_a_full_table(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_WORDS", 40)
+    random.seed(2)
+    e = tokens.Encoder(tokens.vocabulary_path())
+    for _ in range(60):
+        t = "always kept " + " ".join("".join(random.choice("abcdeéß") for _ in range(6)) for _ in range(15))
+        assert np.frombuffer(e.encode([t.encode()])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+        assert len(e.young) <= 20 and len(e.old) <= 20 and b"kept" in e.young | e.old
+
+
+def test_equal_rows_spread_over_partitions(spark):
+    df = spark.createDataFrame([(7, "the same text")] * 2000 + [(i, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    sizes = [r["count"] for r in tokens.in_order(df.repartition(6)).groupBy(F.spark_partition_id()).count().collect()]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 6000 and max(sizes) < 2.2 * 6000 / n
+    null = spark.createDataFrame([(None, None)] * 2000, "doc_id long, text string").repartition(6)
+    assert max(r["count"] for r in tokens.in_order(null).groupBy(F.spark_partition_id()).count().collect()) < 2.2 * 2000 / n
+
+
 def test_whole_texts_for_other_tokenizers():
     import public_tokenizers
     e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))

@@ -80,8 +80,13 @@ def _random_looking(s: str) -> bool:
 
 def _apart(spans: list[Span], taken: list[Span]) -> list[Span]:
     """The spans that overlap none of `taken`."""
-    ends = sorted(taken)
-    return [s for s in spans if not any(a < s[1] and s[0] < b for a, b in ends)]
+    if not spans or not taken:
+        return list(spans)
+    s, o = np.array(spans), np.array(sorted(taken))
+    # Of those that begin before a span's end, does any end after its start?
+    reached = np.concatenate(([-1], np.maximum.accumulate(o[:, 1])))
+    hit = reached[np.searchsorted(o[:, 0], s[:, 1], "left")] > s[:, 0]
+    return [x for x, h in zip(spans, hit.tolist()) if not h]
 
 
 def linked(parts: list[Span], others: list[Span], breaks: np.ndarray, reach: int = REACH) -> np.ndarray:

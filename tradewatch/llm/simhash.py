@@ -208,8 +208,11 @@ def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> D
     """
     _, _, least = _components(docs, shingle, max_bits)
     keep = written(least.select(F.col("first.doc_id").alias("_d"), F.col("first.text_hash").alias("_h")), "keep")
-    own = F.xxhash64(F.coalesce("text", F.lit("")))
-    kept = docs.withColumn("_dedup_hash", own).alias("a").join(
-        keep.alias("b"), F.col("a.doc_id").cast("long").eqNullSafe(F.col("b._d")) & (F.col("a._dedup_hash") == F.col("b._h")),
+    # A name that no column of the documents has (Spark tells names apart without case).
+    own, used = "_text_hash", {c.lower() for c in docs.columns}
+    while own in used:
+        own += "_"
+    kept = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit("")))).alias("a").join(
+        keep.alias("b"), F.col("a.doc_id").cast("long").eqNullSafe(F.col("b._d")) & (F.col(f"a.{own}") == F.col("b._h")),
         "left_semi")
-    return kept.dropDuplicates(["doc_id", "_dedup_hash"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", own]).select(*docs.columns)

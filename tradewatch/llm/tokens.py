@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -28,6 +29,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Bounds of a worker's word table: entries, and length of a word worth keeping.
 MAX_WORDS, MAX_WORD_BYTES = 500_000, 64
+#: The lower letters of ASCII and Latin-1, and words of nothing else.
+LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+PLAIN = re.compile(b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
@@ -39,35 +43,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Ids of words met so far; an unknown one goes through the tokenizer when it is looked up.
-
-    The tokenizer lowers letters and cuts between letters and a full stop or
-    comma after them, so "Word." has the ids of "word" and of "." (a text that
-    could hold a special token is left as it is).
-    """
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        plain = word if b"<|" in word else word.lower()
-        if plain[-1:] in (b".", b",") and plain[-2:-1].isalnum() and plain[-2] < 128 and b"<|" not in plain:
-            ids = self[plain[:-1]] + self[plain[-1:]]
-        else:
-            ids = self[plain] if plain != word else self.encode(word)
-        if len(word) <= MAX_WORD_BYTES:
-            self[word] = ids
-        return ids
-
-
 class Encoder:
     """Texts (UTF-8) to little-endian unsigned 32-bit ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -76,21 +58,91 @@ class Encoder:
         self.word_wise = bool((spec.get("model") or {}).get("end_of_word_suffix")
                               and pre[0].get("type") == "Split" and pre[0].get("invert")
                               and pre[0].get("behavior") == "Removed")
-        self.words = _Words(self._encode)
+        # Words met so far, in two generations: a full younger one becomes the older one, and words of the older
+        # one that are met again move up, so words in use are kept.
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        # Lower letters of Latin-1 are what the tokenizer's normalizer and cutting leave as they are; the model
+        # gets them as the signs that stand for their bytes.
+        steps = [x.get("type") for x in pre]
+        self.model = self.tokenizer.model if self.word_wise and steps == ["Split", "ByteLevel"] else None
+        if self.model is not None:
+            signs = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.signs = {ord(c): signs.pre_tokenize_str(c)[0][0] for c in LETTERS}
 
     def _encode(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
         return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, "<u4").tobytes()
 
+    def _encode_word(self, word: bytes) -> bytes:
+        if self.model is None or not PLAIN.fullmatch(word):
+            return self._encode(word)
+        found = self.model.tokenize(word.decode("utf-8").translate(self.signs))
+        ids = [t.id for t in found]
+        return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, "<u4").tobytes()
+
+    def _known(self, word: bytes) -> bytes:
+        """The ids of a word that the younger words lack.
+
+        The tokenizer lowers letters and cuts between letters and a full stop or
+        comma after them, so "Word." has the ids of "word" and of "." (a text that
+        could hold a special token is left as it is).
+        """
+        ids = self.young.get(word)
+        if ids is not None:
+            return ids
+        ids = self.old.get(word)
+        if ids is None:
+            plain = word if b"<|" in word else word.lower()
+            if plain[-1:] in (b".", b",") and plain[-2:-1].isalnum() and plain[-2] < 128 and b"<|" not in plain:
+                ids = self._known(plain[:-1]) + self._known(plain[-1:])
+            else:
+                ids = self._known(plain) if plain != word else self._encode_word(word)
+        if len(word) <= MAX_WORD_BYTES:
+            if len(self.young) >= MAX_WORDS // 2:
+                self.young, self.old = {}, self.young
+            self.young[word] = ids
+        return ids
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        out = list(map(self.young.get, words))
+        for i, ids in enumerate(out):
+            if ids is None:
+                out[i] = self._known(words[i])
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as bytes."""
+        return self.encode_column(pa.array([t.decode("utf-8") for t in texts], pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column as bytes."""
         if not self.word_wise:
-            return [self._encode(t) for t in texts]
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        # bytes.split() cuts at the six ASCII blanks, all of them white space to the tokenizer.
-        known = self.words.__getitem__
-        return [b"".join(map(known, t.split())) for t in texts]
+            return [self._encode(t) for t in binary_list(texts)]
+        texts = pa.compute.fill_null(texts, "")
+        special = pa.compute.match_substring(texts, "<|")
+        if pa.compute.any(special).as_py():
+            plain = iter(self._encode_plain(texts.filter(pa.compute.invert(special))))
+            return [self._encode(t.as_py().encode()) if x else next(plain) for t, x in zip(texts, special.to_pylist())]
+        return self._encode_plain(texts)
+
+    def _encode_plain(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without special tokens: lowered, full stops and commas after words cut off, words looked up
+        once each. The six ASCII blanks are white space to the tokenizer."""
+        texts = pa.compute.replace_substring_regex(pa.compute.ascii_lower(texts), r"([a-z0-9])([.,])(\s|$)", r"\1 \2\3")
+        split = pa.compute.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        ids = self.word_ids(binary_list(coded.dictionary))
+        body = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = length[at]
+        ends = np.cumsum(n)
+        starts = (np.cumsum(length) - length)[at]
+        stream = body[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        bounds = (4 * np.concatenate(([0], ends))[split.offsets.to_numpy()]).tolist()
+        return [stream[a:b] for a, b in zip(bounds, bounds[1:])]
 
     @lru_cache(maxsize=4)
     def sentence_enders(self, marks: str = ".!?…。！？") -> np.ndarray:
@@ -111,12 +163,12 @@ def encoder(path: str) -> Encoder:
 def in_order(docs: DataFrame) -> DataFrame:
     """(doc_id, text) dealt by ranges of doc_id and sorted in each partition.
 
-    The text's hash is the second key, so that an id with very many rows
-    spreads over several partitions; it and the text make the order definite.
+    The text's hash is the second key and the row's number the third, so that an id with very many rows, equal
+    ones too, spreads over several partitions; hash and text make the order definite.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (doc_texts(docs).withColumn("h", F.xxhash64("text"))
-            .repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
+    return (doc_texts(docs).withColumn("h", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+            .repartitionByRange(n, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "text")
             .select("doc_id", "text"))
 
 
@@ -125,5 +177,5 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str,
     """(doc_ids, ids of each with the end id as bytes) of Arrow batches of (doc_id, text)."""
     enc = encoder(path)
     end = np.array([end_id], "<u4").tobytes()
-    for b in slices(batches, "text", 2 << 20):
-        yield b.column("doc_id").to_pylist(), [x + end for x in enc.encode(binary_list(b.column("text")))]
+    for b in slices(batches, "text", 8 << 20):
+        yield b.column("doc_id").to_pylist(), [x + end for x in enc.encode_column(b.column("text"))]
