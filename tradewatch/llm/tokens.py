@@ -140,7 +140,12 @@ class Encoder:
         n = length[at]
         ends = np.cumsum(n)
         starts = (np.cumsum(length) - length)[at]
-        stream = body[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        # Places in `body` of all ids: a word's first one, and steps of one after it (in 32 bits: a batch is small).
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(body)) < 1 << 31 else np.int64
+        place = np.repeat((starts - (ends - n)).astype(kind), n)
+        place += np.arange(total, dtype=kind)
+        stream = body[place].tobytes()
         bounds = (4 * np.concatenate(([0], ends))[split.offsets.to_numpy()]).tolist()
         return [stream[a:b] for a, b in zip(bounds, bounds[1:])]
 
@@ -177,5 +182,5 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str,
     """(doc_ids, ids of each with the end id as bytes) of Arrow batches of (doc_id, text)."""
     enc = encoder(path)
     end = np.array([end_id], "<u4").tobytes()
-    for b in slices(batches, "text", 8 << 20):
+    for b in slices(batches, "text", 3 << 20):
         yield b.column("doc_id").to_pylist(), [x + end for x in enc.encode_column(b.column("text"))]
