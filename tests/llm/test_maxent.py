@@ -103,7 +103,8 @@ def test_neighbourhoods_match_plain_counting(spark, monkeypatch):
     rng = np.random.default_rng(3)
     lists = [(rng.integers(0, 9001, 200) % rng.integers(1, 9001)).astype(np.int32) for _ in range(40)]
     docs = spark.createDataFrame([(bytearray(x.tobytes()),) for x in lists], "ids binary").repartition(5)
-    plain = np.zeros((3 * m.ROWS, 2 * m.CONTEXT))
+    blocks = -(-9000 // m.ROWS)
+    plain = np.zeros((blocks * m.ROWS, 2 * m.CONTEXT))
     for ids in lists:
         for i, w in enumerate(ids):
             for d in range(1, m.REACH + 1):
@@ -111,6 +112,46 @@ def test_neighbourhoods_match_plain_counting(spark, monkeypatch):
                     plain[w, ids[i - d]] += 1
                 if w < 9000 and i + d < len(ids) and ids[i + d] < m.CONTEXT:
                     plain[w, m.CONTEXT + ids[i + d]] += 1
-    got = {r.block: np.frombuffer(r.data) for r in m.neighbours(docs, 9000).collect()}
-    for k in range(3):
-        assert (got.get(k, np.zeros(1)) == plain[k * m.ROWS:(k + 1) * m.ROWS].ravel()).all()
+    rows = m.neighbours(docs, 9000).collect()
+    assert len({r.block for r in rows}) == len(rows)
+    got = np.zeros(plain.shape)
+    for r in rows:
+        got[r.block * m.ROWS:(r.block + 1) * m.ROWS].ravel()[np.frombuffer(r.data, np.int32)] = np.frombuffer(r.n, np.float32)
+    assert (got == plain).all()
+
+
+def test_pair_counts_match_plain_counting():
+    rng = np.random.default_rng(5)
+    words = m.Words.of(rng.integers(0, m.CLASSES - 1, 300), rng.integers(3, 90, 300).astype(float))
+    lists = [rng.integers(0, 301, k).astype(np.int32) for k in (1, 50, 7, 200)]
+    plain = Counter()
+    for ranks in lists:
+        ids, _, before = words.history([ranks])
+        plain.update((int(i), int(b)) for i, b in zip(ids, before) if i < words.n)
+    starts, got = np.cumsum(words.sizes) - words.sizes, Counter()
+    for b in m.pair_counts(0, iter([lists[:2], [], lists[2:]]), words):
+        for r in b.to_pylist():
+            c, before = divmod(r["block"], m.CLASSES + 1)
+            for at, n in zip(np.frombuffer(r["data"], np.int32), np.frombuffer(r["n"], np.float32)):
+                got[int(starts[c] + at), before] += int(n)
+    assert got == plain
+
+
+def test_each_block_ends_in_one_row_whatever_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(m, "FAN", 3)
+    one = np.ones(2, np.float32).tobytes()
+    rows = [(t, b, bytearray(np.array([b, b + 1 + t % 2], np.int32).tobytes()), bytearray(one), 0) for t in range(40) for b in range(4)]
+    df = spark.createDataFrame(rows, m._SPARSE_DDL)
+    for tasks in (1, 7, 40, 500):
+        got = {r.block: dict(zip(np.frombuffer(r.data, np.int32).tolist(), np.frombuffer(r.n, np.float32).tolist()))
+               for r in m.in_levels(df, tasks, m.counts_summed).collect()}
+        assert got == {b: {b: 40.0, b + 1: 20.0, b + 2: 20.0} for b in range(4)}
+
+
+def test_packed_rows_keep_their_values():
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(50, m.CLASSES)).astype(np.float32) * rng.choice([1e-4, 1, 30], (50, 1)).astype(np.float32)
+    rows[3] = 0
+    got = m.unpacked_rows(m.packed_rows(rows))
+    assert (np.abs(got - rows) <= np.abs(rows).max(axis=1, keepdims=True) / 200 + 1e-8).all() and not got[3].any()
+    assert m.unpacked_rows(m.packed_rows(rows[:0])).shape == (0, m.CLASSES)

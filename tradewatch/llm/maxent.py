@@ -11,14 +11,17 @@
   training count) and an unknown word 1. So the probabilities of the V known
   words and the unknown one sum to 1 for every history.
 
-Training: every task runs minibatch gradient steps over its documents from
-the common weights; the changes are averaged, weighted by tokens, in rounds.
-Sums of tasks' tables are made in levels of at most FAN tables a group. The
-word stage is fitted class by class, a class a group. Neighbourhoods, pair
-counts and gradient sums stay in Spark as blocks; the driver gathers the model
-words and the finished weights (float32), which grow with the vocabulary.
-Counts of all words stay in a written table and are joined to the documents'
-rare words.
+Training: a trainer for each core of the cluster runs minibatch gradient steps over its
+documents from the common weights; the changes are averaged, weighted by tokens, in
+rounds. Sums of trainers' tables are made in levels of at most FAN tables a group. The
+word stage is fitted in Spark too, a group for each (class, previous class): given the
+words' own weights, these columns don't depend on each other. Neighbourhoods, pair
+counts and gradient sums are sparse blocks in Spark; the driver gathers the model words
+and the finished weights, which grow with the vocabulary. Tables of weights travel
+rounded: a byte a weight and a scale a row in the class stage, float16 in the word
+stage. Log probabilities are normalised over the rounded weights, so rounding doesn't
+make them sum to more or less than one. Counts of all words stay in a written table and are joined to the
+documents' rare words.
 """
 
 from __future__ import annotations
@@ -48,7 +51,9 @@ BUCKETS = 1 << 16
 CONTEXT, REACH = 64, 3
 #: Words of a block of neighbourhoods; blocks of frequent words that a task counts before it reports
 #: them, and from which the first centres are picked.
-ROWS, HEAD = 4096, 4
+ROWS, HEAD = 1024, 16
+#: Rows of weights in a block.
+WEIGHT_ROWS = 4096
 ROUNDS, BATCH, RATE = 2, 8192, 0.5
 #: Tables added up in one group.
 FAN = 16
@@ -65,6 +70,10 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def split_words(joined: bytes) -> list[bytes]:
+    return joined.split(b" ") if joined else []
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word binary, n) over documents (doc_id, text), ends included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,16 +85,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def indexed(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
-    """(row, doc_id, held_out, n_tokens, ids, rare): ids are ranks in the vocabulary (int32 bytes,
-    its length for other words), rare those other words in order. `row` numbers the documents."""
+def indexed(docs: DataFrame, vocabulary: bytes) -> DataFrame:
+    """(row, doc_id, held_out, n_tokens, ids, rare): ids are ranks in the vocabulary (words parted by blanks;
+    int32 bytes, their number for other words), rare those other words in order. `row` numbers the documents."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 33
-        rank = {w: i for i, w in enumerate(shared.value)}
+        rank = {w: i for i, w in enumerate(split_words(shared.value))}
         other = len(rank)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 2 << 20):
             ids, rare, n = [], [], []
             for t in binary_list(b.column("text")):
                 ws = tokens(t)
@@ -103,57 +112,73 @@ def indexed(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
                                         "rare array<binary>"), "indexed")
 
 
-def summed(rows: DataFrame, tasks: int) -> DataFrame:
-    """(block, data): tables (task, block, data as float64 bytes) added up block by block, FAN at a time."""
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.float64) for x in pdf["data"]], axis=0)
-        return pd.DataFrame({"task": [pdf["task"].iloc[0] // FAN], "block": [pdf["block"].iloc[0]],
-                             "data": [total.tobytes()]})
-
-    while True:
-        rows = (rows.groupBy(F.expr(f"task div {FAN}").alias("g"), "block")
-                .applyInPandas(add, "task long, block int, data binary"))
-        tasks = -(-tasks // FAN)
-        if tasks <= 1:
-            return rows.select("block", "data")
+_SPARSE = pa.schema([("task", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("n", pa.binary()),
+                     ("tokens", pa.int64())])
+_SPARSE_DDL = "task long, block int, data binary, n binary, tokens long"
 
 
-_SPARSE = pa.schema([("task", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("n", pa.binary())])
-_SPARSE_DDL = "task long, block int, data binary, n binary"
-
-
-def _sparse(task: int, keys: np.ndarray, n: np.ndarray, edges: np.ndarray, first: int = 0) -> pa.RecordBatch:
+def _sparse(task: int, keys: np.ndarray, n: np.ndarray, edges: np.ndarray) -> pa.RecordBatch:
     """Counts at ascending places of a table that is cut at `edges`: a row a block, places from its start."""
     cut = np.searchsorted(keys, edges)
     found = np.flatnonzero(np.diff(cut))
     return pa.RecordBatch.from_pylist(
-        [{"task": task, "block": first + int(k), "data": (keys[cut[k]:cut[k + 1]] - edges[k]).astype(np.int32).tobytes(),
-          "n": n[cut[k]:cut[k + 1]].astype(np.float32).tobytes()} for k in found], _SPARSE)
+        [{"task": task, "block": int(k), "data": (keys[cut[k]:cut[k + 1]] - edges[k]).astype(np.int32).tobytes(),
+          "n": n[cut[k]:cut[k + 1]].astype(np.float32).tobytes(), "tokens": 0} for k in found], _SPARSE)
+
+
+def in_levels(rows: DataFrame, tasks: int, add: Callable[[pd.DataFrame], tuple[bytes, bytes, int]]) -> DataFrame:
+    """(task, block, data, n, tokens): tasks' tables put together by `add` block by block, FAN tasks at a
+    time, until each block is one row, whatever numbers the tasks have."""
+    def level(pdf: pd.DataFrame) -> pd.DataFrame:
+        data, n, count = add(pdf)
+        return pd.DataFrame({"task": [pdf["task"].iloc[0] // FAN], "block": [pdf["block"].iloc[0]], "data": [data],
+                             "n": [n], "tokens": [count]})
 
+    while tasks > FAN:
+        rows = rows.groupBy(F.expr(f"task div {FAN}").alias("g"), "block").applyInPandas(level, _SPARSE_DDL)
+        tasks = -(-tasks // FAN)
+    return rows.groupBy("block").applyInPandas(level, _SPARSE_DDL)
+
+
+def packed_rows(rows: np.ndarray) -> bytes:
+    """Rows of CLASSES floats as a float16 scale each, then a byte a value (127: the scale)."""
+    scale = np.abs(rows).max(axis=1, initial=0).astype(np.float16)
+    step = np.maximum(scale.astype(np.float32), 1e-7)[:, None] / 127
+    return scale.tobytes() + np.clip(np.rint(rows / step), -127, 127).astype(np.int8).tobytes()
+
+
+def unpacked_rows(data: bytes) -> np.ndarray:
+    """float32 rows of what `packed_rows` made."""
+    n = len(data) // (CLASSES + 2)
+    scale = np.frombuffer(data, np.float16, n).astype(np.float32)
+    return np.frombuffer(data, np.int8, offset=2 * n).reshape(n, CLASSES) * (scale / 127)[:, None]
 
-def sparse_summed(rows: DataFrame, length: Callable[[int], int], tasks: int, width: int = 1) -> DataFrame:
-    """(block, data): sparse tables (task, block, data: places, n: `width` values a place) added up to
-    dense float64 blocks of `length` places."""
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["block"].iloc[0])
-        total = np.zeros((length(k), width))
-        for at, n in zip(pdf["data"], pdf["n"]):
-            total[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.float32).reshape(-1, width)
-        return pd.DataFrame({"task": [pdf["task"].iloc[0] // FAN], "block": [k], "data": [total.tobytes()]})
 
-    dense = (rows.groupBy(F.expr(f"task div {FAN}").alias("g"), "block")
-             .applyInPandas(add, "task long, block int, data binary"))
-    tasks = -(-tasks // FAN)
-    return summed(dense, tasks) if tasks > 1 else dense.select("block", "data")
+def counts_summed(pdf: pd.DataFrame) -> tuple[bytes, bytes, int]:
+    """Sparse counts (places, float32 each) of one block added up."""
+    every = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["data"]])
+    n = np.concatenate([np.frombuffer(x, np.float32) for x in pdf["n"]])
+    at, back = np.unique(every, return_inverse=True)
+    return at.tobytes(), np.bincount(back, n).astype(np.float32).tobytes(), 0
 
 
-def _id_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    return ([np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))] for b in slices(batches, "ids", 4 << 20))
+def changes_summed(pdf: pd.DataFrame) -> tuple[bytes, bytes, int]:
+    """Mean change of one block of weights (places of rows, packed rows), weighted by tokens."""
+    total = np.zeros((WEIGHT_ROWS, CLASSES), np.float32)
+    tokens = int(pdf["tokens"].sum())
+    for at, n, k in zip(pdf["data"], pdf["n"], pdf["tokens"]):
+        total[np.frombuffer(at, np.int32)] += unpacked_rows(n) * np.float32(k / tokens)
+    at = np.flatnonzero(total.any(axis=1)).astype(np.int32)
+    return at.tobytes(), packed_rows(total[at]), tokens
+
+
+def _id_lists(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[list[np.ndarray]]:
+    return ([np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))] for b in slices(batches, "ids", limit))
 
 
 def neighbours(docs: DataFrame, words: int) -> DataFrame:
-    """(block, data): how often each word has each of the CONTEXT most frequent words within REACH
-    places, in written blocks of ROWS words x 2 CONTEXT."""
+    """(block, data, n): how often (float32) each word has each of the CONTEXT most frequent words within
+    REACH places; data: the places (int32) other than 0 of a written block of ROWS words x 2 CONTEXT."""
     width = 2 * CONTEXT
     edges = np.arange(-(-words // ROWS) + 1) * ROWS * width
 
@@ -175,37 +200,46 @@ def neighbours(docs: DataFrame, words: int) -> DataFrame:
         yield _sparse(task, at, head[at], edges)
 
     found = docs.select("ids").mapInArrow(run, _SPARSE_DDL)
-    return written(sparse_summed(found, lambda k: ROWS * width, docs.rdd.getNumPartitions()), "neighbours")
+    return written(in_levels(found, docs.rdd.getNumPartitions(), counts_summed).select("block", "data", "n"), "neighbours")
 
 
-def _directions(data: bytes, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _directions(data: bytes, n: bytes, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(unit vectors of a block's neighbourhoods, weights); words without neighbours are 0."""
-    table = np.frombuffer(data).reshape(-1, 2 * CONTEXT)
+    table = np.zeros(ROWS * 2 * CONTEXT)
+    table[np.frombuffer(data, np.int32)] = np.frombuffer(n, np.float32)
+    table = table.reshape(ROWS, 2 * CONTEXT)
     share = table / np.maximum(columns, 1)
     x = np.sqrt(share / np.maximum(share.sum(axis=1, keepdims=True), 1e-300)).astype(np.float32)
     return x, np.sqrt(table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, bytes]]:
+    for b in batches:
+        for k in range(b.num_rows):
+            yield b.column("block")[k].as_py(), b.column("data")[k].as_buffer(), b.column("n")[k].as_buffer()
+
+
 def cluster(blocks: DataFrame, words: int, k: int, steps: int = 12) -> np.ndarray:
     """A class for each word (blocks of rows by falling frequency): spherical k-means of their
-    neighbourhoods. A step adds up the centres block by block in Spark."""
+    neighbourhoods. In a step each task adds up the centres of its blocks; the driver adds the tasks'."""
     spark = blocks.sparkSession
+    width = 2 * CONTEXT
 
-    def over_blocks(work: Callable[[int, bytes], np.ndarray]) -> list[tuple[int, bytes]]:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                yield pd.DataFrame({"block": b["block"],
-                                    "data": [work(k, d).tobytes() for k, d in zip(b["block"], b["data"])]})
-        return sorted((r["block"], bytes(r["data"])) for r in blocks.mapInPandas(run, "block int, data binary").collect())
-
-    def in_block(i: int) -> int:
-        return min(ROWS, words - i * ROWS)
-
-    columns = np.sum([np.frombuffer(d) for _, d in over_blocks(
-        lambda i, d: np.frombuffer(d).reshape(-1, 2 * CONTEXT).sum(axis=0))] or [np.zeros(2 * CONTEXT)], axis=0)
-    heads = {r["block"]: _directions(bytes(r["data"]), columns) for r in blocks.where(F.col("block") < HEAD).collect()}
-    blank = np.zeros((ROWS, 2 * CONTEXT), np.float32), np.zeros((ROWS, 1), np.float32)
-    parts = [tuple(v[:in_block(i)] for v in heads.get(i, blank)) for i in range(min(HEAD, -(-words // ROWS)))]
+    def over_tasks(shape: tuple[int, ...], work: Callable[[bytes, bytes], np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for _, data, n in _each_block(batches):
+                total += work(data, n)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["data"])
+
+        return np.sum([np.frombuffer(r["data"]).reshape(shape) for r in blocks.mapInArrow(run, "data binary").collect()]
+                      or [np.zeros(shape)], axis=0)
+
+    columns = over_tasks((width,), lambda data, n: np.bincount(
+        np.frombuffer(data, np.int32) % width, np.frombuffer(n, np.float32), width))
+    heads = {r["block"]: _directions(r["data"], r["n"], columns) for r in blocks.where(F.col("block") < HEAD).collect()}
+    blank = np.zeros((ROWS, width), np.float32), np.zeros((ROWS, 1), np.float32)
+    parts = [tuple(v[:words - i * ROWS] for v in heads.get(i, blank)) for i in range(min(HEAD, -(-words // ROWS)))]
     x, weight = (np.concatenate(v) for v in zip(*parts))
     k = min(k, len(x))
     centre = x[:1]
@@ -217,30 +251,29 @@ def cluster(blocks: DataFrame, words: int, k: int, steps: int = 12) -> np.ndarra
     for _ in range(steps):
         shared = spark.sparkContext.broadcast((centre, columns))
 
-        def add(i: int, data: bytes, shared=shared) -> np.ndarray:
+        def add(data: bytes, n: bytes, shared=shared) -> np.ndarray:
             centre, columns = shared.value
-            x, weight = _directions(data, columns)
-            total = np.zeros(centre.shape)
-            np.add.at(total, (x @ centre.T).argmax(axis=1), x * weight)
-            return total
+            x, weight = _directions(data, n, columns)
+            own = (x @ centre.T).argmax(axis=1)[:, None] == np.arange(len(centre))
+            return own.astype(np.float32).T @ (x * weight)
 
-        total = np.sum([np.frombuffer(d).reshape(centre.shape) for _, d in over_blocks(add)] or [0 * centre], axis=0)
+        total = over_tasks(centre.shape, add)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
         centre = np.where(norm > 0, total / np.maximum(norm, 1e-30), centre).astype(np.float32)
     shared = spark.sparkContext.broadcast((centre, columns))
-    label = np.zeros(words, np.int64)
-    for i, d in over_blocks(lambda i, d: (_directions(d, shared.value[1])[0] @ shared.value[0].T).argmax(axis=1)
-                            .astype(np.uint8)):
-        label[i * ROWS:i * ROWS + in_block(i)] = np.frombuffer(d, np.uint8)[:in_block(i)]
-    return label
 
+    def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, columns = shared.value
+        for i, data, n in _each_block(batches):
+            near = (_directions(data, n, columns)[0] @ centre.T).argmax(axis=1).astype(np.uint8)
+            yield pa.RecordBatch.from_pylist([{"block": i, "data": near.tobytes()}],
+                                             pa.schema([("block", pa.int32()), ("data", pa.binary())]))
 
-def _gathered(found: DataFrame, blocks: int, shape: tuple[int, int]) -> np.ndarray:
-    """The table (`blocks` float32 blocks of equal size) on the driver; zeros where there are no rows."""
-    out = np.zeros(shape, np.float32)
-    for r in found.collect():
-        out.reshape(blocks, -1)[r["block"]] = np.frombuffer(r["data"], np.float32)
-    return out
+    label = np.zeros(words, np.int64)
+    for r in blocks.mapInArrow(labels, "block int, data binary").collect():
+        part = label[r["block"] * ROWS:(r["block"] + 1) * ROWS]
+        part[:] = np.frombuffer(r["data"], np.uint8)[:len(part)]
+    return label
 
 
 @dataclass
@@ -284,7 +317,7 @@ class Words:
 
 def class_log_probs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log of P(class | history), tokens x CLASSES."""
-    z = weights[features[:, 0]]
+    z = weights[features[:, 0]].astype(np.float32)
     for k in range(1, features.shape[1]):
         z = z + weights[features[:, k]]
     z += bias
@@ -293,20 +326,35 @@ def class_log_probs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray)
     return z
 
 
-def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, weights: np.ndarray, bias: np.ndarray,
-               blocks: int) -> Iterator[pa.RecordBatch]:
-    """A task's gradient steps: for each class (block `blocks` on) the counts of (word, class of the previous
-    word), slice by slice, then the change of the weights that it touched times its tokens, in blocks of rows."""
-    start, weights = weights, weights.copy()
+def pair_counts(task: int, lists: Iterator[list[np.ndarray]], words: Words) -> Iterator[pa.RecordBatch]:
+    """How often each word follows each class; block class * (CLASSES + 1) + previous class, place in the class."""
+    sizes, width = words.sizes, CLASSES + 1
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    edges = np.concatenate(([0], np.cumsum(np.repeat(sizes, width))))
+    for ranks in lists:
+        ids = np.concatenate([words.order[r] for r in ranks] or [np.zeros(0, np.int32)])
+        if not len(ids):
+            continue
+        before = words.classes[np.concatenate(([words.n + 1], ids[:-1]))]
+        before[np.cumsum([0] + [len(r) for r in ranks[:-1]])] = CLASSES
+        own = ids < words.n
+        ids, before = ids[own].astype(np.int64), before[own]
+        of = words.classes[ids]
+        at, n = np.unique(starts[of] * width + before * sizes[of] + ids - starts[of], return_counts=True)
+        yield _sparse(task, at, n, edges)
+
+
+def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start: list[bytes],
+               bias: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A trainer's gradient steps: the change of the weights that it touched, in blocks of rows, and its tokens.
+    `start`: the packed blocks of the common weights."""
+    weights = np.concatenate([unpacked_rows(b) for b in start])
     scale = np.full(len(weights), 1.0, np.float32)
-    edges = np.concatenate(([0], np.cumsum(words.sizes))) * (CLASSES + 1)
     n = 0
     for ranks in lists:
         if not ranks:
             continue
-        ids, features, before = words.history(ranks)
-        at, k = np.unique(ids.astype(np.int64) * (CLASSES + 1) + before, return_counts=True)
-        yield _sparse(task, at, k, edges, blocks)
+        ids, features, _ = words.history(ranks)
         target = words.classes[ids]
         n += len(ids)
         for a in range(0, len(ids), BATCH):
@@ -321,31 +369,32 @@ def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, weigh
             slope = np.add.reduceat(wrong[order // f.shape[1]], first, axis=0)
             scale[rows] += (slope * slope).sum(axis=1)
             weights[rows] -= RATE * slope / np.sqrt(scale[rows])[:, None]
-    size = len(weights) // blocks
     touched = np.flatnonzero(scale != 1)
-    for k, rows in enumerate(np.split(touched, np.searchsorted(touched, np.arange(1, blocks) * size))):
+    for k, rows in enumerate(np.split(touched, np.searchsorted(touched, np.arange(WEIGHT_ROWS, len(weights), WEIGHT_ROWS)))):
         if len(rows):
+            inside = rows - k * WEIGHT_ROWS
+            change = packed_rows(weights[rows] - unpacked_rows(start[k])[inside])
             yield pa.RecordBatch.from_pylist(
-                [{"task": task, "block": k, "data": (rows - k * size).astype(np.int32).tobytes(),
-                  "n": ((weights[rows] - start[rows]) * np.float32(n)).tobytes()}], _SPARSE)
+                [{"task": task, "block": k, "data": inside.astype(np.int32).tobytes(), "n": change, "tokens": n}], _SPARSE)
 
 
-def fit_class(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 P(word | class, class of the previous word) of one class, by gradient steps on the weights
-    of (word, previous class) around the words' own weights; words x (CLASSES + 1)."""
-    own = np.log(np.maximum(counts, 1e-9))[:, None]
-    weights = np.zeros_like(pairs)
-    total = pairs.sum(axis=0)
+def fit_column(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, log of the sum of their exponentials) of one class's words after one previous class, by
+    gradient steps on the weights around the words' own, log(counts). The weights are rounded to float16."""
+    own = np.log(np.maximum(counts, 1e-9))
+    weights = np.zeros(len(pairs))
+    total = pairs.sum()
 
-    def log_probs() -> np.ndarray:
+    def log_sum() -> float:
         z = own + weights
-        z = z - z.max(axis=0)
-        return z - np.log(np.exp(z).sum(axis=0))
+        return float(z.max() + np.log(np.exp(z - z.max()).sum()))
 
     for _ in range(WORD_STEPS):
-        expected = total * np.exp(log_probs())
+        expected = total * np.exp(own + weights - log_sum())
         weights += np.clip((pairs - expected - PRIOR * weights) / (np.maximum(expected, pairs) + PRIOR), -1, 1) * 0.7
-    return log_probs() / math.log(10)
+    rounded = weights.astype(np.float16)
+    weights = rounded.astype(np.float64)
+    return rounded, log_sum()
 
 
 @dataclass
@@ -355,13 +404,28 @@ class Model:
     counts: DataFrame
     total: int                   # N: training tokens
     distinct: int                # V
-    vocabulary: list[bytes]      # by falling count
+    joined: bytes                # model words by falling count, parted by blanks
     words: Words
-    weights: np.ndarray
+    packed: list[bytes]          # weights, in packed blocks of WEIGHT_ROWS rows
     bias: np.ndarray
-    in_class: np.ndarray         # log10 P(word | class, previous class), id x (CLASSES + 1)
+    after: np.ndarray            # weight of (word, previous class), id x (CLASSES + 1), float16
+    log_sums: np.ndarray         # class x previous class: what makes them probabilities
     rare_mass: float             # of rare words, c + 1 each, and 1 for the unknown word
 
+    @property
+    def vocabulary(self) -> list[bytes]:
+        return split_words(self.joined)
+
+    @property
+    def weights(self) -> np.ndarray:
+        return np.concatenate([unpacked_rows(b) for b in self.packed])
+
+    @property
+    def in_class(self) -> np.ndarray:
+        """log10 P(word | class, previous class), id x (CLASSES + 1)."""
+        own = np.log(np.maximum(self.words.counts, 1e-9))[:, None]
+        return (own + self.after - self.log_sums[self.words.classes[:self.words.n]]) / math.log(10)
+
 
 def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataFrame]:
     """The model of the documents (doc_id, text, held_out) that are not held out, and all documents indexed.
@@ -373,12 +437,12 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = counts.where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word")
     top = (frequent if model_words is None else frequent.limit(model_words)).toArrow()
-    vocabulary, n = top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.float64)
+    size, n = top.num_rows, top.column("n").to_numpy().astype(np.float64)
+    joined = b" ".join(w.as_py() for w in top.column("word"))
     del top
-    rare_mass = float(total - n.sum()) + (distinct - len(vocabulary)) + 1
-    rows = indexed(docs, vocabulary)
+    rare_mass = float(total - n.sum()) + (distinct - size) + 1
+    rows = indexed(docs, joined)
     own = rows.where(~F.col("held_out"))
-    size = len(vocabulary)
 
     label = cluster(neighbours(own, size), size, CLASSES - 1) if size else np.zeros(0, int)
     buckets = max(BUCKETS, 1 << max(size - 1, 0).bit_length())
@@ -386,46 +450,52 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     share = np.bincount(words.classes[:size], n, minlength=CLASSES)
     share[CLASSES - 1] += max(total - n.sum(), 0)
     bias = np.log((share + 1) / (share + 1).sum()).astype(np.float32)
-    weights = np.zeros((buckets, CLASSES), np.float32)
-    blocks, pairs = max(64, buckets // ROWS), None
-    tasks = own.rdd.getNumPartitions()
+    packed = [packed_rows(np.zeros((WEIGHT_ROWS, CLASSES), np.float32))] * (buckets // WEIGHT_ROWS)
+    trainers = spark.sparkContext.defaultParallelism
     for k in range(ROUNDS):
-        start = spark.sparkContext.broadcast((words, weights, bias))
+        start = spark.sparkContext.broadcast((words, packed, bias))
         part = own.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k)
 
         def train(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            yield from train_task(TaskContext.get().partitionId(), _id_lists(batches), *start.value, blocks)
+            yield from train_task(TaskContext.get().partitionId(), _id_lists(batches, 1 << 20), *start.value)
 
         trained = max(part.agg(F.sum("n_tokens")).first()[0] or 0, 1)
-
-        def average(batches: Iterator[pd.DataFrame], trained=trained) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                yield pd.DataFrame({"block": b["block"], "data": [
-                    (np.frombuffer(x) / trained).astype(np.float32).tobytes() for x in b["data"]]})
-
-        # Written: the class blocks and the weight blocks are read apart.
-        made = written(part.select("ids").mapInArrow(train, _SPARSE_DDL), "round")
-        change = sparse_summed(made.where(F.col("block") < blocks), lambda k: buckets // blocks, tasks, CLASSES)
-        weights = weights + _gathered(change.mapInPandas(average, "block int, data binary"), blocks, (buckets, CLASSES))
-        found = made.where(F.col("block") >= blocks)
-        pairs = found if pairs is None else pairs.union(found)
-
-    sizes, by_class = words.sizes, spark.sparkContext.broadcast(np.split(words.counts, np.cumsum(words.sizes)[:-1]))
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = [fit_class(np.frombuffer(d).reshape(-1, CLASSES + 1), by_class.value[k - blocks]).astype(np.float32)
-                   .tobytes() for k, d in zip(b["block"], b["data"])]
-            yield pd.DataFrame({"block": b["block"], "data": out})
-
-    # Every word was seen, so every class with words has pairs.
-    sums = sparse_summed(pairs, lambda k: int(sizes[k - blocks]) * (CLASSES + 1), tasks)
-    in_class = np.zeros((size, CLASSES + 1), np.float32)
-    ends = np.cumsum(sizes)
-    for r in sums.mapInPandas(fit, "block int, data binary").collect():
-        k = r["block"] - blocks
-        in_class[ends[k] - sizes[k]:ends[k]] = np.frombuffer(r["data"], np.float32).reshape(-1, CLASSES + 1)
-    return Model(counts, total, distinct, vocabulary, words, weights, bias, in_class, rare_mass), rows
+        changes = in_levels(part.select("ids").coalesce(trainers).mapInArrow(train, _SPARSE_DDL), trainers, changes_summed)
+        packed = list(packed)
+        for r in changes.collect():
+            block = unpacked_rows(packed[r["block"]])
+            block[np.frombuffer(r["data"], np.int32)] += unpacked_rows(r["n"]) * np.float32(r["tokens"] / trained)
+            packed[r["block"]] = packed_rows(block)
+        start.destroy()
+
+    shared = spark.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from pair_counts(TaskContext.get().partitionId(), _id_lists(batches), shared.value)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, counts = shared.value.sizes, shared.value.counts
+        ends = np.cumsum(sizes)
+        for k, data, n in _each_block(batches):
+            c = k // (CLASSES + 1)
+            pairs = np.zeros(sizes[c])
+            pairs[np.frombuffer(data, np.int32)] = np.frombuffer(n, np.float32)
+            found, log_sum = fit_column(pairs, counts[ends[c] - sizes[c]:ends[c]])
+            yield pa.RecordBatch.from_pylist([{"block": k, "data": found.tobytes(), "log_sum": log_sum}], pa.schema(
+                [("block", pa.int32()), ("data", pa.binary()), ("log_sum", pa.float64())]))
+
+    pairs = in_levels(own.select("ids").mapInArrow(count, _SPARSE_DDL), own.rdd.getNumPartitions(), counts_summed)
+    after = np.zeros((size, CLASSES + 1), np.float16)
+    # Without pairs a column has no weights but the words' own.
+    sums = np.bincount(words.classes[:size], np.maximum(words.counts, 1e-9), CLASSES)
+    log_sums = np.repeat(np.log(np.maximum(sums, 1e-9))[:, None], CLASSES + 1, axis=1)
+    ends = np.cumsum(words.sizes)
+    for r in pairs.select("block", "data", "n").mapInArrow(fit, "block int, data binary, log_sum double").collect():
+        c, before = divmod(r["block"], CLASSES + 1)
+        after[ends[c] - words.sizes[c]:ends[c], before] = np.frombuffer(r["data"], np.float16)
+        log_sums[c, before] = r["log_sum"]
+    shared.destroy()
+    return Model(counts, total, distinct, joined, words, packed, bias, after, log_sums, rare_mass), rows
 
 
 def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
@@ -440,19 +510,21 @@ def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
     model, rows = learn(docs, model_words)
     denominator = math.log10(model.total + model.distinct + 1)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.words, model.weights, model.bias, model.in_class,
-         np.concatenate((np.log10(model.words.counts + 1), [0.0]))))
+        (model.words, model.packed, model.bias, model.after, model.log_sums))
     rare_log = math.log10(model.rare_mass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights, bias, in_class, base = shared.value
+        words, packed, bias, after, log_sums = shared.value
+        weights = np.concatenate([unpacked_rows(b).astype(np.float16) for b in packed])
+        own, base = np.log(np.maximum(words.counts, 1e-9)), np.append(np.log10(words.counts + 1), 0.0)
         for b in slices(batches, "ids", 1 << 20):
             ranks = [np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))]
             ids, features, before = words.history(ranks)
             known = ids < words.n
             value = np.where(known, 0.0, -rare_log)
-            value[known] += in_class[ids[known], before[known]]
             target = words.classes[ids]
+            i, p = ids[known], before[known]
+            value[known] += (own[i] + after[i, p] - log_sums[target[known], p]) / math.log(10)
             for a in range(0, len(ids), BATCH):
                 y = target[a:a + BATCH]
                 p = class_log_probs(weights, bias, features[a:a + BATCH])[np.arange(len(y)), y]
