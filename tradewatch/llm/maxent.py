@@ -317,10 +317,9 @@ class Words:
 
 def class_log_probs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log of P(class | history), tokens x CLASSES."""
-    z = weights[features[:, 0]].astype(np.float32)
+    z = np.add(weights.take(features[:, 0], axis=0), bias, dtype=np.float32)
     for k in range(1, features.shape[1]):
-        z = z + weights[features[:, k]]
-    z += bias
+        z += weights.take(features[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
@@ -365,10 +364,16 @@ def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start
             order = np.argsort(flat.astype(np.uint16), kind="stable")      # 16-bit keys sort by radix
             if len(weights) > 1 << 16:
                 order = order[np.argsort((flat >> 16).astype(np.uint16)[order], kind="stable")]
-            rows, first = np.unique(flat[order], return_index=True)
-            slope = np.add.reduceat(wrong[order // f.shape[1]], first, axis=0)
-            scale[rows] += (slope * slope).sum(axis=1)
-            weights[rows] -= RATE * slope / np.sqrt(scale[rows])[:, None]
+            flat = flat[order]
+            first = np.flatnonzero(np.diff(flat, prepend=-1))
+            rows = flat[first]
+            # Sums of equal rows as differences of running sums (in double precision).
+            sums = np.cumsum(wrong.take(order // f.shape[1], axis=0), axis=0, dtype=np.float64)
+            sums = sums[np.append(first[1:], len(flat)) - 1]
+            slope = np.diff(sums, axis=0, prepend=0).astype(np.float32)
+            scale[rows] += np.einsum("ij,ij->i", slope, slope)
+            slope *= (RATE / np.sqrt(scale[rows]))[:, None]
+            weights[rows] = weights.take(rows, axis=0) - slope
     touched = np.flatnonzero(scale != 1)
     for k, rows in enumerate(np.split(touched, np.searchsorted(touched, np.arange(WEIGHT_ROWS, len(weights), WEIGHT_ROWS)))):
         if len(rows):
@@ -515,7 +520,7 @@ def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packed, bias, after, log_sums = shared.value
-        weights = np.concatenate([unpacked_rows(b).astype(np.float16) for b in packed])
+        weights = np.concatenate([unpacked_rows(b) for b in packed])
         own, base = np.log(np.maximum(words.counts, 1e-9)), np.append(np.log10(words.counts + 1), 0.0)
         for b in slices(batches, "ids", 1 << 20):
             ranks = [np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))]
