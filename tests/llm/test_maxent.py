@@ -155,3 +155,7 @@ def test_packed_rows_keep_their_values():
     got = m.unpacked_rows(m.packed_rows(rows))
     assert (np.abs(got - rows) <= np.abs(rows).max(axis=1, keepdims=True) / 200 + 1e-8).all() and not got[3].any()
     assert m.unpacked_rows(m.packed_rows(rows[:0])).shape == (0, m.CLASSES)
+    rows = rng.normal(size=(2 * m.WEIGHT_ROWS, m.CLASSES)).astype(np.float32)
+    blocks = [m.packed_rows(rows[:m.WEIGHT_ROWS]), m.packed_rows(rows[m.WEIGHT_ROWS:])]
+    at = rng.integers(0, len(rows), 100)
+    assert (m.PackedTable(blocks).take(at) == m.unpacked_table(blocks)[at]).all()

@@ -108,8 +108,10 @@ def indexed(docs: DataFrame, vocabulary: bytes) -> DataFrame:
                 ["row", "doc_id", "held_out", "n_tokens", "ids", "rare"])
             key += b.num_rows
 
-    return written(docs.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, ids binary, "
-                                        "rare array<binary>"), "indexed")
+    out = written(docs.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, ids binary, "
+                                       "rare array<binary>"), "indexed")
+    shared.destroy()
+    return out
 
 
 _SPARSE = pa.schema([("task", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("n", pa.binary()),
@@ -154,6 +156,29 @@ def unpacked_rows(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.int8, offset=2 * n).reshape(n, CLASSES) * (scale / 127)[:, None]
 
 
+def unpacked_table(blocks: list[bytes]) -> np.ndarray:
+    """All rows of packed blocks of WEIGHT_ROWS rows, without a second copy of the table."""
+    out = np.empty((len(blocks) * WEIGHT_ROWS, CLASSES), np.float32)
+    for k, b in enumerate(blocks):
+        out[k * WEIGHT_ROWS:(k + 1) * WEIGHT_ROWS] = unpacked_rows(b)
+    return out
+
+
+class PackedTable:
+    """Packed blocks as one table whose rows are unpacked when they are taken."""
+
+    def __init__(self, blocks: list[bytes]) -> None:
+        self.values = np.empty((len(blocks) * WEIGHT_ROWS, CLASSES), np.int8)
+        self.scale = np.empty(len(self.values), np.float32)
+        for k, b in enumerate(blocks):
+            rows = slice(k * WEIGHT_ROWS, (k + 1) * WEIGHT_ROWS)
+            self.scale[rows] = np.frombuffer(b, np.float16, WEIGHT_ROWS).astype(np.float32) / 127
+            self.values[rows] = np.frombuffer(b, np.int8, offset=2 * WEIGHT_ROWS).reshape(WEIGHT_ROWS, CLASSES)
+
+    def take(self, rows: np.ndarray, axis: int = 0) -> np.ndarray:
+        return self.values.take(rows, axis=axis) * self.scale.take(rows)[:, None]
+
+
 def counts_summed(pdf: pd.DataFrame) -> tuple[bytes, bytes, int]:
     """Sparse counts (places, float32 each) of one block added up."""
     every = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["data"]])
@@ -315,7 +340,7 @@ class Words:
         return every[at], features, self.classes[every[at - 1]]
 
 
-def class_log_probs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+def class_log_probs(weights: np.ndarray | PackedTable, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log of P(class | history), tokens x CLASSES."""
     z = np.add(weights.take(features[:, 0], axis=0), bias, dtype=np.float32)
     for k in range(1, features.shape[1]):
@@ -347,7 +372,8 @@ def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start
                bias: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A trainer's gradient steps: the change of the weights that it touched, in blocks of rows, and its tokens.
     `start`: the packed blocks of the common weights."""
-    weights = np.concatenate([unpacked_rows(b) for b in start])
+    pa.default_memory_pool().release_unused()
+    weights = unpacked_table(start)
     scale = np.full(len(weights), 1.0, np.float32)
     n = 0
     for ranks in lists:
@@ -423,7 +449,7 @@ class Model:
 
     @property
     def weights(self) -> np.ndarray:
-        return np.concatenate([unpacked_rows(b) for b in self.packed])
+        return unpacked_table(self.packed)
 
     @property
     def in_class(self) -> np.ndarray:
@@ -520,7 +546,7 @@ def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packed, bias, after, log_sums = shared.value
-        weights = np.concatenate([unpacked_rows(b) for b in packed])
+        weights = PackedTable(packed)
         own, base = np.log(np.maximum(words.counts, 1e-9)), np.append(np.log10(words.counts + 1), 0.0)
         for b in slices(batches, "ids", 1 << 20):
             ranks = [np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))]
