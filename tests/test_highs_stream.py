@@ -1,6 +1,8 @@
 """The stateful stream gives the batch test's rows; late rows, restarts and replays."""
 
 import datetime as dt
+import os
+import uuid
 
 import numpy as np
 import pytest
@@ -61,6 +63,34 @@ def test_batches_of_days_equal_the_batch_test(spark, window):
         H.new_high_breaks(data, window), ["loaddate", "trader", "breaks", "test"])
 
 
+def test_series_of_a_group_are_taken_together(spark, monkeypatch):
+    calls = scratch_path(spark, "calls")
+
+    class Counted(S.NewHighs):
+        def handleInputRows(self, key, rows, timers):
+            os.makedirs(calls, exist_ok=True)
+            with open(f"{calls}/{uuid.uuid4().hex}", "w"):
+                pass
+            yield from super().handleInputRows(key, rows, timers)
+
+    monkeypatch.setattr(S, "GROUPS", 2)
+    monkeypatch.setattr(S, "NewHighs", Counted)
+    data = net(spark, seed=5, days=15, series=30)
+    joins_later = ~F.col("trader").isin([f"T{k}" for k in range(0, 30, 3)]) | (F.col("loaddate") > F.lit(DAY + dt.timedelta(days=6)))
+    data = data.where(joins_later)
+    landing, ckpt = scratch_path(spark, "land"), scratch_path(spark, "ckpt")
+    table = S.flags_table(spark, scratch_path(spark, "flags"))
+    for first, last in ((0, 4), (5, 8), (9, 15)):
+        land(data, landing, first, last)
+        run(spark, landing, table, ckpt, 4)
+    land(data, landing, 3, 3)
+    run(spark, landing, table, ckpt, 4)
+    assert rows(table.read().where("NOT late"), COLS) == rows(H.new_high_flags(data, 4), COLS)
+    third = data.where(F.col("loaddate") == F.lit(DAY + dt.timedelta(days=3)))
+    assert rows(table.read().where("late"), COLS[:5]) == rows(third, COLS[:5])
+    assert len(os.listdir(calls)) <= 2 * 4                             # a call a group and micro-batch, not one a series
+
+
 def test_late_rows_change_nothing(spark):
     data = net(spark, seed=2, days=20)
     late = data.where(F.col("loaddate") == F.lit(DAY + dt.timedelta(days=5)))

@@ -1,8 +1,10 @@
 """The new-high test as a stateful stream: each series carries its last rows, none is read again.
 
-A stream of net-volume rows is grouped by series. A series' state is a ring buffer of the last
-``window - 1`` values, the newest last, and the place (date, subdivision) of the newest. A row is flagged from the
-buffer and the rows before it in the batch, as the batch test flags it (``highs.new_high_flags``).
+A series' state is a ring buffer of the last ``window - 1`` values, the newest last, and the place (date,
+subdivision) of the newest. A row is flagged from the buffer and the rows before it in the batch, as the batch test
+flags it (``highs.new_high_flags``). Series are dealt by hash to GROUPS groups, and a call takes a group's rows of a
+micro-batch together: there may be as many series as rows, and a call costs more than a series. A group's state is a
+map of its series, of which only those with rows are read. A checkpoint belongs to the number of groups.
 
 Late rows. A row at or before its series' newest place can't be put in order any more: it is given out with
 ``late`` set and no flag, and changes no state. So are rows that repeat a place. Rows of one micro-batch may
@@ -43,6 +45,9 @@ FLAGS_SCHEMA = T.StructType([
     T.StructField("prevDailyVal", T.DoubleType()), T.StructField("breaks", T.IntegerType()),
     T.StructField("late", T.BooleanType())])
 STATE_SCHEMA = "values array<double>, day date, subdivision string"
+SERIES_SCHEMA = "poscommodity string, trader string"
+#: Groups that series are dealt to. Fixed: keys of the state in every checkpoint.
+GROUPS = 1024
 
 
 def trailing_max(values: np.ndarray, window: int) -> np.ndarray:
@@ -60,31 +65,50 @@ class NewHighs(StatefulProcessor):
         self.window = window
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getValueState("buffer", STATE_SCHEMA)
+        self.buffers = handle.getMapState("buffers", SERIES_SCHEMA, STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.buffer.get() if self.buffer.exists() else ([], None, None)
-        values, newest = np.array(held[0], np.float64), (held[1], held[2])
-        # A series' rows of one micro-batch: a row for each day and subdivision that has arrived.
-        batch = pd.concat(list(rows)).sort_values(ORDER, kind="stable", na_position="first").reset_index(drop=True)
-        places = list(zip(batch["loaddate"], batch["subdivision"]))
-        late = np.array([p <= q if q[0] is not None else False for p, q in zip(places, [newest, *places])], bool)
+        # The rows of a group's series of one micro-batch: a row for each day and subdivision that has arrived.
+        batch = pd.concat(list(rows), ignore_index=True)
+        index, names = pd.MultiIndex.from_frame(batch[SERIES]).factorize()
+        held = [self.buffers.getValue(name) or ([], None, None) for name in names]
+        # Places as numbers; subdivisions by their rank, those of the held places too (-1: none held).
+        day = batch["loaddate"].to_numpy("datetime64[D]").astype(np.int64)
+        names_of = np.array(sorted({*batch["subdivision"], *(h[2] for h in held if h[1] is not None)}), object)
+        part = np.searchsorted(names_of, batch["subdivision"].to_numpy(object))
+        order = np.lexsort((part, day, index))
+        batch, index, day, part = batch.iloc[order], index[order], day[order], part[order]
+        first = np.diff(index, prepend=-1) != 0
         # Within the batch only an equal place is late; before it, all up to the newest.
-        if newest[0] is not None:
-            late |= np.array([p <= newest for p in places], bool)
-        fresh = batch[~late]
+        late = ~first & (np.diff(day, prepend=0) == 0) & (np.diff(part, prepend=0) == 0)
+        known = np.array([h[1] is not None for h in held], bool)
+        old_day = np.array([h[1] or 0 for h in held], "datetime64[D]").astype(np.int64)[index]
+        old_part = np.array([np.searchsorted(names_of, h[2]) if h[1] is not None else -1 for h in held])[index]
+        late |= known[index] & ((day < old_day) | ((day == old_day) & (part <= old_part)))
+        fresh, index = batch[~late], index[~late]
         if len(fresh):
-            joined = np.concatenate((values, fresh["dailyValue"].to_numpy(np.float64)))
+            # Series one after the other, each with its held values before its rows.
+            at = np.searchsorted(index, np.arange(len(names) + 1))
+            new = fresh["dailyValue"].to_numpy(np.float64)
+            parts = [np.concatenate((np.array(h[0], np.float64), new[a:b])) for h, a, b in zip(held, at, at[1:])]
+            lengths = np.array([len(x) for x in parts])
+            starts = np.cumsum(lengths) - lengths
+            joined = np.concatenate(parts)
+            place = np.arange(len(joined)) - np.repeat(starts, lengths)
             top = np.full(len(joined), np.nan)
             if len(joined) >= self.window:
                 top[self.window - 1:] = trailing_max(joined, self.window)
-            before = np.concatenate(([np.nan], joined[:-1]))
-            top, before, now = (v[len(values):] for v in (top, before, joined))
+            top[place < self.window - 1] = np.nan
+            before = np.where(place > 0, np.concatenate(([np.nan], joined[:-1])), np.nan)
+            own = place >= np.repeat(lengths - np.diff(at), lengths)
+            top, before, now = top[own], before[own], joined[own]
             flag = (now >= top) & (top != before) & (top != 0)
             yield self._out(fresh, top, before, flag.astype(np.int32), False)
-            last = fresh.iloc[-1]
-            keep = joined[-max(self.window - 1, 1):]
-            self.buffer.update((keep.tolist(), last["loaddate"], last["subdivision"]))
+            days, parts_of = fresh["loaddate"].to_numpy(object), fresh["subdivision"].to_numpy(object)
+            for name, values, a, b in zip(names, parts, at, at[1:]):
+                if b > a:
+                    self.buffers.updateValue(
+                        name, (values[-max(self.window - 1, 1):].tolist(), days[b - 1], parts_of[b - 1]))
         if late.any():
             none = np.full(int(late.sum()), np.nan)
             yield self._out(batch[late], none, none, None, True)
@@ -92,7 +116,7 @@ class NewHighs(StatefulProcessor):
     @staticmethod
     def _out(rows: pd.DataFrame, top, before, flag, late: bool) -> pd.DataFrame:
         out = rows[["loaddate", "subdivision", "trader", "poscommodity", "dailyValue"]].copy()
-        out["maxValue"], out["prevDailyVal"] = [None if np.isnan(v) else v for v in top], [None if np.isnan(v) else v for v in before]
+        out["maxValue"], out["prevDailyVal"] = top, before          # Arrow makes nulls of nan
         out["breaks"] = pd.array([pd.NA] * len(out) if flag is None else flag, dtype="Int32")
         out["late"] = late
         return out
@@ -104,7 +128,8 @@ class NewHighs(StatefulProcessor):
 def flag_stream(net: DataFrame, window: int = NEW_HIGH_WINDOW) -> DataFrame:
     """Flags of a stream of net-volume rows (``NET_SCHEMA``; null keys are left out, as the batch test leaves them out)."""
     rows = net.select(*NET_SCHEMA.fieldNames()).dropna(subset=[*SERIES, *ORDER])
-    return rows.groupBy(*SERIES).transformWithStateInPandas(
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64(*SERIES), F.lit(GROUPS)))
+    return dealt.groupBy("group").transformWithStateInPandas(
         statefulProcessor=NewHighs(window), outputStructType=FLAGS_SCHEMA, outputMode="Append", timeMode="None")
 
 
