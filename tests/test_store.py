@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewatch.sources import store
 from tradewatch.sources.store import written_table
 
 SCHEMA = T.StructType([T.StructField("loaddate", T.DateType()), T.StructField("v", T.LongType())])
@@ -103,3 +104,15 @@ def test_schema_is_part_of_the_key(spark):
     assert written_table(spark, name, build, src, "loaddate", SCHEMA).columns == ["loaddate", "v"]
     wide = T.StructType([*SCHEMA.fields, T.StructField("w", T.LongType())])
     assert written_table(spark, name, build, src, "loaddate", wide).columns == ["loaddate", "v", "w"]
+
+
+def test_file_count_follows_the_source_bytes(spark, tmp_path, monkeypatch):
+    source = tmp_path / "src.parquet"
+    spark.range(100).write.parquet(str(source))
+    seen = []
+    monkeypatch.setattr(store, "_fingerprint", lambda *a: ("0" * 16, seen[-1]))
+    monkeypatch.setattr(store, "_write", lambda spark, build, path, size, *a: size // store.BYTES_PER_FILE)
+    for gb in (1, 6):
+        seen.append(gb << 30)
+        # About 4 times its source is one task's input: 1,500 MB of it at most, with a good margin.
+        assert 4 * seen[-1] / written_table(spark, "sized", lambda: None, [str(source)], "loaddate", SCHEMA) <= 256 << 20
