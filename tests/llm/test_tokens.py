@@ -160,3 +160,14 @@ def test_packing_keeps_padding_low(spark, tokenizer):
     assert padding < 0.02 * sum(lengths)
     one = packing.digest(packing.pack_documents(table)).where(F.col("start") == 0).first()
     assert one.ids_crc32 == zlib.crc32(ids_of(tokenizer, docs[one.doc_id][0])[:one.length].tobytes())
+
+
+def test_new_words_of_lower_letters_go_straight_to_the_model(monkeypatch):
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    words = [w.encode() for w in "wanderlusting \u00fcberqueren na\u00efvely zzyzxes".split()]
+    known = enc._known
+    want = [known(w) for w in words]
+    enc.young.clear()
+    monkeypatch.setattr(enc, "_known", lambda word: pytest.fail("looked for capitals and full stops"))
+    assert enc.word_ids(words) == want == [enc._encode(w) for w in words]
+    assert list(enc.young) == words

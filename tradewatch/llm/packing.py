@@ -46,37 +46,42 @@ def best_cuts(cuts: np.ndarray, penalty: np.ndarray, size: int = SIZE) -> np.nda
     """
     at = np.concatenate(([0], cuts))
     pos, pen = at.tolist(), [0.0, *(penalty + PER_WINDOW).tolist()]
-    # Cuts that lie a power of two apart: (index, earlier index) pairs, few.
-    exact: dict[int, list[int]] = {}
+    # Cuts that lie a power of two apart: the earlier ones' indices, few.
+    exact: list[list[int] | None] = [None] * len(pos)
     k = LEAST_EXACT
     while k <= size:
         i = np.searchsorted(at, at - k)
         hit = np.flatnonzero((at[i] == at - k) & (at >= k))
         for j, e in zip(hit.tolist(), i[hit].tolist()):
-            exact.setdefault(j, []).append(e)
+            if exact[j] is None:
+                exact[j] = [e]
+            else:
+                exact[j].append(e)
         k *= 2
-    cost, back = [0.0] * len(pos), [0] * len(pos)
-    # Monotone queue of f(i) + i, ascending: values, indices, and where it begins.
-    values, held, head = [0.0], [0], 0
-    for j in range(1, len(pos)):
-        p = pos[j]
+    cost, back = [0.0], [0]
+    # Monotone queue of f(i) + i, ascending: values, indices and positions, and where it begins.
+    values, held, places, head = [0.0], [0], [0], 0
+    for p, extra, pairs in zip(pos[1:], pen[1:], exact[1:]):
         first = p - size
-        while pos[held[head]] < first:
+        while places[head] < first:
             head += 1
         i = held[head]
         best = values[head] + size - p
-        if j in exact:
-            for e in exact[j]:
+        if pairs is not None:
+            for e in pairs:
                 if cost[e] <= best:
                     best, i = cost[e], e
-        cost[j] = best = best + pen[j]
-        back[j] = i
+        best += extra
         value = best + p
         while len(values) > head and values[-1] >= value:
             values.pop()
             held.pop()
+            places.pop()
         values.append(value)
-        held.append(j)
+        held.append(len(cost))
+        places.append(p)
+        cost.append(best)
+        back.append(i)
     chosen, j = [], len(pos) - 1
     while j:
         chosen.append(pos[j])

@@ -77,7 +77,12 @@ class Encoder:
     def _encode_word(self, word: bytes) -> bytes:
         if self.model is None or not PLAIN.fullmatch(word):
             return self._encode(word)
-        found = self.model.tokenize(word.decode("utf-8").translate(self.signs))
+        return self._encode_letters(word)
+
+    def _encode_letters(self, word: bytes) -> bytes:
+        """The ids of a PLAIN word; ASCII letters are their own signs."""
+        text = word.decode()
+        found = self.model.tokenize(text if word.isascii() else text.translate(self.signs))
         ids = [t.id for t in found]
         return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, "<u4").tobytes()
 
@@ -109,7 +114,15 @@ class Encoder:
         out = list(map(self.young.get, words))
         for i, ids in enumerate(out):
             if ids is None:
-                out[i] = self._known(words[i])
+                word = words[i]
+                if self.model is None or len(word) > MAX_WORD_BYTES or not PLAIN.fullmatch(word):
+                    out[i] = self._known(word)
+                    continue
+                # Lower letters alone are what most new words are: nothing of them to fold or to cut off.
+                ids = out[i] = self.old.get(word) or self._encode_letters(word)
+                if len(self.young) >= MAX_WORDS // 2:
+                    self.young, self.old = {}, self.young
+                self.young[word] = ids
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
