@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -159,3 +160,19 @@ def test_packed_rows_keep_their_values():
     blocks = [m.packed_rows(rows[:m.WEIGHT_ROWS]), m.packed_rows(rows[m.WEIGHT_ROWS:])]
     at = rng.integers(0, len(rows), 100)
     assert (m.PackedTable(blocks).take(at) == m.unpacked_table(blocks)[at]).all()
+
+
+def test_rows_of_weights_grow_with_the_words():
+    for n in (0, 1, m.BUCKETS, m.BUCKETS + 1, 1_060_000, 3_000_000):
+        rows = m.rows_of_weights(n)
+        assert n <= rows <= max(m.BUCKETS, n + m.WEIGHT_ROWS - 1) and rows % m.WEIGHT_ROWS == 0
+
+
+def test_history_needs_a_few_numbers_a_token():
+    words = m.Words.of(np.zeros(10, np.int64), np.ones(10), m.BUCKETS)
+    ranks = [np.zeros(100_000, np.int32)]
+    tracemalloc.start()
+    words.history(ranks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(ranks[0])

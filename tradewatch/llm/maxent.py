@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain, repeat
 
 import numpy as np
@@ -45,7 +45,7 @@ HELD_OUT, MODULUS = 2, 7
 #: Model words: all that were seen so often.
 LEAST_COUNT = 3
 CLASSES = 32                 # the last is `rare`
-#: Least rows of weights; more where there are more model words.
+#: Least rows of weights; as many as model words where there are more (in whole blocks).
 BUCKETS = 1 << 16
 #: Most frequent words that a word's neighbourhood is described by, and its reach.
 CONTEXT, REACH = 64, 3
@@ -301,6 +301,11 @@ def cluster(blocks: DataFrame, words: int, k: int, steps: int = 12) -> np.ndarra
     return label
 
 
+def rows_of_weights(words: int) -> int:
+    """BUCKETS, or as many as there are model words, in whole blocks."""
+    return max(BUCKETS, -(-words // WEIGHT_ROWS) * WEIGHT_ROWS)
+
+
 @dataclass
 class Words:
     """The model's words in the order of their classes. ids: 0..n-1 words, n rare, n + 1 before the text."""
@@ -333,10 +338,12 @@ class Words:
         lengths = np.array([len(r) for r in ranks])
         at = np.arange(lengths.sum()) + np.repeat(3 * np.arange(1, len(ranks) + 1), lengths)
         one, two, three = (every[at - d].astype(np.uint64) + np.uint64(1) for d in (1, 2, 3))
-        keys = np.stack((one, one * np.uint64(0x1000003) + two, two, three), axis=1)
-        h = keys * _SALTS + np.arange(4, dtype=np.uint64)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        features = ((h >> np.uint64(40)) % np.uint64(self.buckets)).astype(np.int32)
+        # A column at a time: the 64-bit keys of all four would be several times the result.
+        features = np.empty((len(at), 4), np.int32)
+        for k, key in enumerate((one, one * np.uint64(0x1000003) + two, two, three)):
+            h = key * _SALTS[k] + np.uint64(k)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            features[:, k] = (h >> np.uint64(40)) % np.uint64(self.buckets)
         return every[at], features, self.classes[every[at - 1]]
 
 
@@ -476,7 +483,7 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     own = rows.where(~F.col("held_out"))
 
     label = cluster(neighbours(own, size), size, CLASSES - 1) if size else np.zeros(0, int)
-    buckets = max(BUCKETS, 1 << max(size - 1, 0).bit_length())
+    buckets = rows_of_weights(size)
     words = Words.of(label, n, buckets)
     share = np.bincount(words.classes[:size], n, minlength=CLASSES)
     share[CLASSES - 1] += max(total - n.sum(), 0)
@@ -484,7 +491,7 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     packed = [packed_rows(np.zeros((WEIGHT_ROWS, CLASSES), np.float32))] * (buckets // WEIGHT_ROWS)
     trainers = spark.sparkContext.defaultParallelism
     for k in range(ROUNDS):
-        start = spark.sparkContext.broadcast((words, packed, bias))
+        start = spark.sparkContext.broadcast((replace(words, counts=n[:0]), packed, bias))    # training needs no counts
         part = own.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k)
 
         def train(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
@@ -493,7 +500,8 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
         trained = max(part.agg(F.sum("n_tokens")).first()[0] or 0, 1)
         changes = in_levels(part.select("ids").coalesce(trainers).mapInArrow(train, _SPARSE_DDL), trainers, changes_summed)
         packed = list(packed)
-        for r in changes.collect():
+        # Blocks come to the driver one file at a time, beside the table that they are added to.
+        for r in written(changes, "changes").toLocalIterator():
             block = unpacked_rows(packed[r["block"]])
             block[np.frombuffer(r["data"], np.int32)] += unpacked_rows(r["n"]) * np.float32(r["tokens"] / trained)
             packed[r["block"]] = packed_rows(block)
@@ -521,7 +529,8 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     sums = np.bincount(words.classes[:size], np.maximum(words.counts, 1e-9), CLASSES)
     log_sums = np.repeat(np.log(np.maximum(sums, 1e-9))[:, None], CLASSES + 1, axis=1)
     ends = np.cumsum(words.sizes)
-    for r in pairs.select("block", "data", "n").mapInArrow(fit, "block int, data binary, log_sum double").collect():
+    fitted = written(pairs.select("block", "data", "n").mapInArrow(fit, "block int, data binary, log_sum double"), "fitted")
+    for r in fitted.toLocalIterator():
         c, before = divmod(r["block"], CLASSES + 1)
         after[ends[c] - words.sizes[c]:ends[c], before] = np.frombuffer(r["data"], np.float16)
         log_sums[c, before] = r["log_sum"]
