@@ -25,7 +25,7 @@ from tradewatch.session import shared_dir
 # Source bytes per written file. Joined rows take several times their columnar
 # source (about 4 times for the positions, shuffled, and more while they are
 # sorted), and a file is the work of one task.
-BYTES_PER_FILE = 32 << 20
+BYTES_PER_FILE = 16 << 20
 
 #: Part of every table's key: raise it when what the adapters derive changes.
 VERSION = 3
