@@ -1,9 +1,12 @@
 import math
+import pickle
+import re
 import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tradewatch.llm import maxent as m
@@ -176,3 +179,59 @@ def test_history_needs_a_few_numbers_a_token():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 * len(ranks[0])
+
+
+def test_encoded_words_are_the_tokens_of_the_texts():
+    texts = ["", " \t\n ", "a b A", "\x0bc\x0cÉ É\r\n", "x\x1cy \x85\xa0 z\x00", "b", "a  b"]
+    words, places, n = m.encoded_words(pa.array(["cut off", None, *texts[1:]]).slice(1))
+    got = np.split(np.array(words.to_pylist(), object)[places], np.cumsum(n)[:-1])
+    assert [list(g) for g in got] == [m.tokens(t.encode()) for t in texts]
+
+
+def test_indexed_ranks_and_rare_words(spark):
+    texts = ["b a", "", " c  A\tzz b zz", "é", "b" * 3000]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    for vocabulary in (b"", b"a", b"b \n a nowhere", "é c".encode()):
+        rank = {w: i for i, w in enumerate(m.split_words(vocabulary))}
+        got = {r.doc_id: r for r in m.indexed(docs, vocabulary).collect()}
+        for i, t in enumerate(texts):
+            ws = m.tokens(t.encode())
+            assert np.frombuffer(got[i].ids, np.int32).tolist() == [rank.get(w, len(rank)) for w in ws]
+            assert [bytes(w) for w in got[i].rare] == [w for w in ws if w not in rank] and got[i].n_tokens == len(ws)
+
+
+def test_sums_of_runs_match_plain_adding():
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(500, m.CLASSES)).astype(np.float32)
+    for lengths in ([1] * 40, [1, 2, 300, 1, 7, 8, 9], [20], [m.SHORT] * 3, rng.integers(1, 15, 60)):
+        first = np.cumsum(lengths) - lengths
+        at = rng.integers(0, len(values), sum(lengths))
+        plain = [values[at[a:a + n]].astype(float).sum(axis=0) for a, n in zip(first, lengths)]
+        got = m.sums_of_runs(values, at, first)
+        assert got.dtype == np.float32 and got == pytest.approx(np.array(plain), rel=1e-5, abs=1e-5)
+
+
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    """Two Python steps in one stage would leave each executor with twice the workers and their tables."""
+    plans, written = {}, m.written
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(m, "written", noted)
+    docs = spark.createDataFrame([(i, "a b c a b") for i in range(30)], "doc_id long, text string")
+    m.score(docs).collect()
+    for name, plan in plans.items():
+        for stage in re.split(r"Exchange|Scan", plan):
+            assert len(re.findall(r"MapInArrow|FlatMapGroupsInPandas|MapInPandas", stage)) < 2, name
+
+
+def test_a_block_is_put_in_its_place():
+    blocks = [m.packed_rows(np.full((m.WEIGHT_ROWS, m.CLASSES), x, np.float32)) for x in (0, 1, 2)]
+    table = m.PackedTable(blocks)
+    sent = pickle.loads(pickle.dumps(table, 5))
+    table.put(1, blocks[2])
+    assert [float(table.block(k).mean()) for k in range(3)] == pytest.approx([0, 2, 2])
+    assert (table.unpacked() == m.unpacked_table([blocks[0], blocks[2], blocks[2]])).all()
+    assert (sent.unpacked() == m.unpacked_table(blocks)).all()

@@ -27,14 +27,14 @@ documents' rare words.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +55,8 @@ ROWS, HEAD = 1024, 16
 #: Rows of weights in a block.
 WEIGHT_ROWS = 4096
 ROUNDS, BATCH, RATE = 2, 8192, 0.5
+#: Most rows of a run that is added up place by place.
+SHORT = 8
 #: Tables added up in one group.
 FAN = 16
 #: Steps of the word stage and the weight of its prior (in tokens).
@@ -74,13 +76,33 @@ def split_words(joined: bytes) -> list[bytes]:
     return joined.split(b" ") if joined else []
 
 
+def encoded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(different words with END as the last, each token's place among them, texts' numbers of tokens): the
+    `tokens` of a string column (null: empty), encoded in Arrow."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0)      # blanks at the ends of a text leave empty words
+    if not pc.all(full).as_py():
+        of = np.repeat(np.arange(len(lengths)), lengths)
+        lengths = np.bincount(of[full.to_numpy(zero_copy_only=False)], minlength=len(lengths))
+        words = words.filter(full)
+    words = words.dictionary_encode()
+    ends = np.cumsum(lengths + 1) - 1
+    places = np.empty(len(words) + len(ends), np.int32)
+    inside = np.ones(len(places), bool)
+    inside[ends] = False
+    places[inside] = words.indices.to_numpy(zero_copy_only=False)
+    places[ends] = len(words.dictionary)
+    return pa.concat_arrays([words.dictionary.cast(pa.binary()), pa.array([END], pa.binary())]), places, lengths + 1
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word binary, n) over documents (doc_id, text), ends included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            n = Counter(chain.from_iterable(map(tokens, binary_list(b.column("text")))))
-            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())],
-                                             ["word", "n"])
+            words, places, _ = encoded_words(b.column("text"))
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(places, minlength=len(words)))], ["word", "n"])
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -92,19 +114,22 @@ def indexed(docs: DataFrame, vocabulary: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 33
-        rank = {w: i for i, w in enumerate(split_words(shared.value))}
-        other = len(rank)
-        for b in slices(batches, "text", 2 << 20):
-            ids, rare, n = [], [], []
-            for t in binary_list(b.column("text")):
-                ws = tokens(t)
-                at = np.fromiter(map(rank.get, ws, repeat(other)), np.int32, len(ws))
-                ids.append(at.tobytes())
-                rare.append([ws[i] for i in np.flatnonzero(at == other)])
-                n.append(len(ws))
+        ranked = pc.split_pattern(pa.array([shared.value] if shared.value else [], pa.binary()), " ").flatten()
+        other = len(ranked)
+        for b in slices(batches, "text"):
+            words, places, n = encoded_words(b.column("text"))
+            # The smaller list is the one that is hashed.
+            found = pc.index_in(ranked, words)
+            rank = np.full(len(words), other, np.int32)
+            rank[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            ids = rank.take(places)
+            starts = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+            rare = np.flatnonzero(ids == other)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(key, key + b.num_rows), pa.int64()), b.column("doc_id"), b.column("held_out"),
-                 pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                [pa.array(range(key, key + b.num_rows), pa.int64()), b.column("doc_id"), b.column("held_out"), pa.array(n),
+                 pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(4 * starts), pa.py_buffer(ids)]),
+                 pa.ListArray.from_arrays(np.searchsorted(rare, starts).astype(np.int32),
+                                          words.take(pa.array(places[rare])))],
                 ["row", "doc_id", "held_out", "n_tokens", "ids", "rare"])
             key += b.num_rows
 
@@ -156,27 +181,40 @@ def unpacked_rows(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.int8, offset=2 * n).reshape(n, CLASSES) * (scale / 127)[:, None]
 
 
-def unpacked_table(blocks: list[bytes]) -> np.ndarray:
-    """All rows of packed blocks of WEIGHT_ROWS rows, without a second copy of the table."""
-    out = np.empty((len(blocks) * WEIGHT_ROWS, CLASSES), np.float32)
-    for k, b in enumerate(blocks):
-        out[k * WEIGHT_ROWS:(k + 1) * WEIGHT_ROWS] = unpacked_rows(b)
-    return out
-
-
 class PackedTable:
-    """Packed blocks as one table whose rows are unpacked when they are taken."""
+    """Packed blocks of WEIGHT_ROWS rows as one table whose rows are unpacked when they are taken."""
 
     def __init__(self, blocks: list[bytes]) -> None:
         self.values = np.empty((len(blocks) * WEIGHT_ROWS, CLASSES), np.int8)
         self.scale = np.empty(len(self.values), np.float32)
         for k, b in enumerate(blocks):
-            rows = slice(k * WEIGHT_ROWS, (k + 1) * WEIGHT_ROWS)
-            self.scale[rows] = np.frombuffer(b, np.float16, WEIGHT_ROWS).astype(np.float32) / 127
-            self.values[rows] = np.frombuffer(b, np.int8, offset=2 * WEIGHT_ROWS).reshape(WEIGHT_ROWS, CLASSES)
+            self.put(k, b)
+
+    def put(self, k: int, block: bytes) -> None:
+        """Block k anew."""
+        rows = slice(k * WEIGHT_ROWS, (k + 1) * WEIGHT_ROWS)
+        self.scale[rows] = np.frombuffer(block, np.float16, WEIGHT_ROWS).astype(np.float32) / 127
+        self.values[rows] = np.frombuffer(block, np.int8, offset=2 * WEIGHT_ROWS).reshape(WEIGHT_ROWS, CLASSES)
 
     def take(self, rows: np.ndarray, axis: int = 0) -> np.ndarray:
-        return self.values.take(rows, axis=axis) * self.scale.take(rows)[:, None]
+        out = self.values.take(rows, axis=axis).astype(np.float32)
+        out *= self.scale.take(rows)[:, None]
+        return out
+
+    def block(self, k: int) -> np.ndarray:
+        return self.take(np.arange(k * WEIGHT_ROWS, (k + 1) * WEIGHT_ROWS))
+
+    def unpacked(self) -> np.ndarray:
+        """All rows, without a second copy of the table."""
+        out = np.empty(self.values.shape, np.float32)
+        for k in range(len(out) // WEIGHT_ROWS):
+            out[k * WEIGHT_ROWS:(k + 1) * WEIGHT_ROWS] = self.block(k)
+        return out
+
+
+def unpacked_table(blocks: list[bytes]) -> np.ndarray:
+    """All rows of packed blocks of WEIGHT_ROWS rows."""
+    return PackedTable(blocks).unpacked()
 
 
 def counts_summed(pdf: pd.DataFrame) -> tuple[bytes, bytes, int]:
@@ -210,17 +248,20 @@ def neighbours(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         head = np.zeros(min(HEAD * ROWS, words) * width, np.float32)
+        gap = np.full(REACH, max(words, CONTEXT), np.int32)        # parts the documents; no neighbour of any word
         for lists in _id_lists(batches):
-            found = [np.zeros(0, np.int64)]
+            every = np.concatenate([gap, *chain.from_iterable((ids, gap) for ids in lists)])
+            often, model = np.flatnonzero(every < CONTEXT), every < words
+            found = []
             for d in range(1, REACH + 1):
-                for ids in lists:
-                    left, right = ids[:-d].astype(np.int64), ids[d:].astype(np.int64)
-                    found.append((right * width + left)[(left < CONTEXT) & (right < words)])
-                    found.append((left * width + CONTEXT + right)[(right < CONTEXT) & (left < words)])
-            at, n = np.unique(np.concatenate(found), return_counts=True)
-            cut = np.searchsorted(at, len(head))
-            head[at[:cut]] += n[:cut]
-            yield _sparse(task, at[cut:], n[cut:], edges)
+                for side, step in ((0, d), (CONTEXT, -d)):
+                    at = often[model[often + step]]
+                    found.append(every[at + step].astype(np.int64) * width + side + every[at])
+            found = np.concatenate(found)
+            low = found < len(head)
+            head += np.bincount(found[low], minlength=len(head))
+            at, n = np.unique(found[~low], return_counts=True)
+            yield _sparse(task, at, n, edges)
         at = np.flatnonzero(head)
         yield _sparse(task, at, head[at], edges)
 
@@ -347,16 +388,42 @@ class Words:
         return every[at], features, self.classes[every[at - 1]]
 
 
+def class_scores(weights: np.ndarray | PackedTable, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, log of the sum of their exponentials), tokens x CLASSES and tokens x 1."""
+    columns = np.ascontiguousarray(features.T, np.intp)
+    z = np.add(weights.take(columns[0], axis=0), bias, dtype=np.float32)
+    for rows in columns[1:]:
+        z += weights.take(rows, axis=0)
+    z -= np.ascontiguousarray(z.T).max(axis=0)[:, None]       # a row's maximum would be found a row at a time
+    return z, np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+
 def class_log_probs(weights: np.ndarray | PackedTable, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log of P(class | history), tokens x CLASSES."""
-    z = np.add(weights.take(features[:, 0], axis=0), bias, dtype=np.float32)
-    for k in range(1, features.shape[1]):
-        z += weights.take(features[:, k], axis=0)
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z, log_sum = class_scores(weights, bias, features)
+    z -= log_sum
     return z
 
 
+def sums_of_runs(values: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of values[at] from each place of `first` to the next, in double precision. Most runs are of one
+    row; short ones are added place by place, long ones a column at a time."""
+    out = values.take(at[first], axis=0)
+    length = np.diff(first, append=len(at))
+    short = np.flatnonzero((length > 1) & (length <= SHORT))
+    total = out[short].astype(np.float64)
+    for k in range(1, SHORT):
+        more = np.flatnonzero(length[short] > k)
+        total[more] += values.take(at[first[short[more]] + k], axis=0)
+    out[short] = total
+    many = np.flatnonzero(length > SHORT)
+    if len(many):
+        rows = values.take(at[np.repeat(length > SHORT, length)], axis=0)
+        ends = np.cumsum(length[many])
+        out[many] = np.add.reduceat(np.ascontiguousarray(rows.T, np.float64), ends - length[many], axis=1).T
+    return out
+
+
 def pair_counts(task: int, lists: Iterator[list[np.ndarray]], words: Words) -> Iterator[pa.RecordBatch]:
     """How often each word follows each class; block class * (CLASSES + 1) + previous class, place in the class."""
     sizes, width = words.sizes, CLASSES + 1
@@ -375,12 +442,12 @@ def pair_counts(task: int, lists: Iterator[list[np.ndarray]], words: Words) -> I
         yield _sparse(task, at, n, edges)
 
 
-def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start: list[bytes],
+def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start: PackedTable,
                bias: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A trainer's gradient steps: the change of the weights that it touched, in blocks of rows, and its tokens.
-    `start`: the packed blocks of the common weights."""
+    `start`: the common weights."""
     pa.default_memory_pool().release_unused()
-    weights = unpacked_table(start)
+    weights = start.unpacked()
     scale = np.full(len(weights), 1.0, np.float32)
     n = 0
     for ranks in lists:
@@ -399,19 +466,17 @@ def train_task(task: int, lists: Iterator[list[np.ndarray]], words: Words, start
                 order = order[np.argsort((flat >> 16).astype(np.uint16)[order], kind="stable")]
             flat = flat[order]
             first = np.flatnonzero(np.diff(flat, prepend=-1))
-            rows = flat[first]
-            # Sums of equal rows as differences of running sums (in double precision).
-            sums = np.cumsum(wrong.take(order // f.shape[1], axis=0), axis=0, dtype=np.float64)
-            sums = sums[np.append(first[1:], len(flat)) - 1]
-            slope = np.diff(sums, axis=0, prepend=0).astype(np.float32)
-            scale[rows] += np.einsum("ij,ij->i", slope, slope)
-            slope *= (RATE / np.sqrt(scale[rows]))[:, None]
-            weights[rows] = weights.take(rows, axis=0) - slope
+            rows = flat[first].astype(np.intp)
+            slope = sums_of_runs(wrong, order // f.shape[1], first)
+            total = scale.take(rows) + np.einsum("ij,ij->i", slope, slope)
+            scale[rows] = total
+            slope *= (RATE / np.sqrt(total))[:, None]
+            weights[rows] = np.subtract(weights.take(rows, axis=0), slope, out=slope)
     touched = np.flatnonzero(scale != 1)
     for k, rows in enumerate(np.split(touched, np.searchsorted(touched, np.arange(WEIGHT_ROWS, len(weights), WEIGHT_ROWS)))):
         if len(rows):
             inside = rows - k * WEIGHT_ROWS
-            change = packed_rows(weights[rows] - unpacked_rows(start[k])[inside])
+            change = packed_rows(weights[rows] - start.take(rows))
             yield pa.RecordBatch.from_pylist(
                 [{"task": task, "block": k, "data": inside.astype(np.int32).tobytes(), "n": change, "tokens": n}], _SPARSE)
 
@@ -444,7 +509,7 @@ class Model:
     distinct: int                # V
     joined: bytes                # model words by falling count, parted by blanks
     words: Words
-    packed: list[bytes]          # weights, in packed blocks of WEIGHT_ROWS rows
+    table: PackedTable           # weights
     bias: np.ndarray
     after: np.ndarray            # weight of (word, previous class), id x (CLASSES + 1), float16
     log_sums: np.ndarray         # class x previous class: what makes them probabilities
@@ -456,7 +521,7 @@ class Model:
 
     @property
     def weights(self) -> np.ndarray:
-        return unpacked_table(self.packed)
+        return self.table.unpacked()
 
     @property
     def in_class(self) -> np.ndarray:
@@ -476,8 +541,11 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     frequent = counts.where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word")
     top = (frequent if model_words is None else frequent.limit(model_words)).toArrow()
     size, n = top.num_rows, top.column("n").to_numpy().astype(np.float64)
-    joined = b" ".join(w.as_py() for w in top.column("word"))
-    del top
+    # In Arrow: an object a word would stay in pieces in the driver's memory.
+    every = pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), pa.concat_arrays(
+        [pa.array([], pa.binary()), *(c.cast(pa.binary()) for c in top.column("word").chunks)]))
+    joined = pc.binary_join(every, b" ")[0].as_py()
+    del top, every
     rare_mass = float(total - n.sum()) + (distinct - size) + 1
     rows = indexed(docs, joined)
     own = rows.where(~F.col("held_out"))
@@ -488,10 +556,10 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
     share = np.bincount(words.classes[:size], n, minlength=CLASSES)
     share[CLASSES - 1] += max(total - n.sum(), 0)
     bias = np.log((share + 1) / (share + 1).sum()).astype(np.float32)
-    packed = [packed_rows(np.zeros((WEIGHT_ROWS, CLASSES), np.float32))] * (buckets // WEIGHT_ROWS)
+    table = PackedTable([packed_rows(np.zeros((WEIGHT_ROWS, CLASSES), np.float32))] * (buckets // WEIGHT_ROWS))
     trainers = spark.sparkContext.defaultParallelism
     for k in range(ROUNDS):
-        start = spark.sparkContext.broadcast((replace(words, counts=n[:0]), packed, bias))    # training needs no counts
+        start = spark.sparkContext.broadcast((replace(words, counts=n[:0]), table, bias))    # training needs no counts
         part = own.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k)
 
         def train(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
@@ -499,12 +567,11 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
 
         trained = max(part.agg(F.sum("n_tokens")).first()[0] or 0, 1)
         changes = in_levels(part.select("ids").coalesce(trainers).mapInArrow(train, _SPARSE_DDL), trainers, changes_summed)
-        packed = list(packed)
         # Blocks come to the driver one file at a time, beside the table that they are added to.
         for r in written(changes, "changes").toLocalIterator():
-            block = unpacked_rows(packed[r["block"]])
+            block = table.block(r["block"])
             block[np.frombuffer(r["data"], np.int32)] += unpacked_rows(r["n"]) * np.float32(r["tokens"] / trained)
-            packed[r["block"]] = packed_rows(block)
+            table.put(r["block"], packed_rows(block))
         start.destroy()
 
     shared = spark.sparkContext.broadcast(words)
@@ -524,18 +591,20 @@ def learn(docs: DataFrame, model_words: int | None = None) -> tuple[Model, DataF
                 [("block", pa.int32()), ("data", pa.binary()), ("log_sum", pa.float64())]))
 
     pairs = in_levels(own.select("ids").mapInArrow(count, _SPARSE_DDL), own.rdd.getNumPartitions(), counts_summed)
+    # Written first: a task that sums and fits would have two Python workers.
+    pairs = written(pairs.select("block", "data", "n"), "pairs")
     after = np.zeros((size, CLASSES + 1), np.float16)
     # Without pairs a column has no weights but the words' own.
     sums = np.bincount(words.classes[:size], np.maximum(words.counts, 1e-9), CLASSES)
     log_sums = np.repeat(np.log(np.maximum(sums, 1e-9))[:, None], CLASSES + 1, axis=1)
     ends = np.cumsum(words.sizes)
-    fitted = written(pairs.select("block", "data", "n").mapInArrow(fit, "block int, data binary, log_sum double"), "fitted")
+    fitted = written(pairs.mapInArrow(fit, "block int, data binary, log_sum double"), "fitted")
     for r in fitted.toLocalIterator():
         c, before = divmod(r["block"], CLASSES + 1)
         after[ends[c] - words.sizes[c]:ends[c], before] = np.frombuffer(r["data"], np.float16)
         log_sums[c, before] = r["log_sum"]
     shared.destroy()
-    return Model(counts, total, distinct, joined, words, packed, bias, after, log_sums, rare_mass), rows
+    return Model(counts, total, distinct, joined, words, table, bias, after, log_sums, rare_mass), rows
 
 
 def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
@@ -550,30 +619,30 @@ def score(docs: DataFrame, model_words: int | None = None) -> DataFrame:
     model, rows = learn(docs, model_words)
     denominator = math.log10(model.total + model.distinct + 1)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.words, model.packed, model.bias, model.after, model.log_sums))
+        (model.words, model.table, model.bias, model.after, model.log_sums))
     rare_log = math.log10(model.rare_mass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packed, bias, after, log_sums = shared.value
-        weights = PackedTable(packed)
-        own, base = np.log(np.maximum(words.counts, 1e-9)), np.append(np.log10(words.counts + 1), 0.0)
+        words, weights, bias, after, log_sums = shared.value
         for b in slices(batches, "ids", 1 << 20):
             ranks = [np.frombuffer(x, np.int32) for x in binary_list(b.column("ids"))]
             ids, features, before = words.history(ranks)
             known = ids < words.n
-            value = np.where(known, 0.0, -rare_log)
+            value, base = np.where(known, 0.0, -rare_log), np.zeros(len(ids))
             target = words.classes[ids]
             i, p = ids[known], before[known]
-            value[known] += (own[i] + after[i, p] - log_sums[target[known], p]) / math.log(10)
+            n = words.counts[i]
+            base[known] = np.log10(n + 1)
+            value[known] += (np.log(np.maximum(n, 1e-9)) + after[i, p] - log_sums[target[known], p]) / math.log(10)
             for a in range(0, len(ids), BATCH):
                 y = target[a:a + BATCH]
-                p = class_log_probs(weights, bias, features[a:a + BATCH])[np.arange(len(y)), y]
-                value[a:a + BATCH] += p.astype(np.float64) / math.log(10)
+                z, log_sum = class_scores(weights, bias, features[a:a + BATCH])
+                value[a:a + BATCH] += (z[np.arange(len(y)), y] - log_sum[:, 0]).astype(np.float64) / math.log(10)
             starts = np.concatenate(([0], np.cumsum([len(r) for r in ranks])[:-1]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("doc_id"), b.column("held_out"), b.column("n_tokens"),
                  pa.array(np.add.reduceat(known, starts, dtype=np.int64)),
-                 pa.array(np.add.reduceat(base[ids], starts)), pa.array(np.add.reduceat(value, starts))],
+                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(value, starts))],
                 ["row", "doc_id", "held_out", "n_tokens", "n_top", "base_top", "score_top"])
 
     scored = rows.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInArrow(
